@@ -72,6 +72,11 @@ def _census(name: str, table: str, key: str, audit: str) -> str:
     )
 
 
+_ASOF = f"""
+    with {_FACT}, {_DIM}
+    select s.id, s.product_id, s.created_at, s.updated_at, d.updated_at as version_at, d.brand, d.department, d.category
+    from fact s asof left join dim d on s.product_id = d.id and s.created_at >= d.updated_at"""
+
 ORACLES: dict[str, str] = {
     "snapshot_scan": "select * from orders",
     "hourly_window_extract": "select * from events where date_trunc('hour', ts) = timestamp '2024-01-02 05:00:00'",
@@ -104,6 +109,7 @@ ORACLES: dict[str, str] = {
     + _ITEMS
     + ", "
     + _PRODUCTS
+    + "\n"
     + "\nunion all\n".join(
         [
             _census("orders", "orders", "o_orderkey", "o_orderdate"),
@@ -135,11 +141,8 @@ ORACLES: dict[str, str] = {
         select event_id, ts, user_id, event_type,
                case when ts >= timestamp '2024-01-16' then value * 2 else value end as value, props from events""",
     "qualifying_sales_full": f"with {_SALES} select * from sales",
-    "asof_left_join": f"""
-        with {_FACT}, {_DIM}
-        select s.id, s.product_id, s.created_at, s.updated_at, d.updated_at as version_at,
-               d.brand, d.department, d.category
-        from fact s asof left join dim d on s.product_id = d.id and s.created_at >= d.updated_at""",
+    "asof_left_join": _ASOF,
+    "asof_left_join_slots": _ASOF,
     "signed_sales_by_status": f"with {_FACT} select status, {_TOTAL} from fact group by status",
     "sales_with_product_version": f"with {_SALES} select * from matched",
     "sales_report_full": f"with {_SALES} {_REPORT.format('matched')}",

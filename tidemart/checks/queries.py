@@ -25,7 +25,7 @@ from tidemart.plans import (
 )
 from tidemart.plans.marts import sales_with_product
 from tidemart.registry import TableSpec
-from tidemart.session import scratch, use_utc
+from tidemart.session import scratch, prepare
 from tidemart.slices import Slice, resolve_slice
 from tidemart.sources import (
     append_delta,
@@ -52,7 +52,7 @@ CUT = "1996-01-01"
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(use_utc(spark), sf_dir)
+        return build(prepare(spark), sf_dir)
 
     QUERIES[build.__name__] = run
     return run
@@ -296,14 +296,24 @@ def qualifying_sales_full(spark, sf):
     return qualifying_sales(views.fact(spark, sf))
 
 
-@query
-def asof_left_join(spark, sf):
-    """Every fact row with the product version in force when its order was placed."""
+def _asof(spark, sf, strategy: str) -> DataFrame:
     versions = views.dimension(spark, sf).select(
         F.col("id").alias("product_id"), F.col("updated_at").alias("version_at"), "brand", "department", "category"
     )
     sales = views.fact(spark, sf).select("id", "product_id", "created_at", "updated_at")
-    return asof_join(sales, versions, ["product_id"], "created_at", "version_at")
+    return asof_join(sales, versions, ["product_id"], "created_at", "version_at", strategy=strategy)
+
+
+@query
+def asof_left_join(spark, sf):
+    """Every fact row with the product version in force when its order was placed."""
+    return _asof(spark, sf, "auto")
+
+
+@query
+def asof_left_join_slots(spark, sf):
+    """The same join in the form used for version tables of any size."""
+    return _asof(spark, sf, "slots")
 
 
 @query
@@ -323,7 +333,9 @@ def sales_report_full(spark, sf):
 
 @query
 def sales_report_day(spark, sf):
-    return sales_report(views.fact(spark, sf), views.dimension(spark, sf), Slice.day(SOLD_DAY))
+    window = Slice.day(SOLD_DAY)
+    day_fact = order_items_fact(views.order_items_log(spark, sf), window)
+    return sales_report(day_fact, views.dimension(spark, sf), window)
 
 
 @query

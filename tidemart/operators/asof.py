@@ -8,8 +8,11 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DAY_SECONDS = 86_400
+BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_VERSIONS = 32
 
 
 def _slot(ts: str, seconds: int) -> Column:
@@ -18,6 +21,26 @@ def _slot(ts: str, seconds: int) -> Column:
     return F.floor(whole / F.lit(seconds)).cast("long")
 
 
+def _known(on: Sequence[str], ts: str) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in (*on, ts)])
+
+
+def _is_small(right: DataFrame, on: Sequence[str]) -> bool:
+    """Measure ``right``: small enough to broadcast, and few versions for every key."""
+    text = {f.name for f in right.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))}
+    width = F.lit(32)
+    for column in right.columns:
+        width = width + (F.coalesce(F.octet_length(column), F.lit(0)) if column in text else F.lit(8))
+    per_key = right.groupBy(*on).agg(F.count("*").alias("n"), F.sum(width).alias("bytes"))
+    most, size = per_key.agg(F.max("n"), F.sum("bytes")).first()
+    return most is None or (most <= BROADCAST_VERSIONS and size <= BROADCAST_BYTES)
+
+
+def _result(joined: DataFrame, left: DataFrame, payload: Sequence[str]) -> DataFrame:
+    version = F.col("_version")
+    return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[version.getField(c).alias(c) for c in payload])
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -25,6 +48,7 @@ def asof_join(
     left_ts: str,
     right_ts: str,
     how: str = "left",
+    strategy: str = "auto",
     slot_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
     """Each left row with the latest right row of its key where ``right_ts <= left_ts``.
@@ -32,13 +56,9 @@ def asof_join(
     ``right`` must be unique per key and ``right_ts``. The result has the left columns and then
     the right columns outside ``on``; with ``how="left"`` unmatched left rows carry NULLs.
 
-    A plain range join compares every left row with every version of its key. Here time is cut
-    into slots: within a slot a left row can only match a version that starts in the same slot
-    or the one carried in from before, so the join runs on (key, slot). A version table with at
-    most one row per key and day gives at most two candidates per left row. The carried
-    versions come from one running window over (key, slot) summaries, whose groups grow with
-    the calendar and not with the rows. A hot key spreads over its slots, and AQE can split a
-    hot (key, slot) on the left side.
+    ``auto`` measures ``right`` with one small aggregation. If it is small and no key has many
+    versions, it is broadcast and ``left`` is not shuffled; otherwise, or with ``slots``, the
+    join runs on time slots.
     """
     payload = [c for c in right.columns if c not in on]
     clash = sorted(set(payload) & set(left.columns))
@@ -46,17 +66,50 @@ def asof_join(
         raise ValueError(f"columns on both sides of the as-of join: {', '.join(clash)}")
     if how not in ("left", "inner"):
         raise ValueError(f"as-of join cannot be {how!r}")
+    if strategy not in ("auto", "slots"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    versions = right.filter(_known(on, right_ts)).select(*on, F.struct(*payload).alias("_version"))
+    if strategy == "auto" and _is_small(right, on):
+        joined = _interval_join(left, versions, on, left_ts, right_ts, how)
+    else:
+        joined = _slot_join(left, versions, on, left_ts, right_ts, how, slot_seconds)
+    return _result(joined, left, payload)
+
 
-    known = lambda ts: reduce(and_, [F.col(c).isNotNull() for c in (*on, ts)])
-    probes = left.filter(known(left_ts)).select(*on, _slot(left_ts, slot_seconds).alias("_slot")).distinct()
-    versions = right.filter(known(right_ts)).select(
-        *on, _slot(right_ts, slot_seconds).alias("_slot"), F.struct(*payload).alias("_version")
+def _in_force(left_ts: str, starts: Column) -> Column:
+    return (F.col(left_ts) >= starts) & (F.col("_until").isNull() | (F.col(left_ts) < F.col("_until")))
+
+
+def _interval_join(
+    left: DataFrame, versions: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, how: str
+) -> DataFrame:
+    """Broadcast every version with the time its successor starts. Only for a measured small side."""
+    starts = F.col("_version").getField(right_ts)
+    periods = versions.withColumn("_until", F.lead(starts).over(Window.partitionBy(*on).orderBy(starts))).select(
+        *[F.col(c).alias(f"_on_{c}") for c in on], "_version", "_until"
     )
+    match = reduce(and_, [F.col(c) == F.col(f"_on_{c}") for c in on]) & _in_force(left_ts, starts)
+    return left.join(F.broadcast(periods), match, how)
+
+
+def _slot_join(
+    left: DataFrame, versions: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, how: str, slot_seconds: int
+) -> DataFrame:
+    """Join on (key, time slot), for version tables of any size.
+
+    A plain range join compares every left row with every version of its key. Here time is cut
+    into slots: within a slot a left row can only match a version that starts in the same slot
+    or the one carried in from before. A version table with at most one row per key and day
+    gives at most two candidates per left row. The carried versions come from one running
+    window over (key, slot) summaries, whose groups grow with the calendar and not with the
+    rows. A hot key spreads over its slots, and AQE can split a hot (key, slot) on the left.
+    """
+    starts = F.col("_version").getField(right_ts)
+    probes = left.filter(_known(on, left_ts)).select(*on, _slot(left_ts, slot_seconds).alias("_slot")).distinct()
+    versions = versions.withColumn("_at", starts).withColumn("_slot", _slot("_at", slot_seconds)).drop("_at")
 
     # The version in force when a slot begins: probes sort before versions of their own slot.
-    closing = versions.groupBy(*on, "_slot").agg(
-        F.max_by("_version", F.col("_version").getField(right_ts)).alias("_version")
-    )
+    closing = versions.groupBy(*on, "_slot").agg(F.max_by("_version", starts).alias("_version"))
     no_version = F.lit(None).cast(versions.schema["_version"].dataType)
     timeline = probes.select(*on, "_slot", F.lit(0).alias("_side"), no_version.alias("_version")).unionByName(
         closing.select(*on, "_slot", F.lit(1).alias("_side"), "_version")
@@ -70,19 +123,15 @@ def asof_join(
         .select(*on, "_slot", "_version")
     )
 
-    starts = F.col("_version").getField(right_ts)
-    in_slot = Window.partitionBy(*on, "_slot").orderBy(starts)
     # Joining on a column derived from the slot makes Spark shuffle both sides of the join, and
     # only then may AQE split a skewed partition of the left side.
     slot_start = F.timestamp_seconds(F.col("_slot") * slot_seconds)
     candidates = (
         versions.unionByName(carried)
-        .withColumn("_until", F.lead(starts).over(in_slot))
-        .select(*[F.col(c).alias(f"_on_{c}") for c in on], slot_start.alias("_at"), "_version", "_until")
+        .withColumn("_until", F.lead(starts).over(Window.partitionBy(*on, "_slot").orderBy(starts)))
+        .select(*[F.col(c).alias(f"_on_{c}") for c in on], slot_start.alias("_from"), "_version", "_until")
     )
     match = reduce(and_, [F.col(c) == F.col(f"_on_{c}") for c in on])
-    match = match & (F.col("_probe_at") == F.col("_at")) & (F.col(left_ts) >= starts)
-    match = match & (F.col("_until").isNull() | (F.col(left_ts) < F.col("_until")))
-    probe_at = F.timestamp_seconds(_slot(left_ts, slot_seconds) * slot_seconds)
-    joined = left.withColumn("_probe_at", probe_at).join(candidates, match, how)
-    return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col("_version").getField(c).alias(c) for c in payload])
+    match = match & (F.col("_probe_from") == F.col("_from")) & _in_force(left_ts, starts)
+    probe_from = F.timestamp_seconds(_slot(left_ts, slot_seconds) * slot_seconds)
+    return left.withColumn("_probe_from", probe_from).join(candidates, match, how)

@@ -15,7 +15,7 @@ from tidemart.functions import day_of
 from tidemart.operators import latest_per_key
 from tidemart.plans import marts
 from tidemart.registry import SHOP_TABLES, TableSpec, layer_name
-from tidemart.session import use_utc
+from tidemart.session import prepare
 from tidemart.slices import Slice, resolve_slice
 from tidemart.sources import appendlog, extract, landing, partitions, snapshots
 
@@ -53,12 +53,14 @@ class Pipeline:
         return self.registry[table]
 
 
-def _per_table(cfg: Pipeline, tables: Iterable[str] | None, job: Callable[[TableSpec], object]) -> dict[str, object]:
+def _per_table(
+    spark: SparkSession, cfg: Pipeline, tables: Iterable[str] | None, job: Callable[[TableSpec], object]
+) -> dict[str, object]:
     """Run one independent job per table, a few at a time; one failing table stops no other."""
     names = list(tables if tables is not None else cfg.registry)
     done, failed = {}, []
     with ThreadPoolExecutor(max_workers=max(1, cfg.parallel_tables)) as pool:
-        running = {n: pool.submit(inheritable_thread_target(job), cfg.spec(n)) for n in names}
+        running = {n: pool.submit(inheritable_thread_target(spark)(job), cfg.spec(n)) for n in names}
         for name, future in running.items():
             try:
                 done[name] = future.result()
@@ -81,7 +83,7 @@ def _land_and_log(spark: SparkSession, cfg: Pipeline, rows: DataFrame, spec: Tab
 
 def run_snapshot(spark: SparkSession, cfg: Pipeline, table: str, at: datetime) -> None:
     """Load one whole source table into its append log, through landing files."""
-    use_utc(spark)
+    prepare(spark)
     spec = cfg.spec(table)
     rows = extract.read_snapshot(spark, cfg.source, spec, cfg.readers)
     _land_and_log(spark, cfg, rows, spec, Slice.hour(at), init=True)
@@ -89,21 +91,21 @@ def run_snapshot(spark: SparkSession, cfg: Pipeline, table: str, at: datetime) -
 
 def run_hour(spark: SparkSession, cfg: Pipeline, hour: datetime, tables: Iterable[str] | None = None) -> None:
     """Capture one hour of every table. Re-running an hour replaces it."""
-    use_utc(spark)
+    prepare(spark)
     window = Slice.hour(hour)
 
     def capture(spec: TableSpec) -> None:
         rows = extract.read_window(spark, cfg.source, spec, window)
         _land_and_log(spark, cfg, rows, spec, window, init=False)
 
-    _per_table(cfg, tables, capture)
+    _per_table(spark, cfg, tables, capture)
 
 
 def run_merge(
     spark: SparkSession, cfg: Pipeline, day: date | str, tables: Iterable[str] | None = None
 ) -> dict[str, object]:
     """Bring every main table up to a day: first run builds it from the whole log, later runs merge the day."""
-    use_utc(spark)
+    prepare(spark)
     window = Slice.day(day)
 
     def merge(spec: TableSpec) -> int:
@@ -115,7 +117,7 @@ def run_merge(
         changes = latest_per_key(log, spec.keys, spec.audit)
         return snapshots.merge_snapshot(spark, path, changes, spec.keys, spec.audit, cfg.buckets)
 
-    return _per_table(cfg, tables, merge)
+    return _per_table(spark, cfg, tables, merge)
 
 
 def run_gold(
@@ -131,7 +133,7 @@ def run_gold(
 
     The log of items is the table ``order_items``, that of products ``products``.
     """
-    use_utc(spark)
+    prepare(spark)
     today = today or datetime.now(timezone.utc).date()
     built: dict[str, Slice] = {}
 
@@ -145,7 +147,9 @@ def run_gold(
             since=since,
         )
         only = window.date if clear_empty and window.kind == "day" else None
-        partitions.overwrite_partitions(build(window), path, day, clear_empty=only, whole_table=full_refresh)
+        partitions.overwrite_partitions(
+            build(window), path, day, clear_empty=only, whole_table=full_refresh, one_day=window.kind == "day"
+        )
         built[model] = window
 
     def log(table: str, window: Slice) -> DataFrame:
@@ -162,7 +166,7 @@ def run_gold(
         ("product_dimension", cfg.dimension_since, lambda w: marts.product_dimension(log("products", w), w), changed),
     ]
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        for future in [pool.submit(inheritable_thread_target(refresh), *step) for step in steps]:
+        for future in [pool.submit(inheritable_thread_target(spark)(refresh), *step) for step in steps]:
             future.result()
     refresh("sales_report", cfg.report_since, report, F.col("sales_date"))
     return built

@@ -21,13 +21,17 @@ def build_session(app: str = "tidemart", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return use_utc(builder.getOrCreate())
+    return prepare(builder.getOrCreate())
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone: a day is a UTC day, whoever built the session."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings needed on any session, whoever built it: UTC days, and folder listings in as many
+    tasks as the cluster can run at once instead of one task per folder."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.conf.get(listing) == "10000":  # Spark's default
+        spark.conf.set(listing, str(min(10_000, 2 * spark.sparkContext.defaultParallelism)))
     return spark
 
 

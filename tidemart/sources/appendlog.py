@@ -1,8 +1,10 @@
-"""The append log of full row images ("delta"): Parquet, one folder per slice, split by audit day."""
+"""The append log of full row images ("delta"): Parquet, one folder per slice, split by audit time."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructType
 
@@ -10,12 +12,14 @@ from tidemart.functions import day_of
 from tidemart.slices import Slice
 from tidemart.sources import storage
 
-LOG_COLUMNS = ("slice", "p_date")
+# Folder columns: the slice, and the first day its folder covers. A folder covers one day in a
+# slice of one day and one month in any other, so a snapshot over years stays at a few folders.
+SLICE, FROM = "slice", "p_from"
 
 
 def log_schema(schema: StructType) -> StructType:
     """Row schema plus the two folder columns."""
-    return StructType(schema.fields).add("slice", StringType()).add("p_date", DateType())
+    return StructType(schema.fields).add(SLICE, StringType()).add(FROM, DateType())
 
 
 def recorded_schema(spark: SparkSession, path: str) -> StructType:
@@ -32,9 +36,11 @@ def append_delta(
     """Add one slice to the log.
 
     ``replace_slice`` swaps the slice's folder, so a re-run changes nothing; ``append`` keeps
-    what is there and a re-run duplicates rows. All slices must share one schema. Rows are
-    gathered by day before the write unless the slice lies within one day, so a snapshot over
-    years does not leave one file per task and day; AQE splits the days that are large.
+    what is there and a re-run duplicates rows. All slices must share one schema.
+
+    A slice of one day is written as it comes. Any other is gathered by month first, or every
+    task would write a file per month; AQE splits the months that are large. Files are sorted
+    by audit time, so a scan for one day skips most pages of a month.
     """
     if mode not in ("replace_slice", "append"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -45,18 +51,28 @@ def append_delta(
     else:
         storage.write_schema(spark, f"{path}/_schema.json", df.schema)
     name = label.label() if isinstance(label, Slice) else label
-    dated = df.withColumn("p_date", day_of(audit))
-    if not one_day:
-        dated = dated.hint("rebalance", "p_date")
-    writer = dated.write.mode("overwrite" if mode == "replace_slice" else "append")
+    if one_day:
+        rows = df.withColumn(FROM, day_of(audit))
+    else:
+        rows = df.withColumn(FROM, F.trunc(day_of(audit), "MM")).hint("rebalance", FROM)
+        rows = rows.sortWithinPartitions(FROM, audit)
+    writer = rows.write.mode("overwrite" if mode == "replace_slice" else "append")
     # Static on purpose: an empty re-run must empty the slice.
-    writer.option("partitionOverwriteMode", "static").partitionBy("p_date").parquet(f"{path}/slice={name}")
+    writer.option("partitionOverwriteMode", "static").partitionBy(FROM).parquet(f"{path}/{SLICE}={name}")
+
+
+def _folders(window: Slice) -> Column:
+    """The folders that can hold rows of the slice."""
+    month: date = window.date.replace(day=1)
+    if window.kind == "since":
+        return F.col(FROM) >= F.lit(month)
+    return F.col(FROM).isin(window.date, month)
 
 
 def read_delta(spark: SparkSession, path: str, window: Slice | None = None, audit: str | None = None) -> DataFrame:
-    """Rows of the log, of one slice where given; a slice also prunes the day folders."""
+    """Rows of the log, of one time slice where given; the time slice also prunes folders."""
     schema = recorded_schema(spark, path)
     log = spark.read.schema(log_schema(schema)).parquet(path)
     if window is not None:
-        log = log.filter(window.predicate(audit, partition="p_date"))
+        log = log.filter(_folders(window) & window.predicate(audit))
     return log.select(*[F.col(f"`{c}`") for c in schema.names])

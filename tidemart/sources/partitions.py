@@ -19,32 +19,47 @@ def overwrite_partitions(
     date_expr: Column,
     clear_empty: date | None = None,
     whole_table: bool = False,
+    one_day: bool = False,
 ) -> None:
     """Replace the days present in ``df`` and leave all others alone.
 
     A day for which ``df`` has no rows keeps its old rows; with ``clear_empty`` (the one day
     ``df`` was built for) that day is replaced even when empty. ``whole_table`` replaces the
-    table. Rows are gathered by day first, so a rebuild of many days does not leave one file
-    per task and day; AQE splits the days that are large.
+    table.
+
+    Rows are gathered by day before the write, or every task would write a file per day. Many
+    days are ranged by (day, row hash): neighbouring small days share a task and a large day is
+    cut over several. A single day is sized by AQE instead.
     """
+    dated = df.withColumn(PARTITION, date_expr)
     if clear_empty is not None:
-        day = df.filter(date_expr == F.lit(clear_empty)).hint("rebalance")
+        day = dated.filter(F.col(PARTITION) == F.lit(clear_empty)).hint("rebalance", PARTITION).drop(PARTITION)
         target = f"{path}/{PARTITION}={clear_empty.isoformat()}"
         day.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
         return
-    dated = df.withColumn(PARTITION, date_expr).hint("rebalance", PARTITION)
+    if one_day:
+        arranged = dated.hint("rebalance", PARTITION)
+    else:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        arranged = dated.repartitionByRange(tasks, F.col(PARTITION), spread)
     mode = "static" if whole_table else "dynamic"
-    dated.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PARTITION).parquet(path)
+    arranged.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PARTITION).parquet(path)
 
 
 def read_partitions(
     spark: SparkSession, path: str, window: Slice | None = None, audit: str | None = None
 ) -> DataFrame:
     """The table without its partition column; a slice prunes the day folders and the rows."""
-    table = spark.read.parquet(path).withColumn(PARTITION, F.col(PARTITION).cast("date"))
+    day_folder = None if window is None or window.kind == "since" else f"{path}/{PARTITION}={window.date.isoformat()}"
+    if day_folder and storage.exists(spark, day_folder):
+        # One day: go straight to its folder instead of listing all of them.
+        table = spark.read.option("basePath", path).parquet(day_folder)
+    else:
+        table = spark.read.parquet(path)
     if window is not None:
-        keep = window.predicate(audit, partition=PARTITION) if audit else _days(window)
-        table = table.filter(keep)
+        table = table.withColumn(PARTITION, F.col(PARTITION).cast("date"))
+        table = table.filter(window.predicate(audit, partition=PARTITION) if audit else _days(window))
     return table.drop(PARTITION)
 
 
