@@ -1,0 +1,42 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+import os
+
+import duckdb
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+SF = "/root/testdata/sf0.001"
+QUERIES, ORACLES = queries(), oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in os.listdir(SF):
+        connection.execute(f"create view {name.removesuffix('.parquet')} as select * from '{SF}/{name}'")
+    yield connection
+    connection.close()
+
+
+def canonical(rows, columns):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(repr(row[i]) for i in order) for row in rows)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_sql(spark, duck, name):
+    result = QUERIES[name](spark, SF)
+    expected = duck.execute(ORACLES[name])
+    columns = [d[0] for d in expected.description]
+    assert sorted(result.columns) == sorted(columns)
+    assert canonical(result.collect(), result.columns) == canonical(expected.fetchall(), columns)
+
+
+def test_entry(spark):
+    assert entry(spark).count() == 3852
