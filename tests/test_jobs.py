@@ -1,11 +1,11 @@
-from datetime import date, datetime, timedelta
+import os
+from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from tidemart.operators import latest_per_key
-from tidemart.plans import Pipeline, jobs, run_gold, run_hour, run_merge, run_snapshot, sales_report
+from tidemart.plans import Pipeline, open_table, publish, run_gold, run_hour, run_merge, run_snapshot, sales_report
 from tidemart.plans.marts import order_items_fact, product_dimension
 from tidemart.registry import load_registry
 from tidemart.slices import Slice
@@ -155,3 +155,57 @@ def test_stored_gold_equals_direct_build(spark, shop):
         order_items_fact(shop.source.scan(spark, "order_items")), product_dimension(shop.source.scan(spark, "products"))
     )
     assert rows_of(read_partitions(spark, shop.gold("sales_report"))) == rows_of(direct)
+
+
+def test_old_versions_are_dropped(spark, shop):
+    run_snapshot(spark, shop, "orders", t(3, 7))
+    for _ in range(4):
+        run_merge(spark, shop, "2024-01-03", ["orders"])
+    assert sorted(os.listdir(shop.main("orders"))) == ["v=000003.buckets=4", "v=000004.buckets=4"]
+    assert read_current(spark, shop.main("orders"), ["order_id"]).count() == 4
+
+
+def test_a_failed_first_build_does_not_count(spark, shop):
+    for table in ("order_items", "products"):
+        run_snapshot(spark, shop, table, t(5))
+    os.makedirs(f"{shop.gold('order_items_fact')}/_temporary")
+    with pytest.raises(ValueError, match="first run"):
+        run_gold(spark, shop, today=date(2024, 1, 5))
+
+
+def test_tables_by_name(spark, shop):
+    for table in ("order_items", "products"):
+        run_snapshot(spark, shop, table, t(5))
+    run_merge(spark, shop, "2024-01-04", ["order_items"])
+    run_gold(spark, shop, full_refresh=True)
+    counts = {
+        name: open_table(spark, shop, name).count()
+        for name in ("delta_order_items", "main_order_items", "order_items_fact", "product_dimension", "sales_report")
+    }
+    assert counts == {
+        "delta_order_items": 3,
+        "main_order_items": 3,
+        "order_items_fact": 3,
+        "product_dimension": 2,
+        "sales_report": 3,
+    }
+    day = Slice.day("2024-01-04")
+    sliced = ("delta_order_items", "order_items_fact", "sales_report")
+    assert [open_table(spark, shop, n, day).count() for n in sliced] == [1, 1, 1]
+    for bad in ("main_products", "delta_nothing", "nothing"):
+        with pytest.raises(ValueError):
+            open_table(spark, shop, bad)
+    with pytest.raises(ValueError):
+        open_table(spark, shop, "main_order_items", day)
+    views = publish(spark, shop)
+    assert views == [
+        "bronze.delta_products",
+        "bronze.delta_order_items",
+        "bronze.main_order_items",
+        "gold.order_items_fact",
+        "gold.product_dimension",
+        "gold.sales_report",
+    ]
+    total = spark.sql("select sum(total_sales) from gold.sales_report where sales_date = '2024-01-03'").first()[0]
+    assert total == 20.0
+    assert spark.sql("select * from bronze.main_order_items").columns == open_table(spark, shop, "main_order_items").columns

@@ -3,8 +3,10 @@
 from tidemart.operators import asof_join, latest_per_key, upsert
 from tidemart.plans import (
     Pipeline,
+    open_table,
     order_items_fact,
     product_dimension,
+    publish,
     qualifying_sales,
     run_gold,
     run_hour,
@@ -25,8 +27,10 @@ __all__ = [
     "build_session",
     "latest_per_key",
     "load_registry",
+    "open_table",
     "order_items_fact",
     "product_dimension",
+    "publish",
     "qualifying_sales",
     "resolve_slice",
     "run_gold",

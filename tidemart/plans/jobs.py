@@ -19,10 +19,16 @@ from tidemart.session import prepare
 from tidemart.slices import Slice, resolve_slice
 from tidemart.sources import appendlog, extract, landing, partitions, snapshots
 
+GOLD_MODELS = ("order_items_fact", "product_dimension", "sales_report")
+
 
 @dataclass(frozen=True)
 class Pipeline:
-    """Where everything lives. ``root`` is any folder all executors reach."""
+    """Where everything lives and how it is sized. ``root`` is any folder all executors reach.
+
+    ``buckets`` is the number of files of a main table: choose it so that one bucket is a few
+    hundred megabytes. ``keep_versions`` of a main table stay on disk for running readers.
+    """
 
     root: str
     source: extract.Source
@@ -30,6 +36,7 @@ class Pipeline:
     target: str = "dev"
     registry: Mapping[str, TableSpec] = field(default_factory=lambda: SHOP_TABLES)
     buckets: int = 8
+    keep_versions: int = 2
     max_records_per_file: int = 100_000
     readers: int = 8
     parallel_tables: int = 3
@@ -115,7 +122,9 @@ def run_merge(
             return snapshots.write_snapshot(latest_per_key(log, spec.keys, spec.audit), path, spec.keys, cfg.buckets)
         log = appendlog.read_delta(spark, cfg.delta(spec.name), window, spec.audit)
         changes = latest_per_key(log, spec.keys, spec.audit)
-        return snapshots.merge_snapshot(spark, path, changes, spec.keys, spec.audit, cfg.buckets)
+        version = snapshots.merge_snapshot(spark, path, changes, spec.keys, spec.audit, cfg.buckets)
+        snapshots.expire_snapshots(spark, path, cfg.keep_versions)
+        return version
 
     return _per_table(spark, cfg, tables, merge)
 
@@ -139,14 +148,15 @@ def run_gold(
 
     def refresh(model: str, since: str, build: Callable[[Slice], DataFrame], day: Column) -> None:
         path = cfg.gold(model)
+        exists = partitions.table_exists(spark, path)
         window = resolve_slice(
             full_refresh=full_refresh,
             execution_date=execution_date,
-            target_exists=partitions.table_exists(spark, path),
+            target_exists=exists,
             today=today,
             since=since,
         )
-        only = window.date if clear_empty and window.kind == "day" else None
+        only = window.date if clear_empty and exists and window.kind == "day" else None
         partitions.overwrite_partitions(
             build(window), path, day, clear_empty=only, whole_table=full_refresh, one_day=window.kind == "day"
         )

@@ -82,6 +82,11 @@ def current_buckets(spark: SparkSession, path: str) -> int | None:
     return current[1] if current else None
 
 
+def current_folder(spark: SparkSession, path: str) -> str | None:
+    current = _current(spark, path)
+    return current[2] if current else None
+
+
 def merge_snapshot(
     spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], audit: str, buckets: int = 8
 ) -> int:

@@ -51,6 +51,7 @@ def stream_upsert(
     checkpoint: str,
     buckets: int = 8,
     max_files: int | None = None,
+    keep_versions: int = 2,
 ) -> StreamingQuery:
     """Merge new rows of the append log into the main table.
 
@@ -66,6 +67,7 @@ def stream_upsert(
     def merge(batch: DataFrame, batch_id: int) -> None:
         changes = latest_per_key(batch.select(*schema.names), spec.keys, spec.audit)
         snapshots.merge_snapshot(batch.sparkSession, main, changes, spec.keys, spec.audit, buckets)
+        snapshots.expire_snapshots(batch.sparkSession, main, keep_versions)
 
     return (
         reader.parquet(delta)
