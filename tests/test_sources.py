@@ -65,6 +65,62 @@ def test_split_column_choice():
         "numPartitions": "8",
     }
     assert split_options("at", T0, T0 + timedelta(hours=1), 2)["lowerBound"] == "2024-01-02 05:00:00"
+    assert split_options("on", date(2024, 1, 2), date(2024, 1, 3), 2)["upperBound"] == "2024-01-03"
+    assert split_options("id", Decimal("1E+3"), Decimal("2000.5"), 2)["lowerBound"] == "1000"
+
+
+class Reader:
+    """Stands in for a session's reader and records how a database would be asked."""
+
+    def __init__(self, schema=None, first=None):
+        self.schema, self._first, self.calls = schema, first, []
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, name):
+        self.calls.append({"format": name})
+        return self
+
+    def options(self, **options):
+        self.calls[-1].update(options)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return self._first
+
+    def jdbc(self, url, table, **how):
+        self.calls.append({"url": url, "table": table, **how})
+        return self
+
+
+def test_jdbc_snapshot_is_split_by_key():
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampType())])
+    reader, source = Reader(schema, (1, 900)), JdbcSource("jdbc:x", {"user": "u"}, 500)
+    read_snapshot(reader, source, TableSpec("orders", ("id",), "at"), 4)
+    probe, bounds, scan = reader.calls
+    assert bounds["query"] == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM orders"
+    assert scan["dbtable"] == "orders" and scan["fetchsize"] == "500"
+    assert (scan["partitionColumn"], scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == ("id", "1", "900", "4")
+    empty = Reader(schema, (None, None))
+    read_snapshot(empty, source, TableSpec("orders", ("id",), "at"), 4)
+    assert len(empty.calls) == 2
+
+
+def test_jdbc_window_runs_in_the_database():
+    reader = Reader()
+    read_window(reader, JdbcSource("jdbc:x", {"user": "u"}), TableSpec("orders", ("id",), "at"), Slice.hour(T0), 2)
+    (call,) = reader.calls
+    assert call["url"] == "jdbc:x" and call["table"] == "orders"
+    assert call["properties"] == {"user": "u", "fetchsize": "10000"}
+    assert call["predicates"] == [
+        "at >= '2024-01-02 05:00:00' AND at < '2024-01-02 05:30:00'",
+        "at >= '2024-01-02 05:30:00' AND at < '2024-01-02 06:00:00'",
+    ]
 
 
 def test_jdbc_options_bound_the_fetch():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -60,12 +60,18 @@ def split_column(schema: T.StructType, spec: TableSpec) -> str | None:
 
 
 def split_options(column: str, lo, hi, num_partitions: int) -> dict[str, str]:
-    """JDBC split options; the first split also takes rows where the column is NULL."""
-    text = [v.isoformat(sep=" ") if isinstance(v, datetime) else str(v) for v in (lo, hi)]
+    """JDBC split options. The bounds only set the stride: the first split also takes smaller
+    values and NULL, the last one larger values."""
+
+    def text(value) -> str:
+        if isinstance(value, datetime):
+            return value.isoformat(sep=" ")
+        return value.isoformat() if isinstance(value, date) else str(int(value))
+
     return {
         "partitionColumn": column,
-        "lowerBound": text[0],
-        "upperBound": text[1],
+        "lowerBound": text(lo),
+        "upperBound": text(hi),
         "numPartitions": str(num_partitions),
     }
 
