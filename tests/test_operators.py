@@ -124,6 +124,43 @@ def test_upsert_is_idempotent_and_order_free(spark):
     assert rows_of(forward) == rows_of(backward)
 
 
+VERSION = st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 9))
+
+
+def rank(row):
+    """Latest first: audit descending with NULL last, then the payload ascending."""
+    return (row[1] is None, -(row[1] or 0), row[2])
+
+
+def latest_by_hand(rows):
+    best = {}
+    for row in rows:
+        best[row[0]] = min(best.get(row[0], row), row, key=rank)
+    return list(best.values())
+
+
+def merge_by_hand(main, changes):
+    out = list(main)
+    for row in changes:
+        at_key = [i for i, r in enumerate(out) if row[0] is not None and r[0] == row[0]]
+        if not at_key:
+            out.append(row)
+        elif row[1] is not None and out[at_key[0]][1] is not None and out[at_key[0]][1] <= row[1]:
+            out[at_key[0]] = row
+    return sorted(out, key=repr)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(older=st.lists(VERSION, max_size=20), newer=st.lists(VERSION, max_size=20))
+def test_latest_and_merge_against_brute_force(spark, older, newer):
+    kind = "id int, ts int, v int"
+    frames = [spark.createDataFrame(rows, kind) for rows in (older, newer)]
+    by_hand = [latest_by_hand(rows) for rows in (older, newer)]
+    images = [latest_per_key(df, ["id"], "ts") for df in frames]
+    assert [rows_of(df) for df in images] == [sorted(rows, key=repr) for rows in by_hand]
+    assert rows_of(upsert(*images, ["id"], "ts")) == merge_by_hand(*by_hand)
+
+
 # asof_join
 
 LEFT, RIGHT = "n long, k long, ts timestamp", "k long, vts timestamp, v string"

@@ -120,7 +120,7 @@ ORACLES: dict[str, str] = {
             _census("products", "pd", "id", "updated_at"),
         ]
     ),
-    "latest_per_key_feed": _LAST_EVENT,
+    "latest_per_key": _LAST_EVENT,
     "latest_per_key_items": """
         select * from lineitem qualify row_number() over (
             partition by l_orderkey, l_linenumber
@@ -137,10 +137,10 @@ ORACLES: dict[str, str] = {
     "order_items_fact_day": f"with {_FACT} select * from fact where cast(updated_at as date) = date '1998-06-16'",
     "product_dimension_full": f"with {_DIM} select * from dim",
     "product_dimension_day": f"with {_DIM} select * from dim where cast(updated_at as date) = date '1998-05-02'",
-    "overwrite_partitions_days": """
+    "overwrite_partitions": """
         select event_id, ts, user_id, event_type,
                case when ts >= timestamp '2024-01-16' then value * 2 else value end as value, props from events""",
-    "qualifying_sales_full": f"with {_SALES} select * from sales",
+    "qualifying_sales": f"with {_SALES} select * from sales",
     "asof_left_join": _ASOF,
     "asof_left_join_slots": _ASOF,
     "signed_sales_by_status": f"with {_FACT} select status, {_TOTAL} from fact group by status",
@@ -160,6 +160,6 @@ ORACLES: dict[str, str] = {
         )
         {_REPORT.format("(select * from ranked where pick = 1)")}""",
     "gold_refresh": f"with {_SALES} {_REPORT.format('matched')}",
-    "landing_stream_load": "select * from events",
-    "stream_upsert_state": _LAST_EVENT,
+    "landing_stream": "select * from events",
+    "stream_upsert": _LAST_EVENT,
 }

@@ -51,10 +51,12 @@ CUT = "1996-01-01"
 
 
 def query(build: Query) -> Query:
+    """Register a query under its function's name; a last underscore only tells it from an import."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(prepare(spark), sf_dir)
 
-    QUERIES[build.__name__] = run
+    QUERIES[build.__name__.rstrip("_")] = run
     return run
 
 
@@ -76,7 +78,7 @@ def slice_path_labels(spark, sf):
     events = views.table(spark, sf, "events")
     return events.groupBy(
         slice_path("ts").alias("hour_path"),
-        hour_end("ts").alias("hour_end"),
+        hour_end("ts").cast("timestamp_ntz").alias("hour_end"),
         iso_day(previous_day(day_of("ts"))).alias("previous_day"),
     ).agg(F.count("*").alias("n"))
 
@@ -202,7 +204,7 @@ def registry_fanout(spark, sf):
 
 
 @query
-def latest_per_key_feed(spark, sf):
+def latest_per_key_(spark, sf):
     return latest_per_key(views.table(spark, sf, "events"), ["user_id"], "ts")
 
 
@@ -281,7 +283,7 @@ def product_dimension_day(spark, sf):
 
 
 @query
-def overwrite_partitions_days(spark, sf):
+def overwrite_partitions_(spark, sf):
     """All days written, then the second half of them rebuilt with doubled values."""
     path = scratch(spark, "days")
     events, day = views.table(spark, sf, "events"), day_of("ts")
@@ -292,7 +294,7 @@ def overwrite_partitions_days(spark, sf):
 
 
 @query
-def qualifying_sales_full(spark, sf):
+def qualifying_sales_(spark, sf):
     return qualifying_sales(views.fact(spark, sf))
 
 
@@ -365,7 +367,7 @@ def gold_refresh(spark, sf):
 
 
 @query
-def landing_stream_load(spark, sf):
+def landing_stream_(spark, sf):
     """Two landing slices holding all events, loaded by two runs; the second run sees only the second slice."""
     root = scratch(spark, "stream")
     events, cut = views.table(spark, sf, "events"), Slice.since("2024-01-16")
@@ -380,7 +382,7 @@ def landing_stream_load(spark, sf):
 
 
 @query
-def stream_upsert_state(spark, sf):
+def stream_upsert_(spark, sf):
     """The log of all events in two slices, merged by two runs into the latest event of each user."""
     root = scratch(spark, "stream")
     events, cut = views.table(spark, sf, "events"), Slice.since("2024-01-16")

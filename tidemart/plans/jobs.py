@@ -28,6 +28,7 @@ class Pipeline:
 
     ``buckets`` is the number of files of a main table: choose it so that one bucket is a few
     hundred megabytes. ``keep_versions`` of a main table stay on disk for running readers.
+    ``rebuild_tasks`` write a full gold build; the session's shuffle partitions if not given.
     """
 
     root: str
@@ -40,6 +41,7 @@ class Pipeline:
     max_records_per_file: int = 100_000
     readers: int = 8
     parallel_tables: int = 3
+    rebuild_tasks: int | None = None
     fact_since: str = marts.FACT_SINCE
     dimension_since: str = marts.DIMENSION_SINCE
     report_since: str = marts.REPORT_SINCE
@@ -158,7 +160,13 @@ def run_gold(
         )
         only = window.date if clear_empty and exists and window.kind == "day" else None
         partitions.overwrite_partitions(
-            build(window), path, day, clear_empty=only, whole_table=full_refresh, one_day=window.kind == "day"
+            build(window),
+            path,
+            day,
+            clear_empty=only,
+            whole_table=full_refresh,
+            one_day=window.kind == "day",
+            tasks=cfg.rebuild_tasks,
         )
         built[model] = window
 

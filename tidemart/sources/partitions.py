@@ -20,6 +20,7 @@ def overwrite_partitions(
     clear_empty: date | None = None,
     whole_table: bool = False,
     one_day: bool = False,
+    tasks: int | None = None,
 ) -> None:
     """Replace the days present in ``df`` and leave all others alone.
 
@@ -28,8 +29,9 @@ def overwrite_partitions(
     table.
 
     Rows are gathered by day before the write, or every task would write a file per day. Many
-    days are ranged by (day, row hash): neighbouring small days share a task and a large day is
-    cut over several. A single day is sized by AQE instead.
+    days are ranged by (day, row hash) into ``tasks`` (by default the session's shuffle
+    partitions): neighbouring small days share a task and a large day is cut over several. A
+    single day is sized by AQE instead.
     """
     dated = df.withColumn(PARTITION, date_expr)
     if clear_empty is not None:
@@ -40,7 +42,7 @@ def overwrite_partitions(
     if one_day:
         arranged = dated.hint("rebalance", PARTITION)
     else:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
         arranged = dated.repartitionByRange(tasks, F.col(PARTITION), spread)
     mode = "static" if whole_table else "dynamic"
