@@ -1,11 +1,15 @@
 """The plans the operators must get, at any size."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tests.conftest import plan_of
+from tidemart.functions import day_of
 from tidemart.operators import asof_join, latest_per_key
+from tidemart.sources import append_delta, overwrite_partitions, read_delta, read_partitions
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("Python", "CartesianProduct", "BroadcastNestedLoopJoin")
@@ -99,3 +103,17 @@ def test_hot_key_of_the_latest_image_ships_few_rows(spark):
     latest = latest_per_key(skewed(spark, 200_000), ["k"], "ts")
     assert latest.count() == 1000
     assert latest.filter("k = 7").count() == 1
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="200KB")
+    path = f"{tmp_path}/t"
+    rows = skewed(spark, 300_000).withColumn(
+        "ts", F.when(F.col("id") % 3 == 0, F.timestamp_seconds(F.lit(86400))).otherwise(F.col("ts"))
+    )
+    overwrite_partitions(rows, path, day_of("ts"))
+    append_delta(rows, f"{tmp_path}/d", "init-x", "ts")
+    files = lambda folder: len([f for f in os.listdir(folder) if f.endswith(".parquet")])
+    assert files(f"{path}/p_date=1970-01-02") > 2
+    assert files(f"{tmp_path}/d/slice=init-x/p_from=1970-01-01") > 2
+    assert read_partitions(spark, path).count() == read_delta(spark, f"{tmp_path}/d").count() == 300_000

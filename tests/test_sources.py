@@ -221,18 +221,18 @@ def test_overwrite_replaces_only_present_days(spark, tmp_path):
     d = lambda n: datetime(2024, 1, n, 12)
     first = spark.createDataFrame([(1, d(1), "a"), (2, d(2), "a"), (3, d(3), "a"), (4, None, "a")], LOG)
     overwrite_partitions(first, path, day)
-    overwrite_partitions(spark.createDataFrame([(5, d(2), "b")], LOG), path, day, one_day=True)
+    overwrite_partitions(spark.createDataFrame([(5, d(2), "b")], LOG), path, day)
     state = lambda: sorted((r.id, r.v) for r in read_partitions(spark, path).collect())
     assert state() == [(1, "a"), (3, "a"), (4, "a"), (5, "b")]
     # An empty result leaves the old day ...
-    overwrite_partitions(first.limit(0), path, day, one_day=True)
+    overwrite_partitions(first.limit(0), path, day)
     assert len(state()) == 4
     # ... unless the day is to be cleared.
     overwrite_partitions(first.limit(0), path, day, clear_empty=date(2024, 1, 2))
     assert state() == [(1, "a"), (3, "a"), (4, "a")]
     overwrite_partitions(first.filter("id = 2"), path, day, clear_empty=date(2024, 1, 2))
     assert state() == [(1, "a"), (2, "a"), (3, "a"), (4, "a")]
-    overwrite_partitions(first.filter("id = 3"), path, day, whole_table=True)
+    overwrite_partitions(first.filter("id = 3"), path, day, whole_table=True, tasks=2)
     assert state() == [(3, "a")]
 
 

@@ -77,6 +77,14 @@ _ASOF = f"""
     select s.id, s.product_id, s.created_at, s.updated_at, d.updated_at as version_at, d.brand, d.department, d.category
     from fact s asof left join dim d on s.product_id = d.id and s.created_at >= d.updated_at"""
 
+def _fanout(table: str, key: str, audit: str) -> str:
+    return f"""
+        select '{table}' as table_name,
+               count(*) + count(*) filter (where date_trunc('hour', {audit}) = timestamp '1996-01-02 00:00:00') as n_rows,
+               count(distinct {key}) as n_keys, max({audit}) as last_audit
+        from {table}"""
+
+
 ORACLES: dict[str, str] = {
     "snapshot_scan": "select * from orders",
     "hourly_window_extract": "select * from events where date_trunc('hour', ts) = timestamp '2024-01-02 05:00:00'",
@@ -120,6 +128,13 @@ ORACLES: dict[str, str] = {
             _census("products", "pd", "id", "updated_at"),
         ]
     ),
+    "hourly_cdc_fanout": "\nunion all\n".join(
+        [
+            _fanout("orders", "o_orderkey", "o_orderdate"),
+            _fanout("lineitem", "(l_orderkey, l_linenumber)", "l_shipdate"),
+            _fanout("events", "event_id", "ts"),
+        ]
+    ),
     "latest_per_key": _LAST_EVENT,
     "latest_per_key_items": """
         select * from lineitem qualify row_number() over (

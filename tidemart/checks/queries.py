@@ -14,6 +14,7 @@ from tidemart.functions import day_of, hour_end, iso_day, previous_day, signed_t
 from tidemart.operators import asof_join, latest_per_key, upsert
 from tidemart.plans import (
     Pipeline,
+    open_table,
     order_items_fact,
     product_dimension,
     qualifying_sales,
@@ -177,29 +178,42 @@ def hourly_cdc_cycle(spark, sf):
     return read_delta(spark, cfg.delta("events"))
 
 
+def _census(name: str, df: DataFrame, spec: TableSpec) -> DataFrame:
+    # Two plain aggregations instead of a distinct count: rows per key, then totals.
+    per_key = df.groupBy(*spec.keys).agg(F.count("*").alias("n"), F.max(spec.audit).alias("last"))
+    return per_key.agg(
+        F.lit(name).alias("table_name"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.count("*").alias("n_keys"),
+        F.max("last").alias("last_audit"),
+    )
+
+
 @query
 def registry_fanout(spark, sf):
-    def census(name: str, df: DataFrame, spec: TableSpec) -> DataFrame:
-        # Two plain aggregations instead of a distinct count: rows per key, then totals.
-        per_key = df.groupBy(*spec.keys).agg(F.count("*").alias("n"), F.max(spec.audit).alias("last"))
-        return per_key.agg(
-            F.lit(name).alias("table_name"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-            F.count("*").alias("n_keys"),
-            F.max("last").alias("last_audit"),
-        )
-
+    """Rows and keys of every table of the registry."""
     parts = [
-        census("orders", views.table(spark, sf, "orders"), views.ORDERS),
-        census("lineitem", views.table(spark, sf, "lineitem"), views.LINEITEM),
-        census("events", views.table(spark, sf, "events"), views.EVENTS),
-        census("feed", views.table(spark, sf, "events"), views.FEED),
-        census("order_items", views.order_items_log(spark, sf), views.ORDER_ITEMS),
-        census("products", views.products_log(spark, sf), views.PRODUCTS),
+        _census("orders", views.table(spark, sf, "orders"), views.ORDERS),
+        _census("lineitem", views.table(spark, sf, "lineitem"), views.LINEITEM),
+        _census("events", views.table(spark, sf, "events"), views.EVENTS),
+        _census("feed", views.table(spark, sf, "events"), views.FEED),
+        _census("order_items", views.order_items_log(spark, sf), views.ORDER_ITEMS),
+        _census("products", views.products_log(spark, sf), views.PRODUCTS),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def hourly_cdc_fanout(spark, sf):
+    """Snapshots of three tables, then one captured hour of all of them; what their logs hold."""
+    specs = (views.ORDERS, views.LINEITEM, views.EVENTS)
+    cfg = Pipeline(scratch(spark, "fanout"), views.source(sf), registry={s.name: s for s in specs})
+    for spec in specs:
+        run_snapshot(spark, cfg, spec.name, HOURS[0])
+    run_hour(spark, cfg, datetime(1996, 1, 2))
+    return reduce(DataFrame.unionByName, [_census(s.name, open_table(spark, cfg, f"delta_{s.name}"), s) for s in specs])
+
+
 # Latest images and the merge
 
 
@@ -347,7 +361,7 @@ def sales_report_per_item(spark, sf):
 
 @query
 def gold_refresh(spark, sf):
-    """Logs written, all gold tables built in full, then one day rebuilt; the stored report."""
+    """All gold tables built in full without one day, then that day logged and built; the stored report."""
     cfg = Pipeline(
         scratch(spark, "gold"),
         views.source(sf),
@@ -356,11 +370,17 @@ def gold_refresh(spark, sf):
         dimension_since="1990-01-01",
         report_since="1990-01-01",
     )
-    append_delta(views.order_items_log(spark, sf), cfg.delta("order_items"), "init-2000-01-01-00", "updated_at")
+    items, day = views.order_items_log(spark, sf), Slice.day(SOLD_DAY)
     append_delta(views.products_log(spark, sf), cfg.delta("products"), "init-2000-01-01-00", "updated_at")
+    append_delta(
+        items.filter(~day.predicate("updated_at")), cfg.delta("order_items"), "init-2000-01-01-00", "updated_at"
+    )
     run_gold(spark, cfg, full_refresh=True)
+    append_delta(
+        items.filter(day.predicate("updated_at")), cfg.delta("order_items"), day, "updated_at", one_day=True
+    )
     run_gold(spark, cfg, execution_date=SOLD_DAY)
-    return read_partitions(spark, cfg.gold("sales_report"))
+    return open_table(spark, cfg, "sales_report")
 
 
 # Micro-batches

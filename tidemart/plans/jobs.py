@@ -17,8 +17,10 @@ from tidemart.plans import marts
 from tidemart.registry import SHOP_TABLES, TableSpec, layer_name
 from tidemart.session import prepare
 from tidemart.slices import Slice, resolve_slice
-from tidemart.sources import appendlog, extract, landing, partitions, snapshots
+from tidemart.sources import appendlog, extract, landing, partitions, snapshots, storage
 
+# Below this a full gold build is bound by its count of day files, not by their bytes.
+SMALL_TABLE_BYTES = 1024**3
 GOLD_MODELS = ("order_items_fact", "product_dimension", "sales_report")
 
 
@@ -28,7 +30,6 @@ class Pipeline:
 
     ``buckets`` is the number of files of a main table: choose it so that one bucket is a few
     hundred megabytes. ``keep_versions`` of a main table stay on disk for running readers.
-    ``rebuild_tasks`` write a full gold build; the session's shuffle partitions if not given.
     """
 
     root: str
@@ -41,7 +42,6 @@ class Pipeline:
     max_records_per_file: int = 100_000
     readers: int = 8
     parallel_tables: int = 3
-    rebuild_tasks: int | None = None
     fact_since: str = marts.FACT_SINCE
     dimension_since: str = marts.DIMENSION_SINCE
     report_since: str = marts.REPORT_SINCE
@@ -148,7 +148,7 @@ def run_gold(
     today = today or datetime.now(timezone.utc).date()
     built: dict[str, Slice] = {}
 
-    def refresh(model: str, since: str, build: Callable[[Slice], DataFrame], day: Column) -> None:
+    def refresh(model: str, since: str, build: Callable[[Slice], DataFrame], day: Column, source: str) -> None:
         path = cfg.gold(model)
         exists = partitions.table_exists(spark, path)
         window = resolve_slice(
@@ -159,14 +159,10 @@ def run_gold(
             since=since,
         )
         only = window.date if clear_empty and exists and window.kind == "day" else None
+        many_small = window.kind == "since" and storage.size(spark, source) < SMALL_TABLE_BYTES
+        tasks = spark.sparkContext.defaultParallelism if many_small else None
         partitions.overwrite_partitions(
-            build(window),
-            path,
-            day,
-            clear_empty=only,
-            whole_table=full_refresh,
-            one_day=window.kind == "day",
-            tasks=cfg.rebuild_tasks,
+            build(window), path, day, clear_empty=only, whole_table=full_refresh, tasks=tasks
         )
         built[model] = window
 
@@ -179,12 +175,25 @@ def run_gold(
         return marts.sales_report(fact, dimension, window, grain)
 
     changed = day_of("updated_at")
+    items, products = cfg.delta("order_items"), cfg.delta("products")
     steps = [
-        ("order_items_fact", cfg.fact_since, lambda w: marts.order_items_fact(log("order_items", w), w), changed),
-        ("product_dimension", cfg.dimension_since, lambda w: marts.product_dimension(log("products", w), w), changed),
+        (
+            "order_items_fact",
+            cfg.fact_since,
+            lambda w: marts.order_items_fact(log("order_items", w), w),
+            changed,
+            items,
+        ),
+        (
+            "product_dimension",
+            cfg.dimension_since,
+            lambda w: marts.product_dimension(log("products", w), w),
+            changed,
+            products,
+        ),
     ]
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
         for future in [pool.submit(inheritable_thread_target(spark)(refresh), *step) for step in steps]:
             future.result()
-    refresh("sales_report", cfg.report_since, report, F.col("sales_date"))
+    refresh("sales_report", cfg.report_since, report, F.col("sales_date"), cfg.gold("order_items_fact"))
     return built

@@ -19,7 +19,6 @@ def overwrite_partitions(
     date_expr: Column,
     clear_empty: date | None = None,
     whole_table: bool = False,
-    one_day: bool = False,
     tasks: int | None = None,
 ) -> None:
     """Replace the days present in ``df`` and leave all others alone.
@@ -28,10 +27,9 @@ def overwrite_partitions(
     ``df`` was built for) that day is replaced even when empty. ``whole_table`` replaces the
     table.
 
-    Rows are gathered by day before the write, or every task would write a file per day. Many
-    days are ranged by (day, row hash) into ``tasks`` (by default the session's shuffle
-    partitions): neighbouring small days share a task and a large day is cut over several. A
-    single day is sized by AQE instead.
+    Rows are gathered by day before the write, or every task would write a file per day. AQE
+    then sizes the write: it cuts large days over several tasks and packs small ones together.
+    For a table known to be small, ``tasks`` spreads its many small files over that many tasks.
     """
     dated = df.withColumn(PARTITION, date_expr)
     if clear_empty is not None:
@@ -39,12 +37,7 @@ def overwrite_partitions(
         target = f"{path}/{PARTITION}={clear_empty.isoformat()}"
         day.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
         return
-    if one_day:
-        arranged = dated.hint("rebalance", PARTITION)
-    else:
-        tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        arranged = dated.repartitionByRange(tasks, F.col(PARTITION), spread)
+    arranged = dated.repartition(tasks, PARTITION) if tasks else dated.hint("rebalance", PARTITION)
     mode = "static" if whole_table else "dynamic"
     arranged.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PARTITION).parquet(path)
 

@@ -24,6 +24,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path."""
+    fs, hadoop_path = _open(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _open(spark, path)
     fs.delete(hadoop_path, True)
