@@ -79,6 +79,12 @@ def test_sums_are_exact(spark):
     assert sales_report(fact, dim).first().total_sales == 100.0
 
 
+def test_decimal_prices_are_not_rounded(spark):
+    fact = spark.createDataFrame([item(i, d(5), delivered=d(5), price=1.0) for i in range(10)], FACT)
+    fact = fact.withColumn("sale_price", F.lit("0.000001").cast("decimal(38,9)"))
+    assert sales_report(fact, spark.createDataFrame([], DIM)).first().total_sales == 0.00001
+
+
 def test_days_add_up_to_the_full_refresh(spark):
     """Holds for rows that were created before they changed."""
     log = views.order_items_log(spark, SF).filter("created_at <= updated_at").cache()

@@ -1,4 +1,4 @@
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 
@@ -28,6 +28,15 @@ def test_day_and_since(spark):
     assert ids(Slice.since(date(2024, 1, 2))) == [1, 2, 3]
 
 
+def test_zones_and_date_columns(spark):
+    east = timezone(timedelta(hours=7))
+    assert Slice.hour(datetime(2024, 1, 2, 3, 30, tzinfo=east)) == Slice.hour(datetime(2024, 1, 1, 20))
+    assert Slice.day(datetime(2024, 1, 2, 3, tzinfo=east)) == Slice.day("2024-01-01")
+    days = spark.createDataFrame([(date(2024, 1, n),) for n in (1, 2, 3)], "d date")
+    assert [r.d.day for r in days.filter(Slice.day("2024-01-02").predicate("d")).collect()] == [2]
+    assert days.filter(Slice.since("2024-01-02").predicate("d")).count() == 2
+
+
 def test_bounds_reach_the_scan(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = plan_of(events.filter(Slice.day("2024-01-02").predicate("ts")))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.checks import views
-from tidemart.functions import day_of, hour_end, iso_day, previous_day, signed_total, slice_path
+from tidemart.functions import day_of, exact, hour_end, iso_day, previous_day, signed_total, slice_path
 from tidemart.operators import asof_join, latest_per_key, upsert
 from tidemart.plans import (
     Pipeline,
@@ -334,7 +334,7 @@ def asof_left_join_slots(spark, sf):
 
 @query
 def signed_sales_by_status(spark, sf):
-    return views.fact(spark, sf).groupBy("status").agg(signed_total("sale_price", "returned_at").alias("total_sales"))
+    return views.fact(spark, sf).groupBy("status").agg(signed_total(exact("sale_price"), "returned_at").alias("total_sales"))
 
 
 @query

@@ -11,7 +11,7 @@ def _col(value: str | Column) -> Column:
 
 
 def exact(price: str | Column) -> Column:
-    """A price as a decimal: float sums depend on row order, decimal sums do not.
+    """A float price as a decimal: float sums depend on row order, decimal sums do not.
 
     Precision 18 keeps the value in one long, so the partial sums stay in codegen.
     """
@@ -20,9 +20,9 @@ def exact(price: str | Column) -> Column:
 
 def signed_amount(price: str | Column, returned_at: str | Column) -> Column:
     """The price, negated once the item was returned."""
-    amount = exact(price)
-    return F.when(_col(returned_at).isNotNull(), -amount).otherwise(amount)
+    return F.when(_col(returned_at).isNotNull(), -_col(price)).otherwise(_col(price))
 
 
 def signed_total(price: str | Column, returned_at: str | Column) -> Column:
+    """The exact sum of signed amounts, as a double. Pass a decimal price, or ``exact(price)``."""
     return F.sum(signed_amount(price, returned_at)).cast("double")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from tidemart.functions import day_of, signed_total
+from tidemart.functions import day_of, exact, signed_total
 from tidemart.operators import asof_join, latest_per_key
 from tidemart.slices import Slice
 
@@ -84,6 +85,8 @@ def sales_report(
     sales = sales_with_product(fact, dimension, window)
     if grain == "item":
         sales = latest_per_key(sales, ["id"], "version_at", tiebreak=[F.col("updated_at").desc_nulls_last()])
+    stored_exactly = isinstance(sales.schema["sale_price"].dataType, DecimalType)
+    price = F.col("sale_price") if stored_exactly else exact("sale_price")
     return sales.groupBy(day_of("updated_at").alias("sales_date"), "category", "brand", "department").agg(
-        signed_total("sale_price", "returned_at").alias("total_sales")
+        signed_total(price, "returned_at").alias("total_sales")
     )

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, time, timedelta
+from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _utc(value: datetime) -> datetime:
+    """A time without zone is UTC already."""
+    return value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+
+
 def _as_day(value: date | datetime | str) -> date:
     if isinstance(value, str):
         return date.fromisoformat(value)
-    return value.date() if isinstance(value, datetime) else value
+    return _utc(value).date() if isinstance(value, datetime) else value
 
 
 @dataclass(frozen=True)
@@ -22,7 +27,7 @@ class Slice:
 
     @classmethod
     def hour(cls, at: datetime) -> Slice:
-        return cls("hour", at.replace(minute=0, second=0, microsecond=0, tzinfo=None))
+        return cls("hour", _utc(at).replace(minute=0, second=0, microsecond=0))
 
     @classmethod
     def day(cls, day: date | datetime | str) -> Slice:
