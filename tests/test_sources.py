@@ -205,6 +205,21 @@ def test_delta_day_reads_prune_folders_and_find_every_row(spark, tmp_path):
     assert "PartitionFilters: [p_from" in plan and "GreaterThanOrEqual(ts" in plan
 
 
+def test_delta_day_reads_list_only_their_slices(spark, tmp_path):
+    path, rows = f"{tmp_path}/d", {}
+    slices = [Slice.hour(T0), Slice.hour(T0 + timedelta(hours=1)), Slice.hour(T0 + timedelta(days=1)), Slice.day("2024-01-02")]
+    for n, window in enumerate(slices):
+        rows[n] = spark.createDataFrame([(n, window.start, "a")], LOG)
+        append_delta(rows[n], path, window, "ts", one_day=True)
+    files = lambda w: len(read_delta(spark, path, w, "ts").inputFiles())
+    ids = lambda w: sorted(r.id for r in read_delta(spark, path, w, "ts").collect())
+    assert ids(Slice.day("2024-01-02")) == [0, 1, 3] and files(Slice.day("2024-01-02")) == 3
+    assert ids(Slice.hour(T0)) == [0] and files(Slice.hour(T0)) == 2
+    assert ids(Slice.day("2024-01-04")) == [] and read_delta(spark, path, Slice.day("2024-01-04"), "ts").columns == ["id", "ts", "v"]
+    append_delta(rows[0], path, "batch-1", "ts")
+    assert ids(Slice.hour(T0)) == [0, 0] and ids(Slice.day("2024-01-04")) == []
+
+
 def test_delta_refuses_another_schema(spark, tmp_path):
     append_delta(spark.createDataFrame([(1, T0, "a")], LOG), f"{tmp_path}/d", "a", "ts")
     with pytest.raises(ValueError, match="schema"):

@@ -39,7 +39,7 @@ class Pipeline:
     registry: Mapping[str, TableSpec] = field(default_factory=lambda: SHOP_TABLES)
     buckets: int = 8
     keep_versions: int = 2
-    max_records_per_file: int = 100_000
+    max_records_per_file: int = 1_000_000
     readers: int = 8
     parallel_tables: int = 3
     fact_since: str = marts.FACT_SINCE

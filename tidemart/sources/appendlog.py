@@ -36,7 +36,8 @@ def append_delta(
     """Add one slice to the log.
 
     ``replace_slice`` swaps the slice's folder, so a re-run changes nothing; ``append`` keeps
-    what is there and a re-run duplicates rows. All slices must share one schema.
+    what is there and a re-run duplicates rows. All slices must share one schema. A label given
+    as a ``Slice`` promises that all rows lie in it: reads of other times skip its folder.
 
     A slice of one day is written as it comes. Any other is gathered by month first, or every
     task would write a file per month; AQE splits the months that are large. Files are sorted
@@ -61,8 +62,20 @@ def append_delta(
     writer.option("partitionOverwriteMode", "static").partitionBy(FROM).parquet(f"{path}/{SLICE}={name}")
 
 
-def _folders(window: Slice) -> Column:
-    """The folders that can hold rows of the slice."""
+def _slice_folders(spark: SparkSession, path: str, window: Slice) -> list[str]:
+    """Slice folders that can hold rows of an hour or day, so that a read lists no others.
+
+    Slices named after another hour or day cannot; all other names (snapshots, batches) can.
+    """
+    day = f"{window.date:%Y-%m-%d}"
+    hours = f"{SLICE}=hour-{window.start:%Y-%m-%d-%H}" if window.kind == "hour" else f"{SLICE}=hour-{day}"
+    names = [n for n in storage.child_names(spark, path) if n.startswith(f"{SLICE}=")]
+    timed = (f"{SLICE}=hour-", f"{SLICE}=day-")
+    return [f"{path}/{n}" for n in names if not n.startswith(timed) or n.startswith((hours, f"{SLICE}=day-{day}"))]
+
+
+def _in_folders(window: Slice) -> Column:
+    """Rows whose folder can hold rows of the slice."""
     month: date = window.date.replace(day=1)
     if window.kind == "since":
         return F.col(FROM) >= F.lit(month)
@@ -72,7 +85,12 @@ def _folders(window: Slice) -> Column:
 def read_delta(spark: SparkSession, path: str, window: Slice | None = None, audit: str | None = None) -> DataFrame:
     """Rows of the log, of one time slice where given; the time slice also prunes folders."""
     schema = recorded_schema(spark, path)
-    log = spark.read.schema(log_schema(schema)).parquet(path)
-    if window is not None:
-        log = log.filter(_folders(window) & window.predicate(audit))
+    reader = spark.read.schema(log_schema(schema)).option("basePath", path)
+    if window is None:
+        log = reader.parquet(path)
+    else:
+        folders = [path] if window.kind == "since" else _slice_folders(spark, path, window)
+        if not folders:
+            return spark.createDataFrame([], schema)
+        log = reader.parquet(*folders).filter(_in_folders(window) & window.predicate(audit))
     return log.select(*[F.col(f"`{c}`") for c in schema.names])

@@ -69,10 +69,10 @@ def read_current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
     table = _table_name(folder)
     if not spark.catalog.tableExists(table):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(folder).schema)
-        by = _quoted(keys)
+        by, location = _quoted(keys), folder.replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{folder}'"
+            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{location}'"
         )
     return spark.table(table)
 
