@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from tidemart.functions import day_of
 from tidemart.slices import Slice
@@ -19,7 +19,7 @@ SLICE, FROM = "slice", "p_from"
 
 def log_schema(schema: StructType) -> StructType:
     """Row schema plus the two folder columns."""
-    return StructType(schema.fields).add(SLICE, StringType()).add(FROM, DateType())
+    return StructType([*schema.fields, StructField(SLICE, StringType()), StructField(FROM, DateType())])
 
 
 def recorded_schema(spark: SparkSession, path: str) -> StructType:
