@@ -1,9 +1,12 @@
+import json
 import os
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 
 from tests.conftest import rows_of
+from tidemart.__main__ import load_pipeline, main
 from tidemart.operators import latest_per_key
 from tidemart.plans import Pipeline, open_table, publish, run_gold, run_hour, run_merge, run_snapshot, sales_report
 from tidemart.plans.marts import order_items_fact, product_dimension
@@ -66,6 +69,41 @@ def test_hour_of_every_table(spark, shop):
     assert read_landing(spark, folder).count() == 2
 
 
+def test_append_mode_duplicates_a_rerun(spark, shop):
+    cfg = replace(shop, log_mode="append")
+    for _ in range(2):
+        run_hour(spark, cfg, t(3, 5), ["orders"])
+    assert read_delta(spark, cfg.delta("orders")).count() == 4
+
+
+def test_command_line(spark, shop, tmp_path):
+    settings = tmp_path / "settings.json"
+    settings.write_text(json.dumps({"root": shop.root, "buckets": 2, "files": {"root": shop.source.root}}))
+    run = lambda *job: main(["--settings", str(settings), *job], spark)
+    run("snapshot", "products", "--at", "2024-01-05T00:00:00")
+    run("snapshot", "order_items", "--at", "2024-01-05T00:00:00")
+    run("hour", "--hour", "2024-01-03T05:00:00", "--table", "orders", "--table", "users")
+    run("merge", "--day", "2024-01-03", "--table", "orders")
+    run("gold", "--full-refresh")
+    run("gold", "--day", "2024-01-04")
+    run("publish")
+    assert report(spark, shop) == {(3, "b1"): 10.0, (3, None): 10.0, (4, "b1"): -10.0}
+    assert open_table(spark, shop, "main_orders").count() == 2
+    assert spark.sql("select count(*) from gold.sales_report").first()[0] == 3
+    with pytest.raises(FileNotFoundError):
+        main(["--settings", "nowhere.json", "publish"], spark)
+
+
+def test_settings():
+    tables = {"t": {"key": ["a", "b"], "audit": "c"}}
+    cfg = load_pipeline({"root": "r", "jdbc": {"url": "jdbc:x", "fetch_rows": 5}, "tables": tables, "database": "d"})
+    assert cfg.source.options()["fetchsize"] == "5" and cfg.spec("t").keys == ("a", "b")
+    assert cfg.landing("t", Slice.hour(t(3, 5))) == "r/landing/d/t/2024-01-03/05-00-00"
+    for wrong in ({"root": "r"}, {"root": "r", "jdbc": {}, "files": {}}):
+        with pytest.raises(ValueError):
+            load_pipeline(wrong)
+
+
 def test_one_failing_table_stops_no_other(spark, shop, tmp_path):
     registry = {**shop.registry, **load_registry({"missing": {"key": "id", "audit": "at"}})}
     broken = Pipeline(shop.root, shop.source, registry=registry)

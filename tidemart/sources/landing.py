@@ -47,7 +47,7 @@ def restore_strings(df: DataFrame) -> DataFrame:
     return _map_strings(df, _null_restored)
 
 
-def write_landing(df: DataFrame, path: str, max_records_per_file: int = 1_000_000) -> None:
+def write_landing(df: DataFrame, path: str, max_records_per_file: int = 250_000) -> None:
     """Write ``path/data/*.csv`` and then ``path/schema.json``; a re-run replaces the slice."""
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     if nested:
