@@ -151,6 +151,14 @@ def test_landing_keeps_values_whole(spark, tmp_path):
     assert (tmp_path / "slice" / "schema.json").is_file()
 
 
+def test_landing_keeps_bytes(spark, tmp_path):
+    rows = [(i, bytearray(v)) for i, v in enumerate([b"", b"\x00\xff\n\x80", b'a,"b', b"\\N", bytes(range(256)) * 9])]
+    df = spark.createDataFrame([*rows, (99, None)], "id int, b binary")
+    write_landing(df, f"{tmp_path}/slice")
+    back = read_landing(spark, f"{tmp_path}/slice")
+    assert back.schema == df.schema and rows_of(back) == rows_of(df)
+
+
 def test_landing_empty_and_replaced(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
     write_landing(df, f"{tmp_path}/slice")

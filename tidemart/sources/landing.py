@@ -24,27 +24,34 @@ CSV_OPTIONS = {
 CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST", "enforceSchema": "true"}
 
 
-def _null_safe(column: Column) -> Column:
-    """A text that looks like the NULL mark gets one more backslash."""
-    return F.regexp_replace(column, r"^(\\+N)$", r"\\$1")
+def _marked(column: Column, pattern: str, replacement: str) -> Column:
+    """Only texts with a leading backslash can look like the NULL mark; the rest skip the pattern."""
+    changed = F.regexp_replace(column, pattern, replacement)
+    return F.when(column.startswith("\\"), changed).otherwise(column)
 
 
-def _null_restored(column: Column) -> Column:
-    return F.regexp_replace(column, r"^\\(\\+N)$", "$1")
+def _to_text(column: Column, kind: T.DataType) -> Column:
+    """Bytes as base64; a text that looks like the NULL mark gets one more backslash."""
+    if isinstance(kind, T.BinaryType):
+        return F.base64(column)
+    return _marked(column, r"^(\\+N)$", r"\\$1") if isinstance(kind, T.StringType) else column
 
 
-def _map_strings(df: DataFrame, change) -> DataFrame:
-    return df.select(
-        *[
-            change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+def _from_text(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.BinaryType):
+        return F.unbase64(column)
+    return _marked(column, r"^\\(\\+N)$", "$1") if isinstance(kind, T.StringType) else column
 
 
-def restore_strings(df: DataFrame) -> DataFrame:
-    """Undo the text escaping of ``write_landing`` on rows read back from its parts."""
-    return _map_strings(df, _null_restored)
+def file_schema(schema: T.StructType) -> T.StructType:
+    """The schema the parts are parsed with: bytes are text there."""
+    kinds = [(f.name, T.StringType() if isinstance(f.dataType, T.BinaryType) else f.dataType) for f in schema.fields]
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds])
+
+
+def restore(parsed: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows as they were written, from rows parsed with ``file_schema``."""
+    return parsed.select(*[_from_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields])
 
 
 def write_landing(df: DataFrame, path: str, max_records_per_file: int = 250_000) -> None:
@@ -52,7 +59,8 @@ def write_landing(df: DataFrame, path: str, max_records_per_file: int = 250_000)
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     if nested:
         raise ValueError(f"landing files are flat; nested columns: {', '.join(nested)}")
-    writer = _map_strings(df, _null_safe).write.mode("overwrite").options(**CSV_OPTIONS)
+    text = df.select(*[_to_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+    writer = text.write.mode("overwrite").options(**CSV_OPTIONS)
     writer.option("maxRecordsPerFile", max_records_per_file).csv(f"{path}/data")
     storage.write_schema(df.sparkSession, f"{path}/schema.json", df.schema)
 
@@ -60,4 +68,5 @@ def write_landing(df: DataFrame, path: str, max_records_per_file: int = 250_000)
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """All parts of one landing slice under its recorded schema; one bad record fails the read."""
     schema = storage.read_schema(spark, f"{path}/schema.json")
-    return restore_strings(spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(f"{path}/data"))
+    parsed = spark.read.schema(file_schema(schema)).options(**CSV_READ_OPTIONS).csv(f"{path}/data")
+    return restore(parsed, schema)

@@ -26,13 +26,12 @@ def landing_stream(
     Each file is read once per checkpoint. A batch may be retried after a failure, so it
     replaces the log slice of its batch number instead of appending.
     """
-    reader = spark.readStream.schema(schema).options(**landing.CSV_READ_OPTIONS)
+    reader = spark.readStream.schema(landing.file_schema(schema)).options(**landing.CSV_READ_OPTIONS)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = landing.restore_strings(batch)
-        appendlog.append_delta(rows, delta, f"{name}-{batch_id:08d}", audit)
+        appendlog.append_delta(landing.restore(batch, schema), delta, f"{name}-{batch_id:08d}", audit)
 
     return (
         reader.csv(landing_glob)
