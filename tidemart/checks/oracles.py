@@ -144,8 +144,8 @@ ORACLES: dict[str, str] = {
     "latest_per_key_per_day": """
         select e.* from events e
         join (select user_id, max(ts) as ts from events group by user_id, cast(ts as date)) using (user_id, ts)""",
-    "merge_upsert": f"with {_HALVES}, m as (from older), d as (from newer) {_MERGE}",
-    "merge_stale_guard": f"with {_HALVES}, m as (from newer), d as (from older) {_MERGE}",
+    "merge_upsert": f"with {_HALVES}, m as (select * from older), d as (select * from newer) {_MERGE}",
+    "merge_stale_guard": f"with {_HALVES}, m as (select * from newer), d as (select * from older) {_MERGE}",
     "main_bootstrap": _LAST_EVENT,
     "daily_merge": _LAST_EVENT,
     "order_items_fact_full": f"with {_FACT} select * from fact",
