@@ -3,6 +3,8 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +31,7 @@ from tidemart.sources import (
     write_snapshot,
 )
 from tidemart.sources import storage
-from tidemart.sources.extract import split_column, split_options, window_predicates
+from tidemart.sources.extract import range_predicates, split_column, window_predicates
 from tidemart.sources.snapshots import merge_snapshot
 
 T0 = datetime(2024, 1, 2, 5)
@@ -58,15 +60,35 @@ def test_split_column_choice():
     assert split_column(kind(T.LongType(), T.TimestampType()), spec) == "id"
     assert split_column(kind(T.StringType(), T.TimestampType()), spec) == "at"
     assert split_column(kind(T.StringType(), T.StringType()), spec) is None
-    assert split_options("id", 1, 90, 8) == {
-        "partitionColumn": "id",
-        "lowerBound": "1",
-        "upperBound": "90",
-        "numPartitions": "8",
-    }
-    assert split_options("at", T0, T0 + timedelta(hours=1), 2)["lowerBound"] == "2024-01-02 05:00:00"
-    assert split_options("on", date(2024, 1, 2), date(2024, 1, 3), 2)["upperBound"] == "2024-01-03"
-    assert split_options("id", Decimal("1E+3"), Decimal("2000.5"), 2)["lowerBound"] == "1000"
+
+
+def test_ranges_cover_every_row():
+    assert range_predicates("id", 1, 9, 3) == ["id < 3 OR id IS NULL", "id >= 3 AND id < 6", "id >= 6"]
+    assert range_predicates("id", Decimal("1E+3"), Decimal("2000.5"), 2) == ["id < 1500 OR id IS NULL", "id >= 1500"]
+    assert range_predicates("id", 5, 5, 4) == []
+    assert range_predicates("id", 5, 6, 4) == []
+    assert range_predicates("id", 5, 7, 4) == ["id < 6 OR id IS NULL", "id >= 6"]
+    assert range_predicates("at", T0, T0 + timedelta(hours=1), 2) == [
+        "at < '2024-01-02 05:30:00' OR at IS NULL",
+        "at >= '2024-01-02 05:30:00'",
+    ]
+    assert range_predicates("d", date(2024, 1, 1), date(2024, 1, 3), 2) == [
+        "d < '2024-01-02' OR d IS NULL",
+        "d >= '2024-01-02'",
+    ]
+
+
+@given(lo=st.integers(-50, 50), span=st.integers(0, 60), parts=st.integers(2, 9))
+def test_each_key_falls_in_one_range(lo, span, parts):
+    predicates = range_predicates("id", lo, lo + span, parts)
+    for value in [*range(lo - 2, lo + span + 3), None]:
+        # NULL compares as unknown, which only the IS NULL branch turns into a match.
+        hits = [p for p in predicates if (value is None and "IS NULL" in p) or (value is not None and matches(p, value))]
+        assert len(hits) == 1 or not predicates
+
+
+def matches(predicate, value):
+    return eval(predicate.replace("id IS NULL", "False").replace("OR", "or").replace("AND", "and"), {"id": value})
 
 
 class Reader:
@@ -101,11 +123,11 @@ class Reader:
 def test_jdbc_snapshot_is_split_by_key():
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampType())])
     reader, source = Reader(schema, (1, 900)), JdbcSource("jdbc:x", {"user": "u"}, 500)
-    read_snapshot(reader, source, TableSpec("orders", ("id",), "at"), 4)
+    read_snapshot(reader, source, TableSpec("orders", ("id",), "at"), 2)
     probe, bounds, scan = reader.calls
     assert bounds["query"] == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM orders"
-    assert scan["dbtable"] == "orders" and scan["fetchsize"] == "500"
-    assert (scan["partitionColumn"], scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == ("id", "1", "900", "4")
+    assert scan["table"] == "orders" and scan["properties"]["fetchsize"] == "500"
+    assert scan["predicates"] == ["id < 450 OR id IS NULL", "id >= 450"]
     empty = Reader(schema, (None, None))
     read_snapshot(empty, source, TableSpec("orders", ("id",), "at"), 4)
     assert len(empty.calls) == 2
@@ -116,7 +138,7 @@ def test_jdbc_window_runs_in_the_database():
     read_window(reader, JdbcSource("jdbc:x", {"user": "u"}), TableSpec("orders", ("id",), "at"), Slice.hour(T0), 2)
     (call,) = reader.calls
     assert call["url"] == "jdbc:x" and call["table"] == "orders"
-    assert call["properties"] == {"user": "u", "fetchsize": "10000"}
+    assert call["properties"] == {"user": "u", "fetchsize": "10000", "preferTimestampNTZ": "true"}
     assert call["predicates"] == [
         "at >= '2024-01-02 05:00:00' AND at < '2024-01-02 05:30:00'",
         "at >= '2024-01-02 05:30:00' AND at < '2024-01-02 06:00:00'",
@@ -125,7 +147,9 @@ def test_jdbc_window_runs_in_the_database():
 
 def test_jdbc_options_bound_the_fetch():
     source = JdbcSource("jdbc:postgresql://host/shop", {"user": "u"}, fetch_rows=500)
-    assert source.options() == {"url": "jdbc:postgresql://host/shop", "user": "u", "fetchsize": "500"}
+    assert source.options()["fetchsize"] == "500" and source.options()["user"] == "u"
+    zoned = JdbcSource("jdbc:x", {"preferTimestampNTZ": "false"})
+    assert zoned.options()["preferTimestampNTZ"] == "false"
 
 
 # Landing

@@ -27,14 +27,23 @@ class FileSource:
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """A relational database. ``fetch_rows`` bounds the rows a reader holds at a time."""
+    """A relational database. ``fetch_rows`` bounds the rows a reader holds at a time.
+
+    Times without zone are read as such, so the zone of the JVM cannot shift them.
+    """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     fetch_rows: int = 10_000
 
     def options(self) -> dict[str, str]:
-        return {**self.properties, "url": self.url, "fetchsize": str(self.fetch_rows)}
+        defaults = {"fetchsize": str(self.fetch_rows), "preferTimestampNTZ": "true"}
+        return {**defaults, **self.properties, "url": self.url}
+
+    def ranges(self, spark: SparkSession, table: str, predicates: list[str]) -> DataFrame:
+        """One reader per predicate, each filtered by the database."""
+        properties = {k: v for k, v in self.options().items() if k != "url"}
+        return spark.read.jdbc(self.url, table, predicates=predicates, properties=properties)
 
     def scan(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.options(), dbtable=table).load()
@@ -59,21 +68,24 @@ def split_column(schema: T.StructType, spec: TableSpec) -> str | None:
     return None
 
 
-def split_options(column: str, lo, hi, num_partitions: int) -> dict[str, str]:
-    """JDBC split options. The bounds only set the stride: the first split also takes smaller
-    values and NULL, the last one larger values."""
+def _literal(value) -> str:
+    if isinstance(value, datetime):
+        return f"'{value.isoformat(sep=' ')}'"
+    return f"'{value.isoformat()}'" if isinstance(value, date) else str(value)
 
-    def text(value) -> str:
-        if isinstance(value, datetime):
-            return value.isoformat(sep=" ")
-        return value.isoformat() if isinstance(value, date) else str(int(value))
 
-    return {
-        "partitionColumn": column,
-        "lowerBound": text(lo),
-        "upperBound": text(hi),
-        "numPartitions": str(num_partitions),
-    }
+def range_predicates(column: str, lo, hi, num_partitions: int) -> list[str]:
+    """SQL ranges that together cover every row: open at both ends, NULLs with the first."""
+    if not isinstance(lo, date):
+        lo, hi = int(lo), int(hi)
+    span = hi - lo
+    # Whole steps for numbers and days, exact ones for times; a short span has fewer edges.
+    edges = sorted({lo + (i * span) // num_partitions for i in range(1, num_partitions)} - {lo})
+    if not edges:
+        return []
+    text = [_literal(e) for e in edges]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(text, text[1:])]
+    return [f"{column} < {text[0]} OR {column} IS NULL", *inner, f"{column} >= {text[-1]}"]
 
 
 def window_predicates(audit: str, window: Slice, num_partitions: int) -> list[str]:
@@ -95,10 +107,8 @@ def read_snapshot(spark: SparkSession, source: Source, spec: TableSpec, num_part
     if column is None:
         return table
     lo, hi = source.bounds(spark, spec.name, column)
-    if lo is None:
-        return table
-    options = {**source.options(), **split_options(column, lo, hi, num_partitions)}
-    return spark.read.format("jdbc").options(**options, dbtable=spec.name).load()
+    predicates = [] if lo is None else range_predicates(column, lo, hi, num_partitions)
+    return source.ranges(spark, spec.name, predicates) if predicates else table
 
 
 def read_window(
@@ -107,6 +117,4 @@ def read_window(
     """All columns of the rows whose audit time lies in the slice; the range runs in the source."""
     if isinstance(source, FileSource):
         return source.scan(spark, spec.name).filter(window.predicate(spec.audit))
-    predicates = window_predicates(spec.audit, window, num_partitions)
-    properties = {k: v for k, v in source.options().items() if k != "url"}
-    return spark.read.jdbc(source.url, spec.name, predicates=predicates, properties=properties)
+    return source.ranges(spark, spec.name, window_predicates(spec.audit, window, num_partitions))
