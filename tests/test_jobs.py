@@ -211,6 +211,17 @@ def test_a_failed_first_build_does_not_count(spark, shop):
         run_gold(spark, shop, today=date(2024, 1, 5))
 
 
+def test_gold_without_any_rows(spark, shop):
+    for table in ("order_items", "products"):
+        run_snapshot(spark, shop, table, t(5))
+    later = replace(shop, fact_since="2030-01-01", dimension_since="2030-01-01", report_since="2030-01-01")
+    run_gold(spark, later, full_refresh=True)
+    assert report(spark, later) == {}
+    assert publish(spark, later) == ["bronze.delta_products", "bronze.delta_order_items"]
+    run_gold(spark, shop, execution_date="2024-01-04")
+    assert report(spark, shop) == {(4, None): -10.0}
+
+
 def test_tables_by_name(spark, shop):
     for table in ("order_items", "products"):
         run_snapshot(spark, shop, table, t(5))

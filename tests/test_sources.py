@@ -283,6 +283,21 @@ def test_overwrite_replaces_only_present_days(spark, tmp_path):
     assert state() == [(3, "a")]
 
 
+def test_empty_tables_and_other_schemas(spark, tmp_path):
+    path, rows = f"{tmp_path}/t", spark.createDataFrame([(1, T0, "a")], LOG)
+    overwrite_partitions(rows.limit(0), path, day_of("ts"), whole_table=True)
+    assert read_partitions(spark, path).collect() == [] and read_partitions(spark, path).schema == rows.schema
+    assert read_partitions(spark, path, Slice.day(T0), "ts").collect() == []
+    overwrite_partitions(rows, path, day_of("ts"))
+    overwrite_partitions(rows.limit(0), path, day_of("ts"), clear_empty=T0.date())
+    assert read_partitions(spark, path, Slice.day(T0), "ts").collect() == []
+    wider = rows.withColumn("w", F.lit(1))
+    with pytest.raises(ValueError, match="schema"):
+        overwrite_partitions(wider, path, day_of("ts"))
+    overwrite_partitions(wider, path, day_of("ts"), whole_table=True)
+    assert read_partitions(spark, path).columns == wider.columns
+
+
 def test_partition_reads_prune(spark, tmp_path):
     path = f"{tmp_path}/t"
     rows = spark.createDataFrame([(n, datetime(2024, 1, n, 12), "a") for n in range(1, 10)], LOG)

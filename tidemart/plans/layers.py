@@ -40,6 +40,7 @@ def publish(spark: SparkSession, cfg: Pipeline) -> list[str]:
     """Create a database per layer and a view per stored table, for SQL users; returns the views.
 
     The view of a main table shows the version that is current now: publish again after a merge.
+    A table without rows gets no view.
     """
     bronze, gold = layer_name("bronze", cfg.target), layer_name("gold", cfg.target)
     for database in (bronze, layer_name("silver", cfg.target), gold):
@@ -47,16 +48,18 @@ def publish(spark: SparkSession, cfg: Pipeline) -> list[str]:
     views = []
     for table, spec in cfg.registry.items():
         if storage.exists(spark, f"{cfg.delta(table)}/_schema.json"):
-            views.append(f"{bronze}.delta_{table}")
-            columns = appendlog.recorded_schema(spark, cfg.delta(table)).names
-            _view(spark, views[-1], columns, cfg.delta(table))
+            log = appendlog.read_delta(spark, cfg.delta(table))
+            if not log.isEmpty():
+                views.append(f"{bronze}.delta_{table}")
+                _view(spark, views[-1], log.columns, cfg.delta(table))
         current = snapshots.read_current(spark, cfg.main(table), spec.keys)
         if current is not None:
             views.append(f"{bronze}.main_{table}")
             _view(spark, views[-1], current.columns, snapshots.current_folder(spark, cfg.main(table)))
     for model in GOLD_MODELS:
         if partitions.table_exists(spark, cfg.gold(model)):
-            views.append(f"{gold}.{model}")
-            columns = partitions.read_partitions(spark, cfg.gold(model)).columns
-            _view(spark, views[-1], columns, cfg.gold(model))
+            stored = partitions.read_partitions(spark, cfg.gold(model))
+            if not stored.isEmpty():
+                views.append(f"{gold}.{model}")
+                _view(spark, views[-1], stored.columns, cfg.gold(model))
     return views

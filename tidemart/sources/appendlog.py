@@ -26,10 +26,6 @@ def recorded_schema(spark: SparkSession, path: str) -> StructType:
     return storage.read_schema(spark, f"{path}/_schema.json")
 
 
-def _shape(schema: StructType) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
-
-
 def append_delta(
     df: DataFrame, path: str, label: Slice | str, audit: str, mode: str = "replace_slice", one_day: bool = False
 ) -> None:
@@ -47,7 +43,7 @@ def append_delta(
         raise ValueError(f"unknown mode {mode!r}")
     spark = df.sparkSession
     if storage.exists(spark, f"{path}/_schema.json"):
-        if _shape(recorded_schema(spark, path)) != _shape(df.schema):
+        if not storage.same_shape(recorded_schema(spark, path), df.schema):
             raise ValueError(f"schema of the slice differs from the log at {path}")
     else:
         storage.write_schema(spark, f"{path}/_schema.json", df.schema)

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tidemart.slices import Slice
 from tidemart.sources import storage
@@ -31,29 +32,38 @@ def overwrite_partitions(
     then sizes the write: it cuts large days over several tasks and packs small ones together.
     For a table known to be small, ``tasks`` spreads its many small files over that many tasks.
     """
+    spark, record = df.sparkSession, f"{path}/_schema.json"
+    recorded = not whole_table and storage.exists(spark, record)
+    if recorded and not storage.same_shape(storage.read_schema(spark, record), df.schema):
+        raise ValueError(f"schema of the rows differs from the table at {path}")
     dated = df.withColumn(PARTITION, date_expr)
     if clear_empty is not None:
         day = dated.filter(F.col(PARTITION) == F.lit(clear_empty)).hint("rebalance", PARTITION).drop(PARTITION)
         target = f"{path}/{PARTITION}={clear_empty.isoformat()}"
         day.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
-        return
-    arranged = dated.repartition(tasks, PARTITION) if tasks else dated.hint("rebalance", PARTITION)
-    mode = "static" if whole_table else "dynamic"
-    arranged.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PARTITION).parquet(path)
+    else:
+        arranged = dated.repartition(tasks, PARTITION) if tasks else dated.hint("rebalance", PARTITION)
+        mode = "static" if whole_table else "dynamic"
+        writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        writer.partitionBy(PARTITION).parquet(path)
+    if not recorded:  # after the write, because replacing the table clears its folder
+        storage.write_schema(spark, record, df.schema)
 
 
 def read_partitions(
     spark: SparkSession, path: str, window: Slice | None = None, audit: str | None = None
 ) -> DataFrame:
     """The table without its partition column; a slice prunes the day folders and the rows."""
-    day_folder = None if window is None or window.kind == "since" else f"{path}/{PARTITION}={window.date.isoformat()}"
-    if day_folder and storage.exists(spark, day_folder):
+    schema = storage.read_schema(spark, f"{path}/_schema.json")
+    stored = StructType([*schema.fields, StructField(PARTITION, DateType())])
+    folder = path
+    if window is not None and window.kind != "since":
         # One day: go straight to its folder instead of listing all of them.
-        table = spark.read.option("basePath", path).parquet(day_folder)
-    else:
-        table = spark.read.parquet(path)
+        folder = f"{path}/{PARTITION}={window.date.isoformat()}"
+        if not storage.exists(spark, folder):
+            return spark.createDataFrame([], schema)
+    table = spark.read.schema(stored).option("basePath", path).parquet(folder)
     if window is not None:
-        table = table.withColumn(PARTITION, F.col(PARTITION).cast("date"))
         table = table.filter(window.predicate(audit, partition=PARTITION) if audit else _days(window))
     return table.drop(PARTITION)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
@@ -35,6 +37,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def same_shape(one: StructType, other: StructType) -> bool:
+    """Same columns, types and order."""
+    shapes = [[(f.name, f.dataType.simpleString()) for f in schema.fields] for schema in (one, other)]
+    return shapes[0] == shapes[1]
+
+
 def write_schema(spark: SparkSession, path: str, schema: StructType) -> None:
     fs, hadoop_path = _open(spark, path)
     stream = fs.create(hadoop_path, True)
@@ -45,8 +53,6 @@ def write_schema(spark: SparkSession, path: str, schema: StructType) -> None:
 
 
 def read_schema(spark: SparkSession, path: str) -> StructType:
-    import json
-
     fs, hadoop_path = _open(spark, path)
     stream = fs.open(hadoop_path)
     try:
