@@ -323,7 +323,7 @@ def test_snapshot_versions(spark, tmp_path):
     assert merge_snapshot(spark, path, changes, ["id"], "ts", 4) == 2
     current = read_current(spark, path, ["id"])
     assert current.groupBy("v").count().orderBy("v").collect() == [("a", 40), ("b", 20)]
-    # An interrupted version (no success mark) is not read, and its number is not used again.
+    # An interrupted version (no recorded schema) is not read, and its number is not used again.
     os.makedirs(f"{path}/v=000003.buckets=4")
     assert read_current(spark, path, ["id"]).count() == 60
     assert merge_snapshot(spark, path, changes, ["id"], "ts", 8) == 4
@@ -346,6 +346,16 @@ def test_snapshot_is_found_by_another_session(spark, tmp_path):
     assert "Exchange" not in plan_of(current.groupBy("id").count())
 
 
+def test_empty_snapshot(spark, tmp_path):
+    path, rows = f"{tmp_path}/main", spark.createDataFrame([(1, T0, "a")], LOG)
+    write_snapshot(rows.limit(0), path, ["id"], 2)
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("main_")]:
+        spark.sql(f"DROP TABLE spark_catalog.default.{name}")
+    assert read_current(spark, path, ["id"]).collect() == []
+    merge_snapshot(spark, path, rows, ["id"], "ts", 2)
+    assert rows_of(read_current(spark, path, ["id"])) == rows_of(rows)
+
+
 def test_merge_moves_only_the_changes(spark, tmp_path):
     path = f"{tmp_path}/main"
     write_snapshot(spark.createDataFrame([(i, T0, "a") for i in range(500)], LOG), path, ["id"], 8)

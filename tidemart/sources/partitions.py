@@ -75,4 +75,4 @@ def _days(window: Slice) -> Column:
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a build of the table ever finished; what a failed first build left does not count."""
-    return storage.exists(spark, f"{path}/_SUCCESS")
+    return storage.exists(spark, f"{path}/_schema.json")

@@ -27,9 +27,13 @@ def _versions(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
+def _complete(spark: SparkSession, folder: str) -> bool:
+    """The schema is recorded last, once all rows are in place."""
+    return storage.exists(spark, f"{folder}/_schema.json")
+
+
 def _current(spark: SparkSession, path: str) -> tuple[int, int, str] | None:
-    complete = (v for v in reversed(_versions(spark, path)) if storage.exists(spark, f"{v[2]}/_SUCCESS"))
-    return next(complete, None)
+    return next((v for v in reversed(_versions(spark, path)) if _complete(spark, v[2])), None)
 
 
 def _table_name(folder: str) -> str:
@@ -45,7 +49,7 @@ def write_snapshot(df: DataFrame, path: str, keys: Sequence[str], buckets: int =
 
     ``aligned`` says that ``df`` already comes out hashed by key into ``buckets`` partitions
     (a merge with the previous version), so it is not shuffled again. A failed or interrupted
-    write leaves a folder without a success mark, which readers ignore.
+    write leaves a folder without a recorded schema, which readers ignore.
     """
     spark = df.sparkSession
     version = max((v[0] for v in _versions(spark, path)), default=0) + 1
@@ -53,6 +57,7 @@ def write_snapshot(df: DataFrame, path: str, keys: Sequence[str], buckets: int =
     rows = df if aligned else df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
     writer = rows.write.format("parquet").mode("errorifexists").bucketBy(buckets, *keys).sortBy(*keys)
     writer.option("path", folder).saveAsTable(_table_name(folder))
+    storage.write_schema(spark, f"{folder}/_schema.json", df.schema)
     return version
 
 
@@ -68,7 +73,8 @@ def read_current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
     _, buckets, folder = current
     table = _table_name(folder)
     if not spark.catalog.tableExists(table):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(folder).schema)
+        schema = storage.read_schema(spark, f"{folder}/_schema.json")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         by, location = _quoted(keys), folder.replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
@@ -108,7 +114,7 @@ def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]
     if keep < 1:
         raise ValueError("keep at least the current version")
     versions = _versions(spark, path)
-    complete = [v[0] for v in versions if storage.exists(spark, f"{v[2]}/_SUCCESS")]
+    complete = [v[0] for v in versions if _complete(spark, v[2])]
     if len(complete) < keep:
         return []
     oldest_kept = complete[-keep]
