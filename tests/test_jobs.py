@@ -127,7 +127,7 @@ def test_merge_bootstraps_then_merges(spark, shop, tmp_path):
     state = {r.order_id: r.status for r in read_current(spark, shop.main("orders"), ["order_id"]).collect()}
     assert state == {1: "new", 2: "sent", 3: "new", 4: "new", 5: "new"}
     # A day without rows leaves the state alone.
-    run_merge(spark, shop, "2024-01-05", ["orders"])
+    assert run_merge(spark, shop, "2024-01-05", ["orders"]) == {"orders": 3}
     assert read_current(spark, shop.main("orders"), ["order_id"]).count() == 5
 
 

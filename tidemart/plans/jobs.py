@@ -114,7 +114,11 @@ def run_hour(spark: SparkSession, cfg: Pipeline, hour: datetime, tables: Iterabl
 def run_merge(
     spark: SparkSession, cfg: Pipeline, day: date | str, tables: Iterable[str] | None = None
 ) -> dict[str, object]:
-    """Bring every main table up to a day: first run builds it from the whole log, later runs merge the day."""
+    """Bring every main table up to a day; returns the current version of each.
+
+    The first run builds a table from its whole log, later runs merge the rows of the day. A
+    day without rows leaves the table as it is.
+    """
     prepare(spark)
     window = Slice.day(day)
 
@@ -124,6 +128,8 @@ def run_merge(
             log = appendlog.read_delta(spark, cfg.delta(spec.name))
             return snapshots.write_snapshot(latest_per_key(log, spec.keys, spec.audit), path, spec.keys, cfg.buckets)
         log = appendlog.read_delta(spark, cfg.delta(spec.name), window, spec.audit)
+        if log.isEmpty():
+            return snapshots.current_version(spark, path)
         changes = latest_per_key(log, spec.keys, spec.audit)
         version = snapshots.merge_snapshot(spark, path, changes, spec.keys, spec.audit, cfg.buckets)
         snapshots.expire_snapshots(spark, path, cfg.keep_versions)

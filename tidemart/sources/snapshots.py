@@ -83,6 +83,11 @@ def read_current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
     return spark.table(table)
 
 
+def current_version(spark: SparkSession, path: str) -> int | None:
+    current = _current(spark, path)
+    return current[0] if current else None
+
+
 def current_buckets(spark: SparkSession, path: str) -> int | None:
     current = _current(spark, path)
     return current[1] if current else None
