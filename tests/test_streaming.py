@@ -34,6 +34,15 @@ def test_landing_files_are_loaded_once(spark, tmp_path):
     assert rows_of(read_delta(spark, f"{root}/delta")) == rows_of(first.union(second))
 
 
+def test_loads_of_two_checkpoints_do_not_replace_each_other(spark, tmp_path):
+    root, rows = str(tmp_path), frame(spark, [(1, 1, "a")])
+    for table in ("t", "u"):
+        write_landing(rows, f"{root}/{Slice.hour(T0).path('db', table)}")
+        load = landing_stream(spark, f"{root}/db/{table}/*/*/data", rows.schema, f"{root}/delta", "ts", f"{root}/ck-{table}")
+        load.awaitTermination()
+    assert read_delta(spark, f"{root}/delta").count() == 2
+
+
 def test_streamed_state(spark, tmp_path):
     root = str(tmp_path)
     slices = [[(1, 1, "a"), (2, 5, "b"), (1, 2, "c")], [(2, 4, "stale"), (3, 9, "new"), (1, 8, "d")]]

@@ -18,20 +18,21 @@ def landing_stream(
     delta: str,
     audit: str,
     checkpoint: str,
-    name: str = "batch",
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Load new landing files (``.../<table>/*/*/data``) into the append log.
 
     Each file is read once per checkpoint. A batch may be retried after a failure, so it
-    replaces the log slice of its batch number instead of appending.
+    replaces the log slice of its query and batch number instead of appending.
     """
     reader = spark.readStream.schema(landing.file_schema(schema)).options(**landing.CSV_READ_OPTIONS)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        appendlog.append_delta(landing.restore(batch, schema), delta, f"{name}-{batch_id:08d}", audit)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        label = f"batch-{query_id}-{batch_id:08d}"
+        appendlog.append_delta(landing.restore(batch, schema), delta, label, audit)
 
     return (
         reader.csv(landing_glob)
