@@ -30,7 +30,7 @@ from tidemart.sources import (
     write_landing,
     write_snapshot,
 )
-from tidemart.sources import storage
+from tidemart.sources import snapshots, storage
 from tidemart.sources.extract import range_predicates, split_column, window_predicates
 from tidemart.sources.snapshots import merge_snapshot
 
@@ -346,6 +346,21 @@ def test_snapshot_is_found_by_another_session(spark, tmp_path):
     assert "Exchange" not in plan_of(current.groupBy("id").count())
 
 
+def test_buckets_follow_the_size(spark, tmp_path, monkeypatch):
+    assert snapshots.buckets_for(0) == 8 and snapshots.buckets_for(100 * 1024**4) == 100_000
+    assert snapshots.buckets_for(10 * 1024**3) == 40
+    path, rows = f"{tmp_path}/main", spark.range(2000).selectExpr("id", "timestamp'2024-01-01' ts", "uuid() v")
+    write_snapshot(rows, path, ["id"], 2)
+    folders = lambda: sorted(f.split("=")[-1] for f in os.listdir(path))
+    monkeypatch.setattr(snapshots, "MIN_BUCKETS", 1)
+    merge_snapshot(spark, path, rows.limit(10), ["id"], "ts")
+    assert folders() == ["2", "2"]
+    monkeypatch.setattr(snapshots, "BUCKET_BYTES", 8_000)
+    merge_snapshot(spark, path, rows.limit(10), ["id"], "ts")
+    assert int(folders()[-1]) > 4 or int(folders()[0]) > 4
+    assert read_current(spark, path, ["id"]).count() == 2000
+
+
 def test_empty_snapshot(spark, tmp_path):
     path, rows = f"{tmp_path}/main", spark.createDataFrame([(1, T0, "a")], LOG)
     write_snapshot(rows.limit(0), path, ["id"], 2)

@@ -2,7 +2,7 @@
 
 The settings file is JSON, for example::
 
-    {"root": "s3a://lake/shop", "database": "shop", "buckets": 2048,
+    {"root": "s3a://lake/shop", "database": "shop",
      "jdbc": {"url": "jdbc:postgresql://host/shop", "properties": {"user": "reader"}}}
 
 with ``"files": {"root": ..., "format": ..., "suffix": ...}`` in place of ``jdbc`` for file

@@ -29,8 +29,8 @@ class Pipeline:
     """Where everything lives and how it is sized. ``root`` is any folder all executors reach.
 
     ``log_mode="append"`` makes re-runs duplicate log rows instead of replacing their slice.
-    ``buckets`` is the number of files of a main table: choose it so that one bucket is a few
-    hundred megabytes. ``keep_versions`` of a main table stay on disk for running readers.
+    ``buckets`` is the number of files of a main table; if not given it follows the table's size.
+    ``keep_versions`` of a main table stay on disk for running readers.
     """
 
     root: str
@@ -39,7 +39,7 @@ class Pipeline:
     target: str = "dev"
     registry: Mapping[str, TableSpec] = field(default_factory=lambda: SHOP_TABLES)
     log_mode: str = "replace_slice"
-    buckets: int = 8
+    buckets: int | None = None
     keep_versions: int = 2
     max_records_per_file: int = 250_000
     readers: int = 8
@@ -126,7 +126,8 @@ def run_merge(
         path = cfg.main(spec.name)
         if snapshots.read_current(spark, path, spec.keys) is None:
             log = appendlog.read_delta(spark, cfg.delta(spec.name))
-            return snapshots.write_snapshot(latest_per_key(log, spec.keys, spec.audit), path, spec.keys, cfg.buckets)
+            buckets = cfg.buckets or snapshots.buckets_for(storage.size(spark, cfg.delta(spec.name)))
+            return snapshots.write_snapshot(latest_per_key(log, spec.keys, spec.audit), path, spec.keys, buckets)
         log = appendlog.read_delta(spark, cfg.delta(spec.name), window, spec.audit)
         if log.isEmpty():
             return snapshots.current_version(spark, path)

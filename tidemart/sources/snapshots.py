@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from tidemart.operators.merge import upsert
 from tidemart.sources import storage
 
+# A bucket is one file and one task of a merge.
+BUCKET_BYTES = 256 * 1024**2
+MIN_BUCKETS, MAX_BUCKETS = 8, 100_000
+
 _VERSION = re.compile(r"v=(\d+)\.buckets=(\d+)$")
 
 
@@ -44,7 +48,14 @@ def _quoted(columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
 
-def write_snapshot(df: DataFrame, path: str, keys: Sequence[str], buckets: int = 8, aligned: bool = False) -> int:
+def buckets_for(size: int) -> int:
+    """Bucket count for a table of that many bytes."""
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-size // BUCKET_BYTES)))
+
+
+def write_snapshot(
+    df: DataFrame, path: str, keys: Sequence[str], buckets: int = MIN_BUCKETS, aligned: bool = False
+) -> int:
     """Write the next version, hashed by key into ``buckets`` sorted files; returns its number.
 
     ``aligned`` says that ``df`` already comes out hashed by key into ``buckets`` partitions
@@ -88,30 +99,29 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return current[0] if current else None
 
 
-def current_buckets(spark: SparkSession, path: str) -> int | None:
-    current = _current(spark, path)
-    return current[1] if current else None
-
-
 def current_folder(spark: SparkSession, path: str) -> str | None:
     current = _current(spark, path)
     return current[2] if current else None
 
 
 def merge_snapshot(
-    spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], audit: str, buckets: int = 8
+    spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], audit: str, buckets: int | None = None
 ) -> int:
     """Merge ``changes`` (one row per key) into the current version and write the next one.
 
     With an unchanged bucket count the current version is neither shuffled for the join nor
-    for the write: only the changes move.
+    for the write: only the changes move. Without a given count, the current one is kept until
+    the table has outgrown it twice over.
     """
     main = read_current(spark, path, keys)
     if main is None:
-        return write_snapshot(changes, path, keys, buckets)
+        return write_snapshot(changes, path, keys, buckets or MIN_BUCKETS)
+    _, stored, folder = _current(spark, path)
+    if buckets is None:
+        fitting = buckets_for(storage.size(spark, folder))
+        buckets = fitting if fitting > 2 * stored else stored
     moved = changes.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
-    aligned = current_buckets(spark, path) == buckets
-    return write_snapshot(upsert(main, moved, keys, audit), path, keys, buckets, aligned=aligned)
+    return write_snapshot(upsert(main, moved, keys, audit), path, keys, buckets, aligned=stored == buckets)
 
 
 def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:

@@ -49,7 +49,7 @@ def stream_upsert(
     main: str,
     spec: TableSpec,
     checkpoint: str,
-    buckets: int = 8,
+    buckets: int | None = None,
     max_files: int | None = None,
     keep_versions: int = 2,
 ) -> StreamingQuery:
