@@ -80,8 +80,7 @@ def test_command_line(spark, shop, tmp_path):
     settings = tmp_path / "settings.json"
     settings.write_text(json.dumps({"root": shop.root, "buckets": 2, "files": {"root": shop.source.root}}))
     run = lambda *job: main(["--settings", str(settings), *job], spark)
-    run("snapshot", "products", "--at", "2024-01-05T00:00:00")
-    run("snapshot", "order_items", "--at", "2024-01-05T00:00:00")
+    run("snapshot", "products", "order_items", "--at", "2024-01-05T00:00:00")
     run("hour", "--hour", "2024-01-03T05:00:00", "--table", "orders", "--table", "users")
     run("merge", "--day", "2024-01-03", "--table", "orders")
     run("gold", "--full-refresh")
@@ -223,8 +222,7 @@ def test_gold_without_any_rows(spark, shop):
 
 
 def test_tables_by_name(spark, shop):
-    for table in ("order_items", "products"):
-        run_snapshot(spark, shop, table, t(5))
+    run_snapshot(spark, shop, ["order_items", "products"], t(5))
     run_merge(spark, shop, "2024-01-04", ["order_items"])
     run_gold(spark, shop, full_refresh=True)
     counts = {

@@ -38,8 +38,8 @@ def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tidemart")
     parser.add_argument("--settings", required=True, help="path of the JSON settings file")
     jobs = parser.add_subparsers(dest="job", required=True)
-    snapshot = jobs.add_parser("snapshot", help="load one whole table")
-    snapshot.add_argument("table")
+    snapshot = jobs.add_parser("snapshot", help="load whole tables")
+    snapshot.add_argument("table", nargs="+")
     snapshot.add_argument("--at", type=datetime.fromisoformat)
     hour = jobs.add_parser("hour", help="capture one hour; by default the last full one")
     hour.add_argument("--hour", type=datetime.fromisoformat)

@@ -208,8 +208,7 @@ def hourly_cdc_fanout(spark, sf):
     """Snapshots of three tables, then one captured hour of all of them; what their logs hold."""
     specs = (views.ORDERS, views.LINEITEM, views.EVENTS)
     cfg = Pipeline(scratch(spark, "fanout"), views.source(sf), registry={s.name: s for s in specs})
-    for spec in specs:
-        run_snapshot(spark, cfg, spec.name, HOURS[0])
+    run_snapshot(spark, cfg, [s.name for s in specs], HOURS[0])
     run_hour(spark, cfg, datetime(1996, 1, 2))
     return reduce(DataFrame.unionByName, [_census(s.name, open_table(spark, cfg, f"delta_{s.name}"), s) for s in specs])
 

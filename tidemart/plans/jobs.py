@@ -91,12 +91,18 @@ def _land_and_log(spark: SparkSession, cfg: Pipeline, rows: DataFrame, spec: Tab
     appendlog.append_delta(rows, cfg.delta(spec.name), label, spec.audit, cfg.log_mode, one_day=not init)
 
 
-def run_snapshot(spark: SparkSession, cfg: Pipeline, table: str, at: datetime) -> None:
-    """Load one whole source table into its append log, through landing files."""
+def run_snapshot(spark: SparkSession, cfg: Pipeline, table: str | Iterable[str], at: datetime) -> None:
+    """Load a whole source table, or several, into the append log, through landing files."""
     prepare(spark)
-    spec = cfg.spec(table)
-    rows = extract.read_snapshot(spark, cfg.source, spec, cfg.readers)
-    _land_and_log(spark, cfg, rows, spec, Slice.hour(at), init=True)
+
+    def load(spec: TableSpec) -> None:
+        rows = extract.read_snapshot(spark, cfg.source, spec, cfg.readers)
+        _land_and_log(spark, cfg, rows, spec, Slice.hour(at), init=True)
+
+    if isinstance(table, str):
+        load(cfg.spec(table))
+    else:
+        _per_table(spark, cfg, table, load)
 
 
 def run_hour(spark: SparkSession, cfg: Pipeline, hour: datetime, tables: Iterable[str] | None = None) -> None:
