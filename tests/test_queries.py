@@ -5,10 +5,11 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidemart.checks.oracles import ORACLES
+from tidemart.checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
