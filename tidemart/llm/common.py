@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def vocabulary(path: str) -> bytes:
 def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about STEP_BYTES of text, at least one row each."""
     for batch in batches:
-        lengths = [len(x) for x in batch.column(text).cast(pa.large_binary()).to_pylist()]
+        lengths = pc.binary_length(batch.column(text)).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
             if held and held + n > STEP_BYTES:
@@ -54,3 +55,8 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.
             held += n
         if start < len(lengths):
             yield batch.slice(start)
+
+
+def utf8(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:
+    """The texts as bytes, without decoding them."""
+    return batch.column(text).cast(pa.binary()).to_pylist()

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.byte_bpe import round_trip_digests
 from tidemart.llm.common import vocabulary
+from tidemart.llm.minhash import MinHash, near_duplicates
+from tidemart.llm.packing import cut_documents, pack
+from tidemart.llm.quality import judge_quality
 from tidemart.llm.token_files import write_token_files
 from tidemart.session import prepare
 
@@ -43,3 +46,19 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary(public_tokenizers.path(BYTE_VOCAB))
     return round_trip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = vocabulary(public_tokenizers.path(WORD_VOCAB))
+    return pack(cut_documents(table(spark, sf_dir, "documents"), vocab))
+
+
+@query
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), MinHash(width=3, percent=85))

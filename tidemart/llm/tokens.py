@@ -8,17 +8,18 @@ from __future__ import annotations
 
 import re
 import sys
+import unicodedata
 from array import array
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 #: ASCII capitals to small letters. The normaliser lower-cases as well, so ids stay the same.
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Punctuation between an ASCII letter or digit and white space: a piece of its own in any case.
 _AFTER_WORD = re.compile(rb"(?<=[a-z0-9])([!-/:-@\[-`{-~]+)(?=[ \n])")
 #: Words kept by one Python process.
-MEMORY = 250_000
+MEMORY = 400_000
 
 
 def _is_word_wise(tokenizer: Tokenizer) -> bool:
@@ -35,7 +36,7 @@ def _is_word_wise(tokenizer: Tokenizer) -> bool:
 
 
 class WordEncoder:
-    """``encode(texts)``: each text's ids as little-endian unsigned 32-bit integers, without special tokens.
+    """``encode(texts)``: the ids of each text, given as UTF-8, as little-endian unsigned 32-bit integers, without special tokens.
 
     A vocabulary that does not work word by word is used on whole texts. Strings of added tokens keep
     their meaning: a text that holds one is encoded whole by the library.
@@ -45,49 +46,55 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(spec.decode("utf-8"))
         self.known: dict[bytes, bytes] = {b"": b""}
         vocab = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
+        self.size = max(vocab.values(), default=-1) + 1
+        self.ends_word = np.zeros(self.size, dtype=bool)
         for token, i in vocab.items():
             self.ends_word[i] = token.endswith("</w>")
-        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.word_wise = bool(self.ends_word.any()) and _is_word_wise(self.tokenizer)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        # For words of small letters in composed form, which the normaliser and the split leave as they are.
+        self.plain = Tokenizer.from_str(spec.decode("utf-8"))
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [self._words(text) for text in texts]
         new = set().union(*(w for w in split if w is not None)).difference(self.known)
         if len(self.known) + len(new) > MEMORY:
             self.known = {b"": b""}
             new = set().union(*(w for w in split if w is not None)).difference(self.known)
-        self._learn([w.decode("utf-8") for w in new])
+        self._learn(list(new))
         known = self.known.__getitem__
         return [self._whole([t])[0] if w is None else b"".join(map(known, w)) for t, w in zip(texts, split, strict=True)]
 
-    def _words(self, text: str) -> list[bytes] | None:
+    def _words(self, text: bytes) -> list[bytes] | None:
         if not self.word_wise:
             return None
-        lowered = text.encode("utf-8", "surrogatepass").translate(_LOWER)
-        if any(token.encode() in lowered for token in self.added):
+        lowered = text.translate(_LOWER)
+        if any(token in lowered for token in self.added):
             return None
         return _AFTER_WORD.sub(rb" \1", lowered).replace(b"\n", b" ").split(b" ")
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _whole(self, texts: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
         return [_little(array("I", e.ids)) for e in found]
 
-    def _learn(self, words: list[str]) -> None:
-        letters = [w for w in words if w.isalpha()]
-        other = [w for w in words if not w.isalpha()]
-        if letters:  # one token with a word end each, so the ids of a row of words can be told apart
-            ids = np.array(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(letters):
-                raw, start = ids.tobytes(), 0
-                for word, end in zip(letters, (4 * ends).tolist(), strict=True):
+    def _learn(self, new: list[bytes]) -> None:
+        words = [w.decode("utf-8") for w in new]
+        plain = [w for w in words if w.isalpha() and w == w.lower() and unicodedata.is_normalized("NFC", w)]
+        if plain:  # one piece each, whose last token alone is marked as a word's end
+            ids = array("I", self.plain.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids)
+            ends = np.flatnonzero(self.ends_word[np.array(ids)]) + 1
+            if len(ends) == len(plain):
+                raw, start = _little(ids), 0
+                for word, end in zip(plain, (4 * ends).tolist(), strict=True):
                     self.known[word.encode()] = raw[start:end]
                     start = end
-            else:
-                other = words
-        for word, ids in zip(other, self._whole(other), strict=True):
-            self.known[word.encode()] = ids
+        left = [w for w in new if w not in self.known]
+        for word, found in zip(left, self._whole(left), strict=True):
+            self.known[word] = found
 
 
 def _little(values: array) -> bytes:
