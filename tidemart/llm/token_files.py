@@ -1,7 +1,7 @@
 """Token ids of a corpus as flat binary files that can be memory-mapped (operator 1).
 
-A folder holds for each part ``part-N.ids`` (the ids of its documents in a row, unsigned 32 bits),
-``part-N.offsets`` (documents + 1 ends, unsigned 64 bits, from the part's first id), ``part-N.docs``
+A folder holds for each part ``part-N.ids`` (the ids of its documents in a row, unsigned, 16 bits wide where
+the vocabulary fits and 32 bits elsewhere), ``part-N.offsets`` (documents + 1 ends, unsigned 64 bits, from the part's first id), ``part-N.docs``
 (document ids, signed 64 bits) and one ``manifest.json`` with each part's bases: the documents and ids
 in all parts before it, which are prefix sums of the parts' counts. All numbers are little-endian.
 """
@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import id_and_text, steps
-from tidemart.llm.tokens import word_encoder
+from tidemart.llm.common import id_and_text, steps, utf8
+from tidemart.llm.tokens import WordEncoder, word_encoder
 from tidemart.session import scratch
 
 #: Stands for a document without an id in ``part-N.docs``.
@@ -81,13 +81,12 @@ class Part:
 class TokenFiles:
     """A written folder. ``ids(i)`` is the i-th document's ids without reading any others."""
 
-    def __init__(self, folder: str, parts: list[Part] | None = None):
+    def __init__(self, folder: str):
         self.folder = folder
-        if parts is None:
-            place, base = _place(folder)
-            with place.open_input_stream(f"{base}/manifest.json") as stream:
-                parts = [Part(*row) for row in json.loads(stream.read())["parts"]]
-        self.parts = parts
+        place, base = _place(folder)
+        with place.open_input_stream(f"{base}/manifest.json") as stream:
+            manifest = json.loads(stream.read())
+        self.id_type, self.parts = manifest["id_type"], [Part(*row) for row in manifest["parts"]]
 
     def __len__(self) -> int:
         return sum(p.docs for p in self.parts)
@@ -97,11 +96,11 @@ class TokenFiles:
         part = self.parts[at]
         ends = _mapped(self.folder, f"part-{part.number:06d}.offsets", "<u8")
         start, end = (int(ends[i - part.doc_base + k]) for k in (0, 1))
-        return _mapped(self.folder, f"part-{part.number:06d}.ids", "<u4")[start:end]
+        return _mapped(self.folder, f"part-{part.number:06d}.ids", self.id_type)[start:end]
 
     def read(self, spark: SparkSession) -> DataFrame:
         """One row per document from the files: doc_id, start, n_tokens, ids_crc32. A task reads one part."""
-        folder, parts = self.folder, self.parts
+        folder, id_type, parts = self.folder, self.id_type, self.parts
         schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
         if not parts:
             return spark.createDataFrame([], schema)
@@ -109,20 +108,20 @@ class TokenFiles:
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for at in batch.column(0).to_pylist():
-                    yield from _rows(folder, parts[at])
+                    yield from _rows(folder, id_type, parts[at])
 
         return spark.range(0, len(parts), 1, len(parts)).mapInArrow(read, schema)
 
 
-def _rows(folder: str, part: Part) -> Iterator[pa.RecordBatch]:
+def _rows(folder: str, id_type: str, part: Part) -> Iterator[pa.RecordBatch]:
     ids, ends, docs = (
         _mapped(folder, f"part-{part.number:06d}.{kind}", dtype)
-        for kind, dtype in (("ids", "<u4"), ("offsets", "<u8"), ("docs", "<i8"))
+        for kind, dtype in (("ids", id_type), ("offsets", "<u8"), ("docs", "<i8"))
     )
     for first in range(0, part.docs, READ_ROWS):
         last = min(first + READ_ROWS, part.docs)
         bounds = ends[first : last + 1].astype(np.int64)
-        crcs = [zlib.crc32(ids[s:e]) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
+        crcs = [zlib.crc32(ids[s:e].astype("<u4")) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
         doc_ids = np.array(docs[first:last])
         yield pa.RecordBatch.from_arrays(
             [
@@ -149,20 +148,21 @@ def write_token_files(
     spark = df.sparkSession
     folder = folder or scratch(spark, "token-files")
     spec = spark.sparkContext.broadcast(vocab)
+    id_type = "<u2" if max(end_id + 1, WordEncoder(vocab).size) <= 65536 else "<u4"
     docs = id_and_text(df, id_col, text_col).withColumn("tie", F.xxhash64("text"))
     ordered = docs.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(spec.value)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype=id_type).tobytes()
         number, files, n_docs, n_tokens = TaskContext.get().partitionId(), {}, 0, 0
         for batch in steps(batches):
             if not files:
                 files = {k: _Output(folder, f"part-{number:06d}.{k}") for k in ("ids", "offsets", "docs")}
                 files["offsets"].write(np.zeros(1, dtype="<u8").tobytes())
-            found = encoder.encode(batch.column("text").to_pylist())
+            found = encoder.encode(utf8(batch))
             sizes = np.array([len(x) // 4 + 1 for x in found], dtype=np.int64)
-            files["ids"].write(b"".join(x + end for x in found))
+            files["ids"].write(b"".join(np.frombuffer(x, dtype="<u4").astype(id_type).tobytes() + end for x in found))
             files["offsets"].write((np.cumsum(sizes) + n_tokens).astype("<u8").tobytes())
             files["docs"].write(batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
             n_docs, n_tokens = n_docs + len(sizes), n_tokens + int(sizes.sum())
@@ -177,6 +177,6 @@ def write_token_files(
     parts = [Part(*c, d, t) for c, d, t in zip(counts, doc_bases, token_bases, strict=False)]
     manifest = _Output(folder, "manifest.json")
     rows = [[p.number, p.docs, p.tokens, p.doc_base, p.token_base] for p in parts]
-    manifest.write(json.dumps({"id_type": "<u4", "offset_type": "<u8", "end_id": end_id, "parts": rows}).encode())
+    manifest.write(json.dumps({"id_type": id_type, "offset_type": "<u8", "end_id": end_id, "parts": rows}).encode())
     manifest.close()
-    return TokenFiles(folder, parts)
+    return TokenFiles(folder)
