@@ -13,6 +13,7 @@ from tidemart.llm.minhash import MinHash, near_duplicates
 from tidemart.llm.packing import cut_documents, pack
 from tidemart.llm.quality import judge_quality
 from tidemart.llm.token_files import write_token_files
+from tidemart.llm.toxicity import score_documents, train
 from tidemart.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +63,9 @@ def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), MinHash(width=3, percent=85))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return score_documents(documents, train(documents, table(spark, sf_dir, "labels")))
