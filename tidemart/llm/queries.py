@@ -13,6 +13,7 @@ from tidemart.llm.minhash import MinHash, near_duplicates
 from tidemart.llm.packing import cut_documents, pack
 from tidemart.llm.quality import judge_quality
 from tidemart.llm.token_files import write_token_files
+from tidemart.llm.topk import top_k
 from tidemart.llm.toxicity import score_documents, train
 from tidemart.session import prepare
 
@@ -69,3 +70,27 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return score_documents(documents, train(documents, table(spark, sf_dir, "labels")))
+
+
+@query
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return top_k(embeddings, embeddings.filter("vec_id % 50 = 0"))
+
+
+ORACLES["op8_topk_search"] = """
+    with v as (
+        select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+        from embeddings
+        where vec_id is not null and embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), s as (
+        select a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.q::double[], b.q::double[]) as bigint) as score
+        from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q)
+        where a.vec_id % 50 = 0
+    )
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+           vec_id, score
+    from s
+    qualify rank <= 5
+"""
