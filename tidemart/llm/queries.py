@@ -15,6 +15,7 @@ from tidemart.llm.quality import judge_quality
 from tidemart.llm.token_files import write_token_files
 from tidemart.llm.topk import top_k
 from tidemart.llm.toxicity import score_documents, train
+from tidemart.llm.url_filter import Rule, judge_urls
 from tidemart.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +95,65 @@ ORACLES["op8_topk_search"] = """
     from s
     qualify rank <= 5
 """
+
+
+#: The rules of the query op10_url_filter.
+URL_RULES = (
+    Rule("net", "/", "block"),
+    Rule("example.net", "/en/", "allow"),
+    Rule("example.com", "/de/", "block"),
+    Rule("org", "/fr/", "allow"),
+)
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+ORACLES["op10_url_filter"] = r"""
+    with recursive p as (
+        select page_id, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+               coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path,
+               case when url like '%://%' then regexp_extract(url, '^(?s:.*?)://[^/?#]*([^#]*)', 1) end as rest, url,
+               regexp_extract(regexp_extract(html, '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>)', 1), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) as canonical,
+               regexp_extract(regexp_extract(html, '(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>)', 1), '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) as refresh
+        from pages
+    ), own as (
+        select *, case when rest is not null then host || case when rest = '' then '/' else rest end end as node from p
+    ), target as (
+        select node as src, replace(unnest([canonical, refresh]), '&amp;', '&') as t, url, path from own where node is not null
+    ), resolved as (
+        select src, case when contains(t, '://') then t when starts_with(t, '//') then regexp_extract(url, '^((?s:.*?))://', 1) || ':' || t
+                         when starts_with(t, '/') then regexp_extract(url, '^((?s:.*?)://[^/?#]*)', 1) || t
+                         else regexp_extract(url, '^((?s:.*?)://[^/?#]*)', 1) || coalesce(nullif(regexp_extract(path, '^(.*/)', 1), ''), '/') || t end as u
+        from target where t <> ''
+    ), far as (
+        select src, translate(regexp_extract(u, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+               regexp_extract(u, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path, regexp_extract(u, '^(?s:.*?)://[^/?#]*([^#]*)', 1) as rest from resolved
+    ), edge as (
+        select src as a, host || case when rest = '' then '/' else rest end as b from far
+    ), both_ways as (
+        select a, b from edge union select b, a from edge
+    ), reach as (
+        select a as node, a as other from both_ways union select r.node, e.b from reach r join both_ways e on e.a = r.other
+    ), rules as (
+        select * from (values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')) t(rule_host, rule_path, verdict)
+    ), places as (
+        select host, path, node from own union
+        select host, path, host || case when rest = '' then '/' else rest end from far
+    ), fits as (
+        select host, path, node, rule_host || rule_path as rule, verdict,
+               row_number() over (partition by host, path, node order by length(rule_host || rule_path) desc, verdict) as k
+        from places join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+    ), best as (
+        select * from fits where k = 1
+    ), spread as (
+        select r.node from reach r join best b on b.node = r.other group by r.node
+        having count(*) filter (b.verdict = 'allow') = 0
+    )
+    select o.page_id, o.host, o.path, b.rule,
+           coalesce(b.verdict, case when s.node is not null then 'block' else 'allow' end) as verdict
+    from own o left join best b on b.host = o.host and b.path = o.path and b.node is not distinct from o.node
+               left join spread s on s.node = o.node
+"""
