@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.byte_bpe import round_trip_digests
 from tidemart.llm.common import vocabulary
+from tidemart.llm.html_text import main_text
 from tidemart.llm.minhash import MinHash, near_duplicates
 from tidemart.llm.packing import cut_documents, pack
 from tidemart.llm.quality import judge_quality
@@ -157,3 +158,8 @@ ORACLES["op10_url_filter"] = r"""
     from own o left join best b on b.host = o.host and b.path = o.path and b.node is not distinct from o.node
                left join spread s on s.node = o.node
 """
+
+
+@query
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
