@@ -13,6 +13,7 @@ from tidemart.llm.html_text import main_text
 from tidemart.llm.minhash import MinHash, near_duplicates
 from tidemart.llm.packing import cut_documents, pack
 from tidemart.llm.quality import judge_quality
+from tidemart.llm.suffix_dedup import repeat_digests
 from tidemart.llm.token_files import write_token_files
 from tidemart.llm.topk import top_k
 from tidemart.llm.toxicity import score_documents, train
@@ -163,3 +164,8 @@ ORACLES["op10_url_filter"] = r"""
 @query
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
