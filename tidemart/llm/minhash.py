@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import id_and_text, steps, utf8, written
+from tidemart.llm.common import id_and_text, steps, unused, utf8, written
 from tidemart.llm.components import connected_components
 from tidemart.llm.shingles import mix, shingle_sets
 
@@ -76,7 +76,7 @@ class MinHash:
 
 
 def _signed(df: DataFrame, how: MinHash) -> DataFrame:
-    """(doc_id, n_shingles, set_id, signature) of documents; the last two are null for an empty set."""
+    """(doc_id, text_hash, n_shingles, set_id, signature) of documents; the last two are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -84,14 +84,16 @@ def _signed(df: DataFrame, how: MinHash) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_hash"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([how.signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "set_id", "signature"],
+                ["doc_id", "text_hash", "n_shingles", "set_id", "signature"],
             )
 
-    return df.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, signature binary")
+    hashed = df.withColumn("text_hash", F.xxhash64("text"))
+    return hashed.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_id binary, signature binary")
 
 
 def _bands(sets: DataFrame, how: MinHash) -> DataFrame:
@@ -222,7 +224,7 @@ def _links(docs: DataFrame, members: DataFrame, how: MinHash) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, how: MinHash = MinHash(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, text_hash (Spark's xxhash64), n_shingles, component_id, kept.
 
     ``component_id`` is the smallest id reachable over links, and a document is kept if it is its own.
     Documents with equal sets are linked and travel as one. A null or empty text, or one without words,
@@ -245,5 +247,18 @@ def near_duplicates(df: DataFrame, how: MinHash = MinHash(), id_col: str = "doc_
     labelled = rooted.join(least, "root").select("set_id", "component_id")
     out = signed.join(labelled, "set_id", "left")
     own = F.when(F.col("set_id").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    out = out.select("doc_id", "n_shingles", own.alias("component_id"))
+    out = out.select("doc_id", "text_hash", "n_shingles", own.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(df: DataFrame, how: MinHash = MinHash(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` with all their columns, but of each group of near-duplicates only the smallest id.
+
+    Of rows equal in id and text one stays. Rows without an id all stay.
+    """
+    text = unused(df, "text_hash")
+    hashed = df.withColumn(text, F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    kept = near_duplicates(df, how, id_col, text_col).filter("kept and doc_id is not null")
+    kept = kept.select(F.col("doc_id").alias(id_col), F.col("text_hash").alias(text)).distinct()
+    one = hashed.join(kept, [id_col, text], "left_semi").dropDuplicates([id_col, text])
+    return one.unionByName(hashed.filter(F.col(f"`{id_col}`").isNull())).drop(text)

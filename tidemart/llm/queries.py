@@ -66,7 +66,7 @@ def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), MinHash(width=3, percent=85))
+    return near_duplicates(table(spark, sf_dir, "documents"), MinHash(width=3, percent=85)).drop("text_hash")
 
 
 @query
