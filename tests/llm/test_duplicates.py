@@ -1,0 +1,242 @@
+"""Components, MinHash and suffix order against brute force."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import SF, awkward, documents, empty, tuples
+from tidemart.llm import minhash, suffix_dedup
+from tidemart.llm.bloom import bloom_filter
+from tidemart.llm.components import connected_components
+from tidemart.llm.minhash import MinHash, keep_one, near_duplicates
+from tidemart.llm.shingles import shingle_sets
+from tidemart.llm.suffix_dedup import remove_repeats, repeat_digests
+from tidemart.llm.suffix_order import repeats
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return [w for w in re.split("[\x20\x09-\x0d]+", (text or "").translate(LOWER)) if w]
+
+
+def shingles(text, width):
+    w = words(text)
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+
+
+class Union:
+    def __init__(self):
+        self.up = {}
+
+    def root(self, x):
+        while self.up.setdefault(x, x) != x:
+            x = self.up[x]
+        return x
+
+    def join(self, a, b):
+        a, b = self.root(a), self.root(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+def test_components_of_random_graphs(spark):
+    rnd = random.Random(5)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(170)]
+    edges += [(1000, 1000 + i) for i in range(1, 200)] + [(2000 + i, 2001 + i) for i in range(40)] + [(7, 7)]
+    union = Union()
+    for a, b in edges:
+        if a != b:
+            union.join(a, b)
+    expected = sorted((x, union.root(x)) for x in union.up)
+    df = spark.createDataFrame([*edges, (None, 3), (4, None)], "a long, b long")
+    assert sorted(tuple(r) for r in connected_components(df).collect()) == expected
+    named = df.select(F.format_string("n%05d", "a").alias("x"), F.format_string("n%05d", "b").alias("y")).filter("x not like '%null%' and y not like '%null%'")
+    assert sorted(tuple(r) for r in connected_components(named).collect()) == [(f"n{a:05d}", f"n{b:05d}") for a, b in expected]
+    assert connected_components(df.limit(0)).count() == 0
+
+
+def brute_components(rows, how):
+    sets = {i: shingles(t, how.width) for i, t in rows}
+    union = Union()
+    ids = sorted(sets)
+    for k, i in enumerate(ids):
+        union.root(i)
+        for j in ids[:k]:
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= how.percent * len(a | b):
+                union.join(i, j)
+    return [(i, len(sets[i]), union.root(i), union.root(i) == i) for i in ids]
+
+
+@pytest.mark.parametrize("how", [MinHash(3, 85), MinHash()])
+def test_near_duplicates_of_the_small_corpus(spark, how):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    expected = brute_components([(r.doc_id, r.text) for r in docs.collect()], how)
+    assert tuples(near_duplicates(docs, how).drop("text_hash")) == sorted(expected, key=repr)
+
+
+def variants(seed, n, length=60):
+    """A family of texts with a few words changed in each."""
+    rnd = random.Random(seed)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(length)]
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(rnd.randrange(5)):
+            text[rnd.randrange(length)] = f"x{rnd.randrange(10**6)}"
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_families_of_near_copies_are_linked_exactly(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    texts = variants(1, 120) + variants(2, 30) + variants(3, 1) * 20 + ["lone text of some words here"]
+    order = list(range(len(texts)))
+    random.Random(0).shuffle(order)
+    docs = documents(spark, texts, order, node="x", cluster=1, component="c")
+    how = MinHash(3, 85)
+    expected = brute_components(list(zip(order, texts, strict=True)), how)
+    assert tuples(near_duplicates(docs, how).drop("text_hash")) == sorted(expected, key=repr)
+
+
+def test_blocks_may_be_bounded_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 500)
+    texts = variants(4, 40)
+    expected = brute_components(list(enumerate(texts)), MinHash(3, 85))
+    assert tuples(near_duplicates(documents(spark, texts), MinHash(3, 85)).drop("text_hash")) == sorted(expected, key=repr)
+
+
+def test_near_duplicates_of_awkward_rows(spark):
+    out = near_duplicates(awkward(spark, set_id="x", kept=1), MinHash(3, 85)).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.doc_id, []).append((r.n_shingles, r.component_id, r.kept))
+    assert by[1] == [(0, 1, True)] and by[2] == [(0, 2, True)] and by[3] == [(0, 3, True)]
+    assert by[None] == [(3, None, True)] and by[4] == [(1, 4, True)]
+    assert sorted(by[5]) == [(1, 5, True), (4, 5, True)] and by[6] == [(2, 6, True)] * 2
+    assert near_duplicates(empty(spark)).count() == 0
+
+
+def test_one_of_each_group_is_kept(spark):
+    copy = variants(9, 1)[0]
+    docs = awkward(spark, text_hash=3).unionByName(documents(spark, [copy, copy, copy + " end"], [90, 80, 85], text_hash=3))
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect())
+    assert ids == [-1, 0, 1, 2, 3, 4, 5, 5, 6, 7, 80]
+
+
+def test_shingle_hashes_agree_with_words():
+    texts = ["A b c d", "a B  c\td", "a b c", "a b", "ab", "", " \n", "é É é é", "x" * 5000 + " y z w"]
+    sets = shingle_sets([t.encode() for t in texts], 3)
+    assert [len(s) for s in sets] == [len(shingles(t, 3)) for t in texts]
+    assert sets[0].tolist() == sets[1].tolist() and sets[2][0] in sets[0] and len({s.tobytes() for s in sets[2:5]}) == 3
+
+
+def test_bloom_filters_hold_all_and_little_else(spark):
+    filter_ = bloom_filter(spark.range(0, 60_000, 3).toDF("n"))
+    inside, outside = np.arange(0, 60_000, 3), np.arange(1, 60_000, 3)
+    assert filter_.may_hold(inside).all() and filter_.may_hold(outside).mean() < 0.001
+    assert not bloom_filter(spark.range(0).toDF("n")).may_hold(inside).any()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.binary(max_size=60).map(lambda b: bytes(x % 2 + 97 for x in b)), max_size=6), st.integers(8, 20))
+def test_repeats_in_suffix_order(strings, length):
+    earlier, anywhere = repeats(strings, length)
+    seen, places, at = {}, [], 0
+    for s in strings:
+        for i in range(len(s) - length + 1):
+            seen.setdefault(s[i : i + length], []).append(at + i)
+        at += len(s)
+    expected = np.zeros((2, at), dtype=bool)
+    for places in seen.values():
+        expected[0][places[1:]] = True
+        if len(places) > 1:
+            expected[1][places] = True
+    assert earlier.tolist() == expected[0].tolist() and anywhere.tolist() == expected[1].tolist()
+
+
+def brute_removed(rows, length, keep_first):
+    """Spans by looking at every window of every text."""
+    seen = {}
+    for k, (_, text) in enumerate(rows):
+        for i in range(len(text) - length + 1):
+            seen.setdefault(text[i : i + length], []).append((k, i))
+    gone = [np.zeros(len(t), dtype=bool) for _, t in rows]
+    for places in seen.values():
+        for k, i in places[1:] if keep_first else places if len(places) > 1 else ():
+            gone[k][i : i + length] = True
+    return gone
+
+
+def passages(seed, n):
+    """Texts of random letters that share passages, some within one text."""
+    rnd = random.Random(seed)
+    shared = ["".join(rnd.choice("abcdé ") for _ in range(rnd.randrange(150, 400))) for _ in range(6)]
+    out = []
+    for _ in range(n):
+        parts = ["".join(rnd.choice("abcdefgh ü") for _ in range(rnd.randrange(0, 200))) for _ in range(rnd.randrange(1, 4))]
+        for _ in range(rnd.randrange(0, 3)):
+            passage = rnd.choice(shared)
+            cut = rnd.randrange(0, 60)
+            parts.insert(rnd.randrange(len(parts) + 1), passage[cut : len(passage) - rnd.randrange(0, 60)])
+        out.append("".join(parts))
+    return out + [out[0], "ab" * 400, "a" * 900, ""]
+
+
+@pytest.mark.parametrize("many", [1500, 2])
+def test_repeated_passages_are_found_to_the_byte(spark, monkeypatch, many):
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
+    texts = passages(11, 60)
+    docs = documents(spark, texts, id="x", hash=1, key="k", starts="s")
+    rows = [(i, t.encode()) for i, t in enumerate(texts)]
+    for keep_first in (False, True):
+        expected = []
+        for (i, text), gone in zip(rows, brute_removed(rows, 100, keep_first), strict=True):
+            kept = bytes(b for b, g in zip(text, gone, strict=True) if not g)
+            runs = int((np.diff(np.concatenate([[0], gone, [0]]).astype(int)) == 1).sum())
+            expected.append((i, len(text), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+        assert tuples(repeat_digests(docs, 100, keep_first)) == sorted(expected, key=repr)
+
+
+def test_long_texts_are_cut_into_stretches(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "STRETCH", 150)
+    rnd = random.Random(2)
+    long = "".join(rnd.choice("abc") for _ in range(1000))
+    found = suffix_dedup.Segments([long.encode(), b"", long[300:700].encode()], 100)
+    starts = [set() for _ in range(3)]
+    for o, low, high in zip(found.owner, found.low, found.high, strict=True):
+        assert not starts[o] & set(range(low, high + 1))
+        starts[o] |= set(range(low, high + 1))
+    assert [len(s) for s in starts] == [901, 0, 301]
+
+
+def test_removed_texts_keep_rows_columns_and_characters(spark):
+    passage = "Ein Satz, der öfter vorkommt — ü; noch ein Stück, das länger wird, und dann hört es nach diesen Worten auf. "
+    texts = [f"Anfang. {passage}Ende.", f"Other. {passage}", None, "", "é" + passage + "é"]
+    docs = documents(spark, texts, repeat_id="x", STARTS=[1])
+    out = remove_repeats(docs, 100)
+    assert out.columns == docs.columns
+    by = {r.doc_id: r.text for r in out.collect()}
+    assert by[0] == texts[0] and by[2] is None and by[3] == ""
+    assert len(by[1]) < 20 and by[1].startswith("Other") and len(by[4]) < 20 and by[4].startswith("é")
+
+
+def test_repeats_of_awkward_rows(spark):
+    rows = repeat_digests(awkward(spark), 100).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.n_spans))
+    assert by[1] == [(0, 0, 0)] and by[2] == [(0, 0, 0)] and by[4] == [(150_000, 150_000, 1)] and len(by[6]) == 2 and len(by[None]) == 1
+    assert repeat_digests(empty(spark)).count() == 0
+    twice = documents(spark, ["z" * 20 + "y" * 20 + "x" * 80] * 2, [3, 3])
+    assert [r.n_removed for r in repeat_digests(twice, 100).collect()] == [120, 120]
+    assert [r.n_removed for r in repeat_digests(twice, 100, keep_first=True).collect()] == [0, 0]

@@ -1,0 +1,155 @@
+"""Exact top-k, the registered queries and the pipeline."""
+
+import os
+import random
+
+import duckdb
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from tests.llm.helpers import SF, awkward, documents, tuples
+from tidemart.llm import topk
+from tidemart.llm.minhash import MinHash
+from tidemart.llm.queries import ORACLES, QUERIES
+from tidemart.llm.topk import Lists, top_k
+
+
+def brute(rows, queries_, k):
+    vectors = [(i, np.floor(256 * np.array(v, dtype=np.float64)).astype(int)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for q in queries_:
+        for qi, qv in [x for x in vectors if x[0] == q]:
+            scored = sorted((-int(qv @ v), i) for i, v in vectors if i != q and len(v) == len(qv))
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
+    return out
+
+
+def vectors(seed, n, dim=6):
+    rnd = random.Random(seed)
+    return [(i, [round(rnd.gauss(0, 0.3), 2) for _ in range(dim)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("rounds", [topk.ROUNDS, (0.02, 0.1, 0.3, 0.6, 1.0)])
+def test_top_k_is_exact(spark, monkeypatch, rounds):
+    monkeypatch.setattr(topk, "CANDIDATES", 64)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    monkeypatch.setattr(topk, "ROUNDS", rounds)
+    rows = vectors(1, 300) + [(400 + i, [0.1, 0.2, -0.1, 0.0, 0.3, 0.1]) for i in range(20)] + [(500, [0.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as score", "'x' as block")
+    asked = [0, 7, 200, 405, 500]
+    found = top_k(df, df.filter(df.vec_id.isin(asked)), 5)
+    assert tuples(found) == sorted(brute(rows, asked, 5), key=repr)
+
+
+def test_top_k_of_awkward_rows(spark):
+    rows = [(1, [1.0, 2.0]), (2, [2.0, 1.0]), (2, [0.5, 0.5]), (3, None), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 0.0])]
+    rows += [(7, [1.0, 1.0, 1.0]), (8, []), (9, []), (None, [1.0, 1.0]), (10, [-0.001, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    once = df.filter("vec_id is null or vec_id <> 2")
+    assert tuples(top_k(df, once, 5)) == sorted(brute(rows, [1, 7, 8, 9, 10], 5), key=repr)
+    twice = top_k(df, df.filter("vec_id = 2"), 5).orderBy("rank").collect()
+    both = sorted(((-s, i) for q in ([512, 256], [128, 128]) for i, v in ((1, (256, 512)), (10, (-1, 0))) for s in [q[0] * v[0] + q[1] * v[1]]))
+    assert [(r.rank, r.vec_id, r.score) for r in twice] == [(n, i, -s) for n, (s, i) in enumerate(both, 1)]
+    assert top_k(df.limit(0), df.limit(0)).count() == 0 and top_k(df, df.limit(0)).count() == 0
+
+
+def test_bounds_hold_and_close():
+    rnd = np.random.default_rng(2)
+    body, asked = rnd.integers(-50, 50, (80, 5)), rnd.integers(-50, 50, (10, 5)).astype(float)
+    lists, last = Lists(np.arange(80), body), None
+    for read in (1, 10, 40, 79, 80):
+        lower, upper = lists.bounds(asked, read)
+        scores = asked @ body.T
+        assert (lower <= scores).all() and (scores <= upper).all()
+        assert last is None or (upper - lower <= last + 1e-9).all()
+        last = upper - lower
+    assert not last.any()
+
+
+def test_names():
+    found = queries()
+    for n in range(1, 11):
+        assert len([q for q in found if q.startswith(f"op{n}_")]) == 1
+    assert "pipeline" in found and set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, name):
+    connection = duckdb.connect()
+    for table in os.listdir(SF):
+        connection.execute(f"create view {table.removesuffix('.parquet')} as select * from '{SF}/{table}'")
+    result = QUERIES[name](spark, SF)
+    expected = connection.execute(ORACLES[name])
+    columns = [d[0] for d in expected.description]
+    assert sorted(columns) == sorted(result.columns)
+    assert sorted(map(repr, (tuple(r) for r in result.select(*columns).collect()))) == sorted(map(repr, expected.fetchall()))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_query_has_a_row_per_document(spark, name):
+    result = QUERIES[name](spark, SF)
+    whole = spark.read.parquet(f"{SF}/{'pages' if name == 'op2_html_text' else 'documents'}.parquet")
+    assert result.select(result.columns[0]).distinct().count() == whole.count()
+
+
+def test_stages_keep_columns_and_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_duplicates", "repeated_passages", "packing"]
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, before, SF).cache()
+        assert after.columns == docs.columns and after.dtypes == docs.dtypes
+        assert after.count() == after.select("doc_id").distinct().count()
+        gone = {r.doc_id for r in before.collect()} - {r.doc_id for r in after.collect()}
+        if name == "quality":
+            lost = [i for i in gone if i in labels and labels[i].quality == 1]
+            assert len(lost) <= 0.1 * len(labels)  # short ones, which the base rules fail
+        if name == "repeated_passages":
+            assert not gone and after.filter("n_chars <> length(text)").count() == 0
+        before = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, before, SF)
+    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in before.collect()}
+
+
+def test_the_pipeline_removes_planted_cases(spark, tmp_path):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("aeioubcdlmnrst") for _ in range(rnd.randrange(2, 9)))
+    vocabulary = [word() for _ in range(400)]
+    text = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n)).capitalize() + "."
+    clean = [text(120) for _ in range(60)]
+    passage = text(90)
+    toxic = [text(30) + " you vilefool and vilefool " + text(30) for _ in range(30)]
+    near = clean[0].split()
+    near[60] = "changed"
+    texts = [*clean, *toxic, " ".join(near), clean[1], text(40) + " " + passage + " " + text(40), text(40) + " " + passage + " " + text(40)]
+    docs = documents(spark, texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, int(60 <= i < 90)) for i in range(90)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    by_stage = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path)).cache()
+        by_stage[name] = {r.doc_id: r.text for r in docs.collect()}
+    assert set(by_stage["toxicity"]) == {*range(60), *range(90, 94)}
+    assert set(by_stage["quality"]) == set(by_stage["toxicity"])
+    assert set(by_stage["near_duplicates"]) == {*range(60), 92, 93}
+    last = by_stage["repeated_passages"]
+    assert last[92] == texts[92] and passage not in last[93] and len(last[93]) < len(texts[93]) - len(passage) + 10
+    assert all(last[i] == texts[i] for i in range(60))
+
+
+def test_parameters_of_near_duplicates():
+    assert MinHash().width == 5 and MinHash().percent == 80 and MinHash().bands > MinHash(3, 85).bands
+
+
+def test_pipeline_takes_awkward_rows(spark, tmp_path):
+    awkward(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, docs, str(tmp_path))
+        assert name == "packing" or (after.columns == docs.columns and after.count() <= docs.count())
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0  # all of them fail the base rules

@@ -113,7 +113,8 @@ def top_k(
 
     Equal scores go to the smaller id. Vectors that are null or have a null or non-finite component, and
     rows without an id, take no part; only vectors of the query's own length are compared. A row that is
-    in the table twice is two candidates with the same id. With fewer than ``k`` candidates all are given;
+    in the table twice is two candidates with the same id; a query id that is there twice gets the best of
+    both its vectors. With fewer than ``k`` candidates all are given;
     with none, or an empty table, no rows.
 
     Candidates are dealt to blocks by a hash of their ids, queries too, and every block of queries is sent
