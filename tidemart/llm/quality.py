@@ -40,7 +40,9 @@ class Limits:
     min_chars: int = 200
     #: And with fewer common words, for those.
     min_common: int = 40
-    max_class_distance: float = 0.25
+    #: A class distance may be class_floor + class_slack / sqrt(characters): chance alone moves short texts further.
+    class_floor: float = 0.06
+    class_slack: float = 3.4
     max_word_distance: float = 0.6
     #: Common words of a language: the most frequent ones, by documents, of at most so many letters.
     common_words: int = 24
@@ -52,10 +54,9 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _pairs(hashes: Column, gap: int) -> Column:
-    """Hashes of windows twice as long: each joined with the one ``gap`` places on; the last ``gap`` go."""
-    rest = F.greatest(F.size(hashes) - gap, F.lit(0))
-    return F.zip_with(F.slice(hashes, 1, rest), F.slice(hashes, gap + 1, rest), lambda a, b: F.xxhash64(a, b))
+def _twice(hashes: str, gap: int) -> Column:
+    """Hashes of windows twice as long: each joined with the one ``gap`` places on. The last ``gap`` are of no use."""
+    return F.zip_with(F.col(hashes), F.slice(hashes, gap + 1, 2**30), lambda a, b: F.xxhash64(a, b))
 
 
 def _covered(windows: Column) -> Column:
@@ -69,7 +70,7 @@ def _covered(windows: Column) -> Column:
             # Equal to the one after it, or to the one before.
             both = F.zip_with(equal, F.concat(F.array(F.lit(False)), equal), lambda a, b: F.coalesce(a, F.lit(False)) | b)
             own = F.zip_with(ordered, both, lambda o, b: F.when(b, o["i"]))
-            return F.array_sort(F.filter(own, lambda i: i.isNotNull()))
+            return F.sort_array(F.filter(own, lambda i: i.isNotNull()))
 
         return _let(same, places)
 
@@ -77,53 +78,53 @@ def _covered(windows: Column) -> Column:
         steps = F.zip_with(places, F.slice(places, 2, F.size(places)), lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW))))
         return F.aggregate(steps, F.lit(0), lambda acc, x: acc + x)
 
-    ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     return _let(_let(ordered, repeated), total)
 
 
-def base_counts(df: DataFrame, text: str) -> DataFrame:
-    """Adds words, n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of the column ``text``."""
+def base_counts(df: DataFrame, text: str, of_words: dict[str, Column] | None = None) -> DataFrame:
+    """Adds the counts of the character classes (``c_<class>``, ``c_other``), n_words, word_chars, n_symbols,
+    n_dup_lines and n_repeat_words of the column ``text``, and what ``of_words`` says of the column ``words``.
+
+    Each step that is used more than once is a column of its own, so that it is computed once, and the
+    words themselves are dropped as soon as they are hashed.
+    """
+    keep = df.columns
+    left = text
+    for i, (name, pattern) in enumerate(CLASSES):
+        df = df.withColumn(f"left_{i}", F.regexp_replace(left, pattern, ""))
+        df = df.withColumn(f"c_{name}", F.length(left) - F.length(f"left_{i}"))
+        left = f"left_{i}"
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    out = df.withColumns({"words": F.array_remove(F.split(text, f"{SPACE}+"), ""), "lines": lines})
+    out = df.withColumns({"c_other": F.length(left), "words": F.array_remove(F.split(text, f"{SPACE}+"), ""), "lines": lines})
     out = out.withColumns(
         {
             "n_words": F.size("words").cast("long"),
-            "word_chars": F.length(F.array_join("words", "")).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, f"{SYMBOLS}+", ""))).cast("long"),
+            "word_chars": (F.length(text) - F.col("c_space")).cast("long"),
+            "n_symbols": F.col("c_symbol").cast("long"),
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-            "hashes": F.transform("words", lambda w: F.xxhash64(w)),
+            "h1": F.transform("words", lambda w: F.xxhash64(w)),
+            **(of_words or {}),
         }
     )
-    out = out.withColumn("windows", _pairs(_pairs(_pairs(F.col("hashes"), 1), 2), 4))
+    counted = [c for c in keep if c != text] + [*(f"c_{name}" for name, _ in CLASSES), "c_other", *(of_words or {})]
+    out = out.select(*counted, "n_words", "word_chars", "n_symbols", "n_dup_lines", "h1")
+    for width in (1, 2, 4):
+        out = out.withColumn(f"h{2 * width}", _twice(f"h{width}", width)).drop(f"h{width}")
+    out = out.withColumn("windows", F.slice("h8", 1, F.greatest(F.col("n_words").cast("int") - WINDOW + 1, F.lit(0))))
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     return out.withColumn("n_repeat_words", F.when(repeats, _covered(F.col("windows"))).otherwise(0).cast("long"))
 
 
-def _class_counts(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``c_<class>`` for each character class and ``c_other``."""
-    left = text
-    for i, (name, pattern) in enumerate(CLASSES):
-        df = df.withColumn(f"left_{i}", F.regexp_replace(left, pattern, ""))
-        df = df.withColumn(f"c_{name}", (F.length(left) - F.length(f"left_{i}")).cast("double"))
-        left = f"left_{i}"
-    return df.withColumn("c_other", F.length(left).cast("double"))
-
-
 def _bare(words: Column, longest: int) -> Column:
-    """Short words in small letters without trailing marks."""
-    short = F.filter(words, lambda w: F.length(w) <= longest + 1)
-    return F.filter(F.transform(short, lambda w: F.lower(F.rtrim(w, F.lit(".,;:!?")))), lambda w: w.rlike(f"^\\p{{L}}{{1,{longest}}}$"))
-
-
-def _times(word: Column) -> Column:
-    """How often the column ``found`` holds ``word``; a language with fewer common words has nulls."""
-    return F.coalesce(F.size(F.filter("found", lambda w: w == word)), F.lit(0)).cast("double")
+    """Short words in small letters; marks stay, so a word before one is a word of its own."""
+    return F.transform(F.filter(words, lambda w: F.length(w) <= longest), lambda w: F.lower(w))
 
 
 def common_words(docs: DataFrame, lang: str, text: str, limits: Limits) -> DataFrame:
     """(lang, common): each language's most frequent short words, by documents, ties by the alphabet."""
     words = F.array_distinct(_bare(F.split(text, f"{SPACE}+"), limits.longest_common))
-    counts = docs.select(lang, F.explode(words).alias("word")).groupBy(lang, "word").count()
+    counts = docs.select(lang, F.explode(words).alias("word")).filter(F.col("word").rlike("^\\p{L}+$")).groupBy(lang, "word").count()
     best = F.row_number().over(Window.partitionBy(lang).orderBy(F.desc("count"), "word"))
     top = counts.withColumn("place", best).filter(F.col("place") <= limits.common_words)
     return top.groupBy(lang).agg(F.sort_array(F.collect_list(F.struct("place", "word")))["word"].alias("common"))
@@ -138,6 +139,17 @@ def _distance(own: list[Column], reference: list[Column]) -> Column:
     return F.sqrt(F.greatest(sum(terms[1:], terms[0]) / 2, F.lit(0.0)))
 
 
+def _distances(rated: DataFrame, own: dict, chosen: dict[str, Column]) -> DataFrame:
+    """``<name>_distance`` of each document to the mean of its language's ``chosen`` documents; null if it is too short to tell."""
+    means = [F.avg(F.when(chosen[k], F.col(c) / F.col(total))).alias(f"r_{c}") for k, (columns, total, _) in own.items() for c in columns]
+    rated = rated.join(rated.groupBy("lang").agg(*means), "lang")
+    far = {}
+    for name, (columns, total, tells) in own.items():
+        distance = _distance([F.col(c) / F.col(total) for c in columns], [F.coalesce(f"r_{c}", F.lit(0.0)) for c in columns])
+        far[f"{name}_distance"] = F.when(tells, distance)
+    return rated.withColumns(far).drop(*(f"r_{c}" for columns, _, _ in own.values() for c in columns))
+
+
 def judge_quality(
     df: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
@@ -158,10 +170,12 @@ def judge_quality(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"),
     )
     common = written(spark, common_words(docs, "lang", "text", limits), "common-words")
-    counted = _class_counts(base_counts(docs.join(common, "lang", "left"), "text"), "text")
-    bare = F.coalesce(F.filter(_bare(F.col("words"), limits.longest_common), lambda w: F.array_contains("common", w)), F.array())
-    counted = counted.withColumn("found", bare)
-    hits = {f"w_{i}": _times(F.get("common", F.lit(i))) for i in range(limits.common_words)}
+    # One letter for each common word of the text, by its place in the list, so that counting is a matter of lengths.
+    letters = [chr(ord("A") + i) for i in range(limits.common_words)]
+    place = F.transform(_bare(F.col("words"), limits.longest_common), lambda w: F.array_position("common", w))
+    spelled = F.array_join(F.transform(F.filter(place, lambda i: i > 0), lambda i: F.substring(F.lit("".join(letters)), i.cast("int"), F.lit(1))), "")
+    counted = base_counts(docs.join(common, "lang", "left"), "text", {"found": F.coalesce(spelled, F.lit(""))})
+    hits = {f"w_{c}": F.length("found") - F.length(F.replace("found", F.lit(c), F.lit(""))) for c in letters}
     classes = [f"c_{name}" for name, _ in CLASSES] + ["c_other"]
     counted = counted.withColumns(hits)
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -172,15 +186,15 @@ def judge_quality(
     rated = counts.withColumns({"base_failed": failed, "n_chars": all_chars, "n_common": all_common})
     tells_classes = F.col("word_chars") >= limits.min_chars
     tells_words = F.col("n_common") >= limits.min_common
-    means = {f"r_{c}": F.avg(F.when(tells_classes & ~F.col("base_failed"), F.col(c) / F.col("n_chars"))) for c in classes}
-    means |= {f"r_{c}": F.avg(F.when(tells_words & ~F.col("base_failed"), F.col(c) / F.col("n_common"))) for c in hits}
-    references = rated.groupBy("lang").agg(*(v.alias(k) for k, v in means.items()))
-    rated = rated.join(references, "lang")
     own = {"class": (classes, "n_chars", tells_classes), "word": (list(hits), "n_common", tells_words)}
-    for name, (columns, total, tells) in own.items():
-        far = _distance([F.col(c) / F.col(total) for c in columns], [F.col(f"r_{c}") for c in columns])
-        rated = rated.withColumn(f"{name}_distance", F.when(tells, far))
-    near = [F.coalesce(F.col(f"{k}_distance") <= v, F.lit(True)) for k, v in (("class", limits.max_class_distance), ("word", limits.max_word_distance))]
+    # The mean of all documents first, then that of the half of them nearest to it: poor documents move the
+    # first and are not in the second.
+    rated = _distances(rated, own, {k: ~F.col("base_failed") & tells for k, (_, _, tells) in own.items()})
+    middle = rated.groupBy("lang").agg(*(F.percentile_approx(F.when(~F.col("base_failed"), F.col(f"{k}_distance")), 0.5).alias(f"{k}_middle") for k in own))
+    rated = written(spark, rated.join(middle, "lang"), "quality-rated")
+    rated = _distances(rated, own, {k: ~F.col("base_failed") & (F.col(f"{k}_distance") <= F.col(f"{k}_middle")) for k in own})
+    most = limits.class_floor + limits.class_slack / F.sqrt("n_chars")
+    near = [F.coalesce(F.col(f"{k}_distance") <= v, F.lit(True)) for k, v in (("class", most), ("word", F.lit(limits.max_word_distance)))]
     rated = rated.withColumn("kept", ~F.col("base_failed") & near[0] & near[1])
     return rated.select("doc_id", *base, "base_failed", "kept", "class_distance", "word_distance")
 
