@@ -82,7 +82,7 @@ def test_sums_are_exact(spark):
 def test_decimal_prices_are_not_rounded(spark):
     fact = spark.createDataFrame([item(i, d(5), delivered=d(5), price=1.0) for i in range(10)], FACT)
     fact = fact.withColumn("sale_price", F.lit("0.000001").cast("decimal(38,9)"))
-    assert sales_report(fact, spark.createDataFrame([], DIM)).first().total_sales == 0.00001
+    assert str(sales_report(fact, spark.createDataFrame([], DIM)).first().total_sales) == "0.000010000"
 
 
 def test_days_add_up_to_the_full_refresh(spark):

@@ -5,8 +5,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.conftest import rows_of
-from tidemart.operators import asof, asof_join, latest_per_key, upsert
+from tests.conftest import plan_of, rows_of
+from tidemart.functions import exact, signed_total
+from tidemart.operators import asof_join, latest_per_key, upsert
 
 T0 = datetime(2024, 1, 1)
 
@@ -176,9 +177,9 @@ def brute_force(left, right, how="left"):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("strategy", ["auto", "slots"])
+@pytest.mark.parametrize("seconds", [3_600, 10**10])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_asof_edges(spark, strategy, how):
+def test_asof_edges(spark, seconds, how):
     left = [
         (1, 1, at(24)),  # exactly at a version
         (2, 1, at(24) - timedelta(microseconds=1)),
@@ -201,7 +202,7 @@ def test_asof_edges(spark, strategy, how):
         (3, datetime(1970, 1, 1, 1), "epoch"),
     ]
     joined = asof_join(
-        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ["k"], "ts", "vts", how, strategy
+        spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ["k"], "ts", "vts", how, seconds
     )
     assert joined.columns == ["n", "k", "ts", "vts", "v"]
     assert rows_of(joined) == brute_force(left, right, how)
@@ -217,21 +218,25 @@ def test_asof_against_brute_force(spark, probes, versions):
     right = [(k, at(h), f"{k}@{h}") for k, h in versions]
     expected = brute_force(left, right)
     l, r = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
-    for strategy, seconds in (("auto", 86_400), ("slots", 86_400), ("slots", 7_200)):
-        assert rows_of(asof_join(l, r, ["k"], "ts", "vts", "left", strategy, seconds)) == expected
+    for seconds in (3_600, 86_400, 7_200):
+        assert rows_of(asof_join(l, r, ["k"], "ts", "vts", "left", seconds)) == expected
 
 
-def test_asof_measures_before_it_broadcasts(spark, monkeypatch):
-    right = spark.range(100).select((F.col("id") % 5).alias("k"), F.lit(T0).alias("vts"), F.lit("x" * 100).alias("v"))
-    assert asof._is_small(right, ["k"])
-    monkeypatch.setattr(asof, "BROADCAST_BYTES", 100 * 100)
-    assert not asof._is_small(right, ["k"])
-    monkeypatch.setattr(asof, "BROADCAST_BYTES", 10**9)
-    monkeypatch.setattr(asof, "BROADCAST_VERSIONS", 19)
-    assert not asof._is_small(right, ["k"])
-    monkeypatch.setattr(asof, "BROADCAST_VERSIONS", 20)
-    assert asof._is_small(right, ["k"])
-    assert asof._is_small(right.limit(0), ["k"])
+def test_asof_runs_no_job_while_it_is_built(spark):
+    left, right = spark.createDataFrame([(1, 1, at(5))], LEFT), spark.createDataFrame([(1, at(1), "a")], RIGHT)
+    spark.sparkContext.setJobGroup("asof", "build")
+    joined = asof_join(left, right, ["k"], "ts", "vts")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("asof") == []
+    spark.sparkContext.setJobGroup("tests", "")
+    assert "Broadcast" not in plan_of(joined) and "Cartesian" not in plan_of(joined)
+
+
+def test_asof_keeps_columns_whatever_their_names(spark):
+    left = spark.sql("select 1 as `key_0`, timestamp '2024-01-01 05:00:00' as at, 'x' as row, 3 as `a.b`, 4 as slot")
+    right = spark.sql("select 1 as `key_0`, timestamp '2024-01-01 04:00:00' as since, 'v' as version, 5 as `c.d`")
+    joined = asof_join(left, right, ["key_0"], "at", "since")
+    assert joined.columns == ["key_0", "at", "row", "a.b", "slot", "since", "version", "c.d"]
+    assert [tuple(r)[2:5] + tuple(r)[6:] for r in joined.collect()] == [("x", 3, 4, "v", 5)]
 
 
 def test_asof_rejects(spark):
@@ -241,5 +246,26 @@ def test_asof_rejects(spark):
     right = spark.createDataFrame([], RIGHT)
     with pytest.raises(ValueError):
         asof_join(left, right, ["k"], "ts", "vts", how="full")
-    with pytest.raises(ValueError):
-        asof_join(left, right, ["k"], "ts", "vts", strategy="guess")
+
+
+RESERVED = "select 1 as id, 5 as place, 6 as there, 7 as `a.b`, timestamp '2024-01-01' as ts"
+
+
+def test_latest_images_keep_columns_whatever_their_names(spark):
+    rows = spark.sql(f"{RESERVED} union all select 1, 8, 9, 10, timestamp '2024-01-02'")
+    assert [tuple(r)[:4] for r in latest_per_key(rows, ["id"], "ts").collect()] == [(1, 8, 9, 10)]
+    assert latest_per_key(rows, ["a.b"], "ts", per_day=True).columns == rows.columns
+
+
+def test_merges_keep_columns_whatever_their_names(spark):
+    main, changes = spark.sql(RESERVED), spark.sql("select 2 as id, 1 as place, 0 as there, 3 as `a.b`, timestamp '2024-01-02' as ts")
+    merged = upsert(main, changes, ["id"], "ts")
+    assert sorted(tuple(r)[:4] for r in merged.collect()) == [(1, 5, 6, 7), (2, 1, 0, 3)]
+
+
+def test_amounts_are_not_rounded(spark):
+    floats = spark.sql("select * from values (0.00004d, null), (0.00004d, null), (1.23456d, null), (2e14d, null), (2e14d, 1) t(p, r)")
+    assert floats.agg(signed_total(exact("p"), "r").cast("double").alias("s")).first().s == 1.23464
+    decimals = spark.sql("select cast(p as decimal(12,5)) as p, cast(null as int) as r from values (0.00004), (0.00004), (1.23456) t(p)")
+    total = decimals.agg(signed_total("p", "r").alias("s")).first().s
+    assert str(total) == "1.23464"

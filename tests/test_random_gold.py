@@ -7,7 +7,6 @@ import duckdb
 import pytest
 
 from tests.conftest import rows_of
-from tidemart.operators import asof
 from tidemart.plans import order_items_fact, product_dimension, sales_report
 from tidemart.slices import Slice
 
@@ -76,7 +75,7 @@ def report_sql(window, rank_by):
 
 
 @pytest.mark.parametrize("seed", range(5))
-def test_gold_on_random_logs(spark, monkeypatch, seed):
+def test_gold_on_random_logs(spark, seed):
     duck = duckdb.connect()
     items, products = random_rows(random.Random(seed))
     item_log = load(spark, duck, "items", items, ITEM_KINDS)
@@ -87,9 +86,7 @@ def test_gold_on_random_logs(spark, monkeypatch, seed):
     assert rows_of(fact) == sql(latest_sql("items", ITEM_KINDS, "updated_at >= timestamp '2020-01-01'"))
     assert rows_of(dim) == sql(latest_sql("products", PRODUCT_KINDS, "updated_at >= timestamp '2000-01-01'"))
     everything, day = "updated_at >= timestamp '2020-01-01'", "cast(updated_at as date) = date '2024-01-03'"
-    for versions in (32, 0):  # broadcast form, then the form for large version tables
-        monkeypatch.setattr(asof, "BROADCAST_VERSIONS", versions)
-        assert rows_of(sales_report(fact, dim, Slice.since("2020-01-01"))) == sql(report_sql(everything, "s.line"))
-        assert rows_of(sales_report(fact, dim, Slice.since("2020-01-01"), "item")) == sql(report_sql(everything, "s.id"))
-        assert rows_of(sales_report(fact, dim, Slice.day("2024-01-03"))) == sql(report_sql(day, "s.line"))
+    assert rows_of(sales_report(fact, dim, Slice.since("2020-01-01"))) == sql(report_sql(everything, "s.line"))
+    assert rows_of(sales_report(fact, dim, Slice.since("2020-01-01"), "item")) == sql(report_sql(everything, "s.id"))
+    assert rows_of(sales_report(fact, dim, Slice.day("2024-01-03"))) == sql(report_sql(day, "s.line"))
     duck.close()

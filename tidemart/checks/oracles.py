@@ -158,6 +158,16 @@ ORACLES: dict[str, str] = {
     "qualifying_sales": f"with {_SALES} select * from sales",
     "asof_left_join": _ASOF,
     "asof_left_join_slots": _ASOF,
+    "asof_left_join_dense": """
+        with seen as (select user_id, ts as seen_at, event_type as seen_type from events where event_type <> 'purchase')
+        select b.event_id, b.user_id, b.ts, b.value, s.seen_at, s.seen_type
+        from (select * from events where event_type = 'purchase') b
+        asof left join seen s on b.user_id = s.user_id and b.ts >= s.seen_at""",
+    "signed_sales_exact": f"""
+        with {_FACT} select status, cast(sum(case when returned_at is not null then -price else price end) as decimal(38,5)) as total_sales
+        from (select *, cast(cast(round(sale_price * 100) as bigint) * 125 as decimal(18,0)) * cast(0.00001 as decimal(5,5)) as price from fact)
+        group by status""",
+    "latest_per_key_reserved": f"select *, event_id % 7 as _rank, user_id * 2 as place from ({_LAST_EVENT})",
     "signed_sales_by_status": f"with {_FACT} select status, {_TOTAL} from fact group by status",
     "sales_with_product_version": f"with {_SALES} select * from matched",
     "sales_report_full": f"with {_SALES} {_REPORT.format('matched')}",

@@ -221,6 +221,13 @@ def latest_per_key_(spark, sf):
     return latest_per_key(views.table(spark, sf, "events"), ["user_id"], "ts")
 
 
+@query
+def latest_per_key_reserved(spark, sf):
+    """Columns of any name are kept."""
+    events = views.table(spark, sf, "events").withColumns({"_rank": F.col("event_id") % 7, "place": F.col("user_id") * 2})
+    return latest_per_key(events, ["user_id"], "ts")
+
+
 @query
 def latest_per_key_items(spark, sf):
     return latest_per_key(views.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
@@ -311,29 +318,47 @@ def qualifying_sales_(spark, sf):
     return qualifying_sales(views.fact(spark, sf))
 
 
-def _asof(spark, sf, strategy: str) -> DataFrame:
+def _asof(spark, sf, slot_seconds: int) -> DataFrame:
     versions = views.dimension(spark, sf).select(
         F.col("id").alias("product_id"), F.col("updated_at").alias("version_at"), "brand", "department", "category"
     )
     sales = views.fact(spark, sf).select("id", "product_id", "created_at", "updated_at")
-    return asof_join(sales, versions, ["product_id"], "created_at", "version_at", strategy=strategy)
+    return asof_join(sales, versions, ["product_id"], "created_at", "version_at", slot_seconds=slot_seconds)
 
 
 @query
 def asof_left_join(spark, sf):
     """Every fact row with the product version in force when its order was placed."""
-    return _asof(spark, sf, "auto")
+    return _asof(spark, sf, 3_600)
 
 
 @query
 def asof_left_join_slots(spark, sf):
-    """The same join in the form used for version tables of any size."""
-    return _asof(spark, sf, "slots")
+    """The same join with time cut into days."""
+    return _asof(spark, sf, 86_400)
+
+
+@query
+def asof_left_join_dense(spark, sf):
+    """Every purchase with the user's last other event before it: many versions per key and day."""
+    events = views.table(spark, sf, "events")
+    bought = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
+    seen = events.filter("event_type <> 'purchase'").select("user_id", F.col("ts").alias("seen_at"), F.col("event_type").alias("seen_type"))
+    return asof_join(bought, seen, ["user_id"], "ts", "seen_at")
 
 
 @query
 def signed_sales_by_status(spark, sf):
-    return views.fact(spark, sf).groupBy("status").agg(signed_total(exact("sale_price"), "returned_at").alias("total_sales"))
+    total = signed_total(exact("sale_price"), "returned_at").cast("double")
+    return views.fact(spark, sf).groupBy("status").agg(total.alias("total_sales"))
+
+
+@query
+def signed_sales_exact(spark, sf):
+    """Decimal prices, with three decimals, give decimal totals."""
+    price = (F.col("sale_price").cast("decimal(14,2)") / F.lit(8).cast("decimal(2,0)")).cast("decimal(18,5)")
+    total = signed_total(price, "returned_at").cast("decimal(38,5)")
+    return views.fact(spark, sf).groupBy("status").agg(total.alias("total_sales"))
 
 
 @query

@@ -13,9 +13,9 @@ def _col(value: str | Column) -> Column:
 def exact(price: str | Column) -> Column:
     """A float price as a decimal: float sums depend on row order, decimal sums do not.
 
-    Precision 18 keeps the value in one long, so the partial sums stay in codegen.
+    Ten decimals, and 22 digits before them, are more than a double has at either end of any price.
     """
-    return _col(price).cast("decimal(18,4)")
+    return _col(price).cast("decimal(32,10)")
 
 
 def signed_amount(price: str | Column, returned_at: str | Column) -> Column:
@@ -24,5 +24,5 @@ def signed_amount(price: str | Column, returned_at: str | Column) -> Column:
 
 
 def signed_total(price: str | Column, returned_at: str | Column) -> Column:
-    """The exact sum of signed amounts, as a double. Pass a decimal price, or ``exact(price)``."""
-    return F.sum(signed_amount(price, returned_at)).cast("double")
+    """The sum of signed amounts, exact for decimal prices: a decimal. For floats pass ``exact(price)``."""
+    return F.sum(signed_amount(price, returned_at))

@@ -1,4 +1,4 @@
-"""Backward as-of join without comparing all pairs of a key."""
+"""Backward as-of join by merging both sides in time."""
 
 from __future__ import annotations
 
@@ -8,37 +8,18 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DAY_SECONDS = 86_400
-BROADCAST_BYTES = 64 * 1024 * 1024
-BROADCAST_VERSIONS = 32
+from tidemart.functions import named
 
+SLOT_SECONDS = 3_600
 
-def _slot(ts: str, seconds: int) -> Column:
-    """Number of the time slot; it never decreases with time, which is all the join needs."""
-    whole = F.unix_seconds(F.col(ts).cast("timestamp"))
-    return F.floor(whole / F.lit(seconds)).cast("long")
 
+def _micros(ts: str) -> Column:
+    return F.unix_micros(named(ts).cast("timestamp"))
 
-def _known(on: Sequence[str], ts: str) -> Column:
-    return reduce(and_, [F.col(c).isNotNull() for c in (*on, ts)])
-
-
-def _is_small(right: DataFrame, on: Sequence[str]) -> bool:
-    """Measure ``right``: small enough to broadcast, and few versions for every key."""
-    text = {f.name for f in right.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))}
-    width = F.lit(32)
-    for column in right.columns:
-        width = width + (F.coalesce(F.octet_length(column), F.lit(0)) if column in text else F.lit(8))
-    per_key = right.groupBy(*on).agg(F.count("*").alias("n"), F.sum(width).alias("bytes"))
-    most, size = per_key.agg(F.max("n"), F.sum("bytes")).first()
-    return most is None or (most <= BROADCAST_VERSIONS and size <= BROADCAST_BYTES)
 
-
-def _result(joined: DataFrame, left: DataFrame, payload: Sequence[str]) -> DataFrame:
-    version = F.col("_version")
-    return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[version.getField(c).alias(c) for c in payload])
+def _known(on: Sequence[str], ts: str) -> Column:
+    return reduce(and_, [named(c).isNotNull() for c in (*on, ts)])
 
 
 def asof_join(
@@ -48,17 +29,19 @@ def asof_join(
     left_ts: str,
     right_ts: str,
     how: str = "left",
-    strategy: str = "auto",
-    slot_seconds: int = DAY_SECONDS,
+    slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
     """Each left row with the latest right row of its key where ``right_ts <= left_ts``.
 
     ``right`` must be unique per key and ``right_ts``. The result has the left columns and then
     the right columns outside ``on``; with ``how="left"`` unmatched left rows carry NULLs.
 
-    ``auto`` measures ``right`` with one small aggregation. If it is small and no key has many
-    versions, it is broadcast and ``left`` is not shuffled; otherwise, or with ``slots``, the
-    join runs on time slots.
+    Both sides are merged: in the order of time, a left row takes the last version before it. One
+    window over a key would put a hot key into one task, so time is cut into slots and the
+    windows run over (key, slot). What a slot inherits from earlier ones comes from a window over
+    one row per (key, slot), whose groups grow with the calendar and not with the rows. Nothing
+    is compared in pairs, measured beforehand or broadcast; one plan serves tables of any size.
+    Choose ``slot_seconds`` so that a slot of the densest key fits a task.
     """
     payload = [c for c in right.columns if c not in on]
     clash = sorted(set(payload) & set(left.columns))
@@ -66,74 +49,50 @@ def asof_join(
         raise ValueError(f"columns on both sides of the as-of join: {', '.join(clash)}")
     if how not in ("left", "inner"):
         raise ValueError(f"as-of join cannot be {how!r}")
-    if strategy not in ("auto", "slots"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    versions = right.filter(_known(on, right_ts)).select(*on, F.struct(*payload).alias("_version"))
-    if strategy == "auto" and _is_small(right, on):
-        joined = _interval_join(left, versions, on, left_ts, right_ts, how)
-    else:
-        joined = _slot_join(left, versions, on, left_ts, right_ts, how, slot_seconds)
-    return _result(joined, left, payload)
-
 
-def _in_force(left_ts: str, starts: Column) -> Column:
-    return (F.col(left_ts) >= starts) & (F.col("_until").isNull() | (F.col(left_ts) < F.col("_until")))
+    # Rows travel as structs, so names of theirs cannot clash with these.
+    keys = [f"key_{i}" for i in range(len(on))]
+    slot = F.floor(F.col("at") / F.lit(slot_seconds * 1_000_000)).alias("slot")
+    no_row = F.lit(None).cast(left.select(F.struct(*map(named, left.columns))).schema[0].dataType)
+    no_version = F.lit(None).cast(right.select(F.struct(*map(named, payload))).schema[0].dataType)
 
+    def events(df: DataFrame, ts: str, row: Column, version: Column) -> DataFrame:
+        known = df.filter(_known(on, ts))
+        columns = [named(c).alias(k) for c, k in zip(on, keys, strict=True)]
+        placed = known.select(*columns, _micros(ts).alias("at"), row.alias("row"), version.alias("version"))
+        return placed.select(*keys, slot, "at", "row", "version")
 
-def _interval_join(
-    left: DataFrame, versions: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, how: str
-) -> DataFrame:
-    """Broadcast every version with the time its successor starts. Only for a measured small side."""
-    starts = F.col("_version").getField(right_ts)
-    periods = versions.withColumn("_until", F.lead(starts).over(Window.partitionBy(*on).orderBy(starts))).select(
-        *[F.col(c).alias(f"_on_{c}") for c in on], "_version", "_until"
-    )
-    match = reduce(and_, [F.col(c) == F.col(f"_on_{c}") for c in on]) & _in_force(left_ts, starts)
-    return left.join(F.broadcast(periods), match, how)
-
-
-def _slot_join(
-    left: DataFrame, versions: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, how: str, slot_seconds: int
-) -> DataFrame:
-    """Join on (key, time slot), for version tables of any size.
-
-    A plain range join compares every left row with every version of its key. Here time is cut
-    into slots: within a slot a left row can only match a version that starts in the same slot
-    or the one carried in from before. A version table with at most one row per key and day
-    gives at most two candidates per left row. The carried versions come from one running
-    window over (key, slot) summaries, whose groups grow with the calendar and not with the
-    rows. A hot key spreads over its slots, and AQE can split a hot (key, slot) on the left.
-    """
-    starts = F.col("_version").getField(right_ts)
-    probes = left.filter(_known(on, left_ts)).select(*on, _slot(left_ts, slot_seconds).alias("_slot")).distinct()
-    versions = versions.withColumn("_at", starts).withColumn("_slot", _slot("_at", slot_seconds)).drop("_at")
+    rows = events(left, left_ts, F.struct(*map(named, left.columns)), no_version)
+    versions = events(right, right_ts, no_row, F.struct(*map(named, payload)))
     # Versions of keys nobody asks for go first: one day of sales needs few products of a long history.
-    versions = versions.join(probes.select(*on).distinct(), list(on), "left_semi")
-
-    # The version in force when a slot begins: probes sort before versions of their own slot.
-    closing = versions.groupBy(*on, "_slot").agg(F.max_by("_version", starts).alias("_version"))
-    no_version = F.lit(None).cast(versions.schema["_version"].dataType)
-    timeline = probes.select(*on, "_slot", F.lit(0).alias("_side"), no_version.alias("_version")).unionByName(
-        closing.select(*on, "_slot", F.lit(1).alias("_side"), "_version")
-    )
-    running = (
-        Window.partitionBy(*on).orderBy("_slot", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    versions = versions.join(rows.select(*keys).distinct(), keys, "left_semi")
+
+    # The last version of each slot, handed on to the next slots that have left rows.
+    closing = versions.groupBy(*keys, "slot").agg(F.max_by("version", "at").alias("version"), F.max("at").alias("at"))
+    asked = rows.select(*keys, "slot").distinct().withColumns({"version": no_version, "at": F.lit(None).cast("long")})
+    earlier = Window.partitionBy(*keys).orderBy("slot").rangeBetween(Window.unboundedPreceding, -1)
+    handed = (
+        asked.withColumn("asks", F.lit(True))
+        .unionByName(closing.withColumn("asks", F.lit(False)))
+        .withColumns({c: F.last(c, ignorenulls=True).over(earlier) for c in ("version", "at")})
+        .filter(F.col("asks") & F.col("at").isNotNull())
+        .select(*keys, "slot", "at", no_row.alias("row"), "version")
     )
-    carried = (
-        timeline.withColumn("_version", F.last("_version", ignorenulls=True).over(running))
-        .filter((F.col("_side") == 0) & F.col("_version").isNotNull())
-        .select(*on, "_slot", "_version")
+    # A version counts for rows of its own time, so it comes before them.
+    in_time = Window.partitionBy(*keys, "slot").orderBy("at", F.col("row").isNotNull())
+    merged = (
+        rows.unionByName(versions)
+        .unionByName(handed)
+        .withColumn("version", F.last("version", ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, 0)))
+        .filter(F.col("row").isNotNull())
+        .select("row", "version")
     )
-
-    # Joining on a column derived from the slot makes Spark shuffle both sides of the join, and
-    # only then may AQE split a skewed partition of the left side.
-    slot_start = F.timestamp_seconds(F.col("_slot") * slot_seconds)
-    candidates = (
-        versions.unionByName(carried)
-        .withColumn("_until", F.lead(starts).over(Window.partitionBy(*on, "_slot").orderBy(starts)))
-        .select(*[F.col(c).alias(f"_on_{c}") for c in on], slot_start.alias("_from"), "_version", "_until")
+    if how == "left":
+        unknown = left.filter(~_known(on, left_ts)).select(F.struct(*map(named, left.columns)).alias("row"), no_version.alias("version"))
+        merged = merged.unionByName(unknown)
+    else:
+        merged = merged.filter(F.col("version").isNotNull())
+    return merged.select(
+        *[F.col("row").getField(c).alias(c) for c in left.columns],
+        *[F.col("version").getField(c).alias(c) for c in payload],
     )
-    match = reduce(and_, [F.col(c) == F.col(f"_on_{c}") for c in on])
-    match = match & (F.col("_probe_from") == F.col("_from")) & _in_force(left_ts, starts)
-    probe_from = F.timestamp_seconds(_slot(left_ts, slot_seconds) * slot_seconds)
-    return left.withColumn("_probe_from", probe_from).join(candidates, match, how)

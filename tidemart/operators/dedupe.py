@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.functions import day_of
+from tidemart.functions import day_of, named, unused
 
 
 def _orderable(kind: T.DataType) -> bool:
@@ -27,13 +27,15 @@ def latest_per_key(
     A NULL audit ranks last and NULL keys form one group. Equal audits are settled by
     ``tiebreak``, by default all remaining columns in schema order, so the pick does not
     depend on row order. The ``row_number = 1`` shape lets Spark keep one row per key and
-    map task before the shuffle, so a hot key ships at most one row per task.
+    map task before the shuffle, so a hot key ships at most one row per task. All columns are
+    kept, whatever their names.
     """
-    groups = [F.col(k) for k in keys] + ([day_of(audit)] if per_day else [])
+    groups = [named(k) for k in keys] + ([day_of(named(audit))] if per_day else [])
     if tiebreak is None:
         fixed = {*keys, audit}
         tiebreak = [f.name for f in df.schema.fields if f.name not in fixed and _orderable(f.dataType)]
-    order = [F.col(audit).desc_nulls_last()]
-    order += [F.col(f"`{t}`").asc_nulls_last() if isinstance(t, str) else t for t in tiebreak]
+    order = [named(audit).desc_nulls_last()]
+    order += [named(t).asc_nulls_last() if isinstance(t, str) else t for t in tiebreak]
+    place = unused(df.columns, "place")
     rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    return df.withColumn(place, rank).filter(F.col(place) == 1).drop(place)

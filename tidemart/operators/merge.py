@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.functions import named, unused
+
 
 def upsert(main: DataFrame, changes: DataFrame, keys: Sequence[str], audit: str) -> DataFrame:
     """``main`` after merging ``changes``; columns and types are those of ``main``.
@@ -24,13 +26,15 @@ def upsert(main: DataFrame, changes: DataFrame, keys: Sequence[str], audit: str)
     missing = [c for c in main.columns if c not in changes.columns]
     if missing:
         raise ValueError(f"changes lack columns of the main table: {', '.join(missing)}")
-    current = main.withColumn("_present", F.lit(True)).alias("m")
-    incoming = changes.select(*main.columns).withColumn("_present", F.lit(True)).alias("d")
-    same_key = reduce(and_, [F.col(f"m.`{k}`") == F.col(f"d.`{k}`") for k in keys])
-    newer = F.coalesce(F.col(f"m.`{audit}`") <= F.col(f"d.`{audit}`"), F.lit(False))
-    take = F.col("d._present").isNotNull() & (F.col("m._present").isNull() | newer)
+    there = unused(main.columns, "there")
+    current = main.withColumn(there, F.lit(True)).alias("m")
+    incoming = changes.select(*map(named, main.columns)).withColumn(there, F.lit(True)).alias("d")
+    old, new = (lambda column, side=side: F.col(f"{side}.`{column.replace('`', '``')}`") for side in ("m", "d"))
+    same_key = reduce(and_, [old(k) == new(k) for k in keys])
+    newer = F.coalesce(old(audit) <= new(audit), F.lit(False))
+    take = new(there).isNotNull() & (old(there).isNull() | newer)
     columns = [
-        F.when(take, F.col(f"d.`{f.name}`").cast(f.dataType)).otherwise(F.col(f"m.`{f.name}`")).alias(f.name)
+        F.when(take, new(f.name).cast(f.dataType)).otherwise(old(f.name)).alias(f.name)
         for f in main.schema.fields
     ]
     return current.join(incoming, same_key, "full_outer").select(*columns)

@@ -78,7 +78,8 @@ def sales_report(
 
     ``item_day`` counts each item once per day, so a full refresh equals the union of its days.
     ``item`` counts each item once over the whole slice, on its image with the latest product
-    version (and then the latest image); for a one-day slice both agree.
+    version (and then the latest image); for a one-day slice both agree. Decimal prices give
+    decimal totals, float prices are summed exactly and given as doubles.
     """
     if grain not in ("item_day", "item"):
         raise ValueError(f"unknown grain {grain!r}")
@@ -86,7 +87,10 @@ def sales_report(
     if grain == "item":
         sales = latest_per_key(sales, ["id"], "version_at", tiebreak=[F.col("updated_at").desc_nulls_last()])
     stored_exactly = isinstance(sales.schema["sale_price"].dataType, DecimalType)
-    price = F.col("sale_price") if stored_exactly else exact("sale_price")
+    if stored_exactly:
+        total = signed_total("sale_price", "returned_at")
+    else:
+        total = signed_total(exact("sale_price"), "returned_at").cast("double")
     return sales.groupBy(day_of("updated_at").alias("sales_date"), "category", "brand", "department").agg(
-        signed_total(price, "returned_at").alias("total_sales")
+        total.alias("total_sales")
     )
