@@ -256,3 +256,58 @@ def test_tables_by_name(spark, shop):
     total = spark.sql("select sum(total_sales) from gold.sales_report where sales_date = '2024-01-03'").first()[0]
     assert total == 20.0
     assert spark.sql("select * from bronze.main_order_items").columns == open_table(spark, shop, "main_order_items").columns
+
+
+def test_views_of_main_tables_survive_merges(spark, shop):
+    run_snapshot(spark, shop, "orders", t(3))
+    run_merge(spark, shop, "2024-01-03", ["orders"])
+    publish(spark, shop)
+    view = "spark_catalog.bronze.main_orders" if spark.catalog.tableExists("spark_catalog.bronze.main_orders") else None
+    names = [f"{d.name}.main_orders" for d in spark.catalog.listDatabases() if spark.catalog.tableExists(f"spark_catalog.{d.name}.main_orders")]
+    name = view or f"spark_catalog.{names[0]}"
+    for day in (4, 5, 6):
+        write_source(spark, shop.root.replace("lake", "src"), orders=[(day, f"d{day}", t(day, 5))])
+        run_hour(spark, shop, t(day, 5), ["orders"])
+        run_merge(spark, shop, f"2024-01-{day:02d}", ["orders"])
+        stored = read_current(spark, shop.main("orders"), ["order_id"])
+        assert rows_of(spark.table(name)) == rows_of(stored) and spark.table(name).filter(f"order_id = {day}").first().status == f"d{day}"
+
+
+def test_native_merge_is_chosen_by_a_setting(spark, shop, monkeypatch):
+    from tidemart.plans import jobs
+
+    calls = []
+    monkeypatch.setattr(jobs.snapshots, "merge_into_table", lambda s, table, df, keys, audit: calls.append((table, df.count())))
+    spark.createDataFrame([], ORDERS).write.mode("overwrite").saveAsTable("default.main_orders")
+    cfg = replace(shop, catalog_main="default.main_{table}")
+    run_snapshot(spark, cfg, "orders", t(3))
+    run_hour(spark, cfg, t(3, 5), ["orders"])
+    assert run_merge(spark, cfg, "2024-01-03", ["orders"]) == {"orders": None}
+    assert calls == [("default.main_orders", 4)] and not os.path.exists(cfg.main("orders"))
+    spark.createDataFrame([(1, "x", t(1))], ORDERS).write.mode("append").saveAsTable("default.main_orders")
+    run_merge(spark, cfg, "2024-01-03", ["orders"])
+    assert calls[1] == ("default.main_orders", 4)
+    spark.sql("DROP TABLE default.main_orders")
+
+
+def test_readers_reach_every_capture(spark, shop, monkeypatch):
+    from tidemart.plans import jobs
+
+    seen = []
+    real = jobs.extract.read_window
+    monkeypatch.setattr(jobs.extract, "read_window", lambda *a: (seen.append(a[4]), real(*a))[1])
+    run_hour(spark, replace(shop, readers=3), t(3, 5), ["orders", "users"])
+    assert seen == [3, 3]
+
+
+def test_grain_from_the_command_line(spark, shop, tmp_path, monkeypatch):
+    from tidemart import __main__ as command
+
+    settings = tmp_path / "settings.json"
+    settings.write_text(json.dumps({"root": shop.root, "files": {"root": str(tmp_path / "src")}}))
+    seen = []
+    monkeypatch.setattr(command, "run_gold", lambda *a: seen.append(a[3:]))
+    for extra in ([], ["--grain", "item"]):
+        main(["--settings", str(settings), "gold", "--full-refresh", *extra], spark)
+    assert [s[2] for s in seen] == ["item_day", "item"] or [s[1:] for s in seen]
+    assert [("item" in s, "item_day" in s) for s in seen] == [(False, True), (True, False)]

@@ -134,9 +134,10 @@ def test_jdbc_snapshot_is_split_by_key():
 
 
 def test_jdbc_window_runs_in_the_database():
-    reader = Reader()
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampNTZType())])
+    reader = Reader(schema)
     read_window(reader, JdbcSource("jdbc:x", {"user": "u"}), TableSpec("orders", ("id",), "at"), Slice.hour(T0), 2)
-    (call,) = reader.calls
+    _, call = reader.calls
     assert call["url"] == "jdbc:x" and call["table"] == "orders"
     assert call["properties"] == {"user": "u", "fetchsize": "10000", "preferTimestampNTZ": "true"}
     assert call["predicates"] == [
@@ -279,7 +280,7 @@ def test_overwrite_replaces_only_present_days(spark, tmp_path):
     assert state() == [(1, "a"), (3, "a"), (4, "a")]
     overwrite_partitions(first.filter("id = 2"), path, day, clear_empty=date(2024, 1, 2))
     assert state() == [(1, "a"), (2, "a"), (3, "a"), (4, "a")]
-    overwrite_partitions(first.filter("id = 3"), path, day, whole_table=True, tasks=2)
+    overwrite_partitions(first.filter("id = 3"), path, day, whole_table=True)
     assert state() == [(3, "a")]
 
 
@@ -306,7 +307,7 @@ def test_partition_reads_prune(spark, tmp_path):
     assert [r.id for r in day.collect()] == [4] and len(day.inputFiles()) == 1
     assert day.columns == rows.columns
     since = read_partitions(spark, path, Slice.since("2024-01-04"), "ts")
-    assert since.count() == 6 and "PartitionFilters: [isnotnull(p_date" in plan_of(since)
+    assert since.count() == 6 and "PartitionFilters: [isnotnull(p_span" in plan_of(since)
     assert read_partitions(spark, path, Slice.day("2025-01-01"), "ts").count() == 0
     assert [r.id for r in read_partitions(spark, path, Slice.day("2024-01-04")).collect()] == [4]
 
@@ -415,3 +416,120 @@ def test_shared_dir_on_a_cluster_must_be_set(spark, conf, monkeypatch):
     with pytest.raises(ValueError, match="checkpoint"):
         session.shared_dir(Fake)
     assert session.scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# Failed writes
+
+
+def failing(spark, df):
+    """The same rows from a task that fails while it is writing them."""
+
+    @F.udf("string")
+    def broken(v):
+        raise RuntimeError("a task fails")
+
+    return df.withColumn("v", broken("v"))
+
+
+def test_a_failed_rerun_leaves_the_slice_of_the_log(spark, tmp_path):
+    path, rows = f"{tmp_path}/log", spark.createDataFrame([(n, T0, "a") for n in range(10)], LOG)
+    for label, one_day in ((Slice.hour(T0), True), ("init-x", False)):
+        append_delta(rows, path, label, "ts", one_day=one_day)
+    before = rows_of(read_delta(spark, path))
+    for label, one_day in ((Slice.hour(T0), True), ("init-x", False)):
+        with pytest.raises(Exception, match="a task fails"):
+            append_delta(failing(spark, rows), path, label, "ts", one_day=one_day)
+    assert rows_of(read_delta(spark, path)) == before and len(before) == 20
+    append_delta(rows.limit(0), path, "init-x", "ts")
+    assert read_delta(spark, path).count() == 10
+    moved = rows.withColumn("ts", F.lit(datetime(2023, 5, 1)))
+    append_delta(moved, path, Slice.hour(T0), "ts", one_day=True)
+    assert rows_of(read_delta(spark, path)) == rows_of(moved)
+
+
+def test_an_unfinished_landing_folder_is_not_read(spark, tmp_path):
+    path, rows = f"{tmp_path}/landed", spark.createDataFrame([(n, T0, "a") for n in range(10)], LOG)
+    write_landing(rows, path)
+    with pytest.raises(Exception, match="a task fails"):
+        write_landing(failing(spark, rows), path)
+    with pytest.raises(ValueError, match="not finished"):
+        read_landing(spark, path)
+    write_landing(rows, path)
+    assert read_landing(spark, path).count() == 10
+
+
+def test_a_failed_write_leaves_the_days(spark, tmp_path):
+    path, day = f"{tmp_path}/t", day_of("ts")
+    rows = spark.createDataFrame([(n, datetime(2024, 1, n, 12), "a") for n in range(1, 6)], LOG)
+    overwrite_partitions(rows, path, day, whole_table=True, gather_before=date(2024, 1, 1))
+    before = rows_of(read_partitions(spark, path))
+    for how in ({}, {"whole_table": True}, {"clear_empty": date(2024, 1, 2)}):
+        with pytest.raises(Exception, match="a task fails"):
+            overwrite_partitions(failing(spark, rows), path, day, **how)
+        assert rows_of(read_partitions(spark, path)) == before
+
+
+def test_closed_months_are_gathered(spark, tmp_path):
+    path, day = f"{tmp_path}/t", day_of("ts")
+    stamps = [datetime(2023, 11, 5), datetime(2023, 12, 1, 3), datetime(2023, 12, 31, 23), datetime(2024, 1, 1), datetime(2024, 1, 9, 4)]
+    rows = spark.createDataFrame([(n, at, "a") for n, at in enumerate(stamps)] + [(9, None, "a")], LOG)
+    overwrite_partitions(rows, path, day, whole_table=True, gather_before=date(2024, 1, 20))
+    spans = lambda: sorted(n for n in os.listdir(path) if n.startswith("p_span="))
+    closed = ["p_span=2023-11", "p_span=2023-12"]
+    assert spans() == [*closed, "p_span=2024-01-01", "p_span=2024-01-09", "p_span=__HIVE_DEFAULT_PARTITION__"]
+    state = lambda: sorted((r.id, r.v) for r in read_partitions(spark, path).collect())
+    assert read_partitions(spark, path).columns == rows.columns and len(state()) == 6
+    for n, at in enumerate(stamps):
+        assert [r.id for r in read_partitions(spark, path, Slice.day(at), "ts").collect()] == [n]
+    assert sorted(r.id for r in read_partitions(spark, path, Slice.since("2023-12-02")).collect()) == [2, 3, 4]
+    # Days inside and outside of gathered months are rebuilt at once; a new day gets a folder of its own.
+    again = spark.createDataFrame([(20, stamps[1], "b"), (21, stamps[3], "b"), (22, datetime(2024, 1, 10), "b")], LOG)
+    overwrite_partitions(again, path, day)
+    assert state() == [(0, "a"), (2, "a"), (4, "a"), (9, "a"), (20, "b"), (21, "b"), (22, "b")]
+    assert [n for n in spans() if n in closed] == closed and "p_span=2024-01-10" in spans()
+    overwrite_partitions(rows.limit(0), path, day, clear_empty=date(2023, 12, 31))
+    assert read_partitions(spark, path, Slice.day("2023-12-31")).count() == 0 and len(state()) == 6
+    overwrite_partitions(rows.limit(0), path, day, clear_empty=date(2023, 12, 1))
+    overwrite_partitions(rows.filter("id = 2"), path, day, clear_empty=date(2023, 12, 31))
+    assert state() == [(0, "a"), (2, "a"), (4, "a"), (9, "a"), (21, "b"), (22, "b")]
+
+
+def test_folder_columns_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(1, T0, "a")], LOG)
+    for name in ("p_span", "p_date"):
+        with pytest.raises(ValueError, match=name):
+            overwrite_partitions(rows.withColumn(name, F.lit("x")), f"{tmp_path}/t", day_of("ts"))
+    for name in ("slice", "P_FROM"):
+        with pytest.raises(ValueError, match=name):
+            append_delta(rows.withColumn(name, F.lit("x")), f"{tmp_path}/d", "s", "ts")
+
+
+# Bounds by type
+
+
+def test_hours_of_an_audit_by_dates(spark, tmp_path):
+    rows = spark.sql("select id, date '2024-01-02' as at from range(3) union all select 9, date '2024-01-03'")
+    rows.write.parquet(f"{tmp_path}/orders")
+    read = lambda hour: read_window(spark, FileSource(str(tmp_path)), TableSpec("orders", ("id",), "at"), Slice.hour(hour))
+    assert read(datetime(2024, 1, 2, 0)).count() == 3 and read(datetime(2024, 1, 2, 23)).count() == 0
+    assert read(datetime(2024, 1, 2, 1)).count() == 0 and read(datetime(2024, 1, 3, 0)).count() == 1
+    assert "PushedFilters: [IsNotNull(at), GreaterThanOrEqual(at,2024-01-02)" in plan_of(read(datetime(2024, 1, 2, 0)))
+
+
+def test_audits_that_are_no_times_are_refused(spark, tmp_path):
+    spark.sql("select 1 as id, '2024-01-02T05:30:00' as at").write.parquet(f"{tmp_path}/orders")
+    with pytest.raises(ValueError, match="string"):
+        read_window(spark, FileSource(str(tmp_path)), TableSpec("orders", ("id",), "at"), Slice.hour(T0))
+    with pytest.raises(ValueError, match="no column"):
+        read_window(spark, FileSource(str(tmp_path)), TableSpec("orders", ("id",), "missing"), Slice.hour(T0))
+
+
+def test_jdbc_dates_and_zones():
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.DateType())])
+    reader = Reader(schema)
+    read_window(reader, JdbcSource("jdbc:postgresql://h/s"), TableSpec("orders", ("id",), "at"), Slice.day(T0), 8)
+    call = reader.calls[-1]
+    assert call["predicates"] == ["at >= '2024-01-02' AND at < '2024-01-03'"]
+    assert call["properties"]["sessionInitStatement"] == "SET TIME ZONE 'UTC'"
+    own = JdbcSource("jdbc:postgresql://h/s", {"sessionInitStatement": "SET x"})
+    assert own.options()["sessionInitStatement"] == "SET x" and "sessionInitStatement" not in JdbcSource("jdbc:x").options()

@@ -1,10 +1,13 @@
+import os
 from datetime import datetime, timedelta
 
+import pytest
+
 from tests.conftest import rows_of
 from tidemart.operators import latest_per_key
 from tidemart.registry import TableSpec
 from tidemart.slices import Slice
-from tidemart.sources import append_delta, read_current, read_delta, write_landing
+from tidemart.sources import append_delta, read_current, read_delta, snapshots, write_landing
 from tidemart.streaming import landing_stream, stream_upsert
 
 KIND = "id long, ts timestamp, v string"
@@ -74,3 +77,59 @@ def test_replayed_batch_is_harmless(spark, tmp_path):
     for checkpoint in ("ck1", "ck2"):
         stream_upsert(spark, f"{root}/delta", f"{root}/main", SPEC, f"{root}/{checkpoint}", 2).awaitTermination()
         assert [r.v for r in read_current(spark, f"{root}/main", ["id"]).collect()] == ["b"]
+
+
+def test_a_slice_landed_again_replaces_itself(spark, tmp_path):
+    root, folder = str(tmp_path), f"{tmp_path}/{Slice.hour(T0).path('db', 't')}"
+    run = lambda: landing_stream(
+        spark, f"{root}/db/t/*/*/data", frame(spark, []).schema, f"{root}/delta", "ts", f"{root}/ck"
+    ).awaitTermination()
+    write_landing(frame(spark, [(1, 1, "a"), (2, 2, "b")]), folder)
+    run()
+    write_landing(frame(spark, [(2, 2, "c")]), folder)
+    run()
+    assert [(r.id, r.v) for r in read_delta(spark, f"{root}/delta").collect()] == [(2, "c")]
+
+
+def test_an_unfinished_slice_is_loaded_by_a_later_run(spark, tmp_path):
+    root, folder = str(tmp_path), f"{tmp_path}/{Slice.hour(T0).path('db', 't')}"
+    rows = frame(spark, [(1, 1, "a")])
+    run = lambda: landing_stream(
+        spark, f"{root}/db/t/*/*/data", rows.schema, f"{root}/delta", "ts", f"{root}/ck"
+    ).awaitTermination()
+    write_landing(rows, folder)
+    os.rename(f"{folder}/schema.json", f"{folder}/hidden")
+    with pytest.raises(Exception, match="not finished"):
+        run()
+    os.rename(f"{folder}/hidden", f"{folder}/schema.json")
+    run()
+    assert rows_of(read_delta(spark, f"{root}/delta")) == rows_of(rows)
+
+
+def test_old_files_are_taken(spark, tmp_path):
+    root = str(tmp_path)
+    for n, days in enumerate((0, 20, 4000)):
+        append_delta(frame(spark, [(n, n, "x")]), f"{root}/delta", f"s{n}", "ts")
+        for folder, _, files in os.walk(f"{root}/delta/slice=s{n}"):
+            for file in files:
+                at = datetime.now().timestamp() - days * 86_400
+                os.utime(f"{folder}/{file}", (at, at))
+        stream_upsert(spark, f"{root}/delta", f"{root}/main", SPEC, f"{root}/ck", 2).awaitTermination()
+    assert read_current(spark, f"{root}/main", ["id"]).count() == 3
+
+
+def test_merges_go_to_a_catalog_table_where_one_is_named(spark, tmp_path, monkeypatch):
+    calls = []
+    monkeypatch.setattr(snapshots, "merge_into_table", lambda s, table, df, keys, audit: calls.append((table, df.count(), keys, audit)))
+    append_delta(frame(spark, [(1, 1, "a"), (1, 2, "b"), (2, 3, "c")]), f"{tmp_path}/delta", "s", "ts")
+    stream_upsert(spark, f"{tmp_path}/delta", f"{tmp_path}/main", SPEC, f"{tmp_path}/ck", catalog_table="lake.t").awaitTermination()
+    assert calls == [("lake.t", 2, ("id",), "ts")] and not os.path.exists(f"{tmp_path}/main")
+
+
+def test_a_first_version_is_sized_by_its_log(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "BUCKET_BYTES", 100)
+    append_delta(frame(spark, [(n, n, "x" * 50) for n in range(50)]), f"{tmp_path}/delta", "s", "ts")
+    stream_upsert(spark, f"{tmp_path}/delta", f"{tmp_path}/main", SPEC, f"{tmp_path}/ck").awaitTermination()
+    assert read_current(spark, f"{tmp_path}/main", ["id"]).count() == 50
+    (folder,) = [n for n in os.listdir(f"{tmp_path}/main") if n.startswith("v=")]
+    assert int(folder.split("buckets=")[1]) > snapshots.MIN_BUCKETS

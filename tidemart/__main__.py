@@ -51,6 +51,7 @@ def _arguments() -> argparse.ArgumentParser:
     gold.add_argument("--day", type=date.fromisoformat)
     gold.add_argument("--full-refresh", action="store_true")
     gold.add_argument("--clear-empty", action="store_true")
+    gold.add_argument("--grain", choices=("item_day", "item"), default="item_day", help="count an item once a day or once a build")
     jobs.add_parser("publish", help="create or renew the SQL views")
     return parser
 
@@ -68,7 +69,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif args.job == "merge":
         run_merge(spark, cfg, args.day or (now - timedelta(days=1)).date(), args.tables)
     elif args.job == "gold":
-        run_gold(spark, cfg, args.day, args.full_refresh, now.date(), clear_empty=args.clear_empty)
+        run_gold(spark, cfg, args.day, args.full_refresh, now.date(), args.grain, args.clear_empty)
     else:
         publish(spark, cfg)
 

@@ -88,6 +88,9 @@ def _fanout(table: str, key: str, audit: str) -> str:
 ORACLES: dict[str, str] = {
     "snapshot_scan": "select * from orders",
     "hourly_window_extract": "select * from events where date_trunc('hour', ts) = timestamp '2024-01-02 05:00:00'",
+    "hourly_window_extract_dates": """
+        select *, cast(ts as date) as day, 0 as hour from events
+        where ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-03'""",
     "slice_path_labels": """
         select strftime(date_trunc('hour', ts), '%Y-%m-%d/%H-%M-%S') as hour_path,
                date_trunc('hour', ts) + interval 1 hour as hour_end,
@@ -186,5 +189,17 @@ ORACLES: dict[str, str] = {
         {_REPORT.format("(select * from ranked where pick = 1)")}""",
     "gold_refresh": f"with {_SALES} {_REPORT.format('matched')}",
     "landing_stream": "select * from events",
+    "landing_stream_late": "select * from events",
+    "landing_stream_replay": "select * from events",
+    "stream_upsert_late": _LAST_EVENT,
+    "daily_merge_out_of_order": """
+        with older as (select arg_max(e, ts) as e, user_id from (select user_id, ts, events as e from events)
+                       where ts < timestamp '2024-01-28' group by user_id),
+             newer as (select user_id, cast(ts as date) as day, max(ts) as ts from events
+                       where ts >= timestamp '2024-01-28' and ts < timestamp '2024-01-31' group by all),
+             merged as (select user_id, ts from newer qualify row_number() over (partition by user_id order by ts desc) = 1)
+        select e.* from events e join merged using (user_id, ts)
+        union all
+        select unnest(e) from older where user_id not in (select user_id from merged)""",
     "stream_upsert": _LAST_EVENT,
 }

@@ -29,6 +29,7 @@ from tidemart.registry import TableSpec
 from tidemart.session import scratch, prepare
 from tidemart.slices import Slice, resolve_slice
 from tidemart.sources import (
+    FileSource,
     append_delta,
     overwrite_partitions,
     read_current,
@@ -37,6 +38,7 @@ from tidemart.sources import (
     read_partitions,
     read_snapshot,
     read_window,
+    storage,
     write_landing,
     write_snapshot,
 )
@@ -74,6 +76,17 @@ def hourly_window_extract(spark, sf):
     return read_window(spark, views.source(sf), views.EVENTS, Slice.hour(HOURS[0]))
 
 
+@query
+def hourly_window_extract_dates(spark, sf):
+    """The first and the last hour of a day by an audit column of dates: all rows of the day, and none."""
+    root = scratch(spark, "dates")
+    views.table(spark, sf, "events").withColumn("day", day_of("ts")).write.parquet(f"{root}/events")
+    spec = TableSpec("events", ("event_id",), "day")
+    hours = (datetime(2024, 1, 2, 0), datetime(2024, 1, 2, 23))
+    parts = [read_window(spark, FileSource(root), spec, Slice.hour(h)).withColumn("hour", F.lit(h.hour)) for h in hours]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def slice_path_labels(spark, sf):
     events = views.table(spark, sf, "events")
@@ -279,6 +292,19 @@ def daily_merge(spark, sf):
     return read_current(spark, cfg.main("events"), ["user_id"])
 
 
+@query
+def daily_merge_out_of_order(spark, sf):
+    """Main built up to a day, then the day after the next merged, and the day between last: stale for most users."""
+    cfg = _pipeline(spark, sf, views.FEED, "merge")
+    events, days = views.table(spark, sf, "events"), [Slice.day(f"2024-01-{n}") for n in (28, 29, 30)]
+    append_delta(events.filter(F.col("ts") < F.lit("2024-01-28")), cfg.delta("events"), "init-2024-01-28-00", "ts")
+    run_merge(spark, cfg, "2024-01-27")
+    for day in (days[0], days[2], days[1]):
+        append_delta(events.filter(day.predicate("ts")), cfg.delta("events"), day, "ts", one_day=True)
+        run_merge(spark, cfg, day.date)
+    return read_current(spark, cfg.main("events"), ["user_id"])
+
+
 # Gold tables
 
 
@@ -425,6 +451,58 @@ def landing_stream_(spark, sf):
     return read_delta(spark, f"{root}/delta")
 
 
+def _backdate(spark, folder: str, days: int) -> None:
+    """Files as an archive or a backfill brings them: older than what was read before."""
+    at = int((datetime.now().timestamp() - days * 86_400) * 1000)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    for place, names in storage.files_below(spark, folder).items():
+        for name in names:
+            path = jvm.Path(f"{place}/{name}")
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).setTimes(path, at, at)
+
+
+def _land_and_stream(spark, sf, root: str, slices: list) -> DataFrame:
+    """Lands slices of events one after another, each followed by a run of the stream; the log."""
+    events = views.table(spark, sf, "events")
+    for hour, keep, days in slices:
+        folder = f"{root}/{Slice.hour(hour).path('shop', 'events')}"
+        write_landing(events.filter(keep), folder)
+        _backdate(spark, f"{folder}/data", days)
+        load = landing_stream(
+            spark, f"{root}/shop/events/*/*/data", events.schema, f"{root}/delta", "ts", f"{root}/checkpoint"
+        )
+        load.awaitTermination()
+    return read_delta(spark, f"{root}/delta")
+
+
+@query
+def landing_stream_late(spark, sf):
+    """The second landing slice comes in files dated 20 days back."""
+    late = Slice.since("2024-01-16").predicate("ts")
+    return _land_and_stream(spark, sf, scratch(spark, "stream"), [(HOURS[0], ~late, 0), (HOURS[2], late, 20)])
+
+
+@query
+def landing_stream_replay(spark, sf):
+    """One landing slice is landed twice, the other once: the log holds every event once."""
+    late = Slice.since("2024-01-16").predicate("ts")
+    slices = [(HOURS[0], ~late, 0), (HOURS[2], late, 0), (HOURS[0], ~late, 0)]
+    return _land_and_stream(spark, sf, scratch(spark, "stream"), slices)
+
+
+@query
+def stream_upsert_late(spark, sf):
+    """The second slice of the log comes in files dated 20 days back."""
+    root = scratch(spark, "stream")
+    events, late = views.table(spark, sf, "events"), Slice.since("2024-01-16").predicate("ts")
+    for label, keep, days in (("a", ~late, 0), ("b", late, 20)):
+        append_delta(events.filter(keep), f"{root}/delta", label, "ts")
+        _backdate(spark, f"{root}/delta/slice={label}", days)
+        merge = stream_upsert(spark, f"{root}/delta", f"{root}/main", views.FEED, f"{root}/checkpoint")
+        merge.awaitTermination()
+    return read_current(spark, f"{root}/main", ["user_id"])
+
+
 @query
 def stream_upsert_(spark, sf):
     """The log of all events in two slices, merged by two runs into the latest event of each user."""

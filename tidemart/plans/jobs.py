@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 from tidemart.functions import day_of
 from tidemart.operators import latest_per_key
 from tidemart.plans import marts
+from tidemart.plans.views import create_view, view_exists
 from tidemart.registry import SHOP_TABLES, TableSpec, layer_name
 from tidemart.session import prepare
 from tidemart.slices import Slice, resolve_slice
 from tidemart.sources import appendlog, extract, landing, partitions, snapshots, storage
 
-# Below this a full gold build is bound by its count of day files, not by their bytes.
-SMALL_TABLE_BYTES = 1024**3
 GOLD_MODELS = ("order_items_fact", "product_dimension", "sales_report")
 
 
@@ -30,7 +29,9 @@ class Pipeline:
 
     ``log_mode="append"`` makes re-runs duplicate log rows instead of replacing their slice.
     ``buckets`` is the number of files of a main table; if not given it follows the table's size.
-    ``keep_versions`` of a main table stay on disk for running readers.
+    ``keep_versions`` of a main table stay on disk for running readers. ``catalog_main`` names the main
+    tables in a catalog with row-level changes, ``lake.shop.main_{table}``; merges then go there by
+    native MERGE, which rewrites only what changes. The tables must exist.
     """
 
     root: str
@@ -41,6 +42,7 @@ class Pipeline:
     log_mode: str = "replace_slice"
     buckets: int | None = None
     keep_versions: int = 2
+    catalog_main: str | None = None
     max_records_per_file: int = 250_000
     readers: int = 8
     parallel_tables: int = 3
@@ -111,7 +113,7 @@ def run_hour(spark: SparkSession, cfg: Pipeline, hour: datetime, tables: Iterabl
     window = Slice.hour(hour)
 
     def capture(spec: TableSpec) -> None:
-        rows = extract.read_window(spark, cfg.source, spec, window)
+        rows = extract.read_window(spark, cfg.source, spec, window, cfg.readers)
         _land_and_log(spark, cfg, rows, spec, window, init=False)
 
     _per_table(spark, cfg, tables, capture)
@@ -120,7 +122,7 @@ def run_hour(spark: SparkSession, cfg: Pipeline, hour: datetime, tables: Iterabl
 def run_merge(
     spark: SparkSession, cfg: Pipeline, day: date | str, tables: Iterable[str] | None = None
 ) -> dict[str, object]:
-    """Bring every main table up to a day; returns the current version of each.
+    """Bring every main table up to a day; returns the current version of each (None for catalog tables).
 
     The first run builds a table from its whole log, later runs merge the rows of the day. A
     day without rows leaves the table as it is.
@@ -128,7 +130,15 @@ def run_merge(
     prepare(spark)
     window = Slice.day(day)
 
-    def merge(spec: TableSpec) -> int:
+    def merge_native(spec: TableSpec) -> None:
+        table = cfg.catalog_main.format(table=spec.name)
+        since = None if spark.table(table).isEmpty() else window
+        log = appendlog.read_delta(spark, cfg.delta(spec.name), since, spec.audit)
+        snapshots.merge_into_table(spark, table, latest_per_key(log, spec.keys, spec.audit), spec.keys, spec.audit)
+
+    def merge(spec: TableSpec) -> int | None:
+        if cfg.catalog_main:
+            return merge_native(spec)
         path = cfg.main(spec.name)
         if snapshots.read_current(spark, path, spec.keys) is None:
             log = appendlog.read_delta(spark, cfg.delta(spec.name))
@@ -139,6 +149,10 @@ def run_merge(
             return snapshots.current_version(spark, path)
         changes = latest_per_key(log, spec.keys, spec.audit)
         version = snapshots.merge_snapshot(spark, path, changes, spec.keys, spec.audit, cfg.buckets)
+        view = f"{layer_name('bronze', cfg.target)}.main_{spec.name}"
+        if view_exists(spark, view):
+            columns = snapshots.read_current(spark, path, spec.keys).columns
+            create_view(spark, view, columns, snapshots.current_folder(spark, path))
         snapshots.expire_snapshots(spark, path, cfg.keep_versions)
         return version
 
@@ -162,7 +176,10 @@ def run_gold(
     today = today or datetime.now(timezone.utc).date()
     built: dict[str, Slice] = {}
 
-    def refresh(model: str, since: str, build: Callable[[Slice], DataFrame], day: Column, source: str) -> None:
+    # This month and the last are still rebuilt day by day.
+    open_since = (today.replace(day=1) - timedelta(days=1)).replace(day=1)
+
+    def refresh(model: str, since: str, build: Callable[[Slice], DataFrame], day: Column) -> None:
         path = cfg.gold(model)
         exists = partitions.table_exists(spark, path)
         window = resolve_slice(
@@ -173,10 +190,8 @@ def run_gold(
             since=since,
         )
         only = window.date if clear_empty and exists and window.kind == "day" else None
-        many_small = window.kind == "since" and storage.size(spark, source) < SMALL_TABLE_BYTES
-        tasks = spark.sparkContext.defaultParallelism if many_small else None
         partitions.overwrite_partitions(
-            build(window), path, day, clear_empty=only, whole_table=full_refresh, tasks=tasks
+            build(window), path, day, clear_empty=only, whole_table=full_refresh, gather_before=open_since
         )
         built[model] = window
 
@@ -189,25 +204,12 @@ def run_gold(
         return marts.sales_report(fact, dimension, window, grain)
 
     changed = day_of("updated_at")
-    items, products = cfg.delta("order_items"), cfg.delta("products")
     steps = [
-        (
-            "order_items_fact",
-            cfg.fact_since,
-            lambda w: marts.order_items_fact(log("order_items", w), w),
-            changed,
-            items,
-        ),
-        (
-            "product_dimension",
-            cfg.dimension_since,
-            lambda w: marts.product_dimension(log("products", w), w),
-            changed,
-            products,
-        ),
+        ("order_items_fact", cfg.fact_since, lambda w: marts.order_items_fact(log("order_items", w), w), changed),
+        ("product_dimension", cfg.dimension_since, lambda w: marts.product_dimension(log("products", w), w), changed),
     ]
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
         for future in [pool.submit(inheritable_thread_target(spark)(refresh), *step) for step in steps]:
             future.result()
-    refresh("sales_report", cfg.report_since, report, F.col("sales_date"), cfg.gold("order_items_fact"))
+    refresh("sales_report", cfg.report_since, report, F.col("sales_date"))
     return built

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.plans.jobs import GOLD_MODELS, Pipeline
+from tidemart.plans.views import create_view
 from tidemart.registry import layer_name
 from tidemart.slices import Slice
 from tidemart.sources import appendlog, partitions, snapshots, storage
@@ -31,15 +32,10 @@ def open_table(spark: SparkSession, cfg: Pipeline, name: str, window: Slice | No
     raise ValueError(f"unknown table {name!r}")
 
 
-def _view(spark: SparkSession, name: str, columns: list[str], folder: str) -> None:
-    chosen = ", ".join(f"`{c}`" for c in columns)
-    spark.sql(f"CREATE OR REPLACE VIEW spark_catalog.{name} AS SELECT {chosen} FROM parquet.`{folder}`")
-
-
 def publish(spark: SparkSession, cfg: Pipeline) -> list[str]:
     """Create a database per layer and a view per stored table, for SQL users; returns the views.
 
-    The view of a main table shows the version that is current now: publish again after a merge.
+    The view of a main table shows one version; every merge renews it before old versions go.
     A table without rows gets no view.
     """
     bronze, gold = layer_name("bronze", cfg.target), layer_name("gold", cfg.target)
@@ -51,15 +47,15 @@ def publish(spark: SparkSession, cfg: Pipeline) -> list[str]:
             log = appendlog.read_delta(spark, cfg.delta(table))
             if not log.isEmpty():
                 views.append(f"{bronze}.delta_{table}")
-                _view(spark, views[-1], log.columns, cfg.delta(table))
+                create_view(spark, views[-1], log.columns, cfg.delta(table))
         current = snapshots.read_current(spark, cfg.main(table), spec.keys)
         if current is not None:
             views.append(f"{bronze}.main_{table}")
-            _view(spark, views[-1], current.columns, snapshots.current_folder(spark, cfg.main(table)))
+            create_view(spark, views[-1], current.columns, snapshots.current_folder(spark, cfg.main(table)))
     for model in GOLD_MODELS:
         if partitions.table_exists(spark, cfg.gold(model)):
             stored = partitions.read_partitions(spark, cfg.gold(model))
             if not stored.isEmpty():
                 views.append(f"{gold}.{model}")
-                _view(spark, views[-1], stored.columns, cfg.gold(model))
+                create_view(spark, views[-1], stored.columns, cfg.gold(model))
     return views

@@ -34,7 +34,7 @@ REPORT_SINCE = "2020-01-01"
 
 
 def _within(df: DataFrame, window: Slice | None) -> DataFrame:
-    return df if window is None else df.filter(window.predicate("updated_at"))
+    return df if window is None else df.filter(window.of(df, "updated_at"))
 
 
 def order_items_fact(delta: DataFrame, window: Slice | None = None) -> DataFrame:

@@ -5,8 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# Fixed value: the folders of a landing slice.
+LANDING_FOLDER = "%Y-%m-%d/%H-%M-%S"
 
 
 def _utc(value: datetime) -> datetime:
@@ -50,18 +55,38 @@ class Slice:
     def date(self) -> date:
         return self.start.date()
 
-    def predicate(self, audit: str | Column, partition: str | Column | None = None) -> Column:
+    def bounds(self, kind: T.DataType) -> tuple[datetime | date, datetime | date | None]:
+        """First value in the slice and first one after it, in the audit column's own type.
+
+        A date is the midnight it starts with: the first hour of a day has its rows, the others none.
+        """
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return self.start, self.end
+        if not isinstance(kind, T.DateType):
+            raise ValueError(f"an audit column must be a timestamp or a date, not {kind.simpleString()}")
+        return tuple(None if at is None else (at + timedelta(days=1) - timedelta.resolution).date() for at in (self.start, self.end))
+
+    def of(self, df: DataFrame, audit: str, partition: str | None = None) -> Column:
+        """``predicate`` for a column of ``df``, by its type; an error for types that are no times."""
+        kind = next((f.dataType for f in df.schema.fields if f.name.lower() == audit.lower()), None)
+        if kind is None:
+            raise ValueError(f"no column {audit!r}")
+        return self.predicate(audit, partition, kind)
+
+    def predicate(self, audit: str | Column, partition: str | Column | None = None, kind: T.DataType = T.TimestampType()) -> Column:
         """Rows of the slice. Bounds are plain comparisons on the column, so they reach the scan.
 
-        The bounds are string literals: the analyzer folds them to the column's own timestamp
-        type (with or without zone) instead of casting the column. ``partition`` names a day
+        Times are string literals: the analyzer folds them to the column's own timestamp
+        type (with or without zone) instead of casting the column. A date column needs its
+        ``kind``, or its values would be compared with shortened bounds. ``partition`` names a day
         column the table is partitioned by; it prunes directories, which a predicate on the
         audit column alone cannot do.
         """
-        column = F.col(audit) if isinstance(audit, str) else audit
-        keep = column >= F.lit(self.start.isoformat(sep=" "))
+        column = F.col(f"`{audit}`") if isinstance(audit, str) else audit
+        first, after = (F.lit(b.isoformat(sep=" ") if isinstance(b, datetime) else b) for b in self.bounds(kind))
+        keep = column >= first
         if self.end is not None:
-            keep = keep & (column < F.lit(self.end.isoformat(sep=" ")))
+            keep = keep & (column < after)
         if partition is not None:
             day = F.col(partition) if isinstance(partition, str) else partition
             mark = F.lit(self.date)
@@ -75,7 +100,7 @@ class Slice:
     def path(self, database: str, table: str, init: bool = False) -> str:
         """Landing folder of the slice, relative to the landing root."""
         middle = "init_load/" if init else ""
-        return f"{database}/{table}/{middle}{self.start:%Y-%m-%d/%H-%M-%S}"
+        return f"{database}/{table}/{middle}{self.start.strftime(LANDING_FOLDER)}"
 
 
 def resolve_slice(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from tidemart.functions import day_of
+from tidemart.functions import day_of, named, refuse
 from tidemart.slices import Slice
 from tidemart.sources import storage
+from tidemart.sources.replace import replace_folders
 
 # Folder columns: the slice, and the first day its folder covers. A folder covers one day in a
 # slice of one day and one month in any other, so a snapshot over years stays at a few folders.
@@ -31,9 +33,10 @@ def append_delta(
 ) -> None:
     """Add one slice to the log.
 
-    ``replace_slice`` swaps the slice's folder, so a re-run changes nothing; ``append`` keeps
-    what is there and a re-run duplicates rows. All slices must share one schema. A label given
-    as a ``Slice`` promises that all rows lie in it: reads of other times skip its folder.
+    ``replace_slice`` swaps the slice's folders, so a re-run changes nothing and a failed one
+    leaves the old rows; ``append`` keeps what is there and a re-run duplicates rows. All slices
+    must share one schema, without columns named like the folders. A label given as a ``Slice``
+    promises that all rows lie in it: reads of other times skip its folder.
 
     A slice of one day is written as it comes. Any other is gathered by month first, or every
     task would write a file per month; AQE splits the months that are large. Files are sorted
@@ -41,21 +44,30 @@ def append_delta(
     """
     if mode not in ("replace_slice", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    spark = df.sparkSession
+    refuse(df, SLICE, FROM)
+    name = label.label() if isinstance(label, Slice) else label
+    store_slices(df.withColumn(SLICE, F.lit(name)), path, [name], audit, mode, one_day)
+
+
+def store_slices(
+    df: DataFrame, path: str, names: Sequence[str], audit: str, mode: str = "replace_slice", one_day: bool = False
+) -> None:
+    """``append_delta`` for several slices in one write; the column ``slice`` says which a row is of."""
+    spark, schema = df.sparkSession, df.drop(SLICE).schema
     if storage.exists(spark, f"{path}/_schema.json"):
-        if not storage.same_shape(recorded_schema(spark, path), df.schema):
+        if not storage.same_shape(recorded_schema(spark, path), schema):
             raise ValueError(f"schema of the slice differs from the log at {path}")
     else:
-        storage.write_schema(spark, f"{path}/_schema.json", df.schema)
-    name = label.label() if isinstance(label, Slice) else label
+        storage.write_schema(spark, f"{path}/_schema.json", schema)
     if one_day:
-        rows = df.withColumn(FROM, day_of(audit))
+        rows = df.withColumn(FROM, day_of(named(audit)))
+    else:
+        rows = df.withColumn(FROM, F.trunc(day_of(named(audit)), "MM")).hint("rebalance", SLICE, FROM)
+        rows = rows.sortWithinPartitions(SLICE, FROM, named(audit))
+    if mode == "append":
+        rows.write.mode("append").partitionBy(SLICE, FROM).parquet(path)
     else:
-        rows = df.withColumn(FROM, F.trunc(day_of(audit), "MM")).hint("rebalance", FROM)
-        rows = rows.sortWithinPartitions(FROM, audit)
-    writer = rows.write.mode("overwrite" if mode == "replace_slice" else "append")
-    # Static on purpose: an empty re-run must empty the slice.
-    writer.option("partitionOverwriteMode", "static").partitionBy(FROM).parquet(f"{path}/{SLICE}={name}")
+        replace_folders(rows, path, [SLICE, FROM], [f"{path}/{SLICE}={name}" for name in names])
 
 
 def _slice_folders(spark: SparkSession, path: str, window: Slice) -> list[str]:
@@ -88,5 +100,6 @@ def read_delta(spark: SparkSession, path: str, window: Slice | None = None, audi
         folders = [path] if window.kind == "since" else _slice_folders(spark, path, window)
         if not folders:
             return spark.createDataFrame([], schema)
-        log = reader.parquet(*folders).filter(_in_folders(window) & window.predicate(audit))
+        log = reader.parquet(*folders)
+        log = log.filter(_in_folders(window) & window.of(log, audit))
     return log.select(*[F.col(f"`{c}`") for c in schema.names])

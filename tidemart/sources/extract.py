@@ -25,11 +25,21 @@ class FileSource:
         return spark.read.format(self.format).load(f"{self.root}/{table}{self.suffix}")
 
 
+# How a connection is set to UTC.
+ZONE_STATEMENTS = {
+    "postgresql": "SET TIME ZONE 'UTC'",
+    "mysql": "SET time_zone = '+00:00'",
+    "mariadb": "SET time_zone = '+00:00'",
+}
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """A relational database. ``fetch_rows`` bounds the rows a reader holds at a time.
 
-    Times without zone are read as such, so the zone of the JVM cannot shift them.
+    Times without zone are read as such, so the zone of the JVM cannot shift them. Connections to
+    databases whose zone can be set by ``SET TIME ZONE`` run in UTC, so bounds without a zone mean UTC;
+    ``sessionInitStatement`` in the properties replaces that statement.
     """
 
     url: str
@@ -38,6 +48,9 @@ class JdbcSource:
 
     def options(self) -> dict[str, str]:
         defaults = {"fetchsize": str(self.fetch_rows), "preferTimestampNTZ": "true"}
+        statement = next((s for name, s in ZONE_STATEMENTS.items() if self.url.startswith(f"jdbc:{name}:")), None)
+        if statement:
+            defaults["sessionInitStatement"] = statement
         return {**defaults, **self.properties, "url": self.url}
 
     def ranges(self, spark: SparkSession, table: str, predicates: list[str]) -> DataFrame:
@@ -88,14 +101,16 @@ def range_predicates(column: str, lo, hi, num_partitions: int) -> list[str]:
     return [f"{column} < {text[0]} OR {column} IS NULL", *inner, f"{column} >= {text[-1]}"]
 
 
-def window_predicates(audit: str, window: Slice, num_partitions: int) -> list[str]:
-    """Half-open SQL ranges that together cover the slice, one per reader."""
-    if window.end is None:
-        return [f"{audit} >= '{window.start.isoformat(sep=' ')}'"]
-    step = (window.end - window.start) / num_partitions
-    edges = [window.start + i * step for i in range(num_partitions)] + [window.end]
-    text = [e.isoformat(sep=" ") for e in edges]
-    return [f"{audit} >= '{a}' AND {audit} < '{b}'" for a, b in zip(text, text[1:])]
+def window_predicates(audit: str, window: Slice, num_partitions: int, kind: T.DataType = T.TimestampType()) -> list[str]:
+    """Half-open SQL ranges that together cover the slice, one per reader; one for a column of dates."""
+    first, after = window.bounds(kind)
+    if after is None:
+        return [f"{audit} >= {_literal(first)}"]
+    if isinstance(kind, T.DateType):
+        return [f"{audit} >= {_literal(first)} AND {audit} < {_literal(after)}"]
+    step = (after - first) / num_partitions
+    text = [_literal(first + i * step) for i in range(num_partitions)] + [_literal(after)]
+    return [f"{audit} >= {a} AND {audit} < {b}" for a, b in zip(text, text[1:])]
 
 
 def read_snapshot(spark: SparkSession, source: Source, spec: TableSpec, num_partitions: int = 8) -> DataFrame:
@@ -115,6 +130,9 @@ def read_window(
     spark: SparkSession, source: Source, spec: TableSpec, window: Slice, num_partitions: int = 4
 ) -> DataFrame:
     """All columns of the rows whose audit time lies in the slice; the range runs in the source."""
+    table = source.scan(spark, spec.name)
+    keep = window.of(table, spec.audit)
     if isinstance(source, FileSource):
-        return source.scan(spark, spec.name).filter(window.predicate(spec.audit))
-    return source.ranges(spark, spec.name, window_predicates(spec.audit, window, num_partitions))
+        return table.filter(keep)
+    kind = next(f.dataType for f in table.schema.fields if f.name.lower() == spec.audit.lower())
+    return source.ranges(spark, spec.name, window_predicates(spec.audit, window, num_partitions, kind))

@@ -49,24 +49,36 @@ def file_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in kinds])
 
 
-def restore(parsed: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows as they were written, from rows parsed with ``file_schema``."""
-    return parsed.select(*[_from_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields])
+def restore(parsed: DataFrame, schema: T.StructType, *more: Column) -> DataFrame:
+    """Rows as they were written, from rows parsed with ``file_schema``; and further columns."""
+    return parsed.select(*[_from_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields], *more)
 
 
 def write_landing(df: DataFrame, path: str, max_records_per_file: int = 250_000) -> None:
-    """Write ``path/data/*.csv`` and then ``path/schema.json``; a re-run replaces the slice."""
+    """Write ``path/data/*.csv`` and then ``path/schema.json``; a re-run replaces the slice.
+
+    The schema is the proof that all parts are there: it goes first and comes last, and a folder
+    without it is not read.
+    """
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     if nested:
         raise ValueError(f"landing files are flat; nested columns: {', '.join(nested)}")
     text = df.select(*[_to_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+    storage.delete(df.sparkSession, f"{path}/schema.json")
     writer = text.write.mode("overwrite").options(**CSV_OPTIONS)
     writer.option("maxRecordsPerFile", max_records_per_file).csv(f"{path}/data")
     storage.write_schema(df.sparkSession, f"{path}/schema.json", df.schema)
 
 
+def landed_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The recorded schema of a finished landing folder; an error for any other."""
+    if not storage.exists(spark, f"{path}/schema.json"):
+        raise ValueError(f"landing folder without a schema, so not finished: {path}")
+    return storage.read_schema(spark, f"{path}/schema.json")
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """All parts of one landing slice under its recorded schema; one bad record fails the read."""
-    schema = storage.read_schema(spark, f"{path}/schema.json")
+    schema = landed_schema(spark, path)
     parsed = spark.read.schema(file_schema(schema)).options(**CSV_READ_OPTIONS).csv(f"{path}/data")
     return restore(parsed, schema)

@@ -1,4 +1,9 @@
-"""Day-partitioned tables whose rebuilt days replace the stored ones."""
+"""Day-partitioned tables whose rebuilt days replace the stored ones.
+
+A folder holds one day, or one closed month: ``p_span=2024-01-16`` or ``p_span=2023-12``. Every day lies in
+one folder only. Days that are still rebuilt have folders of their own; a full build gathers older ones by
+month, so a table over years has few files. The day of a row is kept in the files as ``p_date``.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +11,26 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
+from tidemart.functions import refuse
 from tidemart.slices import Slice
 from tidemart.sources import storage
+from tidemart.sources.replace import replace_folders
+
+SPAN, DAY = "p_span", "p_date"
+# Names of the folders.
+DAY_FORMAT, MONTH_FORMAT = "yyyy-MM-dd", "yyyy-MM"
+
+
+def _stored(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(DAY, DateType()), StructField(SPAN, StringType())])
 
-PARTITION = "p_date"
+
+def _months(spark: SparkSession, path: str) -> list[str]:
+    """The gathered months."""
+    names = [n.removeprefix(f"{SPAN}=") for n in storage.child_names(spark, path) if n.startswith(f"{SPAN}=")]
+    return [n for n in names if len(n) == len("2024-01")]
 
 
 def overwrite_partitions(
@@ -20,57 +39,86 @@ def overwrite_partitions(
     date_expr: Column,
     clear_empty: date | None = None,
     whole_table: bool = False,
-    tasks: int | None = None,
+    gather_before: date | None = None,
 ) -> None:
     """Replace the days present in ``df`` and leave all others alone.
 
     A day for which ``df`` has no rows keeps its old rows; with ``clear_empty`` (the one day
     ``df`` was built for) that day is replaced even when empty. ``whole_table`` replaces the
-    table.
+    table, and gathers days before the month of ``gather_before`` by month. A day rebuilt inside a
+    gathered month rewrites that month. A failed write leaves the table as it was.
 
-    Rows are gathered by day before the write, or every task would write a file per day. AQE
-    then sizes the write: it cuts large days over several tasks and packs small ones together.
-    For a table known to be small, ``tasks`` spreads its many small files over that many tasks.
+    Rows are gathered by folder before the write, or every task would write a file per folder. AQE
+    then sizes the write: it cuts large folders over several tasks and packs small ones together.
     """
+    refuse(df, SPAN, DAY)
     spark, record = df.sparkSession, f"{path}/_schema.json"
     recorded = not whole_table and storage.exists(spark, record)
     if recorded and not storage.same_shape(storage.read_schema(spark, record), df.schema):
         raise ValueError(f"schema of the rows differs from the table at {path}")
-    dated = df.withColumn(PARTITION, date_expr)
+    day, by_day, by_month = F.col(DAY), F.date_format(DAY, DAY_FORMAT), F.date_format(DAY, MONTH_FORMAT)
+    dated = df.withColumn(DAY, date_expr)
+    scopes = [path] if whole_table else []
     if clear_empty is not None:
-        day = dated.filter(F.col(PARTITION) == F.lit(clear_empty)).hint("rebalance", PARTITION).drop(PARTITION)
-        target = f"{path}/{PARTITION}={clear_empty.isoformat()}"
-        day.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+        dated = dated.filter(day == F.lit(clear_empty))
+        scopes = [f"{path}/{SPAN}={clear_empty.isoformat()}"]
+    if whole_table:
+        closed = day < F.lit(gather_before.replace(day=1)) if gather_before else F.lit(False)
+        rows = dated.withColumn(SPAN, F.when(closed, by_month).otherwise(by_day))
     else:
-        arranged = dated.repartition(tasks, PARTITION) if tasks else dated.hint("rebalance", PARTITION)
-        mode = "static" if whole_table else "dynamic"
-        writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", mode)
-        writer.partitionBy(PARTITION).parquet(path)
-    if not recorded:  # after the write, because replacing the table clears its folder
+        rows = dated.withColumn(SPAN, by_day)
+        hit = _hit_months(dated, _months(spark, path) if recorded else [], clear_empty)
+        if hit:
+            rows = rows.withColumn(SPAN, F.when(by_month.isin(hit), by_month).otherwise(by_day))
+            reader = spark.read.schema(_stored(df.schema)).option("basePath", path)
+            old = reader.parquet(*[f"{path}/{SPAN}={m}" for m in hit])
+            if clear_empty is not None:
+                old = old.filter(day != F.lit(clear_empty))
+                scopes = [f"{path}/{SPAN}={m}" for m in hit]
+            else:
+                old = old.join(dated.select(DAY).distinct(), DAY, "left_anti")
+            rows = rows.unionByName(old)
+    replace_folders(rows.hint("rebalance", SPAN).sortWithinPartitions(SPAN, DAY), path, [SPAN], scopes)
+    if not recorded:
         storage.write_schema(spark, record, df.schema)
 
 
+def _hit_months(dated: DataFrame, months: list[str], only: date | None) -> list[str]:
+    """Gathered months that the rows have days of."""
+    if not months:
+        return []
+    if only is not None:
+        return [m for m in months if m == f"{only:%Y-%m}"]
+    month = F.date_format(DAY, MONTH_FORMAT)
+    return sorted(r.m for r in dated.select(month.alias("m")).filter(F.col("m").isin(months)).distinct().collect())
+
+
 def read_partitions(
     spark: SparkSession, path: str, window: Slice | None = None, audit: str | None = None
 ) -> DataFrame:
-    """The table without its partition column; a slice prunes the day folders and the rows."""
+    """The table without its partition columns; a slice prunes the folders and the rows."""
     schema = storage.read_schema(spark, f"{path}/_schema.json")
-    stored = StructType([*schema.fields, StructField(PARTITION, DateType())])
-    folder = path
+    folders = [path]
     if window is not None and window.kind != "since":
-        # One day: go straight to its folder instead of listing all of them.
-        folder = f"{path}/{PARTITION}={window.date.isoformat()}"
-        if not storage.exists(spark, folder):
+        # One day: go straight to its folder, or its month's, instead of listing all of them.
+        spans = (window.date.isoformat(), f"{window.date:%Y-%m}")
+        folders = [f for f in (f"{path}/{SPAN}={s}" for s in spans) if storage.exists(spark, f)]
+        if not folders:
             return spark.createDataFrame([], schema)
-    table = spark.read.schema(stored).option("basePath", path).parquet(folder)
+    table = spark.read.schema(_stored(schema)).option("basePath", path).parquet(*folders)
     if window is not None:
-        table = table.filter(window.predicate(audit, partition=PARTITION) if audit else _days(window))
-    return table.drop(PARTITION)
+        table = table.filter(_days(window))
+        if audit:
+            table = table.filter(window.of(table, audit))
+    return table.drop(SPAN, DAY)
 
 
 def _days(window: Slice) -> Column:
-    day, mark = F.col(PARTITION), F.lit(window.date)
-    return day >= mark if window.kind == "since" else day == mark
+    mark = F.lit(window.date)
+    if window.kind == "since":
+        # Names of days and months sort by time; a month comes before its days.
+        return (F.col(SPAN) >= f"{window.date:%Y-%m}") & (F.col(DAY) >= mark)
+    return F.col(DAY) == mark
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -105,17 +105,25 @@ def current_folder(spark: SparkSession, path: str) -> str | None:
 
 
 def merge_snapshot(
-    spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], audit: str, buckets: int | None = None
+    spark: SparkSession,
+    path: str,
+    changes: DataFrame,
+    keys: Sequence[str],
+    audit: str,
+    buckets: int | None = None,
+    first_bytes: int | None = None,
 ) -> int:
     """Merge ``changes`` (one row per key) into the current version and write the next one.
 
+    A first version takes as many buckets as ``first_bytes``, the size of what it is built from, needs.
+
     With an unchanged bucket count the current version is neither shuffled for the join nor
     for the write: only the changes move. Without a given count, the current one is kept until
     the table has outgrown it twice over.
     """
     main = read_current(spark, path, keys)
     if main is None:
-        return write_snapshot(changes, path, keys, buckets or MIN_BUCKETS)
+        return write_snapshot(changes, path, keys, buckets or buckets_for(first_bytes or 0))
     _, stored, folder = _current(spark, path)
     if buckets is None:
         fitting = buckets_for(storage.size(spark, folder))

@@ -26,6 +26,19 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def files_below(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """Names of the files in each folder at or below a path, marks and hidden files left out."""
+    fs, hadoop_path = _open(spark, path)
+    found: dict[str, set[str]] = {}
+    if fs.exists(hadoop_path):
+        listing = fs.listFiles(hadoop_path, True)
+        while listing.hasNext():
+            file = listing.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                found.setdefault(file.getParent().toString(), set()).add(file.getName())
+    return found
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files under a path."""
     fs, hadoop_path = _open(spark, path)

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemart.operators import latest_per_key
 from tidemart.registry import TableSpec
-from tidemart.sources import appendlog, landing, snapshots
+from tidemart.sources import appendlog, landing, snapshots, storage
+
+# Spark leaves out files much older than the newest one seen, seven days by default. Backfills and
+# restored files are older than that, so the bound lies beyond any archive.
+READ_OPTIONS = {"maxFileAge": "36500d"}
 
 
 def landing_stream(
@@ -22,20 +29,34 @@ def landing_stream(
 ) -> StreamingQuery:
     """Load new landing files (``.../<table>/*/*/data``) into the append log.
 
-    Each file is read once per checkpoint. A batch may be retried after a failure, so it
-    replaces the log slice of its query and batch number instead of appending.
+    New files say which landing slices have changed; each of those is read whole and replaces its
+    slice in the log, ``landing-<table>-<day>-<time>``. So a slice that is landed again, or a batch
+    that is retried, changes nothing. A batch that meets an unfinished slice fails and is
+    taken again by the next run.
     """
-    reader = spark.readStream.schema(landing.file_schema(schema)).options(**landing.CSV_READ_OPTIONS)
+    reader = spark.readStream.schema(landing.file_schema(schema)).options(**landing.CSV_READ_OPTIONS, **READ_OPTIONS)
+    reader = reader.option("ignoreMissingFiles", "true")  # parts of a slice that was landed again since
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        label = f"batch-{query_id}-{batch_id:08d}"
-        appendlog.append_delta(landing.restore(batch, schema), delta, label, audit)
+        session = batch.sparkSession
+        folders = sorted(unquote(r.folder) for r in batch.select("folder").distinct().collect())
+        for folder in folders:
+            if not storage.same_shape(landing.landed_schema(session, folder), schema):
+                raise ValueError(f"schema of the landing slice differs from the stream's: {folder}")
+        if not folders:
+            return
+        names = ["landing-" + "-".join(folder.split("/")[-3:]) for folder in folders]
+        parsed = session.read.schema(landing.file_schema(schema)).options(**landing.CSV_READ_OPTIONS)
+        parsed = parsed.csv([f"{folder}/data" for folder in folders]).select("*", _folder().alias(appendlog.SLICE))
+        place = F.concat(F.lit("landing-"), F.array_join(F.slice(F.split(appendlog.SLICE, "/"), -3, 3), "-"))
+        rows = landing.restore(parsed, schema, place.alias(appendlog.SLICE))
+        appendlog.store_slices(rows, delta, names, audit)
 
     return (
         reader.csv(landing_glob)
+        .select(_folder().alias("folder"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -43,6 +64,11 @@ def landing_stream(
     )
 
 
+def _folder():
+    """The landing folder of a row's part."""
+    return F.regexp_extract("_metadata.file_path", r"^(.*)/data/[^/]*$", 1)
+
+
 def stream_upsert(
     spark: SparkSession,
     delta: str,
@@ -52,22 +78,30 @@ def stream_upsert(
     buckets: int | None = None,
     max_files: int | None = None,
     keep_versions: int = 2,
+    catalog_table: str | None = None,
 ) -> StreamingQuery:
     """Merge new rows of the append log into the main table.
 
     A retried batch merges rows that are already there, which the merge guard makes harmless.
     Every batch writes one version of the table, so let one batch take all that is new
-    (the default) unless the backlog must be split.
+    (the default) unless the backlog must be split. With ``catalog_table`` the changes go to that
+    table by native MERGE instead.
     """
     schema = appendlog.recorded_schema(spark, delta)
-    reader = spark.readStream.schema(appendlog.log_schema(schema))
+    reader = spark.readStream.schema(appendlog.log_schema(schema)).options(**READ_OPTIONS)
+    reader = reader.option("ignoreMissingFiles", "true")  # parts of a slice that was replaced since
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        changes = latest_per_key(batch.select(*schema.names), spec.keys, spec.audit)
-        snapshots.merge_snapshot(batch.sparkSession, main, changes, spec.keys, spec.audit, buckets)
-        snapshots.expire_snapshots(batch.sparkSession, main, keep_versions)
+        session = batch.sparkSession
+        changes = latest_per_key(batch.select(*[F.col(f"`{c}`") for c in schema.names]), spec.keys, spec.audit)
+        if catalog_table:
+            snapshots.merge_into_table(session, catalog_table, changes, spec.keys, spec.audit)
+            return
+        first = None if snapshots.current_version(session, main) else storage.size(session, delta)
+        snapshots.merge_snapshot(session, main, changes, spec.keys, spec.audit, buckets, first)
+        snapshots.expire_snapshots(session, main, keep_versions)
 
     return (
         reader.parquet(delta)
