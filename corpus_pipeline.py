@@ -6,13 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import vocabulary, written
+from tidemart.llm.common import prepared, vocabulary, written
 from tidemart.llm.minhash import MinHash, keep_one
 from tidemart.llm.packing import cut_documents, pack
 from tidemart.llm.quality import keep_good
 from tidemart.llm.suffix_dedup import remove_repeats
 from tidemart.llm.toxicity import drop_toxic, train
-from tidemart.session import prepare
 
 #: SQL cannot express a learned lexicon or suffix order; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -20,31 +19,31 @@ ORACLE_SQL = None
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go. Learned from the labels of what is there."""
-    prepare(spark)
+    prepared(spark)
     return drop_toxic(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or diverge from their language go."""
-    prepare(spark)
+    prepared(spark)
     return keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: shingles of five words, a similarity of 0.8 or more."""
-    prepare(spark)
+    prepared(spark)
     return keep_one(docs, MinHash(width=5, percent=80))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that occurred before are cut out of the texts; every document stays."""
-    prepare(spark)
+    prepared(spark)
     return remove_repeats(docs, keep_first=True).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in training sequences."""
-    prepare(spark)
+    prepared(spark)
     return pack(cut_documents(docs, vocabulary(public_tokenizers.path("word_bpe_49k.json"))))
 
 
@@ -58,7 +57,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = prepared(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(spark, stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,10 +10,23 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.session import scratch
+from tidemart.functions import unused as unused_name
+from tidemart.session import prepare, scratch
 
 #: Texts of one step in a Python task: enough to share work between words, little beside a task's memory.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 2_000_000
+
+
+#: Rows of an Arrow batch. Spark's default suits narrow rows; texts take memory on both sides of the pipe.
+BATCH_ROWS = "1000"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """Session settings for these operators; batch rows only where the user has not chosen any."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, BATCH_ROWS)
+    return prepare(spark)
 
 
 def written(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
@@ -32,10 +45,7 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until the table has no such column."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+    return unused_name(df.columns, name)
 
 
 def vocabulary(path: str) -> bytes:

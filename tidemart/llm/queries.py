@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.byte_bpe import round_trip_digests
-from tidemart.llm.common import vocabulary
+from tidemart.llm.common import prepared, vocabulary
 from tidemart.llm.html_text import main_text
 from tidemart.llm.minhash import MinHash, near_duplicates
 from tidemart.llm.packing import cut_documents, pack
@@ -18,7 +18,6 @@ from tidemart.llm.token_files import write_token_files
 from tidemart.llm.topk import top_k
 from tidemart.llm.toxicity import score_documents, train
 from tidemart.llm.url_filter import Rule, judge_urls
-from tidemart.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,7 +30,7 @@ BYTE_VOCAB = "byte_bpe_multi_50k.tiktoken"
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(prepare(spark), sf_dir)
+        return build(prepared(spark), sf_dir)
 
     QUERIES[build.__name__] = run
     return run

@@ -333,10 +333,11 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _with_starts(df: DataFrame, repeats_: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
-    """``df`` with a column of each row's ranges (null for none), and the names of that column and of its text as UTF-8.
+def _with_starts(df: DataFrame, repeats_: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, str, str]:
+    """The rows of ``df`` whose document may have repeats, by a Bloom filter, with a column of their ranges (null for
+    none); the rows that have none, as they are; and the names of that column and of a text as UTF-8.
 
-    Only rows whose document may have repeats, by a Bloom filter, go through the join.
+    Only the first go through a join.
     """
     names = {}
     for name in ("repeat_id", "repeat_hash", "repeat_text", "repeat_starts"):
@@ -364,9 +365,8 @@ def _with_starts(df: DataFrame, repeats_: DataFrame, id_col: str, text_col: str)
         return plain.mapInArrow(choose, StructType([*plain.schema.fields, StructField(hash_, LongType())]))
 
     found = repeats_.select(F.col("id").alias(id_), F.col("hash").alias(hash_), F.col("starts").alias(starts))
-    met = chosen(True).join(found, [id_, hash_], "left").select(*df.columns, text, starts)
-    rest = chosen(False).select(*df.columns, text, F.lit(None).cast(found.schema[starts].dataType).alias(starts))
-    return met.unionByName(rest), starts, text
+    met = chosen(True).join(found, [id_, hash_], "left").select(*(f"`{c}`" for c in df.columns), text, starts)
+    return met, chosen(False).select(*(f"`{c}`" for c in df.columns)), starts, text
 
 
 def repeat_digests(df: DataFrame, length: int = 400, keep_first: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -377,7 +377,7 @@ def repeat_digests(df: DataFrame, length: int = 400, keep_first: bool = False, i
     their own, so each repeats the other (with ``keep_first`` all of them are the first, and stay).
     """
     docs = id_and_text(df, id_col, text_col)
-    found, starts, text = _with_starts(docs, repeated_starts(docs, length, keep_first), "doc_id", "text")
+    found, rest, starts, text = _with_starts(docs, repeated_starts(docs, length, keep_first), "doc_id", "text")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
@@ -396,7 +396,15 @@ def repeat_digests(df: DataFrame, length: int = 400, keep_first: bool = False, i
             )
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return found.select("doc_id", text, starts).mapInArrow(digest, schema)
+    none = F.lit(0).cast("long")
+    whole = rest.select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        none.alias("n_removed"),
+        none.alias("n_spans"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+    return found.select("doc_id", text, starts).mapInArrow(digest, schema).unionByName(whole)
 
 
 def remove_repeats(df: DataFrame, length: int = 400, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -407,7 +415,7 @@ def remove_repeats(df: DataFrame, length: int = 400, keep_first: bool = True, id
     covers in part stays. A null text stays null. Other cases as in ``repeat_digests``.
     """
     docs = id_and_text(df, id_col, text_col)
-    found, starts, text = _with_starts(df, repeated_starts(docs, length, keep_first), id_col, text_col)
+    found, rest, starts, text = _with_starts(df, repeated_starts(docs, length, keep_first), id_col, text_col)
     names = df.columns
     at = [n.lower() for n in names].index(text_col.lower())
 
@@ -421,7 +429,7 @@ def remove_repeats(df: DataFrame, length: int = 400, keep_first: bool = True, id
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return found.select(*(f"`{n}`" for n in names), text, starts).mapInArrow(cut, df.schema)
+    return found.select(*(f"`{n}`" for n in names), text, starts).mapInArrow(cut, df.schema).union(rest)
 
 
 def _whole_characters(data: bytes, low: int, high: int) -> tuple[int, int]:
