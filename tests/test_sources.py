@@ -533,3 +533,18 @@ def test_jdbc_dates_and_zones():
     assert call["properties"]["sessionInitStatement"] == "SET TIME ZONE 'UTC'"
     own = JdbcSource("jdbc:postgresql://h/s", {"sessionInitStatement": "SET x"})
     assert own.options()["sessionInitStatement"] == "SET x" and "sessionInitStatement" not in JdbcSource("jdbc:x").options()
+
+
+def test_no_landing_part_exceeds_its_bytes_by_more_than_a_row(spark, tmp_path):
+    path, bound = f"{tmp_path}/landed", 20_000
+    rows = spark.range(0, 3_000, 1, 3).select(
+        F.col("id"), F.lit(T0).alias("ts"), F.when(F.col("id") % 500 == 0, F.repeat(F.lit('"é\n'), 9_000)).otherwise(F.repeat(F.lit("x"), (F.col("id") % 90).cast("int"))).alias("v")
+    )
+    write_landing(rows, path, max_bytes_per_file=bound)
+    assert rows_of(read_landing(spark, path)) == rows_of(rows)
+    sizes = [os.path.getsize(f"{path}/data/{n}") for n in os.listdir(f"{path}/data") if n.endswith(".csv")]
+    header = len("id,ts,v\n")
+    assert len([s for s in sizes if s > bound + header]) == 6  # the rows larger than the bound, one to a part
+    assert len(sizes) < 60
+    write_landing(rows.limit(0), path)
+    assert read_landing(spark, path).count() == 0

@@ -146,7 +146,7 @@ def landing_roundtrip(spark, sf):
 @query
 def landing_roundtrip_texts(spark, sf):
     folder = scratch(spark, "landing-texts")
-    write_landing(views.table(spark, sf, "documents"), folder, max_records_per_file=5_000)
+    write_landing(views.table(spark, sf, "documents"), folder)
     return read_landing(spark, folder)
 
 

@@ -6,8 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart.functions import unused
+from tidemart.session import scratch
 from tidemart.sources import storage
 
+# Fixed value: a part has at most so many bytes, or one row.
+PART_BYTES = 19_000_000
+# No number, date, time or truth value is longer as text, its separator included.
+PLAIN_BYTES = 48
+
 # Spark's CSV defaults cut microseconds, trim blanks and rewrite line ends; these keep values whole.
 CSV_OPTIONS = {
     "header": "true",
@@ -20,7 +27,7 @@ CSV_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-# Quoted line breaks make a part unsplittable, so writers keep parts small (max_records_per_file).
+# Quoted line breaks make a part unsplittable, so writers keep parts small.
 CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST", "enforceSchema": "true"}
 
 
@@ -54,9 +61,28 @@ def restore(parsed: DataFrame, schema: T.StructType, *more: Column) -> DataFrame
     return parsed.select(*[_from_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields], *more)
 
 
-def write_landing(df: DataFrame, path: str, max_records_per_file: int = 250_000) -> None:
+def _row_bytes(schema: T.StructType) -> Column:
+    """No less than the bytes a row takes in a part: texts in quotes, with quotes in them doubled."""
+    size = F.lit(1)
+    for field in schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            quotes = F.length(column) - F.length(F.replace(column, F.lit('"'), F.lit("")))
+            size = size + F.coalesce(F.octet_length(column) + quotes, F.lit(0)) + 4
+        else:
+            size = size + PLAIN_BYTES
+    return size
+
+
+def write_landing(
+    df: DataFrame, path: str, max_records_per_file: int = 250_000, max_bytes_per_file: int = PART_BYTES
+) -> None:
     """Write ``path/data/*.csv`` and then ``path/schema.json``; a re-run replaces the slice.
 
+    Spark bounds files by rows only. So rows are set down once, by size (below 4, 16, 64, ... bytes), and
+    each size is written with as many rows to a part as are sure to fit: parts of rows of like
+    size are at least a quarter full, and only a row larger than the bound makes a larger part.
+
     The schema is the proof that all parts are there: it goes first and comes last, and a folder
     without it is not read.
     """
@@ -65,9 +91,19 @@ def write_landing(df: DataFrame, path: str, max_records_per_file: int = 250_000)
         raise ValueError(f"landing files are flat; nested columns: {', '.join(nested)}")
     text = df.select(*[_to_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
     storage.delete(df.sparkSession, f"{path}/schema.json")
-    writer = text.write.mode("overwrite").options(**CSV_OPTIONS)
-    writer.option("maxRecordsPerFile", max_records_per_file).csv(f"{path}/data")
-    storage.write_schema(df.sparkSession, f"{path}/schema.json", df.schema)
+    spark, power = df.sparkSession, unused(df.columns, "power")
+    sized = text.withColumn(power, F.ceil(F.log(4.0, _row_bytes(text.schema))).cast("int"))
+    staged = scratch(spark, "landing")
+    sized.write.partitionBy(power).parquet(staged)
+    mode, powers = "overwrite", [n.split("=")[1] for n in storage.child_names(spark, staged) if n.startswith(f"{power}=")]
+    for n in powers or [None]:
+        rows = text.limit(0) if n is None else spark.read.schema(text.schema).parquet(f"{staged}/{power}={n}")
+        fitting = max_records_per_file if n is None else min(max_records_per_file, max_bytes_per_file // 4 ** int(n))
+        writer = rows.write.mode(mode).options(**CSV_OPTIONS).option("maxRecordsPerFile", max(1, fitting))
+        writer.csv(f"{path}/data")
+        mode = "append"
+    storage.delete(spark, staged)
+    storage.write_schema(spark, f"{path}/schema.json", df.schema)
 
 
 def landed_schema(spark: SparkSession, path: str) -> T.StructType:
