@@ -142,7 +142,8 @@ def _distance(own: list[Column], reference: list[Column]) -> Column:
 def _distances(rated: DataFrame, own: dict, chosen: dict[str, Column]) -> DataFrame:
     """``<name>_distance`` of each document to the mean of its language's ``chosen`` documents; null if it is too short to tell."""
     means = [F.avg(F.when(chosen[k], F.col(c) / F.col(total))).alias(f"r_{c}") for k, (columns, total, _) in own.items() for c in columns]
-    rated = rated.join(rated.groupBy("lang").agg(*means), "lang")
+    # A row a language, written so that its size is known when the join is planned.
+    rated = rated.join(written(rated.sparkSession, rated.groupBy("lang").agg(*means), "references"), "lang")
     far = {}
     for name, (columns, total, tells) in own.items():
         distance = _distance([F.col(c) / F.col(total) for c in columns], [F.coalesce(f"r_{c}", F.lit(0.0)) for c in columns])
@@ -191,7 +192,7 @@ def judge_quality(
     # first and are not in the second.
     rated = _distances(rated, own, {k: ~F.col("base_failed") & tells for k, (_, _, tells) in own.items()})
     middle = rated.groupBy("lang").agg(*(F.percentile_approx(F.when(~F.col("base_failed"), F.col(f"{k}_distance")), 0.5).alias(f"{k}_middle") for k in own))
-    rated = written(spark, rated.join(middle, "lang"), "quality-rated")
+    rated = written(spark, rated.join(written(spark, middle, "middles"), "lang"), "quality-rated")
     rated = _distances(rated, own, {k: ~F.col("base_failed") & (F.col(f"{k}_distance") <= F.col(f"{k}_middle")) for k in own})
     most = limits.class_floor + limits.class_slack / F.sqrt("n_chars")
     near = [F.coalesce(F.col(f"{k}_distance") <= v, F.lit(True)) for k, v in (("class", most), ("word", F.lit(limits.max_word_distance)))]
