@@ -17,7 +17,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from tidemart.llm.common import id_and_text, steps
+from tidemart.llm.common import id_and_text, resident, steps
 
 #: Pre-tokens kept by one Python process.
 MEMORY = 250_000
@@ -147,16 +147,9 @@ class ByteBpe:
         return self.flat[np.repeat(shifts, sizes) + np.arange(int(sizes.sum()))].tobytes()
 
 
-_CODERS: dict[int, ByteBpe] = {}
-
-
 def byte_bpe(spec: bytes, pattern: str) -> ByteBpe:
     """The coder of this process."""
-    key = hash((spec, pattern))
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = ByteBpe(spec, pattern)
-    return _CODERS[key]
+    return resident(("bytes", spec, pattern), lambda: ByteBpe(spec, pattern))
 
 
 def encode_bytes(df: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

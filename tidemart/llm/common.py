@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,7 +16,7 @@ from tidemart.functions import unused as unused_name
 from tidemart.session import prepare, scratch
 
 #: Texts of one step in a Python task: enough to share work between words, little beside a task's memory.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 
 #: Rows of an Arrow batch. Spark's default suits narrow rows; texts take memory on both sides of the pipe.
@@ -53,6 +55,29 @@ def vocabulary(path: str) -> bytes:
     return Path(path).read_bytes()
 
 
+#: What this Python process keeps from one task to the next: one object at a time.
+_RESIDENT: dict = {}
+
+
+def trim() -> None:
+    """Gives freed memory back to the system, where the C library can. Workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def resident(key, make: Callable[[], object] = object):
+    """The object that ``make`` gives, kept by the process until a task asks for another key."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        gc.collect()
+        trim()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
 def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about STEP_BYTES of text, at least one row each."""
     for batch in batches:
@@ -65,6 +90,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.
             held += n
         if start < len(lengths):
             yield batch.slice(start)
+    trim()
 
 
 def utf8(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import id_and_text, steps, unused, utf8, written
+from tidemart.llm.common import id_and_text, resident, steps, unused, utf8, written
 from tidemart.llm.components import connected_components
 from tidemart.llm.shingles import mix, shingle_sets
 
@@ -79,6 +79,7 @@ def _signed(df: DataFrame, how: MinHash) -> DataFrame:
     """(doc_id, text_hash, n_shingles, set_id, signature) of documents; the last two are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident("shingles")
         for batch in steps(batches):
             sets = shingle_sets(utf8(batch), how.width)
             yield pa.RecordBatch.from_arrays(

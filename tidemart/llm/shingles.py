@@ -24,7 +24,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n or more powers of the base, and of its inverse modulo 2**64."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 16)
         both = [np.full(size, b, dtype=np.uint64) for b in (_BASE, _BASE_INVERSE)]
         for x in both:
             x[0] = 1

@@ -14,6 +14,8 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
+from tidemart.llm.common import resident
+
 #: ASCII capitals to small letters. The normaliser lower-cases as well, so ids stay the same.
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Punctuation between an ASCII letter or digit and white space: a piece of its own in any case.
@@ -140,13 +142,6 @@ def _little(values: array) -> bytes:
     return values.tobytes()
 
 
-_ENCODERS: dict[int, WordEncoder] = {}
-
-
 def word_encoder(spec: bytes) -> WordEncoder:
     """The encoder of this process for a vocabulary file's content."""
-    key = hash(spec)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = WordEncoder(spec)
-    return _ENCODERS[key]
+    return resident(("words", spec), lambda: WordEncoder(spec))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import id_and_text, steps, unused, utf8, written
+from tidemart.llm.common import id_and_text, resident, steps, unused, utf8, written
 from tidemart.llm.shingles import mix, shingle_sets
 
 #: Labelled documents learned from at most, by the order of a hash of their ids: toxic ones and others.
@@ -239,14 +239,8 @@ class Model:
     beta: tuple[float, ...]
 
 
-_LOADED: dict[Model, Automaton] = {}
-
-
 def _automaton(model: Model) -> Automaton:
-    if model not in _LOADED:
-        _LOADED.clear()
-        _LOADED[model] = Automaton(list(model.terms))
-    return _LOADED[model]
+    return resident(("terms", model.terms), lambda: Automaton(list(model.terms)))
 
 
 def score_texts(model: Model, texts: list[str]) -> np.ndarray:
@@ -282,6 +276,7 @@ def without_copies(rows: DataFrame) -> DataFrame:
     """
 
     def minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident("copies")
         salts = mix(np.arange(1, COPY_MINIMA + 1, dtype=np.uint64))
         for batch in steps(batches):
             sets = shingle_sets(utf8(batch), 3)
@@ -303,7 +298,7 @@ def _term_counts(rows: DataFrame) -> DataFrame:
     """(term, stem, toxic, clean): documents of each kind that have a word, or a longer word with a beginning."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = Automaton([Term("a", False, False)])
+        split = resident("words alone", lambda: Automaton([Term("a", False, False)]))
         for batch in steps(batches):
             toxic = batch.column("toxic").to_pylist()
             _, owner, starts, ends, _, _, joined = split.match(batch.column("text").to_pylist())
