@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.shingles import mix
 
-#: Bits of a filter, whatever goes into it: 16 MB. A full one lets more through, never less.
-BITS = 1 << 27
+#: Bits of a filter, whatever goes into it: 8 MB. A full one lets more through, never less.
+BITS = 1 << 26
 #: It is built in so many pieces, each by one task from numbers that no other has.
 PIECES = 256
 HASHES = 4
@@ -39,12 +39,19 @@ class BloomFilter:
         return ((self.bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1).all(axis=0)
 
 
-def bloom_filter(numbers: DataFrame) -> BloomFilter:
-    """The filter of a table of one long column; repeats and nulls do no harm. The driver gets at most BITS bits."""
+def first_column(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def bloom_filter(rows: DataFrame, number: Callable[[pa.RecordBatch], np.ndarray] = first_column) -> BloomFilter:
+    """The filter of the numbers that ``number`` gives for the rows, by default their first column.
+
+    Repeats and nulls do no harm. The driver gets at most BITS bits.
+    """
 
     def piece_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.unique(batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64))
+            values = np.unique(number(batch))
             yield pa.RecordBatch.from_arrays([pa.array(_places(values)[0]), pa.array(values)], ["piece", "value"])
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
@@ -52,6 +59,6 @@ def bloom_filter(numbers: DataFrame) -> BloomFilter:
         bits[_places(group["value"].to_numpy())[1].ravel()] = True
         return pd.DataFrame({"piece": group["piece"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    rows = numbers.mapInArrow(piece_of, "piece long, value long")
-    built = rows.groupBy("piece").applyInPandas(build, "piece long, bits binary")
+    dealt = rows.mapInArrow(piece_of, "piece long, value long")
+    built = dealt.groupBy("piece").applyInPandas(build, "piece long, bits binary")
     return BloomFilter({r.piece: bytes(r.bits) for r in built.select(F.col("piece"), F.col("bits")).collect()})

@@ -130,25 +130,31 @@ def common_words(docs: DataFrame, lang: str, text: str, limits: Limits) -> DataF
     return top.groupBy(lang).agg(F.sort_array(F.collect_list(F.struct("place", "word")))["word"].alias("common"))
 
 
-def _distance(own: list[Column], reference: list[Column]) -> Column:
-    """The Jensen-Shannon distance of two distributions."""
-    terms = []
-    for p, q in zip(own, reference, strict=True):
+def _distance(own: Column, reference: Column) -> Column:
+    """The Jensen-Shannon distance of two distributions, as arrays of shares."""
+
+    def term(p: Column, q: Column) -> Column:
         middle = (p + q) / 2
-        terms += [F.when(x > 0, x * F.log2(x / middle)).otherwise(0.0) for x in (p, q)]
-    return F.sqrt(F.greatest(sum(terms[1:], terms[0]) / 2, F.lit(0.0)))
+        return sum((F.when(x > 0, x * F.log2(x / middle)).otherwise(0.0) for x in (p, q)), F.lit(0.0))
+
+    total = F.aggregate(F.zip_with(own, reference, term), F.lit(0.0), lambda acc, x: acc + x)
+    return F.when(own.isNotNull(), F.sqrt(F.greatest(total / 2, F.lit(0.0))))
 
 
-def _distances(rated: DataFrame, own: dict, chosen: dict[str, Column]) -> DataFrame:
-    """``<name>_distance`` of each document to the mean of its language's ``chosen`` documents; null if it is too short to tell."""
-    means = [F.avg(F.when(chosen[k], F.col(c) / F.col(total))).alias(f"r_{c}") for k, (columns, total, _) in own.items() for c in columns]
+def _distances(rated: DataFrame, sizes: dict[str, int], chosen: dict[str, Column]) -> DataFrame:
+    """``<name>_distance`` of each document's ``<name>_shares`` to the mean of its language's ``chosen`` documents.
+
+    Null where the shares are null: too little text to tell.
+    """
+    means = {
+        name: F.array(*(F.coalesce(F.avg(F.when(chosen[name], F.get(f"{name}_shares", F.lit(i)))), F.lit(0.0)) for i in range(size)))
+        for name, size in sizes.items()
+    }
     # A row a language, written so that its size is known when the join is planned.
-    rated = rated.join(written(rated.sparkSession, rated.groupBy("lang").agg(*means), "references"), "lang")
-    far = {}
-    for name, (columns, total, tells) in own.items():
-        distance = _distance([F.col(c) / F.col(total) for c in columns], [F.coalesce(f"r_{c}", F.lit(0.0)) for c in columns])
-        far[f"{name}_distance"] = F.when(tells, distance)
-    return rated.withColumns(far).drop(*(f"r_{c}" for columns, _, _ in own.values() for c in columns))
+    references = rated.groupBy("lang").agg(*(mean.alias(f"{name}_reference") for name, mean in means.items()))
+    rated = rated.join(written(rated.sparkSession, references, "references"), "lang")
+    far = {f"{name}_distance": _distance(F.col(f"{name}_shares"), F.col(f"{name}_reference")) for name in sizes}
+    return rated.withColumns(far).drop(*(f"{name}_reference" for name in sizes))
 
 
 def judge_quality(
@@ -176,24 +182,26 @@ def judge_quality(
     place = F.transform(_bare(F.col("words"), limits.longest_common), lambda w: F.array_position("common", w))
     spelled = F.array_join(F.transform(F.filter(place, lambda i: i > 0), lambda i: F.substring(F.lit("".join(letters)), i.cast("int"), F.lit(1))), "")
     counted = base_counts(docs.join(common, "lang", "left"), "text", {"found": F.coalesce(spelled, F.lit(""))})
-    hits = {f"w_{c}": F.length("found") - F.length(F.replace("found", F.lit(c), F.lit(""))) for c in letters}
-    classes = [f"c_{name}" for name, _ in CLASSES] + ["c_other"]
-    counted = counted.withColumns(hits)
+    hits = [F.length("found") - F.length(F.replace("found", F.lit(c), F.lit(""))) for c in letters]
+    classes = [F.col(f"c_{name}") for name, _ in CLASSES] + [F.col("c_other")]
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    counts = written(spark, counted.select("doc_id", "lang", *base, *classes, *hits), "quality-counts")
+    totals = [F.length("found").alias("n_common"), sum(classes[1:], classes[0]).alias("n_chars")]
+    arrays = [F.array(*classes).alias("classes"), F.array(*hits).alias("words")]
+    counts = written(spark, counted.select("doc_id", "lang", *base, *totals, *arrays), "quality-counts")
 
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words"))
-    all_chars, all_common = (sum((F.col(c) for c in names[1:]), F.col(names[0])) for names in (classes, list(hits)))
-    rated = counts.withColumns({"base_failed": failed, "n_chars": all_chars, "n_common": all_common})
-    tells_classes = F.col("word_chars") >= limits.min_chars
-    tells_words = F.col("n_common") >= limits.min_common
-    own = {"class": (classes, "n_chars", tells_classes), "word": (list(hits), "n_common", tells_words)}
+    shares = {
+        "class_shares": F.when(F.col("word_chars") >= limits.min_chars, F.transform("classes", lambda n: n / F.col("n_chars"))),
+        "word_shares": F.when(F.col("n_common") >= limits.min_common, F.transform("words", lambda n: n / F.col("n_common"))),
+    }
+    rated = counts.withColumns({"base_failed": failed, **shares}).drop("classes", "words")
+    sizes = {"class": len(classes), "word": len(hits)}
     # The mean of all documents first, then that of the half of them nearest to it: poor documents move the
     # first and are not in the second.
-    rated = _distances(rated, own, {k: ~F.col("base_failed") & tells for k, (_, _, tells) in own.items()})
-    middle = rated.groupBy("lang").agg(*(F.percentile_approx(F.when(~F.col("base_failed"), F.col(f"{k}_distance")), 0.5).alias(f"{k}_middle") for k in own))
+    rated = _distances(rated, sizes, {k: ~F.col("base_failed") for k in sizes})
+    middle = rated.groupBy("lang").agg(*(F.percentile_approx(F.when(~F.col("base_failed"), F.col(f"{k}_distance")), 0.5).alias(f"{k}_middle") for k in sizes))
     rated = written(spark, rated.join(written(spark, middle, "middles"), "lang"), "quality-rated")
-    rated = _distances(rated, own, {k: ~F.col("base_failed") & (F.col(f"{k}_distance") <= F.col(f"{k}_middle")) for k in own})
+    rated = _distances(rated, sizes, {k: ~F.col("base_failed") & (F.col(f"{k}_distance") <= F.col(f"{k}_middle")) for k in sizes})
     most = limits.class_floor + limits.class_slack / F.sqrt("n_chars")
     near = [F.coalesce(F.col(f"{k}_distance") <= v, F.lit(True)) for k, v in (("class", most), ("word", F.lit(limits.max_word_distance)))]
     rated = rated.withColumn("kept", ~F.col("base_failed") & near[0] & near[1])

@@ -20,20 +20,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemart.llm.bloom import bloom_filter
-from tidemart.llm.common import id_and_text, steps, unused, utf8, written
+from tidemart.llm.common import id_and_text, resident, steps, trim, unused, utf8, written
 from tidemart.llm.shingles import mix
 from tidemart.llm.suffix_order import repeats
 
 GRAM = 64
 #: Text whose windows are looked at together, at most; longer documents are cut into overlapping stretches.
-STRETCH = 4_000_000
+STRETCH = 1_000_000
 #: Different segments of one anchor that one task compares; an anchor with more is split.
 MANY = 1500
 #: Bytes of segments that one suffix order is built over, about.
-CHUNK = 1_500_000
+CHUNK = 1_000_000
 #: Windows per segment, step by step, where an anchor is split.
 NARROWER = (32, 8, 1)
 #: Stands for a document without an id.
@@ -126,10 +125,10 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _owners(batch: pa.RecordBatch, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _owners(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """What tells a document: its id, and a hash of its text for ids that stand for several."""
     ids = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-    return ids, np.array([_signed(xxhash.xxh3_64_intdigest(t)) for t in texts], dtype=np.int64)
+    return ids, batch.column("hash").to_numpy()
 
 
 def _fingerprint(*columns: np.ndarray) -> np.ndarray:
@@ -153,6 +152,7 @@ def _repeated_keys(docs: DataFrame, length: int) -> DataFrame:
     """(key) of anchors that occur more than once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident("anchors")
         for batch in steps(batches):
             keys, n = np.unique(Segments(utf8(batch), length).key, return_counts=True)
             yield _batch({"key": keys, "n": np.minimum(n, 2)})
@@ -167,7 +167,7 @@ def _occurrences(docs: DataFrame, keys, length: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             texts = utf8(batch)
-            ids, hashes = _owners(batch, texts)
+            ids, hashes = _owners(batch)
             segments = Segments(texts, length)
             at = np.flatnonzero(keys.value.may_hold(segments.key))
             owner = segments.owner[at]
@@ -184,7 +184,7 @@ def _texts_of(docs: DataFrame, wanted, length: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             texts = utf8(batch)
-            ids, hashes = _owners(batch, texts)
+            ids, hashes = _owners(batch)
             segments = Segments(texts, length)
             owner = segments.owner
             marks = _fingerprint(segments.key, ids[owner], hashes[owner], segments.low)
@@ -229,6 +229,7 @@ def _compared(segments: DataFrame, length: int, keep_first: bool) -> DataFrame:
                 size += len(row[4])
         if rows:
             yield rows
+        trim()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in chunks(batches):
@@ -280,20 +281,15 @@ def _firsts(groups: DataFrame, several: DataFrame) -> DataFrame:
     return groups.join(several, "key").select("key", "digest", "first.id", "first.hash", "first.low", "kinds")
 
 
-def _marks(firsts: DataFrame) -> DataFrame:
-    """The fingerprints of occurrences."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _batch({"mark": _fingerprint(*(c.to_numpy() for c in batch.columns))})
-
-    return firsts.select("key", "id", "hash", "low").mapInArrow(mark, "mark long")
+def _mark(batch: pa.RecordBatch) -> np.ndarray:
+    """The fingerprint of each occurrence (key, id, hash, low)."""
+    return _fingerprint(*(batch.column(c).to_numpy() for c in ("key", "id", "hash", "low")))
 
 
 def repeated_starts(docs: DataFrame, length: int, keep_first: bool) -> DataFrame:
     """(id, hash, starts): for each document that has any, the ranges (low, high) of window starts that repeat.
 
-    docs: (doc_id, text). The text is read three times, and only segments that need comparing are moved.
+    docs: (doc_id, text, hash). The text is read three times, and only segments that need comparing are moved.
     """
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
@@ -302,7 +298,7 @@ def repeated_starts(docs: DataFrame, length: int, keep_first: bool) -> DataFrame
     groups, several = _groups(occurrences)
     ranges = _settled(occurrences, groups, keep_first)
     firsts = written(spark, _firsts(groups, several), "firsts")
-    segments = written(spark, _texts_of(docs, share(bloom_filter(_marks(firsts))), length), "segments")
+    segments = written(spark, _texts_of(docs, share(bloom_filter(firsts, _mark)), length), "segments")
     hot = several.filter(F.col("kinds") > MANY).select("key")
     ranges = ranges.unionByName(_compared(segments.join(hot, "key", "left_anti"), length, keep_first))
     left = segments.join(hot, "key", "left_semi")
@@ -333,40 +329,16 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _with_starts(df: DataFrame, repeats_: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, str, str]:
-    """The rows of ``df`` whose document may have repeats, by a Bloom filter, with a column of their ranges (null for
-    none); the rows that have none, as they are; and the names of that column and of a text as UTF-8.
-
-    Only the first go through a join.
-    """
-    names = {}
-    for name in ("repeat_id", "repeat_hash", "repeat_text", "repeat_starts"):
-        names[name] = unused(df, name)
-    id_, hash_, text, starts = names.values()
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _batch({"mark": _fingerprint(*(c.to_numpy() for c in batch.columns))})
-
-    known = df.sparkSession.sparkContext.broadcast(bloom_filter(repeats_.select("id", "hash").mapInArrow(mark, "mark long")))
-    plain = df.withColumns({text: F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"), id_: F.col(f"`{id_col}`").cast("long")})
-
-    def chosen(wanted: bool):
-        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in steps(batches, text):
-                ids = batch.column(id_).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-                hashes = np.array([_signed(xxhash.xxh3_64_intdigest(t)) for t in batch.column(text).to_pylist()], dtype=np.int64)
-                keep = known.value.may_hold(_fingerprint(ids, hashes)) == wanted
-                columns = [*batch.columns, pa.array(hashes)]
-                at = batch.schema.get_field_index(id_)
-                columns[at] = pa.array(ids)
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, hash_]).filter(pa.array(keep))
-
-        return plain.mapInArrow(choose, StructType([*plain.schema.fields, StructField(hash_, LongType())]))
-
-    found = repeats_.select(F.col("id").alias(id_), F.col("hash").alias(hash_), F.col("starts").alias(starts))
-    met = chosen(True).join(found, [id_, hash_], "left").select(*(f"`{c}`" for c in df.columns), text, starts)
-    return met, chosen(False).select(*(f"`{c}`" for c in df.columns)), starts, text
+def _with_starts(df: DataFrame, length: int, keep_first: bool, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
+    """``df`` with its text as UTF-8 and the ranges of repeated starts (null for none), and the names of these two columns."""
+    names = [unused(df, name) for name in ("repeat_id", "repeat_hash", "repeat_text", "repeat_starts")]
+    id_, hash_, text, starts = names
+    plain = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    own = df.withColumns({text: plain.cast("binary"), hash_: F.xxhash64(plain), id_: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))})
+    docs = id_and_text(df, id_col, text_col).withColumn("hash", F.xxhash64("text"))
+    found = repeated_starts(docs, length, keep_first)
+    found = found.select(F.col("id").alias(id_), F.col("hash").alias(hash_), F.col("starts").alias(starts))
+    return own.join(found, [id_, hash_], "left").select(*(f"`{c}`" for c in df.columns), text, starts), text, starts
 
 
 def repeat_digests(df: DataFrame, length: int = 400, keep_first: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -377,7 +349,7 @@ def repeat_digests(df: DataFrame, length: int = 400, keep_first: bool = False, i
     their own, so each repeats the other (with ``keep_first`` all of them are the first, and stay).
     """
     docs = id_and_text(df, id_col, text_col)
-    found, rest, starts, text = _with_starts(docs, repeated_starts(docs, length, keep_first), "doc_id", "text")
+    found, text, starts = _with_starts(docs, length, keep_first, "doc_id", "text")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
@@ -396,15 +368,7 @@ def repeat_digests(df: DataFrame, length: int = 400, keep_first: bool = False, i
             )
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    none = F.lit(0).cast("long")
-    whole = rest.select(
-        "doc_id",
-        F.octet_length("text").cast("long").alias("n_bytes"),
-        none.alias("n_removed"),
-        none.alias("n_spans"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
-    )
-    return found.select("doc_id", text, starts).mapInArrow(digest, schema).unionByName(whole)
+    return found.select("doc_id", text, starts).mapInArrow(digest, schema)
 
 
 def remove_repeats(df: DataFrame, length: int = 400, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -414,8 +378,7 @@ def remove_repeats(df: DataFrame, length: int = 400, keep_first: bool = True, id
     without ``keep_first``), by the order of ids and positions. Characters are cut whole: one that a span
     covers in part stays. A null text stays null. Other cases as in ``repeat_digests``.
     """
-    docs = id_and_text(df, id_col, text_col)
-    found, rest, starts, text = _with_starts(df, repeated_starts(docs, length, keep_first), id_col, text_col)
+    found, text, starts = _with_starts(df, length, keep_first, id_col, text_col)
     names = df.columns
     at = [n.lower() for n in names].index(text_col.lower())
 
@@ -429,7 +392,7 @@ def remove_repeats(df: DataFrame, length: int = 400, keep_first: bool = True, id
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return found.select(*(f"`{n}`" for n in names), text, starts).mapInArrow(cut, df.schema).union(rest)
+    return found.select(*(f"`{n}`" for n in names), text, starts).mapInArrow(cut, df.schema)
 
 
 def _whole_characters(data: bytes, low: int, high: int) -> tuple[int, int]:
