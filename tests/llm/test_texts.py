@@ -59,6 +59,17 @@ def test_divergent_documents_go_and_the_language_is_learned(spark):
     assert keep_good(docs, lenient).count() == 63
 
 
+def test_long_texts_without_common_words_go(spark):
+    rnd = random.Random(9)
+    english = ["the", "of", "and", "to", "in", "is", "bridge", "winter", "garden", "copper", "market", "silver"]
+    spanish = ["de", "la", "que", "el", "en", "los", "puente", "invierno", "jardin", "cobre", "mercado", "plata"]
+    text = lambda words, n: " ".join(rnd.choice(words) for _ in range(n)).capitalize() + "."
+    good = [text(english, rnd.randrange(60, 400)) for _ in range(60)]
+    other, keywords, short = text(spanish, 300), text(english[6:], 300), text(english[6:], 90)
+    kept = {r.doc_id: r.kept for r in judge_quality(documents(spark, [*good, other, keywords, short])).collect()}
+    assert all(kept[i] for i in range(60)) and not kept[60] and not kept[61] and not kept[62]
+
+
 def test_quality_of_the_labelled_corpus(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = judge_quality(docs).join(labels, "doc_id").groupBy("quality", "base_failed", "kept").count().collect()

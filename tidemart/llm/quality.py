@@ -2,7 +2,8 @@
 
 Base rules count words, symbols, repeated lines and repeated 8-word windows. A document that passes them is
 compared with the reference of its language: the Jensen-Shannon distance of its character classes, and of
-its common words, to the mean of all the language's documents. The references come from the whole corpus.
+its common words and all others, to the mean of all the language's documents. The references come from the
+whole corpus.
 """
 
 from __future__ import annotations
@@ -32,13 +33,14 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class Limits:
-    """Parameters of the rules. Distances are in 0..1 (base 2 logarithms)."""
+    """Parameters of the rules. Distances have base 2 logarithms; class distances are in 0..1, and a word distance
+    of 1 is that of a text without any common word."""
 
     min_words: int = 20
     max_repeat_percent: int = 30
     #: Documents with fewer characters in words are too short for the character classes to tell anything.
     min_chars: int = 200
-    #: And with fewer common words, for those.
+    #: Where a text of its length would have fewer common words than this, the limit of the word distance is wider.
     min_common: int = 40
     #: A class distance may be class_floor + class_slack / sqrt(characters): chance alone moves short texts further.
     class_floor: float = 0.06
@@ -142,7 +144,8 @@ def _distance(own: Column, reference: Column) -> Column:
 
 
 def _distances(rated: DataFrame, sizes: dict[str, int], chosen: dict[str, Column]) -> DataFrame:
-    """``<name>_distance`` of each document's ``<name>_shares`` to the mean of its language's ``chosen`` documents.
+    """``<name>_distance`` of each document's ``<name>_shares`` to the mean of its language's ``chosen`` documents,
+    and that mean as ``<name>_reference``.
 
     Null where the shares are null: too little text to tell.
     """
@@ -154,7 +157,7 @@ def _distances(rated: DataFrame, sizes: dict[str, int], chosen: dict[str, Column
     references = rated.groupBy("lang").agg(*(mean.alias(f"{name}_reference") for name, mean in means.items()))
     rated = rated.join(written(rated.sparkSession, references, "references"), "lang")
     far = {f"{name}_distance": _distance(F.col(f"{name}_shares"), F.col(f"{name}_reference")) for name in sizes}
-    return rated.withColumns(far).drop(*(f"{name}_reference" for name in sizes))
+    return rated.withColumns(far)
 
 
 def judge_quality(
@@ -162,8 +165,10 @@ def judge_quality(
 ) -> DataFrame:
     """One row per document: doc_id, the base counts, base_failed, class_distance, word_distance, kept.
 
-    A document is kept unless the base rules fail it or a distance is above its limit; a distance counts
-    only for documents of at least ``min_chars`` (``min_common`` common words). A null or empty text has
+    A document is kept unless the base rules fail it or a distance is above its limit. The class distance
+    counts only for documents of at least ``min_chars``. The word distance counts at any length, in parts of
+    that of a text without any common word; its limit grows as chance does where a text of that length would
+    have fewer than ``min_common`` common words. It is null in a language without common words. A null or empty text has
     no words and fails the base rules. Documents of no language form a language of their own. Rows with
     equal ids are judged apart; a null id stays null; an empty table gives no rows.
 
@@ -185,25 +190,30 @@ def judge_quality(
     hits = [F.length("found") - F.length(F.replace("found", F.lit(c), F.lit(""))) for c in letters]
     classes = [F.col(f"c_{name}") for name, _ in CLASSES] + [F.col("c_other")]
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    totals = [F.length("found").alias("n_common"), sum(classes[1:], classes[0]).alias("n_chars")]
-    arrays = [F.array(*classes).alias("classes"), F.array(*hits).alias("words")]
+    totals = [sum(classes[1:], classes[0]).alias("n_chars")]
+    others = F.col("n_words") - F.length("found")
+    arrays = [F.array(*classes).alias("classes"), F.array(*hits, others).alias("words")]
     counts = written(spark, counted.select("doc_id", "lang", *base, *totals, *arrays), "quality-counts")
 
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words"))
     shares = {
         "class_shares": F.when(F.col("word_chars") >= limits.min_chars, F.transform("classes", lambda n: n / F.col("n_chars"))),
-        "word_shares": F.when(F.col("n_common") >= limits.min_common, F.transform("words", lambda n: n / F.col("n_common"))),
+        "word_shares": F.when(F.col("n_words") > 0, F.transform("words", lambda n: n / F.col("n_words"))),
     }
     rated = counts.withColumns({"base_failed": failed, **shares}).drop("classes", "words")
-    sizes = {"class": len(classes), "word": len(hits)}
+    sizes = {"class": len(classes), "word": len(hits) + 1}
     # The mean of all documents first, then that of the half of them nearest to it: poor documents move the
     # first and are not in the second.
-    rated = _distances(rated, sizes, {k: ~F.col("base_failed") for k in sizes})
+    rated = _distances(rated, sizes, {k: ~F.col("base_failed") for k in sizes}).drop(*(f"{k}_reference" for k in sizes))
     middle = rated.groupBy("lang").agg(*(F.percentile_approx(F.when(~F.col("base_failed"), F.col(f"{k}_distance")), 0.5).alias(f"{k}_middle") for k in sizes))
     rated = written(spark, rated.join(written(spark, middle, "middles"), "lang"), "quality-rated")
     rated = _distances(rated, sizes, {k: ~F.col("base_failed") & (F.col(f"{k}_distance") <= F.col(f"{k}_middle")) for k in sizes})
+    without = _distance(F.array(*[F.lit(0.0)] * len(hits), F.lit(1.0)), F.col("word_reference"))
+    rated = rated.withColumn("word_distance", F.when(without > 0, F.col("word_distance") / without))
     most = limits.class_floor + limits.class_slack / F.sqrt("n_chars")
-    near = [F.coalesce(F.col(f"{k}_distance") <= v, F.lit(True)) for k, v in (("class", most), ("word", F.lit(limits.max_word_distance)))]
+    expected = F.col("n_words") * (1 - F.element_at("word_reference", -1))
+    most_words = limits.max_word_distance * F.sqrt(F.greatest(F.lit(1.0), limits.min_common / expected))
+    near = [F.coalesce(F.col(f"{k}_distance") <= v, F.lit(True)) for k, v in (("class", most), ("word", most_words))]
     rated = rated.withColumn("kept", ~F.col("base_failed") & near[0] & near[1])
     return rated.select("doc_id", *base, "base_failed", "kept", "class_distance", "word_distance")
 
