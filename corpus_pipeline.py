@@ -10,9 +10,12 @@ from tidemart.llm.common import prepared, vocabulary, written
 from tidemart.llm.minhash import MinHash, keep_one
 from tidemart.llm.packing import cut_documents, pack
 from tidemart.llm.quality import keep_good
-from tidemart.llm.suffix_dedup import remove_repeats
+from tidemart.llm.suffix_dedup import remove_repeated_words
 from tidemart.llm.toxicity import drop_toxic, train
 
+#: A passage of this many words that occurred before is cut out: those of over 50.
+PASSAGE_WORDS = 51
+
 #: SQL cannot express a learned lexicon or suffix order; tests hold the stages against brute force.
 ORACLE_SQL = None
 
@@ -36,9 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occurred before are cut out of the texts; every document stays."""
+    """Passages of over 50 words that occurred before are cut out of the texts; every document stays."""
     prepared(spark)
-    return remove_repeats(docs, keep_first=True).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return remove_repeated_words(docs, PASSAGE_WORDS, keep_first=True).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from tests.llm.helpers import SF, awkward, documents, tuples
-from tidemart.llm import topk
+from tidemart.llm import suffix_dedup, topk
 from tidemart.llm.minhash import MinHash
 from tidemart.llm.queries import ORACLES, QUERIES
 from tidemart.llm.topk import Lists, top_k
@@ -141,6 +141,38 @@ def test_the_pipeline_removes_planted_cases(spark, tmp_path):
     assert all(last[i] == texts[i] for i in range(60))
 
 
+def test_passages_of_over_50_short_words_are_cut(spark):
+    rnd = random.Random(31)
+    text = lambda n: " ".join("".join(rnd.choice("abcdeinost") for _ in range(rnd.randrange(2, 4))) for _ in range(n))
+    texts, expected = [], []
+    for n in (51, 52, 55, 60, 50):
+        passage, around = text(n), [text(40) for _ in range(4)]
+        assert len(passage) < 400
+        texts += [f"{around[0]} {passage}. {around[1]}", f'{around[2]}\n\n"{passage}", {around[3]}']
+        expected += [texts[-2], texts[-1] if n == 50 else f"{around[2]}\n\n{around[3]}"]
+    docs = corpus_pipeline.repeated_passages(spark, documents(spark, texts), "")
+    assert [r.text for r in docs.orderBy("doc_id").collect()] == expected
+
+
+@pytest.mark.parametrize(("many", "keep_first"), [(1500, True), (1500, False), (2, True)])
+def test_repeated_words_agree_with_brute_force(spark, monkeypatch, many, keep_first):
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
+    rnd = random.Random(32)
+    source = [rnd.choice(["so", "as", "\u00e9t\u00e9", "word"]) + str(rnd.randrange(9)) for _ in range(400)]
+    texts = []
+    for _ in range(40):
+        at, n = rnd.randrange(330), rnd.randrange(30, 70)
+        texts.append(" ".join([*(f"x{rnd.randrange(10**6)}" for _ in range(9)), *source[at : at + n], f"y{rnd.randrange(10**6)}"]))
+    found = {r.doc_id: r.text.split() for r in suffix_dedup.remove_repeated_words(documents(spark, texts), 51, keep_first).collect()}
+    places = {}
+    for d, t in enumerate(texts):
+        words = t.split()
+        for i in range(len(words) - 50):
+            places.setdefault(tuple(words[i : i + 51]), []).append((d, i))
+    gone = {(d, i + k) for p in places.values() if len(p) > 1 for d, i in sorted(p)[keep_first:] for k in range(51)}
+    assert gone and found == {d: [w for i, w in enumerate(t.split()) if (d, i) not in gone] for d, t in enumerate(texts)}
+
+
 def test_parameters_of_near_duplicates():
     assert MinHash().width == 5 and MinHash().percent == 80 and MinHash().bands > MinHash(3, 85).bands
 

@@ -8,12 +8,17 @@ meet in one task, whose suffix order gives the longest previous factor of each p
 
 An anchor shared by very many different segments is split: each segment falls into narrower ones that are told
 apart by all bytes that their windows have in common, down to single windows, which need no comparing.
+
+Passages may also be measured in words: a text is then a row of 64-bit symbols, one for each two neighbouring
+words, and windows, anchors and places are counted in symbols where this says bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +32,8 @@ from tidemart.llm.shingles import mix
 from tidemart.llm.suffix_order import repeats
 
 GRAM = 64
+#: Symbols of an anchor where passages are measured in words.
+WORD_GRAM = 8
 #: Text whose windows are looked at together, at most; longer documents are cut into overlapping stretches.
 STRETCH = 1_000_000
 #: Different segments of one anchor that one task compares; an anchor with more is split.
@@ -43,10 +50,53 @@ _TWIST = mix(np.arange(1000, 1064, dtype=np.uint64)) | np.uint64(1)
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def _grams(data: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes from each position."""
-    hashes, width = _BYTE[data], 1
-    while width < GRAM:
+#: Words, and the marks at their ends, which are no part of a passage that begins or ends there.
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+#: Different words that a task remembers the hashes of.
+_KNOWN_WORDS = 100_000
+
+
+def _word_hashes(word: bytes) -> tuple[int, int]:
+    """Of the word without the marks before it, and without those after it."""
+    return tuple(xxhash.xxh3_64_intdigest(x or word) for x in (word.lstrip(_MARKS), word.rstrip(_MARKS)))
+
+
+def word_pairs(texts: list[bytes]) -> list[bytes]:
+    """Each text as symbols of 8 bytes, one for each two neighbouring words. Equal runs of n symbols are equal
+    runs of n + 1 words, but for the marks before the first and after the last, and for the white space."""
+    known: dict[bytes, tuple[int, int]] = {}
+    out = []
+    for text in texts:
+        words = text.split()
+        if len(known) > _KNOWN_WORDS:
+            known.clear()
+        for word in set(words).difference(known):
+            known[word] = _word_hashes(word)
+        hashes = np.array([known[w] for w in words], dtype=np.uint64).reshape(-1, 2)
+        out.append(mix(hashes[:-1, 0] * _TWIST[0] + hashes[1:, 1]).tobytes())
+    return out
+
+
+@dataclass(frozen=True)
+class Measure:
+    """What a window is: ``length`` symbols of ``width`` bytes, ``gram`` of them in an anchor, and how texts become symbols."""
+
+    length: int
+    width: int = 1
+    gram: int = GRAM
+    symbols: Callable[[list[bytes]], list[bytes]] = list
+
+
+def in_words(words: int) -> Measure:
+    """Windows of so many words."""
+    return Measure(words - 1, 8, WORD_GRAM, word_pairs)
+
+
+def _grams(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """A hash of the ``gram`` symbols from each position."""
+    hashes, width = _BYTE[data] if data.dtype == np.uint8 else data, 1
+    while width < gram:
         hashes = hashes[:-width] * _TWIST[width] + hashes[width:]
         width *= 2
     return mix(hashes)
@@ -65,29 +115,32 @@ class Segments:
     """Runs of neighbouring windows with one anchor, over many texts: owner is the text's place in the list,
     low and high the first and last start in it, anchor where the anchor is, key its hash."""
 
-    def __init__(self, texts: list[bytes], length: int):
+    def __init__(self, texts: list[bytes], measure: Measure | int):
+        measure = Measure(measure) if isinstance(measure, int) else measure
+        texts, length, width = measure.symbols(texts), measure.length, measure.width
         pieces, owners, offsets = [], [], []
         for i, text in enumerate(texts):
-            for at in range(0, max(len(text) - length + 1, 0), STRETCH):
-                pieces.append(text[at : at + STRETCH + length - 1])
+            for at in range(0, max(len(text) // width - length + 1, 0), STRETCH):
+                pieces.append(text[at * width : (at + STRETCH + length - 1) * width])
                 owners.append(i)
                 offsets.append(at)
-        found = [self._of(*part, length) for part in _batches(pieces, owners, offsets)]
+        found = [self._of(*part, measure) for part in _batches(pieces, owners, offsets)]
         none = [np.empty(0, dtype=np.int64)] * 4 + [np.empty(0, dtype=np.uint64)]
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else none
         self.owner, self.low, self.high, self.anchor, key = columns
         self.key = key.view(np.int64)
-        self.texts, self.length = texts, length
+        self.texts, self.length, self.width = texts, length, width
 
     @staticmethod
-    def _of(pieces: list[bytes], owners: list[int], offsets: list[int], length: int) -> tuple[np.ndarray, ...]:
-        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        sizes = np.array([len(p) for p in pieces])
+    def _of(pieces: list[bytes], owners: list[int], offsets: list[int], measure: Measure) -> tuple[np.ndarray, ...]:
+        length = measure.length
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8 if measure.width == 1 else np.uint64)
+        sizes = np.array([len(p) // measure.width for p in pieces])
         first = np.cumsum(sizes) - sizes
-        grams = _grams(data)
+        grams = _grams(data, measure.gram)
         places = np.arange(len(grams), dtype=np.uint64)
         # The least hash, the leftmost of equal ones; its place comes with it.
-        anchors = (_least((grams & ~_PLACE) | places, length - GRAM + 1) & _PLACE).astype(np.int64)
+        anchors = (_least((grams & ~_PLACE) | places, length - measure.gram + 1) & _PLACE).astype(np.int64)
         edges = np.zeros(len(anchors) + 1, dtype=np.int64)
         np.add.at(edges, first, 1)
         np.add.at(edges, np.minimum(first + sizes - length + 1, len(anchors)), -1)
@@ -103,7 +156,7 @@ class Segments:
         return np.array(owners)[where], starts[head] + shift, starts[tail] + shift, own[head] + shift, key
 
     def text(self, i: int) -> bytes:
-        return self.texts[self.owner[i]][self.low[i] : self.high[i] + self.length]
+        return self.texts[self.owner[i]][self.low[i] * self.width : (self.high[i] + self.length) * self.width]
 
     def digest(self, i: int) -> int:
         """A hash of the segment's bytes and of where the anchor is in them."""
@@ -148,27 +201,27 @@ _SEGMENT = "key long, id long, hash long, low long, high long, anchor long, byte
 _FIELDS = ["key", "digest", "id", "hash", "low", "high"]
 
 
-def _repeated_keys(docs: DataFrame, length: int) -> DataFrame:
+def _repeated_keys(docs: DataFrame, measure: Measure) -> DataFrame:
     """(key) of anchors that occur more than once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         resident("anchors")
         for batch in steps(batches):
-            keys, n = np.unique(Segments(utf8(batch), length).key, return_counts=True)
+            keys, n = np.unique(Segments(utf8(batch), measure).key, return_counts=True)
             yield _batch({"key": keys, "n": np.minimum(n, 2)})
 
     counted = docs.select("text").mapInArrow(count, "key long, n long")
     return counted.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
 
 
-def _occurrences(docs: DataFrame, keys, length: int) -> DataFrame:
+def _occurrences(docs: DataFrame, keys, measure: Measure) -> DataFrame:
     """Segments whose anchor may occur more than once."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             texts = utf8(batch)
             ids, hashes = _owners(batch)
-            segments = Segments(texts, length)
+            segments = Segments(texts, measure)
             at = np.flatnonzero(keys.value.may_hold(segments.key))
             owner = segments.owner[at]
             digests = np.array([segments.digest(i) for i in at.tolist()], dtype=np.int64)
@@ -178,14 +231,14 @@ def _occurrences(docs: DataFrame, keys, length: int) -> DataFrame:
     return docs.mapInArrow(find, _OCCURRENCE)
 
 
-def _texts_of(docs: DataFrame, wanted, length: int) -> DataFrame:
+def _texts_of(docs: DataFrame, wanted, measure: Measure) -> DataFrame:
     """The wanted occurrences with their bytes; a few others may come along, which changes nothing."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             texts = utf8(batch)
             ids, hashes = _owners(batch)
-            segments = Segments(texts, length)
+            segments = Segments(texts, measure)
             owner = segments.owner
             marks = _fingerprint(segments.key, ids[owner], hashes[owner], segments.low)
             at = np.flatnonzero(wanted.value.may_hold(marks))
@@ -214,7 +267,7 @@ def _settled(occurrences: DataFrame, groups: DataFrame, keep_first: bool) -> Dat
     return met.select("id", "hash", "low", "high")
 
 
-def _compared(segments: DataFrame, length: int, keep_first: bool) -> DataFrame:
+def _compared(segments: DataFrame, measure: Measure, keep_first: bool) -> DataFrame:
     """(id, hash, low, high) of window starts that another segment of the same anchor has too (an earlier one)."""
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -234,11 +287,11 @@ def _compared(segments: DataFrame, length: int, keep_first: bool) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in chunks(batches):
             strings = [r[4] for r in rows]
-            earlier, anywhere = repeats(strings, length)
-            marked = earlier if keep_first else anywhere
+            earlier, anywhere = repeats(strings, measure.length * measure.width, measure.width)
+            marked = (earlier if keep_first else anywhere)[:: measure.width]
             edge = np.diff(np.concatenate([[False], marked, [False]]).astype(np.int8))
             first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
-            sizes = np.array([len(s) for s in strings])
+            sizes = np.array([len(s) // measure.width for s in strings])
             offsets = np.cumsum(sizes) - sizes
             owner = np.searchsorted(offsets, first, side="right") - 1
             low = np.array([r[3] for r in rows], dtype=np.int64)[owner] + first - offsets[owner]
@@ -249,9 +302,11 @@ def _compared(segments: DataFrame, length: int, keep_first: bool) -> DataFrame:
     return ordered.select("key", "id", "hash", "low", "bytes").mapInArrow(compare, "id long, hash long, low long, high long")
 
 
-def _narrowed(segments: DataFrame, windows: int, length: int) -> DataFrame:
+def _narrowed(segments: DataFrame, windows: int, measure: Measure) -> DataFrame:
     """Segments of at most ``windows`` windows. Their key has all bytes that the windows share, and which windows they are."""
 
+    length, width = measure.length, measure.width
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {k: [] for k in [*_FIELDS, "bytes"]}
@@ -261,8 +316,8 @@ def _narrowed(segments: DataFrame, windows: int, length: int) -> DataFrame:
                 while at <= high:
                     block = (anchor - at) // windows
                     last = min(high, anchor - block * windows)
-                    core = data[anchor - block * windows - low : anchor - (block + 1) * windows + 1 - low + length]
-                    own = data[at - low : last - low + length]
+                    core = data[(anchor - block * windows - low) * width : (anchor - (block + 1) * windows + 1 - low + length) * width]
+                    own = data[(at - low) * width : (last - low + length) * width]
                     out["key"].append(_signed(xxhash.xxh3_64_intdigest(core, seed=(key ^ (block * 0x9E3779B97F4A7C15)) & 0xFFFFFFFFFFFFFFFF)))
                     out["digest"].append(_signed(xxhash.xxh3_64_intdigest(own, seed=anchor - at)))
                     for name, value in (("id", id_), ("hash", hash_), ("low", at), ("high", last), ("bytes", own)):
@@ -286,28 +341,28 @@ def _mark(batch: pa.RecordBatch) -> np.ndarray:
     return _fingerprint(*(batch.column(c).to_numpy() for c in ("key", "id", "hash", "low")))
 
 
-def repeated_starts(docs: DataFrame, length: int, keep_first: bool) -> DataFrame:
+def repeated_starts(docs: DataFrame, measure: Measure, keep_first: bool) -> DataFrame:
     """(id, hash, starts): for each document that has any, the ranges (low, high) of window starts that repeat.
 
     docs: (doc_id, text, hash). The text is read three times, and only segments that need comparing are moved.
     """
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
-    keys = written(spark, _repeated_keys(docs, length), "anchors")
-    occurrences = written(spark, _occurrences(docs, share(bloom_filter(keys)), length), "occurrences")
+    keys = written(spark, _repeated_keys(docs, measure), "anchors")
+    occurrences = written(spark, _occurrences(docs, share(bloom_filter(keys)), measure), "occurrences")
     groups, several = _groups(occurrences)
     ranges = _settled(occurrences, groups, keep_first)
     firsts = written(spark, _firsts(groups, several), "firsts")
-    segments = written(spark, _texts_of(docs, share(bloom_filter(firsts, _mark)), length), "segments")
+    segments = written(spark, _texts_of(docs, share(bloom_filter(firsts, _mark)), measure), "segments")
     hot = several.filter(F.col("kinds") > MANY).select("key")
-    ranges = ranges.unionByName(_compared(segments.join(hot, "key", "left_anti"), length, keep_first))
+    ranges = ranges.unionByName(_compared(segments.join(hot, "key", "left_anti"), measure, keep_first))
     left = segments.join(hot, "key", "left_semi")
     for windows in NARROWER if not hot.isEmpty() else ():
-        narrow = written(spark, _narrowed(left, windows, length), "narrow-segments")
+        narrow = written(spark, _narrowed(left, windows, measure), "narrow-segments")
         groups, several = _groups(narrow)
         ranges = ranges.unionByName(_settled(narrow, groups, keep_first))
         apart = written(spark, narrow.join(_firsts(groups, several), ["key", "digest", "id", "hash", "low"]), "narrow-firsts")
-        ranges = ranges.unionByName(_compared(apart.filter(F.col("kinds") <= MANY), length, keep_first))
+        ranges = ranges.unionByName(_compared(apart.filter(F.col("kinds") <= MANY), measure, keep_first))
         left = apart.filter(F.col("kinds") > MANY)
     ranges = ranges.groupBy("id", "hash").agg(F.collect_list(F.struct("low", "high")).alias("starts"))
     return written(spark, ranges, "repeats")
@@ -329,14 +384,14 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _with_starts(df: DataFrame, length: int, keep_first: bool, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
+def _with_starts(df: DataFrame, measure: Measure, keep_first: bool, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
     """``df`` with its text as UTF-8 and the ranges of repeated starts (null for none), and the names of these two columns."""
     names = [unused(df, name) for name in ("repeat_id", "repeat_hash", "repeat_text", "repeat_starts")]
     id_, hash_, text, starts = names
     plain = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     own = df.withColumns({text: plain.cast("binary"), hash_: F.xxhash64(plain), id_: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))})
     docs = id_and_text(df, id_col, text_col).withColumn("hash", F.xxhash64("text"))
-    found = repeated_starts(docs, length, keep_first)
+    found = repeated_starts(docs, measure, keep_first)
     found = found.select(F.col("id").alias(id_), F.col("hash").alias(hash_), F.col("starts").alias(starts))
     return own.join(found, [id_, hash_], "left").select(*(f"`{c}`" for c in df.columns), text, starts), text, starts
 
@@ -349,7 +404,7 @@ def repeat_digests(df: DataFrame, length: int = 400, keep_first: bool = False, i
     their own, so each repeats the other (with ``keep_first`` all of them are the first, and stay).
     """
     docs = id_and_text(df, id_col, text_col)
-    found, text, starts = _with_starts(docs, length, keep_first, "doc_id", "text")
+    found, text, starts = _with_starts(docs, Measure(length), keep_first, "doc_id", "text")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
@@ -378,7 +433,36 @@ def remove_repeats(df: DataFrame, length: int = 400, keep_first: bool = True, id
     without ``keep_first``), by the order of ids and positions. Characters are cut whole: one that a span
     covers in part stays. A null text stays null. Other cases as in ``repeat_digests``.
     """
-    found, text, starts = _with_starts(df, length, keep_first, id_col, text_col)
+
+    def spans(data: bytes, ranges: list[dict] | None) -> list[tuple[int, int]]:
+        return [_whole_characters(data, *span) for span in _spans(ranges, length)]
+
+    return _cut(df, Measure(length), spans, keep_first, id_col, text_col)
+
+
+def remove_repeated_words(df: DataFrame, words: int, keep_first: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` with repeated passages of ``words`` words or more cut out, however few bytes they have.
+
+    A word (what lies between white space) goes if a run of ``words`` words over it also starts at an earlier
+    place (any other place without ``keep_first``). White space may differ, and so may ASCII marks before the
+    first word of the run and after its last. A word goes with its marks and the white space after it.
+    Other cases as in ``remove_repeats``. Runs have more words than WORD_GRAM.
+    """
+    if words <= max(WORD_GRAM, *NARROWER):
+        raise ValueError("passages of so few words are not looked for")
+
+    def spans(data: bytes, ranges: list[dict] | None) -> list[tuple[int, int]]:
+        if not ranges:
+            return []
+        starts = [*(m.start() for m in _WORD.finditer(data)), len(data)]
+        return [(starts[low], starts[high]) for low, high in _spans(ranges, words)]
+
+    return _cut(df, in_words(words), spans, keep_first, id_col, text_col)
+
+
+def _cut(df: DataFrame, measure: Measure, spans_of: Callable, keep_first: bool, id_col: str, text_col: str) -> DataFrame:
+    """``df`` without the spans of its texts that ``spans_of`` gives for a text and its ranges of repeated starts."""
+    found, text, starts = _with_starts(df, measure, keep_first, id_col, text_col)
     names = df.columns
     at = [n.lower() for n in names].index(text_col.lower())
 
@@ -386,7 +470,7 @@ def remove_repeats(df: DataFrame, length: int = 400, keep_first: bool = True, id
         for batch in steps(batches, text):
             out = []
             for was, data, ranges in zip(batch.column(at).to_pylist(), batch.column(text).to_pylist(), batch.column(starts).to_pylist(), strict=True):
-                spans = [_whole_characters(data, *span) for span in _spans(ranges, length)]
+                spans = spans_of(data, ranges)
                 out.append(was if not spans else _without(data, spans).decode("utf-8"))
             columns = [batch.column(n) for n in range(len(names))]
             columns[at] = pa.array(out, pa.string())

@@ -14,7 +14,7 @@ def _classes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, same, np.cumsum(~same)
 
 
-def suffix_runs(strings: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+def suffix_runs(strings: list[bytes], length: int, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Positions in the joined strings in suffix order, cut off after ``length`` bytes, ties by position.
 
     Only positions whose first ``length`` bytes lie in one string and occur again are given. The second
@@ -22,14 +22,16 @@ def suffix_runs(strings: list[bytes], length: int) -> tuple[np.ndarray, np.ndarr
     after a False is one repeated string, its positions ascending.
 
     Built by doubling: ranks by 8 bytes, then by pairs of ranks for 16, 32, ... and at last ``length``
-    bytes. A position whose rank no other has is out of the later rounds.
+    bytes. A position whose rank no other has is out of the later rounds. Strings of symbols of ``width``
+    bytes have positions at whole symbols alone.
     """
     if length < 8:
         raise ValueError("repeats of fewer than 8 bytes are not looked for")
     data = np.frombuffer(b"".join(strings) + bytes(8), dtype=np.uint8)
     sizes = np.array([len(s) for s in strings], dtype=np.int64)
     ends = np.repeat(np.cumsum(sizes), sizes)
-    alive = np.flatnonzero(ends - np.arange(len(ends)) >= 8)
+    alive = np.arange(0, len(ends), width)
+    alive = alive[ends[alive] - alive >= 8]
     keys = np.zeros(len(alive), dtype=np.uint64)
     for i in range(8):
         keys = (keys << np.uint64(8)) | data[alive + i]
@@ -61,11 +63,11 @@ def previous_and_next_smaller(order: np.ndarray, same: np.ndarray) -> tuple[np.n
     return before, np.full(len(order), -1, dtype=np.int64)
 
 
-def repeats(strings: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+def repeats(strings: list[bytes], length: int, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """For every position of the joined strings: whether its ``length`` bytes occur at an earlier position (its
     longest previous factor reaches ``length``), and whether they occur at any other."""
     total = sum(len(s) for s in strings)
-    order, same = suffix_runs(strings, length)
+    order, same = suffix_runs(strings, length, width)
     before, after = previous_and_next_smaller(order, same)
     earlier, anywhere = np.zeros(total, dtype=bool), np.zeros(total, dtype=bool)
     earlier[order[(before >= 0) | (after >= 0)]] = True
