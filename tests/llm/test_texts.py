@@ -208,6 +208,19 @@ def test_a_host_without_article_elements_shows_its_content_by_what_varies(spark)
     assert {r.page_id: r.text for r in main_text(pages).collect()} == expected
 
 
+def test_a_notice_in_every_article_of_a_host_is_template(spark):
+    notice = "Readers like you make this site possible."
+    rows, expected = [], {}
+    for i in range(10):
+        rows.append((i, "http://h.example/", f"<body><article><h1>Head {i}</h1><p>One {i}</p><p>{notice}</p><p>Two {i}</p><div>{notice}</div><h2>Summary</h2><p>End {i}</p></article>"))
+        expected[i] = f"Head {i}\n\nOne {i}\n\nTwo {i}\n\nSummary\n\nEnd {i}"
+    for i in range(20, 26):  # one page again and again
+        rows.append((i, "http://again.example/", "<body><p>Outside</p><article><p>The same</p></article>"))
+        expected[i] = "The same"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in main_text(pages).collect()} == expected
+
+
 def test_trees_match_simply():
     page = shape_of(parse("<div><p>a</p><p>b</p><ul><li>c</ul><p>d</p></div>").root)
     other = shape_of(parse("<div><p>a</p><ul><li>c<li>e</ul></div><div></div>").root)
