@@ -70,7 +70,7 @@ def test_bounds_hold_and_close():
 
 def test_names():
     found = queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in found if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in found and set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(oracle_sql())
 

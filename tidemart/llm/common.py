@@ -38,6 +38,23 @@ def written(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The column of salts that ``salted`` adds.
+SALT = "salt_"
+
+
+def salted(df: DataFrame) -> DataFrame:
+    """The rows with a random salt each, as many salts as a shuffle has partitions. Write them before they are read twice."""
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn(SALT, F.floor(F.rand() * salts).cast("int"))
+
+
+def lookup(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Written ``salted`` rows with the columns of ``found``, which has each key once (null where it has none).
+    A found row goes once to each salt that its key has, so rows of one key meet it in many tasks."""
+    wanted = rows.select(key, SALT).distinct()
+    return rows.join(wanted.join(found, key), [key, SALT], "left").drop(SALT)
+
+
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The columns (doc_id, text) alone, whatever else the table has; a null text is empty."""
     return df.select(

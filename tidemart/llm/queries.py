@@ -7,16 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemart.llm.blob_ledger import secret_digests
 from tidemart.llm.byte_bpe import round_trip_digests
 from tidemart.llm.common import prepared, vocabulary
 from tidemart.llm.html_text import main_text
+from tidemart.llm.merkle_log import manifest_digests
 from tidemart.llm.minhash import MinHash, near_duplicates
+from tidemart.llm.oracles import MANIFEST, REPAIR, SECRETS
 from tidemart.llm.packing import cut_documents, pack
 from tidemart.llm.quality import judge_quality
 from tidemart.llm.suffix_dedup import repeat_digests
 from tidemart.llm.token_files import write_token_files
 from tidemart.llm.topk import top_k
 from tidemart.llm.toxicity import score_documents, train
+from tidemart.llm.turn_repair import damaged, repair_conversations
 from tidemart.llm.url_filter import Rule, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,3 +172,21 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_merkle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES |= {"op11_blob_ledger": SECRETS, "op12_turn_repair": REPAIR, "op13_merkle_log": MANIFEST}
