@@ -198,7 +198,8 @@ def test_old_versions_are_dropped(spark, shop):
     run_snapshot(spark, shop, "orders", t(3, 7))
     for _ in range(4):
         run_merge(spark, shop, "2024-01-03", ["orders"])
-    assert sorted(os.listdir(shop.main("orders"))) == ["v=000003.buckets=4", "v=000004.buckets=4"]
+    kept = [n for n in os.listdir(f"{shop.main('orders')}/_versions") if n.endswith(".json")]
+    assert sorted(kept) == ["000003.json", "000004.json"]
     assert read_current(spark, shop.main("orders"), ["order_id"]).count() == 4
 
 

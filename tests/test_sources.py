@@ -1,4 +1,6 @@
 import os
+import random
+import re
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -324,13 +326,14 @@ def test_snapshot_versions(spark, tmp_path):
     assert merge_snapshot(spark, path, changes, ["id"], "ts", 4) == 2
     current = read_current(spark, path, ["id"])
     assert current.groupBy("v").count().orderBy("v").collect() == [("a", 40), ("b", 20)]
-    # An interrupted version (no recorded schema) is not read, and its number is not used again.
-    os.makedirs(f"{path}/v=000003.buckets=4")
+    # An interrupted version (no manifest) is not read, and its number is not used again.
+    os.makedirs(f"{path}/rows-000003.buckets=4")
     assert read_current(spark, path, ["id"]).count() == 60
     assert merge_snapshot(spark, path, changes, ["id"], "ts", 8) == 4
     assert rows_of(read_current(spark, path, ["id"])) == rows_of(current)
     assert expire_snapshots(spark, path, keep=5) == []
-    assert expire_snapshots(spark, path, keep=1) == [1, 2, 3]
+    assert expire_snapshots(spark, path, keep=1) == [1, 2]
+    assert sorted(os.listdir(path)) == ["_versions", "rows-000004.buckets=8"]
     assert read_current(spark, path, ["id"]).count() == 60
     with pytest.raises(ValueError):
         expire_snapshots(spark, path, keep=0)
@@ -352,13 +355,13 @@ def test_buckets_follow_the_size(spark, tmp_path, monkeypatch):
     assert snapshots.buckets_for(10 * 1024**3) == 40
     path, rows = f"{tmp_path}/main", spark.range(2000).selectExpr("id", "timestamp'2024-01-01' ts", "uuid() v")
     write_snapshot(rows, path, ["id"], 2)
-    folders = lambda: sorted(f.split("=")[-1] for f in os.listdir(path))
+    layouts = lambda: sorted(int(f.split("=")[-1]) for f in os.listdir(path) if f.startswith("rows-"))
     monkeypatch.setattr(snapshots, "MIN_BUCKETS", 1)
     merge_snapshot(spark, path, rows.limit(10), ["id"], "ts")
-    assert folders() == ["2", "2"]
+    assert layouts() == [2]
     monkeypatch.setattr(snapshots, "BUCKET_BYTES", 8_000)
     merge_snapshot(spark, path, rows.limit(10), ["id"], "ts")
-    assert int(folders()[-1]) > 4 or int(folders()[0]) > 4
+    assert layouts()[0] == 2 and layouts()[1] > 4
     assert read_current(spark, path, ["id"]).count() == 2000
 
 
@@ -379,10 +382,124 @@ def test_merge_moves_only_the_changes(spark, tmp_path):
     plan = plan_of(upsert(read_current(spark, path, ["id"]), changes, ["id"], "ts"))
     initial = plan.split("Initial Plan")[-1]
     assert initial.count("Exchange") == 1 and "Bucketed: true" in initial
+
+
+def files_of(path) -> dict[str, tuple]:
+    """Data files of a stored table, with their sizes and when they were written."""
+    found = {}
+    for folder, _, names in os.walk(path):
+        for name in (n for n in names if n.endswith(".parquet") and not n.startswith(".")):
+            stat = os.stat(f"{folder}/{name}")
+            found[os.path.relpath(f"{folder}/{name}", path)] = (stat.st_size, stat.st_mtime_ns)
+    return found
+
+
+def bucket_in(name: str) -> int:
+    return int(re.search(r"_(\d+)\.c\d+", name)[1])
+
+
+def test_a_merge_writes_only_the_buckets_that_change(spark, tmp_path):
+    """A day that touches 1 % of the buckets writes about 1 % of the bytes, and reads no other bucket."""
+    path = f"{tmp_path}/main"
+    rows = spark.range(20_000).selectExpr("id", "timestamp'2024-01-01' ts", "uuid() v")
+    write_snapshot(rows, path, ["id"], 100)
+    before = files_of(path)
+    assert len(before) == 100
+    mine = {r.id for r in rows.withColumn("b", snapshots.bucket_of(["id"], 100)).filter("b = 42").collect()}
+    changes = rows.filter(F.col("id").isin(mine)).selectExpr("id", "ts + interval 1 hour as ts", "'new' as v")
+    # Files of other buckets are not even opened.
+    saved = {}
+    for name in before:
+        if bucket_in(name) != 42:
+            saved[name] = open(f"{path}/{name}", "rb").read()
+            open(f"{path}/{name}", "wb").write(b"unreadable" * 100)
+    merge_snapshot(spark, path, changes, ["id"], "ts", 100)
+    for name, content in saved.items():
+        open(f"{path}/{name}", "wb").write(content)
+    after = files_of(path)
+    new = set(after) - set(before)
+    assert len(new) == 1 and {bucket_in(n) for n in new} == {42} and set(before) <= set(after)
+    assert sum(after[n][0] for n in new) < 0.02 * sum(s for s, _ in before.values())
+    current = read_current(spark, path, ["id"])
+    assert current.count() == 20_000 and {r.id for r in current.filter("v = 'new'").collect()} == mine
+
+
+def test_full_buckets_are_folded_alone(spark, tmp_path, conf):
+    path = f"{tmp_path}/main"
+    rows = spark.createDataFrame([(i, T0, "a") for i in range(200)], LOG)
+    write_snapshot(rows, path, ["id"], 8)
+    whole = files_of(path)
+    bucket = rows.filter("id = 7").select(snapshots.bucket_of(["id"], 8)).first()[0]
+    for n in range(1, 4):
+        change = spark.createDataFrame([(7, T0 + timedelta(hours=n), f"v{n}")], LOG)
+        merge_snapshot(spark, path, change, ["id"], "ts", 8, max_changes=2)
+    folded = [f for f in files_of(path) if "p_part=b" in f and f not in whole]
+    assert [bucket_in(f) for f in folded] == [bucket]
+    # The bucket's older files are not part of the table any more: they can be unreadable.
+    dead = [f for f in files_of(path) if f not in folded and bucket_in(f) == bucket]
+    assert len(dead) == 4
+    for name in dead:
+        open(f"{path}/{name}", "wb").write(b"unreadable" * 100)
+    current = read_current(spark, path, ["id"])
+    assert current.count() == 200 and current.filter("id = 7").first().v == "v3"
+    expire_snapshots(spark, path, keep=1)
+    left = files_of(path)
+    assert len(left) == 8 and not set(dead) & set(left)
+    assert read_current(spark, path, ["id"]).count() == 200
+
+
+def test_changes_are_taken_in_without_a_shuffle(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    path = f"{tmp_path}/main"
+    write_snapshot(spark.createDataFrame([(i, T0, "a") for i in range(500)], LOG), path, ["id"], 8)
+    changes = spark.createDataFrame([(i, T0, "b") for i in range(400, 600)], LOG)
     merge_snapshot(spark, path, changes, ["id"], "ts", 8)
-    folder = max(f for f in os.listdir(path) if f.startswith("v="))
-    files = [f for f in os.listdir(f"{path}/{folder}") if f.endswith(".parquet")]
-    assert len(files) == 8
+    current = read_current(spark, path, ["id"])
+    assert "Exchange" not in plan_of(current) and plan_of(current).count("Bucketed: true") == 3
+    assert current.groupBy("v").count().orderBy("v").collect() == [("a", 400), ("b", 200)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_merges_equal_upserts_one_after_another(spark, tmp_path, seed):
+    """NULL audits and keys, stale changes, foldings and expiry in any order."""
+    rnd, path = random.Random(seed), f"{tmp_path}/main"
+
+    def images(nulls: int) -> list[tuple]:
+        keys = rnd.sample(range(30), 10)
+        stamps = [None, *(T0 + timedelta(hours=h) for h in range(5))]
+        return [(k, rnd.choice(stamps), f"v{rnd.random()}") for k in keys] + [(None, rnd.choice(stamps), f"n{rnd.random()}")] * nulls
+
+    def merged(state: list[tuple], changes: list[tuple]) -> list[tuple]:
+        out = {k: (k, ts, v) for k, ts, v in state if k is not None}
+        for k, ts, v in changes:
+            old = out.get(k)
+            if k is not None and (old is None or (old[1] is not None and ts is not None and old[1] <= ts)):
+                out[k] = (k, ts, v)
+        return [*out.values(), *(r for r in [*state, *changes] if r[0] is None)]
+
+    state = images(1)
+    write_snapshot(spark.createDataFrame(state, LOG), path, ["id"], 4)
+    for step in range(5):
+        changes = images(rnd.randint(0, 1))
+        merge_snapshot(spark, path, spark.createDataFrame(changes, LOG), ["id"], "ts", 4, max_changes=rnd.randint(1, 3))
+        state = merged(state, changes)
+        assert rows_of(read_current(spark, path, ["id"])) == sorted(state, key=repr)
+        if step % 2:
+            expire_snapshots(spark, path, keep=1)
+        if step == 3:
+            snapshots.fold(spark, path, ["id"])
+    assert rows_of(read_current(spark, path, ["id"])) == sorted(state, key=repr)
+    shown = spark.sql(snapshots.current_query(spark, path, ["id"]))
+    assert rows_of(shown) == sorted(state, key=repr)
+
+
+def test_a_second_writer_is_refused(spark, tmp_path, monkeypatch):
+    path, rows = f"{tmp_path}/main", spark.createDataFrame([(1, T0, "a")], LOG)
+    write_snapshot(rows, path, ["id"], 2)
+    monkeypatch.setattr(snapshots, "_next_number", lambda spark, path: 1)
+    with pytest.raises(FileExistsError):
+        merge_snapshot(spark, path, rows, ["id"], "ts", 2)
+    assert rows_of(read_current(spark, path, ["id"])) == rows_of(rows)
 
 
 def test_native_merge_needs_a_capable_catalog(spark, tmp_path):

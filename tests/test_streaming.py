@@ -131,5 +131,5 @@ def test_a_first_version_is_sized_by_its_log(spark, tmp_path, monkeypatch):
     append_delta(frame(spark, [(n, n, "x" * 50) for n in range(50)]), f"{tmp_path}/delta", "s", "ts")
     stream_upsert(spark, f"{tmp_path}/delta", f"{tmp_path}/main", SPEC, f"{tmp_path}/ck").awaitTermination()
     assert read_current(spark, f"{tmp_path}/main", ["id"]).count() == 50
-    (folder,) = [n for n in os.listdir(f"{tmp_path}/main") if n.startswith("v=")]
+    (folder,) = [n for n in os.listdir(f"{tmp_path}/main") if n.startswith("rows-")]
     assert int(folder.split("buckets=")[1]) > snapshots.MIN_BUCKETS

@@ -38,3 +38,12 @@ def upsert(main: DataFrame, changes: DataFrame, keys: Sequence[str], audit: str)
         for f in main.schema.fields
     ]
     return current.join(incoming, same_key, "full_outer").select(*columns)
+
+
+def winning_changes(main: DataFrame, changes: DataFrame, keys: Sequence[str], audit: str) -> DataFrame:
+    """The rows of ``changes`` that ``upsert`` would insert or replace a row with. Of ``main`` only keys and audit are read."""
+    held = main.select(*[named(k).alias(f"k{i}") for i, k in enumerate(keys)], named(audit).alias("held"), F.lit(True).alias("there"))
+    new, old = changes.alias("d"), held.alias("m")
+    same_key = reduce(and_, [F.col(f"d.`{k.replace('`', '``')}`") == F.col(f"m.k{i}") for i, k in enumerate(keys)])
+    newer = F.coalesce(F.col("m.held") <= F.col(f"d.`{audit.replace('`', '``')}`"), F.lit(False))
+    return new.join(old, same_key, "left").filter(F.col("m.there").isNull() | newer).select("d.*")

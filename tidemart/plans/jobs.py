@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import day_of
 from tidemart.operators import latest_per_key
 from tidemart.plans import marts
-from tidemart.plans.views import create_view, view_exists
+from tidemart.plans.views import replace_view, view_exists
 from tidemart.registry import SHOP_TABLES, TableSpec, layer_name
 from tidemart.session import prepare
 from tidemart.slices import Slice, resolve_slice
@@ -151,8 +151,7 @@ def run_merge(
         version = snapshots.merge_snapshot(spark, path, changes, spec.keys, spec.audit, cfg.buckets)
         view = f"{layer_name('bronze', cfg.target)}.main_{spec.name}"
         if view_exists(spark, view):
-            columns = snapshots.read_current(spark, path, spec.keys).columns
-            create_view(spark, view, columns, snapshots.current_folder(spark, path))
+            replace_view(spark, view, snapshots.current_query(spark, path, spec.keys))
         snapshots.expire_snapshots(spark, path, cfg.keep_versions)
         return version
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.plans.jobs import GOLD_MODELS, Pipeline
-from tidemart.plans.views import create_view
+from tidemart.plans.views import create_view, replace_view
 from tidemart.registry import layer_name
 from tidemart.slices import Slice
 from tidemart.sources import appendlog, partitions, snapshots, storage
@@ -48,10 +48,9 @@ def publish(spark: SparkSession, cfg: Pipeline) -> list[str]:
             if not log.isEmpty():
                 views.append(f"{bronze}.delta_{table}")
                 create_view(spark, views[-1], log.columns, cfg.delta(table))
-        current = snapshots.read_current(spark, cfg.main(table), spec.keys)
-        if current is not None:
+        if snapshots.current_version(spark, cfg.main(table)) is not None:
             views.append(f"{bronze}.main_{table}")
-            create_view(spark, views[-1], current.columns, snapshots.current_folder(spark, cfg.main(table)))
+            replace_view(spark, views[-1], snapshots.current_query(spark, cfg.main(table), spec.keys))
     for model in GOLD_MODELS:
         if partitions.table_exists(spark, cfg.gold(model)):
             stored = partitions.read_partitions(spark, cfg.gold(model))

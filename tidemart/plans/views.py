@@ -9,7 +9,11 @@ from pyspark.sql import SparkSession
 
 def create_view(spark: SparkSession, name: str, columns: Sequence[str], folder: str) -> None:
     chosen = ", ".join("`" + c.replace("`", "``") + "`" for c in columns)
-    spark.sql(f"CREATE OR REPLACE VIEW spark_catalog.{name} AS SELECT {chosen} FROM parquet.`{folder}`")
+    replace_view(spark, name, f"SELECT {chosen} FROM parquet.`{folder}`")
+
+
+def replace_view(spark: SparkSession, name: str, query: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW spark_catalog.{name} AS {query}")
 
 
 def view_exists(spark: SparkSession, name: str) -> bool:

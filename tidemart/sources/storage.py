@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
@@ -56,20 +57,38 @@ def same_shape(one: StructType, other: StructType) -> bool:
     return shapes[0] == shapes[1]
 
 
-def write_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+def read_json(spark: SparkSession, path: str) -> dict:
     fs, hadoop_path = _open(spark, path)
-    stream = fs.create(hadoop_path, True)
+    stream = fs.open(hadoop_path)
     try:
-        stream.write(bytearray(schema.json(), "utf-8"))
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
 
 
-def read_schema(spark: SparkSession, path: str) -> StructType:
+def put_json(spark: SparkSession, path: str, content: dict) -> None:
+    """A new file that is whole as soon as it is seen; an error if it is there already."""
     fs, hadoop_path = _open(spark, path)
-    stream = fs.open(hadoop_path)
+    folder, _, name = path.rpartition("/")
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}-{uuid.uuid4().hex[:12]}")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(json.dumps(content), "utf-8"))
+    finally:
+        stream.close()
+    if fs.exists(hadoop_path) or not fs.rename(draft, hadoop_path):
+        fs.delete(draft, False)
+        raise FileExistsError(f"another writer has put {path}")
+
+
+def write_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    fs, hadoop_path = _open(spark, path)
+    stream = fs.create(hadoop_path, True)
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.write(bytearray(schema.json(), "utf-8"))
     finally:
         stream.close()
-    return StructType.fromJson(json.loads(text))
+
+
+def read_schema(spark: SparkSession, path: str) -> StructType:
+    return StructType.fromJson(read_json(spark, path))
