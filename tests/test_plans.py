@@ -102,3 +102,37 @@ def test_a_hot_day_is_written_by_several_tasks(spark, conf, tmp_path):
     assert files(f"{path}/p_span=1970-01-02") > 2
     assert files(f"{tmp_path}/d/slice=init-x/p_from=1970-01-01") > 2
     assert read_partitions(spark, path).count() == read_delta(spark, f"{tmp_path}/d").count() == 300_000
+
+
+@pytest.mark.parametrize("name, rankings", [("asof_left_join", 2), ("sales_report_full", 2), ("sales_report_per_item", 3)])
+def test_both_sides_of_the_asof_join_are_computed_once(spark, name, rankings):
+    """In the plan that ran: one ranking each for the images of items and of products, and the report's own by item."""
+    report = queries()[name](spark, SF)
+    report.collect()
+    final = plan_of(report).split("Initial Plan")[0]
+    assert final.count(" Window [row_number()") == rankings
+    assert final.count("ReusedExchange") == 1
+
+
+def test_a_hot_hour_of_the_asof_join_is_split(spark, conf):
+    """Half of all sales and versions are of one key and one hour."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="20")
+    ids = spark.range(0, 60_000, 1, 8)
+    key = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 1000)
+    second = F.when(F.col("id") % 2 == 0, F.pmod(F.xxhash64("id"), F.lit(3600))).otherwise(F.pmod(F.xxhash64("id"), F.lit(864_000)))
+    sales = ids.select("id", key.alias("k"), F.timestamp_seconds(second).alias("ts"))
+    changes = ids.select(key.alias("k"), F.timestamp_millis(second * 1000 + F.col("id") % 1000).alias("vts")).distinct().withColumn("v", F.col("vts"))
+    joined = asof_join(sales, changes, ["k"], "ts", "vts")
+    parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in parts) == 60_000 and max(r["count"] for r in parts) < 7_000
+    best = sales.join(changes.drop("v"), "k").filter("vts <= ts").groupBy("id").agg(F.max("vts").alias("best"))
+    wrong = joined.join(best, "id", "left").filter("not (v <=> best)")
+    assert wrong.count() == 0
+
+
+def test_rows_of_unknown_keys_are_spread(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="20")
+    sales = spark.range(40_000).selectExpr("id", "cast(null as bigint) as k", "timestamp'1970-01-01' as ts")
+    joined = asof_join(sales, versions(spark), ["k"], "ts", "vts")
+    parts = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count("v").alias("m")).collect()
+    assert sum(r.n for r in parts) == 40_000 and max(r.n for r in parts) < 6_000 and not any(r.m for r in parts)
