@@ -1,3 +1,4 @@
+import glob
 import os
 import random
 import re
@@ -173,7 +174,7 @@ def test_landing_keeps_values_whole(spark, tmp_path):
     back = read_landing(spark, f"{tmp_path}/slice")
     assert back.schema == df.schema
     assert rows_of(back) == rows_of(df)
-    parts = [f for f in os.listdir(tmp_path / "slice" / "data") if f.endswith(".csv")]
+    parts = glob.glob(f"{tmp_path}/slice/data/**/*.csv", recursive=True)
     assert len(parts) > len(rows) / 5 - 1
     assert (tmp_path / "slice" / "schema.json").is_file()
 
@@ -659,9 +660,26 @@ def test_no_landing_part_exceeds_its_bytes_by_more_than_a_row(spark, tmp_path):
     )
     write_landing(rows, path, max_bytes_per_file=bound)
     assert rows_of(read_landing(spark, path)) == rows_of(rows)
-    sizes = [os.path.getsize(f"{path}/data/{n}") for n in os.listdir(f"{path}/data") if n.endswith(".csv")]
+    sizes = [os.path.getsize(n) for n in glob.glob(f"{path}/data/**/*.csv", recursive=True)]
     header = len("id,ts,v\n")
     assert len([s for s in sizes if s > bound + header]) == 6  # the rows larger than the bound, one to a part
     assert len(sizes) < 60
     write_landing(rows.limit(0), path)
     assert read_landing(spark, path).count() == 0
+
+
+def test_landing_is_one_job_with_parts_below_the_bound(spark, tmp_path):
+    """Rows of 20 bytes to 4 MB in three tasks: one job, no part above 19,000,000 bytes, few parts."""
+    size = F.when(F.col("id") % 1000 == 0, 4_000_000).when(F.col("id") % 10 == 0, 6_000).otherwise(F.col("id") % 50)
+    rows = spark.range(0, 12_000, 1, 3).select("id", F.repeat(F.lit("x"), size.cast("int")).alias("v"))
+    spark.sparkContext.setJobGroup("landing-job", "one slice")
+    write_landing(rows, f"{tmp_path}/landed")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("landing-job")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+    sizes = [os.path.getsize(n) for n in glob.glob(f"{tmp_path}/landed/data/**/*.csv", recursive=True)]
+    assert sum(sizes) > 50_000_000 and max(sizes) <= 19_000_000 and len(sizes) < 40
+    back = read_landing(spark, f"{tmp_path}/landed")
+    assert back.selectExpr("count(*)", "sum(id)", "sum(length(v))").first() == rows.selectExpr("count(*)", "sum(id)", "sum(length(v))").first()
+    with pytest.raises(ValueError, match="part"):
+        write_landing(rows.withColumn("part", F.lit(1)), f"{tmp_path}/other")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions import unused
-from tidemart.session import scratch
 from tidemart.sources import storage
 
 # Fixed value: a part has at most so many bytes, or one row.
@@ -28,7 +27,10 @@ CSV_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 # Quoted line breaks make a part unsplittable, so writers keep parts small.
-CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST", "enforceSchema": "true"}
+# They lie in the folder of a slice or in folders below it.
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST", "enforceSchema": "true", "recursiveFileLookup": "true"}
+# The folder of a part: its size class, and its number in the task that wrote it.
+PART = "part"
 
 
 def _marked(column: Column, pattern: str, replacement: str) -> Column:
@@ -77,11 +79,12 @@ def _row_bytes(schema: T.StructType) -> Column:
 def write_landing(
     df: DataFrame, path: str, max_records_per_file: int = 250_000, max_bytes_per_file: int = PART_BYTES
 ) -> None:
-    """Write ``path/data/*.csv`` and then ``path/schema.json``; a re-run replaces the slice.
+    """Write ``path/data/part=.../*.csv`` and then ``path/schema.json``; a re-run replaces the slice.
 
-    Spark bounds files by rows only. So rows are set down once, by size (below 4, 16, 64, ... bytes), and
-    each size is written with as many rows to a part as are sure to fit: parts of rows of like
-    size are at least a quarter full, and only a row larger than the bound makes a larger part.
+    One job, without a shuffle or a copy. Each task sorts its rows by size class (below 64, 256, 1024, ...
+    bytes) and numbers them. A class has a fixed number of rows that are sure to fit a part, so a row's number divided by
+    it is the part it goes to: no part holds more rows of its class than fit. Parts of like rows are at least a quarter
+    full but for a task's first and last of each class, and only a row larger than the bound makes a larger part.
 
     The schema is the proof that all parts are there: it goes first and comes last, and a folder
     without it is not read.
@@ -89,20 +92,18 @@ def write_landing(
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     if nested:
         raise ValueError(f"landing files are flat; nested columns: {', '.join(nested)}")
+    if PART.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"column name reserved for folders: {PART}")
+    spark = df.sparkSession
     text = df.select(*[_to_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
-    storage.delete(df.sparkSession, f"{path}/schema.json")
-    spark, power = df.sparkSession, unused(df.columns, "power")
-    sized = text.withColumn(power, F.ceil(F.log(4.0, _row_bytes(text.schema))).cast("int"))
-    staged = scratch(spark, "landing")
-    sized.write.partitionBy(power).parquet(staged)
-    mode, powers = "overwrite", [n.split("=")[1] for n in storage.child_names(spark, staged) if n.startswith(f"{power}=")]
-    for n in powers or [None]:
-        rows = text.limit(0) if n is None else spark.read.schema(text.schema).parquet(f"{staged}/{power}={n}")
-        fitting = max_records_per_file if n is None else min(max_records_per_file, max_bytes_per_file // 4 ** int(n))
-        writer = rows.write.mode(mode).options(**CSV_OPTIONS).option("maxRecordsPerFile", max(1, fitting))
-        writer.csv(f"{path}/data")
-        mode = "append"
-    storage.delete(spark, staged)
+    storage.delete(spark, f"{path}/schema.json")
+    size = unused(df.columns, "size")
+    sized = text.withColumn(size, F.greatest(F.lit(3), F.ceil(F.log(4.0, _row_bytes(text.schema)))).cast("int"))
+    number = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # the row's place in its task
+    fitting = F.greatest(F.lit(1), F.least(F.lit(max_records_per_file), F.floor(F.lit(max_bytes_per_file) / F.pow(F.lit(4), F.col(size)))))
+    part = F.concat_ws("-", F.col(size), F.floor(number / fitting))
+    cut = sized.sortWithinPartitions(size).withColumn(PART, part).drop(size)
+    cut.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy(PART).csv(f"{path}/data")
     storage.write_schema(spark, f"{path}/schema.json", df.schema)
 
 

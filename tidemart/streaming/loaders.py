@@ -66,7 +66,7 @@ def landing_stream(
 
 def _folder():
     """The landing folder of a row's part."""
-    return F.regexp_extract("_metadata.file_path", r"^(.*)/data/[^/]*$", 1)
+    return F.regexp_extract("_metadata.file_path", r"^(.*)/data/(?:[^/]*/)?[^/]*$", 1)
 
 
 def stream_upsert(
