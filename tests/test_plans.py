@@ -99,7 +99,7 @@ def test_a_hot_day_is_written_by_several_tasks(spark, conf, tmp_path):
     overwrite_partitions(rows, path, day_of("ts"))
     append_delta(rows, f"{tmp_path}/d", "init-x", "ts")
     files = lambda folder: len([f for f in os.listdir(folder) if f.endswith(".parquet")])
-    assert files(f"{path}/p_span=1970-01-02") > 2
+    assert files(f"{path}/p_gen=1/p_span=1970-01-02") > 2
     assert files(f"{tmp_path}/d/slice=init-x/p_from=1970-01-01") > 2
     assert read_partitions(spark, path).count() == read_delta(spark, f"{tmp_path}/d").count() == 300_000
 

@@ -2,6 +2,8 @@ import glob
 import os
 import random
 import re
+import threading
+import time
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -33,7 +35,7 @@ from tidemart.sources import (
     write_landing,
     write_snapshot,
 )
-from tidemart.sources import snapshots, storage
+from tidemart.sources import partitions, snapshots, storage, versions
 from tidemart.sources.extract import range_predicates, split_column, window_predicates
 from tidemart.sources.snapshots import merge_snapshot
 
@@ -592,9 +594,9 @@ def test_closed_months_are_gathered(spark, tmp_path):
     stamps = [datetime(2023, 11, 5), datetime(2023, 12, 1, 3), datetime(2023, 12, 31, 23), datetime(2024, 1, 1), datetime(2024, 1, 9, 4)]
     rows = spark.createDataFrame([(n, at, "a") for n, at in enumerate(stamps)] + [(9, None, "a")], LOG)
     overwrite_partitions(rows, path, day, whole_table=True, gather_before=date(2024, 1, 20))
-    spans = lambda: sorted(n for n in os.listdir(path) if n.startswith("p_span="))
-    closed = ["p_span=2023-11", "p_span=2023-12"]
-    assert spans() == [*closed, "p_span=2024-01-01", "p_span=2024-01-09", "p_span=__HIVE_DEFAULT_PARTITION__"]
+    spans = lambda: sorted(versions.newest(spark, path)[1]["spans"])
+    closed = ["2023-11", "2023-12"]
+    assert spans() == [*closed, "2024-01-01", "2024-01-09", "__HIVE_DEFAULT_PARTITION__"]
     state = lambda: sorted((r.id, r.v) for r in read_partitions(spark, path).collect())
     assert read_partitions(spark, path).columns == rows.columns and len(state()) == 6
     for n, at in enumerate(stamps):
@@ -604,7 +606,7 @@ def test_closed_months_are_gathered(spark, tmp_path):
     again = spark.createDataFrame([(20, stamps[1], "b"), (21, stamps[3], "b"), (22, datetime(2024, 1, 10), "b")], LOG)
     overwrite_partitions(again, path, day)
     assert state() == [(0, "a"), (2, "a"), (4, "a"), (9, "a"), (20, "b"), (21, "b"), (22, "b")]
-    assert [n for n in spans() if n in closed] == closed and "p_span=2024-01-10" in spans()
+    assert [n for n in spans() if n in closed] == closed and "2024-01-10" in spans()
     overwrite_partitions(rows.limit(0), path, day, clear_empty=date(2023, 12, 31))
     assert read_partitions(spark, path, Slice.day("2023-12-31")).count() == 0 and len(state()) == 6
     overwrite_partitions(rows.limit(0), path, day, clear_empty=date(2023, 12, 1))
@@ -612,6 +614,54 @@ def test_closed_months_are_gathered(spark, tmp_path):
     assert state() == [(0, "a"), (2, "a"), (4, "a"), (9, "a"), (21, "b"), (22, "b")]
 
 
+def test_a_reader_sees_all_days_of_one_version(spark, tmp_path):
+    """Reads while days are rebuilt: every one has both days of the same version."""
+    path, day = f"{tmp_path}/t", day_of("ts")
+    stamps = [datetime(2024, 1, n, 12) for n in range(1, 9)]
+
+    def build(n: int) -> None:
+        rows = spark.createDataFrame([(i, at, f"v{n}") for i, at in enumerate(stamps)], LOG)
+        overwrite_partitions(rows, path, day, clear_empty=[at.date() for at in stamps])
+
+    build(0)
+    begun = read_partitions(spark, path)  # planned before, run after the next version
+    seen, stop, failed = [], threading.Event(), []
+
+    def watch() -> None:
+        try:
+            while not stop.is_set():
+                seen.append({r.v for r in read_partitions(spark, path).collect()})
+        except Exception as error:
+            failed.append(error)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    for n in range(1, 6):
+        build(n)
+        if n == 1:
+            assert {r.v for r in begun.collect()} == {"v0"}
+        time.sleep(0.2)
+    stop.set()
+    watcher.join()
+    assert not failed and len(seen) > 2 and all(len(values) == 1 for values in seen)
+    assert len([n for n in os.listdir(path) if n.startswith("p_gen=")]) == 2
+
+
+def test_a_rebuild_leaves_other_folders_alone(spark, tmp_path):
+    path, day = f"{tmp_path}/t", day_of("ts")
+    rows = spark.createDataFrame([(n, datetime(2024, 1, n, 12), "a") for n in range(1, 11)], LOG)
+    overwrite_partitions(rows, path, day)
+    before = files_of(path)
+    for _ in range(3):
+        overwrite_partitions(rows.filter("id = 4"), path, day)
+    after = files_of(path)
+    same = set(before) & set(after)
+    assert len(same) == 9 and all(before[f] == after[f] for f in same)
+    assert sum("p_span=2024-01-04" in f for f in after) == 2  # this version's, and the one before for its readers
+    shown = spark.sql(partitions.partitions_query(spark, path))
+    assert rows_of(shown) == rows_of(read_partitions(spark, path)) == rows_of(rows)
+
+
 def test_folder_columns_are_refused(spark, tmp_path):
     rows = spark.createDataFrame([(1, T0, "a")], LOG)
     for name in ("p_span", "p_date"):

@@ -192,6 +192,9 @@ def run_gold(
         partitions.overwrite_partitions(
             build(window), path, day, clear_empty=only, whole_table=full_refresh, gather_before=open_since
         )
+        view = f"{layer_name('gold', cfg.target)}.{model}"
+        if view_exists(spark, view):
+            replace_view(spark, view, partitions.partitions_query(spark, path))
         built[model] = window
 
     def log(table: str, window: Slice) -> DataFrame:

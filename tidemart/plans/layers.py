@@ -35,7 +35,7 @@ def open_table(spark: SparkSession, cfg: Pipeline, name: str, window: Slice | No
 def publish(spark: SparkSession, cfg: Pipeline) -> list[str]:
     """Create a database per layer and a view per stored table, for SQL users; returns the views.
 
-    The view of a main table shows one version; every merge renews it before old versions go.
+    The view of a main or gold table shows one version; every job that writes the table renews it.
     A table without rows gets no view.
     """
     bronze, gold = layer_name("bronze", cfg.target), layer_name("gold", cfg.target)
@@ -56,5 +56,5 @@ def publish(spark: SparkSession, cfg: Pipeline) -> list[str]:
             stored = partitions.read_partitions(spark, cfg.gold(model))
             if not stored.isEmpty():
                 views.append(f"{gold}.{model}")
-                create_view(spark, views[-1], stored.columns, cfg.gold(model))
+                replace_view(spark, views[-1], partitions.partitions_query(spark, cfg.gold(model)))
     return views
