@@ -2,6 +2,7 @@ import glob
 import os
 import random
 import re
+import shutil
 import threading
 import time
 from datetime import date, datetime, timedelta
@@ -35,7 +36,7 @@ from tidemart.sources import (
     write_landing,
     write_snapshot,
 )
-from tidemart.sources import partitions, snapshots, storage, versions
+from tidemart.sources import appendlog, partitions, snapshots, storage, versions
 from tidemart.sources.extract import range_predicates, split_column, window_predicates
 from tidemart.sources.snapshots import merge_snapshot
 
@@ -733,3 +734,54 @@ def test_landing_is_one_job_with_parts_below_the_bound(spark, tmp_path):
     assert back.selectExpr("count(*)", "sum(id)", "sum(length(v))").first() == rows.selectExpr("count(*)", "sum(id)", "sum(length(v))").first()
     with pytest.raises(ValueError, match="part"):
         write_landing(rows.withColumn("part", F.lit(1)), f"{tmp_path}/other")
+
+
+# Zone map and journal of the log
+
+
+def test_day_reads_open_only_files_that_hold_the_day(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB")
+    path = f"{tmp_path}/d"
+    rows = spark.range(60_000).selectExpr(
+        "id", "timestamp_seconds(1704067200 + pmod(xxhash64(id), 60 * 86400)) as ts", "string(xxhash64(id, 7)) as v"
+    )
+    append_delta(rows, path, "init-x", "ts")
+    append_delta(rows.filter("id < 10").withColumn("ts", F.lit(T0)), path, Slice.hour(T0), "ts", one_day=True)
+    month = len(read_delta(spark, path, Slice.since("2024-01-01"), "ts").filter("ts < '2024-02-01'").inputFiles())
+    for day in ("2024-01-02", "2024-01-31", "2024-02-11"):
+        window = Slice.day(day)
+        read = read_delta(spark, path, window, "ts")
+        assert len(read.inputFiles()) < month / 4
+        everything = spark.read.parquet(path).select("id", "ts", "v").filter(window.predicate("ts"))
+        assert rows_of(read) == rows_of(everything) and read.count() > 0
+    assert read_delta(spark, path, Slice.day("2024-03-25"), "ts").inputFiles() == []
+    # A folder with files that the map does not know is read whole.
+    stray = glob.glob(f"{path}/slice=init-x/p_from=2024-01-01/*.parquet")[0]
+    shutil.copy(stray, stray.replace("part-", "part-9"))
+    window = Slice.day("2024-01-02")
+    everything = spark.read.parquet(path).select("id", "ts", "v").filter(window.predicate("ts"))
+    assert rows_of(read_delta(spark, path, window, "ts")) == rows_of(everything)
+
+
+def test_zones_follow_a_slice_that_is_written_again(spark, tmp_path):
+    path, rows = f"{tmp_path}/d", spark.createDataFrame([(n, datetime(2024, 1, n, 12), "a") for n in range(1, 6)], LOG)
+    append_delta(rows, path, "batch", "ts")
+    moved = rows.withColumn("ts", F.col("ts") + F.expr("interval 20 days"))
+    append_delta(moved, path, "batch", "ts")
+    assert read_delta(spark, path, Slice.day("2024-01-02"), "ts").count() == 0
+    assert [r.id for r in read_delta(spark, path, Slice.day("2024-01-22"), "ts").collect()] == [2]
+    append_delta(rows.limit(0), path, "batch", "ts")
+    assert read_delta(spark, path, Slice.day("2024-01-22"), "ts").count() == 0
+
+
+def test_the_journal_names_the_days_before_and_after(spark, tmp_path):
+    path, hour = f"{tmp_path}/d", Slice.hour(T0)
+    at = lambda *days: spark.createDataFrame([(d, datetime(2024, 1, d, 5, 30), "a") for d in days], LOG)
+    assert appendlog.last_write(spark, path) == 0 and appendlog.changed_days(spark, path, 0) == {}
+    append_delta(at(1, 9), path, "init-x", "ts")
+    append_delta(at(2), path, hour, "ts", one_day=True)
+    assert appendlog.changed_days(spark, path, 0) == {"2024-01-01": 1, "2024-01-09": 1, "2024-01-02": 2}
+    append_delta(at(2).limit(0), path, hour, "ts", one_day=True)
+    append_delta(at(9, 10), path, "init-x", "ts")
+    assert appendlog.changed_days(spark, path, 2) == {"2024-01-02": 3, "2024-01-01": 4, "2024-01-09": 4, "2024-01-10": 4}
+    assert appendlog.last_write(spark, path) == 4

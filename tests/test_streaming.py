@@ -1,13 +1,15 @@
 import os
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from tidemart.operators import latest_per_key
 from tidemart.registry import TableSpec
 from tidemart.slices import Slice
-from tidemart.sources import append_delta, read_current, read_delta, snapshots, write_landing
+from tidemart.sources import append_delta, landing, read_current, read_delta, snapshots, write_landing
 from tidemart.streaming import landing_stream, stream_upsert
 
 KIND = "id long, ts timestamp, v string"
@@ -133,3 +135,30 @@ def test_a_first_version_is_sized_by_its_log(spark, tmp_path, monkeypatch):
     assert read_current(spark, f"{tmp_path}/main", ["id"]).count() == 50
     (folder,) = [n for n in os.listdir(f"{tmp_path}/main") if n.startswith("rows-")]
     assert int(folder.split("buckets=")[1]) > snapshots.MIN_BUCKETS
+
+
+def test_many_landing_folders_are_checked_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver reads no schema file, and a folder of another schema, or none, stops the batch."""
+    root, rows = f"{tmp_path}/with space", frame(spark, [(1, 1, "a")])
+    first = f"{root}/{Slice.hour(T0).path('db', 't')}"
+    write_landing(rows, first)
+    hours = [T0 + timedelta(hours=h) for h in range(300)]
+    for hour in hours[1:]:
+        shutil.copytree(first, f"{root}/{Slice.hour(hour).path('db', 't')}")
+
+    def run(checkpoint: str) -> None:
+        load = landing_stream(spark, f"{root}/db/t/*/*/data", rows.schema, f"{root}/delta", "ts", f"{root}/{checkpoint}")
+        load.awaitTermination()
+
+    with monkeypatch.context() as patch:
+        patch.setattr(landing, "landed_schema", lambda *a: pytest.fail("read by the driver"))
+        run("ck")
+    assert read_delta(spark, f"{root}/delta").count() == 300
+    other = f"{root}/{Slice.hour(hours[150]).path('db', 't')}"
+    write_landing(rows.withColumn("v", F.lit(1)), other)
+    with pytest.raises(Exception, match="schema of the landing slice differs"):
+        run("ck")
+    write_landing(rows, other)
+    write_landing(rows, first)
+    run("ck")
+    assert read_delta(spark, f"{root}/delta").count() == 300

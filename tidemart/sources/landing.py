@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,6 +116,20 @@ def landed_schema(spark: SparkSession, path: str) -> T.StructType:
     return storage.read_schema(spark, f"{path}/schema.json")
 
 
+def _shape(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f["name"], f["type"]) for f in schema.jsonValue()["fields"]]
+
+
+def slice_states(spark: SparkSession, parents: Sequence[str], schema: T.StructType) -> DataFrame:
+    """The finished landing folders below ``parents``, a row each: ``folder``, and ``fits``, whether its recorded schema has
+    the columns of ``schema``. Folders are listed and schemas read by tasks, however many there are."""
+    found = spark.read.options(wholetext="true", recursiveFileLookup="true", pathGlobFilter="schema.json").text(list(parents))
+    recorded = F.from_json("value", "struct<fields:array<struct<name:string,type:string>>>")["fields"]
+    columns = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(kind).alias("type")) for name, kind in _shape(schema)])
+    folder = F.regexp_extract("_metadata.file_path", "^(.*)/schema.json$", 1)
+    return found.select(folder.alias("folder"), F.coalesce(recorded == columns, F.lit(False)).alias("fits"))
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """All parts of one landing slice under its recorded schema; one bad record fails the read."""
     schema = landed_schema(spark, path)

@@ -41,5 +41,15 @@ def commit(spark: SparkSession, path: str, number: int, manifest: dict) -> int:
     return number
 
 
+def append(spark: SparkSession, path: str, entry: dict) -> int:
+    """A manifest under the next free number, for journals that several writers add to."""
+    while True:
+        number = max(numbers(spark, path), default=0) + 1
+        try:
+            return commit(spark, path, number, entry)
+        except FileExistsError:
+            continue
+
+
 def drop(spark: SparkSession, path: str, number: int) -> None:
     storage.delete(spark, _file(path, number))

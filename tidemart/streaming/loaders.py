@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -16,6 +16,8 @@ from tidemart.sources import appendlog, landing, snapshots, storage
 # Spark leaves out files much older than the newest one seen, seven days by default. Backfills and
 # restored files are older than that, so the bound lies beyond any archive.
 READ_OPTIONS = {"maxFileAge": "36500d"}
+# Fixed value: the columns of files read as such.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def landing_stream(
@@ -33,30 +35,39 @@ def landing_stream(
     slice in the log, ``landing-<table>-<day>-<time>``. So a slice that is landed again, or a batch
     that is retried, changes nothing. A batch that meets an unfinished slice fails and is
     taken again by the next run.
+
+    New files are only named, not parsed, until their slices are known. Whether these are finished and have the
+    stream's schema is a join with the table of slice states, which tasks read; the driver holds names.
     """
-    reader = spark.readStream.schema(landing.file_schema(schema)).options(**landing.CSV_READ_OPTIONS, **READ_OPTIONS)
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).options(**READ_OPTIONS)
+    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
     reader = reader.option("ignoreMissingFiles", "true")  # parts of a slice that was landed again since
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        folders = sorted(unquote(r.folder) for r in batch.select("folder").distinct().collect())
-        for folder in folders:
-            if not storage.same_shape(landing.landed_schema(session, folder), schema):
-                raise ValueError(f"schema of the landing slice differs from the stream's: {folder}")
+        changed = batch.select("folder").distinct()
+        folders = sorted(r.folder for r in changed.collect())
         if not folders:
             return
+        states = landing.slice_states(session, sorted({unquote(f).rpartition("/")[0] for f in folders}), schema)
+        asked = session.createDataFrame([(f,) for f in folders], "folder string")
+        wrong = asked.join(states, "folder", "left").filter("not coalesce(fits, false)").first()
+        if wrong:
+            why = "schema of the landing slice differs from the stream's" if wrong.fits is False else "landing folder without a schema, so not finished"
+            raise ValueError(f"{why}: {unquote(wrong.folder)}")
+        folders = [unquote(f) for f in folders]
         names = ["landing-" + "-".join(folder.split("/")[-3:]) for folder in folders]
         parsed = session.read.schema(landing.file_schema(schema)).options(**landing.CSV_READ_OPTIONS)
-        parsed = parsed.csv([f"{folder}/data" for folder in folders]).select("*", _folder().alias(appendlog.SLICE))
+        parsed = parsed.csv([f"{folder}/data" for folder in folders]).select("*", _folder("_metadata.file_path").alias(appendlog.SLICE))
         place = F.concat(F.lit("landing-"), F.array_join(F.slice(F.split(appendlog.SLICE, "/"), -3, 3), "-"))
         rows = landing.restore(parsed, schema, place.alias(appendlog.SLICE))
         appendlog.store_slices(rows, delta, names, audit)
 
     return (
-        reader.csv(landing_glob)
-        .select(_folder().alias("folder"))
+        reader.load(landing_glob)
+        .select(_folder("_metadata.file_path").alias("folder"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -64,9 +75,9 @@ def landing_stream(
     )
 
 
-def _folder():
-    """The landing folder of a row's part."""
-    return F.regexp_extract("_metadata.file_path", r"^(.*)/data/(?:[^/]*/)?[^/]*$", 1)
+def _folder(path: str) -> Column:
+    """The landing folder of a part."""
+    return F.regexp_extract(path, r"^(.*)/data/(?:[^/]*/)?[^/]*$", 1)
 
 
 def stream_upsert(
