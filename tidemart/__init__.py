@@ -10,6 +10,7 @@ from tidemart.plans import (
     qualifying_sales,
     run_gold,
     run_hour,
+    run_late,
     run_merge,
     run_snapshot,
     sales_report,
@@ -35,6 +36,7 @@ __all__ = [
     "resolve_slice",
     "run_gold",
     "run_hour",
+    "run_late",
     "run_merge",
     "run_snapshot",
     "sales_report",

@@ -18,7 +18,7 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 
-from tidemart.plans import Pipeline, publish, run_gold, run_hour, run_merge, run_snapshot
+from tidemart.plans import Pipeline, publish, run_gold, run_hour, run_late, run_merge, run_snapshot
 from tidemart.registry import load_registry
 from tidemart.session import build_session
 from tidemart.sources import FileSource, JdbcSource
@@ -52,6 +52,7 @@ def _arguments() -> argparse.ArgumentParser:
     gold.add_argument("--full-refresh", action="store_true")
     gold.add_argument("--clear-empty", action="store_true")
     gold.add_argument("--grain", choices=("item_day", "item"), default="item_day", help="count an item once a day or once a build")
+    jobs.add_parser("late", help="build the gold days again that slices captured again have changed")
     jobs.add_parser("publish", help="create or renew the SQL views")
     return parser
 
@@ -70,6 +71,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         run_merge(spark, cfg, args.day or (now - timedelta(days=1)).date(), args.tables)
     elif args.job == "gold":
         run_gold(spark, cfg, args.day, args.full_refresh, now.date(), args.grain, args.clear_empty)
+    elif args.job == "late":
+        run_late(spark, cfg, now.date())
     else:
         publish(spark, cfg)
 

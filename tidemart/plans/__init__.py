@@ -1,4 +1,5 @@
 from tidemart.plans.jobs import Pipeline, run_gold, run_hour, run_merge, run_snapshot
+from tidemart.plans.late import run_late
 from tidemart.plans.layers import open_table, publish
 from tidemart.plans.marts import order_items_fact, product_dimension, qualifying_sales, sales_report
 
@@ -11,6 +12,7 @@ __all__ = [
     "qualifying_sales",
     "run_gold",
     "run_hour",
+    "run_late",
     "run_merge",
     "run_snapshot",
     "sales_report",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import day_of
 from tidemart.operators import latest_per_key
 from tidemart.plans import marts
+from tidemart.plans.late import SOURCES, build_notes
 from tidemart.plans.views import replace_view, view_exists
 from tidemart.registry import SHOP_TABLES, TableSpec, layer_name
 from tidemart.session import prepare
@@ -189,8 +190,12 @@ def run_gold(
             since=since,
         )
         only = window.date if clear_empty and exists and window.kind == "day" else None
+        notes = None
+        if model in SOURCES:
+            days = None if window.kind == "since" else [window.date]
+            notes = build_notes(spark, path, cfg.delta(SOURCES[model]), days)
         partitions.overwrite_partitions(
-            build(window), path, day, clear_empty=only, whole_table=full_refresh, gather_before=open_since
+            build(window), path, day, clear_empty=only, whole_table=full_refresh, gather_before=open_since, notes=notes
         )
         view = f"{layer_name('gold', cfg.target)}.{model}"
         if view_exists(spark, view):

@@ -170,6 +170,16 @@ def read_partitions(
     return table.drop(GENERATION, SPAN, DAY)
 
 
+def read_days(spark: SparkSession, path: str, days: Iterable[date]) -> DataFrame:
+    """The rows of some days of the newest version."""
+    wanted = sorted(days)
+    _, manifest = versions.newest(spark, path) or (None, None)
+    if manifest is None:
+        raise ValueError(f"no table at {path}")
+    spans = sorted({s for d in wanted for s in _of_window(manifest["spans"], Slice.day(d))})
+    return _read_spans(spark, path, manifest, spans).filter(F.col(DAY).isin(wanted)).drop(GENERATION, SPAN, DAY)
+
+
 def _days(window: Slice) -> Column:
     mark = F.lit(window.date)
     if window.kind == "since":
