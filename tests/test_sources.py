@@ -8,6 +8,7 @@ import time
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import duckdb
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -126,19 +127,84 @@ class Reader:
         return self
 
 
+class Database(Reader):
+    """A stand-in that answers the questions from a table in this process."""
+
+    def __init__(self, schema, rows: str):
+        super().__init__(schema)
+        self.database = duckdb.connect()
+        self.database.execute(f"create table orders as {rows}")
+
+    def _asked(self):
+        return self.database.execute(self.calls[-1]["query"]).fetchall()
+
+    def first(self):
+        return self._asked()[0]
+
+    def collect(self):
+        return self._asked()
+
+    def shares(self) -> list[int]:
+        """Rows of each range that the scan asks for."""
+        ranges = self.calls[-1]["predicates"]
+        return [self.database.execute(f"select count(*) from orders where {p}").fetchone()[0] for p in ranges]
+
+
+BY_KEY = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampType())])
+BY_TIME = T.StructType([T.StructField("id", T.StringType()), T.StructField("changed", T.TimestampType())])
+
+
 def test_jdbc_snapshot_is_split_by_key():
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampType())])
-    reader, source = Reader(schema, (1, 900)), JdbcSource("jdbc:x", {"user": "u"}, 500)
+    reader, source = Reader(BY_KEY, (1, 900)), JdbcSource("jdbc:x", {"user": "u"}, 500, histogram_bins=0)
     read_snapshot(reader, source, TableSpec("orders", ("id",), "at"), 2)
     probe, bounds, scan = reader.calls
     assert bounds["query"] == "SELECT MIN(id) AS lo, MAX(id) AS hi FROM orders"
     assert scan["table"] == "orders" and scan["properties"]["fetchsize"] == "500"
     assert scan["predicates"] == ["id < 450 OR id IS NULL", "id >= 450"]
-    empty = Reader(schema, (None, None))
-    read_snapshot(empty, source, TableSpec("orders", ("id",), "at"), 4)
+    empty = Reader(BY_KEY, (None, None))
+    read_snapshot(empty, JdbcSource("jdbc:x"), TableSpec("orders", ("id",), "at"), 4)
     assert len(empty.calls) == 2
 
 
+@pytest.mark.parametrize(
+    "keys",
+    [
+        "select i as id from range(10000) t(i)",
+        # Nine tenths of the keys lie in a millionth of the span, and one key is far off.
+        "select case when i < 9000 then i when i < 9999 then 1000000 * i else 1000000000000000 end as id from range(10000) t(i)",
+        "select -i * i * i as id from range(10000) t(i)",
+        "select case when i % 10 = 0 then null else i end as id from range(10000) t(i)",
+        "select (i * 1.0)::decimal(20, 2) + 0.25 as id from range(10000) t(i)",
+        "select 5 as id",
+        "select i as id from range(3) t(i)",
+    ],
+)
+def test_skewed_keys_are_read_in_even_ranges(keys):
+    """Every row falls into one range, and no range has over twice its share."""
+    for parts in (2, 8, 13):
+        reader = Database(BY_KEY, f"select id, timestamp '2024-01-01' as at from ({keys})")
+        read_snapshot(reader, JdbcSource("jdbc:x", histogram_bins=64), TableSpec("orders", ("id",), "at"), parts)
+        total = reader.database.execute("select count(*) from orders").fetchone()[0]
+        if "predicates" not in reader.calls[-1]:
+            assert total == 1
+            continue
+        shares = reader.shares()
+        nulls = reader.database.execute("select count(*) from orders where id is null").fetchone()[0]
+        assert sum(shares) == total and len(shares) <= parts
+        assert max(shares) <= max(2 * total / parts, 1) + nulls
+        assert len(reader.calls) < 40
+
+
+def test_times_are_cut_by_days_of_like_many_rows():
+    rows = "select i::varchar as id, timestamp '2024-01-01' + interval (sqrt(i)::int) day + interval (i % 24) hour as changed from range(10000) t(i)"
+    reader = Database(BY_TIME, rows)
+    read_snapshot(reader, JdbcSource("jdbc:x"), TableSpec("orders", ("id",), "changed"), 8)
+    shares = reader.shares()
+    assert sum(shares) == 10_000 and len(shares) == 8 and max(shares) <= 2 * 10_000 / 8
+    even = range_predicates("changed", datetime(2024, 1, 1), datetime(2024, 4, 10), 8)
+    assert max(reader.database.execute(f"select count(*) from orders where {p}").fetchone()[0] for p in even) > max(shares)
+
+
 def test_jdbc_window_runs_in_the_database():
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("at", T.TimestampNTZType())])
     reader = Reader(schema)
