@@ -50,6 +50,7 @@ _TOTAL = """cast(sum(case when returned_at is not null then -cast(sale_price as
                           else cast(sale_price as decimal(18,4)) end) as double) as total_sales"""
 _REPORT = f"""select cast(updated_at as date) as sales_date, category, brand, department, {_TOTAL}
 from {{}} group by all"""
+_TWO_DAYS = "cast(updated_at as date) between date '1998-06-15' and date '1998-06-16'"
 _IN_HOURS = """(date_trunc('hour', ts) in (timestamp '2024-01-02 05:00:00', timestamp '2024-01-02 06:00:00',
                                         timestamp '2024-01-17 23:00:00'))"""
 _MERGE = """
@@ -188,6 +189,16 @@ ORACLES: dict[str, str] = {
         )
         {_REPORT.format("(select * from ranked where pick = 1)")}""",
     "gold_refresh": f"with {_SALES} {_REPORT.format('matched')}",
+    "gold_late_slice": f"with {_SALES} {_REPORT.format('matched')}",
+    "gold_of_yesterday": "with "
+    + _SALES.replace("join dim d", f"join (select * from dim where {_TWO_DAYS}) d")
+    + _REPORT.format(f"(select * from matched where {_TWO_DAYS})"),
+    "layer_views": f"""
+        select l.*, n_logged from ({_LAST_EVENT}) l
+        join (select user_id, count(*) as n_logged from events group by user_id) using (user_id)""",
+    "merge_folded": """
+        select e.* from events e
+        join (select user_id, max(ts) as ts from events where ts < timestamp '2024-01-31' group by user_id) using (user_id, ts)""",
     "landing_stream": "select * from events",
     "landing_stream_late": "select * from events",
     "landing_stream_replay": "select * from events",

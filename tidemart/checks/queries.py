@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +17,11 @@ from tidemart.plans import (
     open_table,
     order_items_fact,
     product_dimension,
+    publish,
     qualifying_sales,
     run_gold,
     run_hour,
+    run_late,
     run_merge,
     run_snapshot,
     sales_report,
@@ -31,6 +33,7 @@ from tidemart.slices import Slice, resolve_slice
 from tidemart.sources import (
     FileSource,
     append_delta,
+    expire_snapshots,
     overwrite_partitions,
     read_current,
     read_delta,
@@ -42,6 +45,7 @@ from tidemart.sources import (
     write_landing,
     write_snapshot,
 )
+from tidemart.sources.snapshots import merge_snapshot
 from tidemart.streaming import landing_stream, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,6 +309,34 @@ def daily_merge_out_of_order(spark, sf):
     return read_current(spark, cfg.main("events"), ["user_id"])
 
 
+@query
+def merge_folded(spark, sf):
+    """Main built up to a day, then four days merged one by one; buckets with over two change files are folded."""
+    path, keys = scratch(spark, "main"), ["user_id"]
+    events, first = views.table(spark, sf, "events"), F.lit("2024-01-27")
+    write_snapshot(latest_per_key(events.filter(F.col("ts") < first), keys, "ts"), path, keys)
+    for n in (27, 28, 29, 30):
+        day = events.filter(Slice.day(f"2024-01-{n}").predicate("ts"))
+        merge_snapshot(spark, path, latest_per_key(day, keys, "ts"), keys, "ts", max_changes=2)
+        expire_snapshots(spark, path, keep=1)
+    return read_current(spark, path, keys)
+
+
+@query
+def layer_views(spark, sf):
+    """Log and current state published as SQL views, a day merged after that, and what the views show then."""
+    cfg = _pipeline(spark, sf, views.FEED, "layers")
+    day, events = Slice.day("2024-01-30"), views.table(spark, sf, "events")
+    append_delta(events.filter(~day.predicate("ts")), cfg.delta("events"), "init-2024-01-30-00", "ts")
+    run_merge(spark, cfg, "2024-01-29")
+    publish(spark, cfg)
+    append_delta(events.filter(day.predicate("ts")), cfg.delta("events"), day, "ts", one_day=True)
+    run_merge(spark, cfg, "2024-01-30")
+    spark.catalog.refreshTable("spark_catalog.bronze.delta_events")
+    logged = spark.sql("select user_id, count(*) as n_logged from spark_catalog.bronze.delta_events group by user_id")
+    return spark.sql("select * from spark_catalog.bronze.main_events").join(logged, "user_id", "left")
+
+
 # Gold tables
 
 
@@ -433,6 +465,40 @@ def gold_refresh(spark, sf):
     return open_table(spark, cfg, "sales_report")
 
 
+@query
+def gold_of_yesterday(spark, sf):
+    """A first build of one day, then the build that a clock one day later asks for; the stored report."""
+    cfg = Pipeline(scratch(spark, "gold"), views.source(sf), registry={s.name: s for s in (views.ORDER_ITEMS, views.PRODUCTS)})
+    append_delta(views.products_log(spark, sf), cfg.delta("products"), "init-2000-01-01-00", "updated_at")
+    append_delta(views.order_items_log(spark, sf), cfg.delta("order_items"), "init-2000-01-01-00", "updated_at")
+    run_gold(spark, cfg, execution_date=SOLD_DAY - timedelta(days=1))
+    run_gold(spark, cfg, today=SOLD_DAY + timedelta(days=1))
+    return open_table(spark, cfg, "sales_report")
+
+
+@query
+def gold_late_slice(spark, sf):
+    """A day logged without half of its items, all gold tables built, then its slice logged again as a whole, and the days
+    that this changes built again; the stored report."""
+    cfg = Pipeline(
+        scratch(spark, "gold"),
+        views.source(sf),
+        registry={s.name: s for s in (views.ORDER_ITEMS, views.PRODUCTS)},
+        fact_since="1990-01-01",
+        dimension_since="1990-01-01",
+        report_since="1990-01-01",
+    )
+    items, day = views.order_items_log(spark, sf), Slice.day(SOLD_DAY)
+    of_day = day.predicate("updated_at")
+    append_delta(views.products_log(spark, sf), cfg.delta("products"), "init-2000-01-01-00", "updated_at")
+    append_delta(items.filter(~of_day), cfg.delta("order_items"), "init-2000-01-01-00", "updated_at")
+    append_delta(items.filter(of_day).filter("id % 2 = 0"), cfg.delta("order_items"), day, "updated_at", one_day=True)
+    run_gold(spark, cfg, full_refresh=True)
+    append_delta(items.filter(of_day), cfg.delta("order_items"), day, "updated_at", one_day=True)
+    run_late(spark, cfg)
+    return open_table(spark, cfg, "sales_report")
+
+
 # Micro-batches
 
 
