@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import unused as unused_name
 from tidemart.session import prepare, scratch
+from tidemart.sources.storage import delete
 
 #: Texts of one step in a Python task: enough to share work between words, little beside a task's memory.
 STEP_BYTES = 1_000_000
@@ -31,9 +34,34 @@ def prepared(spark: SparkSession) -> SparkSession:
     return prepare(spark)
 
 
+#: Where ``written`` notes its tables while somebody collects them.
+_COLLECTED: ContextVar[list[str] | None] = ContextVar("collected", default=None)
+
+
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The folders of the tables that ``written`` makes meanwhile."""
+    paths: list[str] = []
+    token = _COLLECTED.set(paths)
+    try:
+        yield paths
+    finally:
+        _COLLECTED.reset(token)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes written tables that nothing will read again, and lets Spark drop the shuffle files behind them."""
+    for path in paths:
+        delete(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``df``, cut off from their lineage by a table in the shared folder."""
     path = scratch(spark, purpose)
+    if (paths := _COLLECTED.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
