@@ -55,6 +55,27 @@ def test_top_k_of_awkward_rows(spark):
     assert top_k(df.limit(0), df.limit(0)).count() == 0 and top_k(df, df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [topk.ROUNDS, (0.05, 0.2, 0.5, 1.0)])
+def test_scores_beyond_a_float_are_exact(spark, monkeypatch, rounds):
+    """Components of a million: scores differ where a float has no digits left; beyond 64 bits there is an error."""
+    monkeypatch.setattr(topk, "CANDIDATES", 64)
+    monkeypatch.setattr(topk, "ROUNDS", rounds)
+    rnd = random.Random(8)
+    rows = [(0, [600001.00390625, 0.0]), (1, [600001.01171875, 0.0])]
+    rows += [(2 + i, [600000 + rnd.randrange(2000) / 256, rnd.randrange(-3, 4) / 256]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    expected = []
+    for q in (0, 1, 50):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
+        expected += [(q, n, i, -s) for n, (s, i) in enumerate(scored[:5], 1)]
+    assert max(s for *_, s in expected) > 2**53
+    assert tuples(top_k(df, df.filter("vec_id in (0, 1, 50)"))) == sorted(expected, key=repr)
+    huge = df.unionByName(spark.createDataFrame([(900, [1e30, 0.0])], df.schema))
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(huge, huge.filter("vec_id = 0")).collect()
+
+
 def test_bounds_hold_and_close():
     rnd = np.random.default_rng(2)
     body, asked = rnd.integers(-50, 50, (80, 5)), rnd.integers(-50, 50, (10, 5)).astype(float)

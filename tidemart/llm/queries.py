@@ -91,7 +91,7 @@ ORACLES["op8_topk_search"] = """
         where vec_id is not null and embedding is not null
           and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
     ), s as (
-        select a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.q::double[], b.q::double[]) as bigint) as score
+        select a.vec_id as query_id, b.vec_id, cast(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) as bigint) as score
         from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q)
         where a.vec_id % 50 = 0
     )

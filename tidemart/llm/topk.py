@@ -6,7 +6,8 @@ read of a candidate is a lower bound of its score once the worst end of every un
 bound with the best one. When the k-th lower bound is above the upper bound of every other candidate, the
 rest of the lists is not read; the scores of the few that are left are then completed.
 
-Components are integers, so scores are exact.
+Components are integers. Bounds are computed in floating point and widened by what that can be off; the scores of those
+that qualify are computed in 64-bit integers, so scores, ranks and ties are exact.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ class Lists:
     """The sorted lists of one block of candidates: places[d] orders dimension d, largest first."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors.astype(np.float64)
+        self.ids, self.exact, self.vectors = ids, vectors, vectors.astype(np.float64)
         self.n = len(ids)
         # Depth of each candidate in each list from the top; equal values by id, so that reading is repeatable.
         order = np.lexsort((np.broadcast_to(ids, vectors.T.shape), -vectors.T), axis=1)
@@ -55,13 +56,23 @@ class Lists:
         lower = known + (up * end_up) @ unread_up + (down * end_down) @ unread_down
         return lower, upper
 
+    def _slack(self, queries: np.ndarray) -> float:
+        """How far a bound can be off: nothing while all sums are exact in a float. An error if a score can leave 64 bits."""
+        largest = [max(int(a.max(initial=0)), -int(a.min(initial=0))) for a in (queries, self.exact)]
+        dim = queries.shape[1]
+        most = dim * largest[0] * largest[1]
+        if most >= 1 << 63:
+            raise OverflowError(f"scores can leave 64 bits: components up to {largest[1]} and {largest[0]} in {dim} dimensions")
+        return 0.0 if most < 1 << 53 else most * (dim + 8) * 2.0**-51
+
     def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
         """Each query's k best candidates of the block other than itself: query_id, vec_id, score."""
-        found = []
+        found, slack, floats = [], self._slack(queries), queries.astype(np.float64)
         open_ = np.arange(len(query_ids))
         for share in ROUNDS:
             read = self.n if share == 1.0 else min(self.n, max(k + 1, int(share * self.n)))
-            lower, upper = self.bounds(queries[open_], read)
+            lower, upper = self.bounds(floats[open_], read)
+            lower, upper = lower - slack, upper + slack
             own = query_ids[open_, None] == self.ids[None, :]
             lower[own] = upper[own] = -np.inf
             kth = np.partition(lower, -k, axis=1)[:, -k] if self.n > k else np.full(len(open_), -np.inf)
@@ -71,11 +82,11 @@ class Lists:
             rows, cols = np.nonzero(qualify & enough[:, None])
             if len(rows):
                 at = open_[rows]
-                found.append((query_ids[at], self.ids[cols], np.einsum("ij,ij->i", queries[at], self.vectors[cols])))
+                found.append((query_ids[at], self.ids[cols], np.einsum("ij,ij->i", queries[at], self.exact[cols])))
             open_ = open_[~enough]
             if not len(open_):
                 break
-        parts = [np.concatenate(p) for p in zip(*found, strict=True)] if found else [np.empty(0)] * 3
+        parts = [np.concatenate(p) for p in zip(*found, strict=True)] if found else [np.empty(0, dtype=np.int64)] * 3
         out = pd.DataFrame({"query_id": parts[0], "vec_id": parts[1], "score": parts[2]}).astype("int64")
         out = out.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
         return out[out.groupby("query_id").cumcount() < k]
@@ -114,7 +125,7 @@ def top_k(
     Equal scores go to the smaller id. Vectors that are null or have a null or non-finite component, and
     rows without an id, take no part; only vectors of the query's own length are compared. A row that is
     in the table twice is two candidates with the same id; a query id that is there twice gets the best of
-    both its vectors. With fewer than ``k`` candidates all are given;
+    both its vectors. Components whose products could leave 64 bits are an error. With fewer than ``k`` candidates all are given;
     with none, or an empty table, no rows.
 
     Candidates are dealt to blocks by a hash of their ids, queries too, and every block of queries is sent
@@ -143,7 +154,7 @@ def top_k(
                 if not is_query:
                     at, lists = (dim, to), Lists(ids, body)
                 elif at == (dim, to):  # else the block of candidates is empty
-                    best = lists.best(ids, body.astype(np.float64), k)
+                    best = lists.best(ids, body, k)
                     yield pa.RecordBatch.from_pandas(best, preserve_index=False)
 
     found = met.mapInArrow(search, "query_id long, vec_id long, score long")
