@@ -7,11 +7,15 @@ block from one alias to the others that no rule names, unless an alias is allowe
 
 from __future__ import annotations
 
+import html
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import urljoin, urlsplit
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemart.llm.common import unused, written
 from tidemart.llm.components import connected_components
@@ -49,31 +53,63 @@ def node_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), F.when(rest == "", "/").otherwise(rest)))
 
 
-def _resolved(target: Column, url: Column) -> Column:
-    """A link's target as a URL: absolute, without a scheme, from the host's root, or beside the page."""
-    target = F.trim(F.replace(target, F.lit("&amp;"), F.lit("&")))
-    scheme, host = F.regexp_extract(url, r"^((?s:.*?))://", 1), F.regexp_extract(url, r"^((?s:.*?)://[^/?#]*)", 1)
-    folder = F.regexp_extract(path_of(url), r"^(.*/)", 1)
-    return (
-        F.when(target == "", F.lit(None).cast("string"))
-        .when(F.instr(target, "://") > 0, target)
-        .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
-        .when(F.startswith(target, F.lit("/")), F.concat(host, target))
-        .otherwise(F.concat(host, F.when(folder == "", "/").otherwise(folder), target))
-    )
+def resolve(target: str, base: str) -> str | None:
+    """A link's target as a URL, as a browser resolves it: character references, dot segments, targets of a query alone,
+    and whatever scheme the page has. None for an empty target."""
+    target = "".join(c for c in html.unescape(target).strip() if c not in "\t\n\r")
+    if not target:
+        return None
+    scheme, _, rest = base.partition("://")
+    # Joined under a scheme that is known to be hierarchical.
+    joined = urljoin(f"http://{rest}", target)
+    own = not urlsplit(target).scheme
+    return f"{scheme}{joined.removeprefix('http')}" if own else joined
+
+
+@F.pandas_udf(StringType())
+def _resolved(target: pd.Series, base: pd.Series, page: pd.Series) -> pd.Series:
+    def one(link: str, base: str | None, url: str) -> str | None:
+        try:
+            return resolve(link, (base and resolve(base, url)) or url)
+        except ValueError:  # no URL at all, such as a broken IPv6 host
+            return None
+
+    return pd.Series([one(*row) for row in zip(target, base, page, strict=True)], dtype=object)
+
+
+#: What markup is read without: comments, and contents that are not markup.
+_UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style|noscript|template|textarea|title|iframe|svg|math)\b.*?(?:</\1\s*>|\z)"
+_ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+_VALUE = r"\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
+
+
+def _tags(markup: Column, name: str) -> Column:
+    return F.regexp_extract_all(markup, F.lit(rf"(?is)<{name}\b{_ATTRIBUTES}>"), F.lit(0))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute's value without quotes, empty if there is none."""
+    value = F.regexp_extract(tag, rf"(?is)(?<![\w-]){name}{_VALUE}", 1)
+    return F.regexp_replace(value, r"^[\"']|[\"']$", "")
 
 
 def link_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(src, dst, dst_url) of canonical links and refreshing redirects in the pages' markup."""
-    url, html = F.col(f"`{url_col}`"), F.col(f"`{html_col}`")
-    link = F.regexp_extract(html, r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1)
-    refresh = F.regexp_extract(html, r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", 1)
-    targets = F.array(
-        F.regexp_extract(link, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1),
-        F.regexp_extract(refresh, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1),
-    )
-    found = pages.filter(url.isNotNull()).select(url.alias("url"), F.explode(targets).alias("target")).filter("target <> ''")
-    edges = found.withColumn("dst_url", _resolved(F.col("target"), F.col("url")))
+    """(src, dst, dst_url) of all canonical links and refreshing redirects in the pages' markup.
+
+    Comments, scripts, styles and the like are left out. Targets are resolved against the page's URL, or its base
+    element; that small step runs in Python, on the rows of links alone.
+    """
+    url, read = F.col(f"`{url_col}`"), F.regexp_replace(F.col(f"`{html_col}`"), _UNREAD, " ")
+    marked = pages.filter(url.isNotNull() & F.rlike(F.col(f"`{html_col}`"), F.lit(r"(?i)canonical|refresh")))
+    markup = marked.select(url.alias("url"), read.alias("markup"))
+    canonical = F.filter(_tags(F.col("markup"), "link"), lambda t: F.array_contains(F.split(F.lower(_attribute(t, "rel")), r"\s+"), "canonical"))
+    refresh = F.filter(_tags(F.col("markup"), "meta"), lambda t: F.lower(_attribute(t, "http-equiv")) == "refresh")
+    after = F.transform(refresh, lambda t: F.regexp_extract(_attribute(t, "content"), r"(?is)\burl\s*=\s*(?:\"([^\"]*)|'([^']*)|(.*))", 0))
+    bare = F.transform(after, lambda x: F.regexp_replace(x, r"(?is)^url\s*=\s*[\"']?", ""))
+    targets = F.concat(F.transform(canonical, lambda t: _attribute(t, "href")), bare)
+    base = F.get(F.transform(_tags(F.col("markup"), "base"), lambda t: _attribute(t, "href")), F.lit(0))
+    found = markup.select("url", base.alias("base"), F.explode(targets).alias("target")).filter("target <> ''")
+    edges = found.withColumn("dst_url", _resolved("target", "base", "url"))
     return edges.select(node_of(F.col("url")).alias("src"), node_of(F.col("dst_url")).alias("dst"), "dst_url").dropna()
 
 
