@@ -13,7 +13,7 @@ from tidemart.llm.html_dom import parse
 from tidemart.llm.html_text import Slot, absorb, main_text, match_children, merge, shape_of, tree_match
 from tidemart.llm.quality import Limits, judge_quality, keep_good
 from tidemart.llm.toxicity import Automaton, Term, drop_toxic, features, fit_regression, score_documents, train
-from tidemart.llm.url_filter import Rule, judge_urls, keep_allowed
+from tidemart.llm.url_filter import Rule, judge_urls, keep_allowed, resolve
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -295,3 +295,115 @@ def test_blocks_follow_redirects_and_canonical_links(spark):
     without = {r.page_id: r.verdict for r in judge_urls(pages.filter("page_id <> 4"), RULES).collect()}
     assert without == {1: "block", 2: "allow", 3: "block", 5: "block", 6: "block", 7: "allow", 8: "allow", 9: "allow", 10: "block"}
     assert sorted(r.page_id for r in keep_allowed(pages, RULES, redirects).collect()) == [1, 2, 3, 4, 5, 6, 9]
+
+
+LINKS = {
+    "http://h.example/d/a.html": [
+        ("../c", "http://h.example/c"), ("./x/../y", "http://h.example/d/y"), ("?p=2", "http://h.example/d/a.html?p=2"),
+        ("/r/./s/..", "http://h.example/r/"), ("//o.example/z", "http://o.example/z"), ("b?x=1&amp;y=2#f", "http://h.example/d/b?x=1&y=2#f"),
+        ("https&#58;//e.example/&#x71;", "https://e.example/q"), ("../../../up", "http://h.example/up"), (" \n", None), ("mailto:a@b", "mailto:a@b"),
+    ],
+    "odd://h.example/d/a": [("../c", "odd://h.example/c"), ("http://x.example/", "http://x.example/")],
+    "http://h.example": [("c", "http://h.example/c")],
+}
+
+
+def test_links_are_resolved_like_a_browser():
+    for base, cases in LINKS.items():
+        assert [(t, resolve(t, base)) for t, _ in cases] == cases
+
+
+def test_every_link_that_is_markup_counts(spark):
+    """Relative, query-only, second and based links count; links in comments, scripts and other attributes do not."""
+    canonical = '<link rel="{}" href="{}">'.format
+    rows = [
+        (1, "http://one.example/d/a", canonical("canonical", "../bad")),
+        (2, "http://one.example/bad", canonical("canonical", "http://x.net/1")),
+        (3, "http://three.example/p?q=1", canonical("canonical", "?q=2")),
+        (4, "http://three.example/p?q=2", canonical("alternate", "http://four.example/") + canonical("shortcut Canonical", "http://x.net/2")),
+        (5, "http://five.example/", canonical("canonical", "http://fine.example/") + "<link href='http://x.net/3' rel=canonical>"),
+        (6, "http://six.example/", "<!-- " + canonical("canonical", "http://x.net/4") + " -->" + f"<script>'{canonical('canonical', 'http://x.net/5')}'</script>"),
+        (7, "http://seven.example/", '<base href="http://x.net/d/">' + canonical("canonical", "e")),
+        (8, "http://eight.example/", "<meta http-equiv=refresh content=\"0; URL='http://x.net/a;b c'\">"),
+        (9, "http://nine.example/", '<link title="a > b" data-href="http://x.net/6" rel="canonical" href="/own">'),
+        (10, "http://ten.example/", canonical("canonicals", "http://x.net/7") + "<p>" * 20_000),
+        (11, "http://eleven.example/", canonical("canonical", "http://[bad/")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    verdicts = {r.page_id: r.verdict for r in judge_urls(pages, [Rule("net", "/", "block")]).collect()}
+    assert {i for i, v in verdicts.items() if v == "block"} == {1, 2, 3, 4, 5, 7, 8}
+
+
+def test_aliases_equal_a_graph_search(spark):
+    """Random links among pages, against a search through the graph with another resolver's nodes."""
+    rnd = random.Random(17)
+    hosts = ["a.example", "b.example", "c.net", "d.example"]
+    urls = [f"http://{rnd.choice(hosts)}/{rnd.choice('xy')}/{n}" for n in range(120)]
+    chosen = {n: rnd.sample(range(120), rnd.choice([0, 0, 1, 1, 2])) for n in range(120)}
+
+    def written(n: int, m: int) -> str:
+        (host, folder, name), (other, *_) = (urls[i].removeprefix("http://").split("/") for i in (m, n))
+        return f"../{folder}/./{name}" if host == other else f"//{host}/{folder}/{name}"
+
+    html = {n: "".join(f'<link rel=canonical href="{written(n, m)}">' for m in links) for n, links in chosen.items()}
+    pages = spark.createDataFrame([(n, urls[n], html[n]) for n in range(120)], "page_id long, url string, html string")
+    rules = [Rule("net", "/x/", "block"), Rule("a.example", "/y/", "allow")]
+    near = {n: set(links) for n, links in chosen.items()}
+    for n, links in chosen.items():
+        for m in links:
+            near[m].add(n)
+
+    def own(n: int) -> str | None:
+        return "block" if urls[n].startswith("http://c.net/x/") else "allow" if urls[n].startswith("http://a.example/y/") else None
+
+    expected = {}
+    for n in range(120):
+        seen, todo = {n}, [n]
+        while todo:
+            new = near[todo.pop()] - seen
+            seen |= new
+            todo += new
+        rules_met = {own(m) for m in seen}
+        expected[n] = own(n) or ("block" if "block" in rules_met and "allow" not in rules_met else "allow")
+    assert {r.page_id: r.verdict for r in judge_urls(pages, rules).collect()} == expected
+    assert set(expected.values()) == {"allow", "block"}
+
+
+ARTICLE = "<p>{0} one two three four five six seven.</p><p>{0} eight nine ten eleven twelve.</p>"
+
+
+def shown(spark, htmls: list[str]) -> list[str]:
+    pages = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    return [r.text for r in main_text(pages).orderBy("page_id").collect()]
+
+
+def test_deep_pages_keep_their_text(spark):
+    deep = ["<div>" * n + f"<article><h1>Title {n}</h1><p>Text of {n}.</p></article>" + "</div>" * n for n in (1, 300, 900, 5000)]
+    inside = "<article><p>Before.</p>" + "<div>" * 5000 + "<p>Deep.</p>" + "</div>" * 5000 + "<p>After.</p></article>"
+    assert shown(spark, [*deep, inside]) == [*(f"Title {n}\n\nText of {n}." for n in (1, 300, 900, 5000)), "Before.\n\nDeep.\n\nAfter."]
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<body class="has-sidebar"><nav>menu</nav><article>{}</article></body>',
+        '<body><div id="page" class="no-comments"><main>{}</main></div><div class="comments">{}</div></body>',
+        '<body><div class="menu-open"><article>{}</article></div></body>',
+    ],
+)
+def test_names_around_an_article_do_not_hide_it(spark, around):
+    pages = [around.replace("{}", ARTICLE.format(f"w{n}"), 1).replace("{}", f"<p>comment {n}</p>") for n in range(6)]
+    assert shown(spark, pages) == [f"w{n} one two three four five six seven.\n\nw{n} eight nine ten eleven twelve." for n in range(6)]
+
+
+def test_names_inside_an_article_count_only_as_a_whole(spark):
+    parts = [
+        '<h2 id="related-work">Related work {}</h2>',
+        '<section id="search-methods"><p>Methods {}.</p></section>',
+        '<div class="post-header"><h1>Title {}</h1></div>',
+        '<div class="notice-board"><p>Board {}.</p></div>',
+        '<div class="advert"><p>Buy {}.</p></div>',
+        '<div class="big share"><p>Share {}.</p></div>',
+    ]
+    pages = ["<article>" + "".join(p.format(n) for p in parts) + "</article>" for n in range(6)]
+    assert shown(spark, pages) == [f"Related work {n}\n\nMethods {n}.\n\nTitle {n}\n\nBoard {n}." for n in range(6)]

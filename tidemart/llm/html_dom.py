@@ -27,14 +27,19 @@ CLOSES = {
 }
 BOUNDARY = frozenset("article aside body div dl footer form header html main nav ol section table ul blockquote".split())
 
+#: Elements nested more deeply become children of the element at this depth: their texts stay, in page order.
+MAX_DEPTH = 120
+
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
+#: Marks a word that is a whole class, id or role, and not a piece of a longer name.
+WHOLE = "="
 
 
 @dataclass
 class Node:
-    """A block element: its label (element, and the words of class, id and role), its blocks and children."""
+    """A block element: its label (element, and the words of class, id and role; whole names marked), its blocks and children."""
 
     label: str
     blocks: list[int] = field(default_factory=list)
@@ -53,8 +58,10 @@ class Page:
 def _label(name: str, attributes: str) -> str:
     if not attributes:
         return name
-    words = sorted({w for m in _NAMES.finditer(attributes) for w in _WORDS.findall((m[1] or m[2] or m[3] or "").lower())})
-    return " ".join([name, *words])
+    values = [(m[1] or m[2] or m[3] or "").lower() for m in _NAMES.finditer(attributes)]
+    words = {w for v in values for w in _WORDS.findall(v)}
+    whole = {WHOLE + t for v in values for t in v.split() if _WORDS.fullmatch(t)}
+    return " ".join([name, *sorted(words | whole)])
 
 
 def parse(markup: str) -> Page:
@@ -130,7 +137,7 @@ def parse(markup: str) -> Page:
                     break
             if name != "hr":
                 node = Node(_label(name, found[3]))
-                owner.children.append(node)
+                (owner if len(stack) <= MAX_DEPTH else stack[MAX_DEPTH - 1][1]).children.append(node)
                 stack.append((name, node))
                 owner = node
     flush()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import steps, written
-from tidemart.llm.html_dom import Node, parse
+from tidemart.llm.html_dom import WHOLE, Node, parse
 from tidemart.llm.url_filter import host_of
 
 #: Texts remembered per wrapper node; any that fills more than 1 / (SAMPLES + 1) of its blocks is among them.
@@ -40,6 +40,7 @@ BOILER_WORDS = frozenset(
     "social related recommended pagination pager copyright".split()
 )
 CONTENT_ELEMENTS = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are parts of a text and not the place of one.
 TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figure figcaption address".split())
 #: Titles, items and cells recur in articles by themselves; there only other texts are template when constant.
@@ -177,11 +178,31 @@ def prune(slot: Slot) -> None:
 
 
 def is_boiler(label: str, inside: bool) -> bool:
-    """Whether an element is no article by its name or the words of its attributes; ``inside`` one, a header is."""
+    """Whether an element is no article by its name or the words of its attributes; a title never is.
+
+    ``inside`` an article a header belongs to it, and a word counts only if it is a whole class, id or role:
+    ``search-methods`` or ``notice-board`` are names of sections there.
+    """
     name, *words = label.split(" ")
-    if name in CONTENT_ELEMENTS or (inside and (name == "header" or set(words) <= {"header"})):
+    if name in CONTENT_ELEMENTS or name in HEADINGS:
         return False
-    return name in BOILER_ELEMENTS or name == "header" or not BOILER_WORDS.isdisjoint(words)
+    if not inside:
+        return name in BOILER_ELEMENTS or name == "header" or not BOILER_WORDS.isdisjoint(words)
+    whole = {w.removeprefix(WHOLE) for w in words if w.startswith(WHOLE)} - {"header"}
+    return name in BOILER_ELEMENTS or not BOILER_WORDS.isdisjoint(whole)
+
+
+def _holds_content(label: str, children: list, parts) -> bool:
+    """Whether an element is an article or main element or has one below; ``parts`` gives a child's label and children."""
+    return label.split(" ")[0] in CONTENT_ELEMENTS or any(_holds_content(*parts(c), parts) for c in children)
+
+
+def _slot_parts(slot: Slot) -> tuple[str, list]:
+    return slot.label, slot.children
+
+
+def _shape_parts(node: list) -> tuple[str, list]:
+    return node[0], node[2]
 
 
 def _is_constant(slot: Slot) -> bool:
@@ -191,7 +212,7 @@ def _is_constant(slot: Slot) -> bool:
 def _varying(slot: Slot, inside: bool = False) -> int:
     """Characters of text below that are neither template nor boilerplate."""
     inside = inside or slot.label.split(" ")[0] in CONTENT_ELEMENTS
-    if is_boiler(slot.label, inside):
+    if is_boiler(slot.label, inside) and not _holds_content(*_slot_parts(slot), _slot_parts):
         return 0
     own = 0 if _is_constant(slot) else slot.chars
     return own + sum(_varying(c, inside) for c in slot.children)
@@ -219,8 +240,8 @@ def extract(wrapper: Slot, shape: list, keys: list[str], linked: list[float]) ->
     def take(slot: Slot | None, node: list, inside: bool, in_content: bool) -> None:
         element = node[0].split(" ")[0]
         inside = inside or element in CONTENT_ELEMENTS
-        if is_boiler(node[0], inside):
-            return
+        if is_boiler(node[0], inside) and (inside or not _holds_content(*_shape_parts(node), _shape_parts)):
+            return  # never an element around the article
         in_content = in_content or slot is target or (target is not None and element in CONTENT_ELEMENTS)
         if in_content:
             constant = slot is not None and _is_constant(slot) and not (inside and element in RECURRING)
