@@ -22,6 +22,8 @@ from tidemart.sources.replace import replace_folders
 # Folder columns: the slice, and the first day its folder covers. A folder covers one day in a
 # slice of one day and one month in any other, so a snapshot over years stays at a few folders.
 SLICE, FROM = "slice", "p_from"
+# Partitions of Spark's advisory size from which a slice counts as large.
+LARGE_PARTITIONS = 16
 # Names of slices that say which rows they hold.
 TIMED = (f"{SLICE}=hour-", f"{SLICE}=day-")
 # Folder of the zone map, below the log; readers of the log's folder leave it out.
@@ -47,8 +49,8 @@ def append_delta(
     must share one schema, without columns named like the folders. A label given as a ``Slice``
     promises that all rows lie in it: reads of other times skip its folder.
 
-    A slice of one day is written as it comes. Any other is gathered by day first, or every
-    task would write a file per month; AQE puts small days together and splits large ones. Files are sorted
+    A slice of one day is written as it comes. Any other is gathered by month first, a large one by day, or every
+    task would write a file per month; AQE puts small ones together and splits large ones. Files are sorted
     by audit time, and the zone map knows their days, so a scan for one day opens only files that have it.
     """
     if mode not in ("replace_slice", "append"):
@@ -72,9 +74,10 @@ def store_slices(
         rows = df.withColumn(FROM, day_of(named(audit)))
     else:
         day = unused(df.columns, "day")
-        # By day, so that a file of a large month holds few of its days.
         rows = df.withColumns({day: day_of(named(audit)), FROM: F.trunc(day_of(named(audit)), "MM")})
-        rows = rows.hint("rebalance", SLICE, FROM, day).sortWithinPartitions(SLICE, FROM, named(audit)).drop(day)
+        # By day, so that a file of a large month holds few of its days; a small slice has few files a month anyway.
+        by = [SLICE, FROM, day] if _is_large(df) else [SLICE, FROM]
+        rows = rows.hint("rebalance", *by).sortWithinPartitions(SLICE, FROM, named(audit)).drop(day)
     there = {n for n in storage.child_names(spark, path) if n.startswith(f"{SLICE}=")}
     mine = [f"{SLICE}={name}" for name in names]
     before = _days_of(spark, path, [n for n in mine if n in there])
@@ -88,6 +91,17 @@ def store_slices(
     versions.append(spark, path, {"slices": list(names), "days": days})
 
 
+def _is_large(df: DataFrame) -> bool:
+    """Whether Spark expects the rows to fill many of the partitions that it aims at. Only the layout depends on it."""
+    expected = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    aim = df.sparkSession._jsparkSession.sessionState().conf().getConfString("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    return int(expected) > LARGE_PARTITIONS * _bytes(df.sparkSession, aim)
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def _write_zones(spark: SparkSession, path: str, schema: StructType, slices: Sequence[str], audit: str) -> None:
     """A row per file of these slices: its days, and its first and last audit time."""
     there = set(storage.child_names(spark, path))
