@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.llm.helpers import awkward, documents, empty, tuples
 from tidemart.llm import html_text
 from tidemart.llm.html_dom import parse
-from tidemart.llm.html_text import Slot, absorb, main_text, match_children, merge, shape_of, tree_match
+from tidemart.llm.html_text import Matching, Tree, main_text, merge, page_tree
 from tidemart.llm.quality import Limits, judge_quality, keep_good
 from tidemart.llm.toxicity import Automaton, Term, drop_toxic, features, fit_regression, score_documents, train
 from tidemart.llm.url_filter import Rule, judge_urls, keep_allowed, resolve
@@ -221,28 +221,122 @@ def test_a_notice_in_every_article_of_a_host_is_template(spark):
     assert {r.page_id: r.text for r in main_text(pages).collect()} == expected
 
 
+def tree(markup):
+    return page_tree(parse(markup).root)
+
+
 def test_trees_match_simply():
-    page = shape_of(parse("<div><p>a</p><p>b</p><ul><li>c</ul><p>d</p></div>").root)
-    other = shape_of(parse("<div><p>a</p><ul><li>c<li>e</ul></div><div></div>").root)
-    wrapper = Slot("#page")
-    absorb(wrapper, page, [1] * 4, list("abcd"))
-    assert wrapper.children[0].children[0].label == "p" and tree_match(wrapper, page) == 6
-    assert match_children(wrapper.children[0].children, other[2][0][2], tree_match) == [(0, 0), (1, 1)]
-    second = Slot("#page")
-    absorb(second, other, [1] * 3, list("ace"))
-    merge(wrapper, second)
-    assert wrapper.pages == 2 and [c.label for c in wrapper.children[0].children] == ["p", "ul", "p"]
-    assert wrapper.children[0].children[0].seen == {"a": 2, "b": 1}
-
-
-def test_wrappers_stay_small(monkeypatch):
-    monkeypatch.setattr(html_text, "MAX_NODES", 20)
-    wrapper = Slot("#page")
-    for i in range(40):
-        word = "".join(chr(97 + int(d)) for d in str(i))
-        absorb(wrapper, shape_of(parse(f"<main><p>x</main><div class={word}>a</div>").root), [1, 1], ["x", "a"])
-    html_text.prune(wrapper)
-    assert [c.label for c in wrapper.children] == ["main"]
+    page = tree("<div><p>a</p><p>b</p><ul><li>c</ul><p>d</p></div>")
+    other = tree("<div><p>a</p><ul><li>c<li>e</ul></div><div></div>")
+    wrapper = Tree("#page", 0)
+    merge(wrapper, page)
+    assert wrapper.children[0].children[0].label == "p" and Matching().score(wrapper, page) == 6
+    assert Matching().pairs(wrapper.children[0].children, other.children[0].children) == [(0, 0), (1, 1)]
+    merge(wrapper, other)
+    assert wrapper.pages == 2 and [(c.label, c.pages) for c in wrapper.children[0].children] == [("p", 2), ("ul", 2), ("p", 1)]
+
+
+def matches(a, b):
+    """Simple tree matching by its definition, every alignment of the children tried."""
+    if a.label != b.label:
+        return 0
+
+    def best(left, right):
+        if not left or not right:
+            return 0
+        skipped = max(best(left[1:], right), best(left, right[1:]))
+        both = matches(left[0], right[0])
+        return max(skipped, both + best(left[1:], right[1:])) if both else skipped
+
+    return 1 + best(a.children, b.children)
+
+
+def test_matching_equals_its_definition():
+    rnd = random.Random(23)
+
+    def grown(depth):
+        return Tree(rnd.choice("ab"), 1, [], [grown(depth - 1) for _ in range(rnd.randrange(4))] if depth else [])
+
+    for _ in range(150):
+        a, b = grown(3), grown(3)
+        alike = [c.label for c in a.children] == [c.label for c in b.children]  # such rows are paired as they stand
+        assert Matching().score(a, b) <= matches(a, b) and (alike or Matching().score(a, a) == matches(a, a))
+        merged = Tree(a.label, 0)
+        merge(merged, a)
+        merge(merged, b)
+        assert merged.pages == 2
+
+
+@pytest.mark.parametrize("slots", [2000, 3])
+def test_templates_do_not_depend_on_the_size_of_wrappers(spark, monkeypatch, slots):
+    """Random template lines among varying paragraphs on hosts of both kinds; what goes is known from how the pages were made."""
+    monkeypatch.setattr(html_text, "WRAPPER_SLOTS", slots)
+    rnd = random.Random(29)
+    rows, expected = [], {}
+    for host in range(4):
+        article, n = host % 2 == 0, 0
+        top = "".join(f"<p class={c}>Line {c} of host {host}</p>" for c in ("aa", "bb", "cc"))
+        for _ in range(12):
+            i = len(rows)
+            texts = [f"Page {i} text {k} " + " ".join(rnd.choice(["sun", "rain", "snow"]) for _ in range(20)) for k in range(20)]
+            notice = f"<p>Read more on host {host}.</p>"
+            body = "".join(f"<p>{t}</p>" + (notice if k == n % 20 else "") for k, t in enumerate(texts))
+            n += 7
+            inner = f"<h1>Title {i}</h1>{body}"
+            html = f"{top}<article>{inner}</article><p class=zz>End of host {host}</p>" if article else f"<div>{top}</div><div class=x{'y' * (i % 3)}>{inner}</div>"
+            rows.append((i, f"http://h{host}.example/{i}", html))
+            expected[i] = "\n\n".join([f"Title {i}", *texts])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r.page_id: r.text for r in main_text(pages).collect()}
+    inside = {i for i in expected if (i // 12) % 2 == 0}
+    assert {i: found[i] for i in inside} == {i: expected[i] for i in inside}
+    # Without article elements three classes of the body are three slots of four pages, too few to call a text template.
+    for i in set(expected) - inside:
+        assert found[i].replace(f"\n\nRead more on host {i // 12}.", "") == expected[i]
+
+
+def test_a_host_without_article_keeps_titles_and_second_parts(spark):
+    page = (
+        "<body><div class=top>Site name</div><div class=links><a href=/1>Varying {0}</a><br><a href=/2>Link {0}</a></div>"
+        "<div id=content><h1>Title {0}</h1><div class=body><p>First {0} words.</p><p><a href=/x>A paragraph that is a link {0}</a></p></div></div>"
+        "<div id=more><p>Second part {0}.</p><ul><li><a href=/y>Reference {0}</a></ul></div><div class=end>Always the end</div></body>"
+    )
+    assert shown(spark, [page.format(n) for n in range(8)]) == [
+        "\n\n".join([f"Title {n}", f"First {n} words.", f"A paragraph that is a link {n}", f"Second part {n}.", f"Reference {n}"]) for n in range(8)
+    ]
+
+
+def test_near_copies_of_an_article_stay_whole(spark):
+    shared = "".join(f"<p>Shared paragraph {k} of a story told again.</p>" for k in range(5))
+    texts = [f"Shared paragraph {k} of a story told again." for k in range(5)]
+    pages = [f"<article><h1>Title</h1>{shared}<p>Ending number {n}.</p></article>" for n in range(6)]
+    assert shown(spark, pages) == ["\n\n".join(["Title", *texts, f"Ending number {n}."]) for n in range(6)]
+
+
+def test_formulas_and_buttons_in_an_article_are_text(spark):
+    pages = [f"<article><p>As <math><mi>x</mi><mo>=</mo><mn>{n}</mn></math> shows, press <button>Start {n}</button> now.</p></article>" for n in range(6)]
+    assert shown(spark, pages) == [f"As x={n} shows, press Start {n} now." for n in range(6)]
+
+
+def test_articles_of_comments_and_cards_are_not_the_pages(spark):
+    page = (
+        "<body class=has-sidebar><article><h1>Title {0}</h1><p>Text {0}.</p><article class=comment><p>Nested remark {0}</p></article></article>"
+        "<div class=comments><article><p>A long remark of a reader, number {0}, longer than the text.</p></article></div>"
+        "<aside><article><p>Card {0}</p></article></aside></body>"
+    )
+    assert shown(spark, [page.format(n) for n in range(6)]) == [f"Title {n}\n\nText {n}." for n in range(6)]
+
+
+def test_a_very_long_page_is_read_whole(spark):
+    body = "".join(f"<h2>Head {k}</h2><p>Text {k}.</p>" for k in range(1500))
+    pages = [f"<article>{body}</article>", *(f"<article><p>Short {n}.</p></article>" for n in range(5))]
+    long, *rest = shown(spark, pages)
+    assert long == "\n\n".join(f"Head {k}\n\nText {k}." for k in range(1500)) and rest == [f"Short {n}." for n in range(5)]
+
+
+def test_a_name_around_a_page_without_article_hides_nothing(spark):
+    page = '<body class="has-sidebar"><div id=page class=no-comments><h1>Title {0}</h1><p>Text {0}.</p></div><nav>Menu {0}</nav></body>'
+    assert shown(spark, [page.format(n) for n in range(6)]) == [f"Title {n}\n\nText {n}." for n in range(6)]
 
 
 RULES = (Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow"))

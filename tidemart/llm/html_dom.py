@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 # Element names by what they do to the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Contents that are not markup, up to the closing tag.
-RAW = frozenset("script style noscript template textarea title iframe svg math object select button".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object select annotation annotation-xml".split())
 #: Elements that end a block of text; all others run inside one.
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "

@@ -1,9 +1,8 @@
 """Main text of web pages by wrapper induction (operator 2).
 
-The trees of a host's pages are aligned by simple tree matching into one tree, the wrapper of the host: how
-often each of its nodes occurs, how much text it holds, and which texts come again and again. Nodes whose
-text stays the same are template; the part of the tree that holds the varying text is the content. A page is
-aligned with its host's wrapper and gives the blocks that fall into the content and not onto template.
+The trees of a host's pages are aligned by simple tree matching into one tree, the wrapper of the host. Each page
+is then aligned with it, which gives every block of text a slot. Spark counts on how many pages a slot stands, and
+with which texts: a text on half of a slot's pages is template, the slots' other texts are content.
 """
 
 from __future__ import annotations
@@ -15,21 +14,23 @@ from dataclasses import dataclass, field
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import steps, written
-from tidemart.llm.html_dom import WHOLE, Node, parse
+from tidemart.llm.common import lookup, salted, steps, written
+from tidemart.llm.html_dom import WHOLE, parse
+from tidemart.llm.html_dom import Node as Element
 from tidemart.llm.url_filter import host_of
 
-#: Texts remembered per wrapper node; any that fills more than 1 / (SAMPLES + 1) of its blocks is among them.
-SAMPLES = 8
-#: A node's text is template if one text is on this share of its pages, seen on so many pages at least.
+#: A text is template if it is on this share of its slot's pages, which are so many at least.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.5, 5
-#: The content is the deepest node that holds this share of the host's varying text.
-CONTENT_SHARE = 0.8
-#: Wrapper nodes kept per host; the rarest go first. A block that meets none of them counts as varying.
-MAX_NODES = 2000
+#: Slots that a wrapper aligns; the rarest go first. What meets none of them has a slot by the names of the elements
+#: down from the last one that did, counted like any other: the bound is one of memory, not of what is found.
+WRAPPER_SLOTS = 2000
+#: A block, or all blocks of a box, with this share of characters in links is a link.
+LINKED = 0.8
+#: First merges of a host's partial wrappers run in so many tasks.
+MERGES = 64
 
 # Elements, and words of class, id and role, that are not the article. Headers count inside one.
 BOILER_ELEMENTS = frozenset("nav footer aside form dialog menu head".split())
@@ -48,226 +49,229 @@ RECURRING = frozenset("h1 h2 h3 h4 h5 h6 li dt dd td th".split())
 
 
 @dataclass
-class Slot:
-    """A node of a wrapper. ``seen`` counts texts by their hashes; ``chars`` is all text that varies."""
+class Tree:
+    """A node of a page with the numbers of its blocks, or of a wrapper with the number of its pages."""
 
     label: str
-    pages: int = 0
-    chars: int = 0
-    seen: dict[str, int] = field(default_factory=dict)
-    children: list[Slot] = field(default_factory=list)
+    pages: int = 1
+    blocks: list[int] = field(default_factory=list)
+    children: list[Tree] = field(default_factory=list)
+
+    @property
+    def element(self) -> str:
+        return self.label.split(" ", 1)[0]
 
     def dump(self) -> list:
-        return [self.label, self.pages, self.chars, self.seen, [c.dump() for c in self.children]]
+        return [self.label, self.pages, self.blocks, [c.dump() for c in self.children]]
 
     @classmethod
-    def load(cls, row: list) -> Slot:
-        return cls(row[0], row[1], row[2], row[3], [cls.load(c) for c in row[4]])
+    def load(cls, row: list) -> Tree:
+        return cls(row[0], row[1], row[2], [cls.load(c) for c in row[3]])
 
 
-def shape_of(node: Node) -> list:
-    """[label, blocks, children] with neighbouring children of one label merged: they repeat one slot."""
-    merged: list[Node] = []
+def page_tree(node: Element) -> Tree:
+    """A page's tree with neighbouring children of one label merged: they repeat one slot."""
+    merged: list[Element] = []
     for child in node.children:
         if merged and merged[-1].label == child.label:
-            merged[-1] = Node(child.label, merged[-1].blocks + child.blocks, merged[-1].children + child.children)
+            merged[-1] = Element(child.label, merged[-1].blocks + child.blocks, merged[-1].children + child.children)
         else:
             merged.append(child)
-    return [node.label, node.blocks, [shape_of(c) for c in merged]]
-
-
-def match_children(slots: list, shapes: list, score) -> list[tuple[int, int]]:
-    """Simple tree matching of two rows of children: the pairs, in order, of the heaviest alignment."""
-    labels = [s.label if isinstance(s, Slot) else s[0] for s in slots]
-    if labels == [s[0] for s in shapes]:
-        return [(i, i) for i in range(len(labels))]
-    m, n = len(slots), len(shapes)
-    best = [[0] * (n + 1) for _ in range(m + 1)]
-    for i in range(1, m + 1):
-        for j in range(1, n + 1):
-            both = best[i - 1][j - 1] + score(slots[i - 1], shapes[j - 1]) if labels[i - 1] == shapes[j - 1][0] else 0
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], both)
-    pairs, i, j = [], m, n
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-    return pairs[::-1]
-
-
-def tree_match(slot: Slot, shape: list) -> int:
-    """How many nodes of the two trees match: labels agree, and order and ancestry are kept."""
-    if slot.label != shape[0]:
-        return 0
-    return 1 + sum(tree_match(slot.children[i], shape[2][j]) for i, j in match_children(slot.children, shape[2], tree_match))
-
-
-def _count(seen: dict[str, int], more: dict[str, int]) -> None:
-    """Adds counts and keeps the SAMPLES frequent ones, each short by no more than what the others sum to."""
-    for text, n in more.items():
-        seen[text] = seen.get(text, 0) + n
-    if len(seen) > SAMPLES:
-        least = sorted(seen.values(), reverse=True)[SAMPLES]
-        for text in [t for t, n in seen.items() if n <= least]:
-            del seen[text]
-        for text in seen:
-            seen[text] -= least
-
-
-def absorb(slot: Slot, shape: list, sizes: list[int], keys: list[str]) -> None:
-    """Aligns one page with a wrapper and counts it in; what meets no slot becomes one."""
-    slot.pages += 1
-    if shape[1]:
-        slot.chars += sum(sizes[b] for b in shape[1])
-        _count(slot.seen, dict.fromkeys((keys[b] for b in shape[1]), 1))
-    _place(slot.children, shape[2], tree_match, lambda s, x: absorb(s, x, sizes, keys), lambda x: Slot(x[0]))
-
-
-def merge(slot: Slot, other: Slot) -> None:
-    """Aligns two wrappers of one host and adds the second to the first."""
-    slot.pages += other.pages
-    slot.chars += other.chars
-    _count(slot.seen, other.seen)
-    rows = [[c.label, [], _plain(c)[2]] for c in other.children]
-    by_row = {id(row): c for row, c in zip(rows, other.children, strict=True)}
-    _place(slot.children, rows, tree_match, lambda s, x: merge(s, by_row[id(x)]), lambda x: Slot(x[0]))
-
-
-def _plain(slot: Slot) -> list:
-    return [slot.label, [], [_plain(c) for c in slot.children]]
-
-
-def _place(children: list[Slot], shapes: list, score, join, new) -> None:
-    pairs = dict((j, i) for i, j in match_children(children, shapes, score))
+    return Tree(node.label, 1, node.blocks, [page_tree(c) for c in merged])
+
+
+class Matching:
+    """Simple tree matching of two trees: how many nodes of two subtrees match, each pair of subtrees scored once."""
+
+    def __init__(self):
+        self._scores: dict[tuple[int, int], int] = {}
+
+    def score(self, a: Tree, b: Tree) -> int:
+        """How many nodes match: labels agree, and order and ancestry are kept."""
+        if a.label != b.label:
+            return 0
+        if not a.children or not b.children:
+            return 1
+        key = (id(a), id(b))
+        if key not in self._scores:
+            self._scores[key] = 1 + sum(self.score(a.children[i], b.children[j]) for i, j in self.pairs(a.children, b.children))
+        return self._scores[key]
+
+    def pairs(self, left: list[Tree], right: list[Tree]) -> list[tuple[int, int]]:
+        """The pairs, in order, of the heaviest alignment of two rows of children."""
+        if [x.label for x in left] == [x.label for x in right]:
+            return [(i, i) for i in range(len(left))]
+        m, n = len(left), len(right)
+        best = [[0] * (n + 1) for _ in range(m + 1)]
+        for i, a in enumerate(left, 1):
+            above, row = best[i - 1], best[i]
+            for j, b in enumerate(right, 1):
+                most = max(above[j], row[j - 1])
+                row[j] = max(most, above[j - 1] + self.score(a, b)) if a.label == b.label else most
+        found, i, j = [], m, n
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append((i, j))
+        return found[::-1]
+
+
+def _bare(tree: Tree) -> Tree:
+    """The tree as a wrapper: without blocks."""
+    return Tree(tree.label, tree.pages, [], [_bare(c) for c in tree.children])
+
+
+def merge(wrapper: Tree, other: Tree, matching: Matching | None = None) -> None:
+    """Aligns a page or a wrapper of the host with a wrapper and counts it in; what meets no slot becomes one."""
+    matching = matching or Matching()
+    wrapper.pages += other.pages
+    pairs = {j: i for i, j in matching.pairs(wrapper.children, other.children)}
     grown, at = [], 0
-    for j, shape in enumerate(shapes):
+    for j, child in enumerate(other.children):
         if j in pairs:
-            grown += children[at : pairs[j] + 1]
+            grown += wrapper.children[at : pairs[j] + 1]
             at = pairs[j] + 1
-            join(grown[-1], shape)
+            merge(grown[-1], child, matching)
         else:
-            grown.append(new(shape))
-            join(grown[-1], shape)
-    children[:] = grown + children[at:]
+            grown.append(_bare(child))
+    wrapper.children[:] = grown + wrapper.children[at:]
 
 
-def prune(slot: Slot) -> None:
-    """Keeps the MAX_NODES most frequent nodes of a wrapper."""
+def prune(wrapper: Tree) -> None:
+    """Keeps at most WRAPPER_SLOTS nodes: those on the most pages, all or none of as many."""
     counts: list[int] = []
 
-    def walk(s: Slot) -> None:
-        counts.append(s.pages)
-        for c in s.children:
+    def walk(node: Tree) -> None:
+        counts.append(node.pages)
+        for c in node.children:
             walk(c)
 
-    walk(slot)
-    if len(counts) <= MAX_NODES:
-        return
-    least = sorted(counts, reverse=True)[MAX_NODES]
+    def cut(node: Tree, least: int) -> None:
+        node.children = [c for c in node.children if c.pages > least]
+        for c in node.children:
+            cut(c, least)
 
-    def cut(s: Slot) -> None:
-        s.children = [c for c in s.children if c.pages > least]
-        for c in s.children:
-            cut(c)
+    walk(wrapper)
+    if len(counts) > WRAPPER_SLOTS:
+        cut(wrapper, sorted(counts, reverse=True)[WRAPPER_SLOTS])
 
-    cut(slot)
+
+def _whole_names(label: str) -> set[str]:
+    return {w.removeprefix(WHOLE) for w in label.split(" ")[1:] if w.startswith(WHOLE)}
 
 
 def is_boiler(label: str, inside: bool) -> bool:
     """Whether an element is no article by its name or the words of its attributes; a title never is.
 
     ``inside`` an article a header belongs to it, and a word counts only if it is a whole class, id or role:
-    ``search-methods`` or ``notice-board`` are names of sections there.
+    ``search-methods`` or ``notice-board`` are names of sections there. Whole names count for articles too: comments are
+    often written as such.
     """
     name, *words = label.split(" ")
-    if name in CONTENT_ELEMENTS or name in HEADINGS:
+    if name in HEADINGS:
         return False
-    if not inside:
-        return name in BOILER_ELEMENTS or name == "header" or not BOILER_WORDS.isdisjoint(words)
-    whole = {w.removeprefix(WHOLE) for w in words if w.startswith(WHOLE)} - {"header"}
-    return name in BOILER_ELEMENTS or not BOILER_WORDS.isdisjoint(whole)
-
-
-def _holds_content(label: str, children: list, parts) -> bool:
-    """Whether an element is an article or main element or has one below; ``parts`` gives a child's label and children."""
-    return label.split(" ")[0] in CONTENT_ELEMENTS or any(_holds_content(*parts(c), parts) for c in children)
-
-
-def _slot_parts(slot: Slot) -> tuple[str, list]:
-    return slot.label, slot.children
-
-
-def _shape_parts(node: list) -> tuple[str, list]:
-    return node[0], node[2]
+    if inside or name in CONTENT_ELEMENTS:
+        return name in BOILER_ELEMENTS or not BOILER_WORDS.isdisjoint(_whole_names(label) - {"header"})
+    return name in BOILER_ELEMENTS or name == "header" or not BOILER_WORDS.isdisjoint(words)
 
 
-def _is_constant(slot: Slot) -> bool:
-    return slot.pages >= CONSTANT_PAGES and max(slot.seen.values(), default=0) >= CONSTANT_SHARE * slot.pages
+def homes_of(page: Tree) -> list[Tree]:
+    """The article and main elements that hold the page's text: of the outermost ones those in the fewest elements that are
+    no article by name, so a name around the only article hides nothing and articles in a sidebar are not the page's. One without
+    text below (nested so deeply that its parts are taken beside it) is none."""
+    found: list[tuple[int, Tree]] = []
 
-
-def _varying(slot: Slot, inside: bool = False) -> int:
-    """Characters of text below that are neither template nor boilerplate."""
-    inside = inside or slot.label.split(" ")[0] in CONTENT_ELEMENTS
-    if is_boiler(slot.label, inside) and not _holds_content(*_slot_parts(slot), _slot_parts):
-        return 0
-    own = 0 if _is_constant(slot) else slot.chars
-    return own + sum(_varying(c, inside) for c in slot.children)
-
-
-def content_of(wrapper: Slot) -> Slot:
-    """The deepest node that holds nearly all varying text. An article or main element, or a text, is not gone into."""
-    node = wrapper
-    total = _varying(wrapper)
-    while node.label.split(" ")[0] not in CONTENT_ELEMENTS:
-        places = [c for c in node.children if c.label.split(" ")[0] not in TEXT_ELEMENTS]
-        best = max(places, key=_varying, default=None)
-        if best is None or not total or _varying(best) < CONTENT_SHARE * total:
-            break
-        node = best
-    return node
-
-
-def extract(wrapper: Slot, shape: list, keys: list[str], linked: list[float]) -> list[int]:
-    """The blocks of a page that are its main text, in page order."""
-    target = content_of(wrapper)
-    found: list[int] = []
-    same: list[int] = []
-
-    def take(slot: Slot | None, node: list, inside: bool, in_content: bool) -> None:
-        element = node[0].split(" ")[0]
-        inside = inside or element in CONTENT_ELEMENTS
-        if is_boiler(node[0], inside) and (inside or not _holds_content(*_shape_parts(node), _shape_parts)):
-            return  # never an element around the article
-        in_content = in_content or slot is target or (target is not None and element in CONTENT_ELEMENTS)
-        if in_content:
-            constant = slot is not None and _is_constant(slot) and not (inside and element in RECURRING)
-            template = {b for b in node[1] if constant and slot.seen.get(keys[b], 0) >= CONSTANT_SHARE * slot.pages}
-            found.extend(b for b in node[1] if b not in template and (inside or linked[b] < 0.8))
-            same.extend(template if inside else ())
-        pairs = dict((j, i) for i, j in match_children(slot.children, node[2], tree_match)) if slot else {}
-        for j, child in enumerate(node[2]):
-            take(slot.children[pairs[j]] if j in pairs else None, child, inside, in_content)
-
-    take(wrapper, shape, False, False)
-    if not found and same:  # a page that its host has again and again, not a notice on others
-        return sorted(same)
-    if not found and wrapper.label == shape[0]:  # the page has no such place: all that is not boilerplate
-        take_all = Slot(wrapper.label)
-        if target is not wrapper:
-            return extract(take_all, shape, keys, linked)
-    return sorted(found)
-
-
-def _key(text: str) -> str:
-    return format(xxhash.xxh3_64_intdigest(text), "x")
+    def walk(node: Tree, hidden: int) -> None:
+        hidden += is_boiler(node.label, False)
+        if node.element in CONTENT_ELEMENTS and any(True for _ in _blocks(node)):
+            found.append((hidden, node))
+        else:
+            for c in node.children:
+                walk(c, hidden)
+
+    walk(page, 0)
+    least = min((hidden for hidden, _ in found), default=0)
+    return [node for hidden, node in found if hidden == least]
+
+
+def _blocks(node: Tree) -> Iterator[int]:
+    yield from node.blocks
+    for c in node.children:
+        yield from _blocks(c)
+
+
+class Reading:
+    """Which blocks of a page are its text by names alone: (block, slot, whether a constant text there is template)."""
+
+    def __init__(self, wrapper: Tree, page: Tree, linked: list[float]):
+        self.linked = linked
+        self.matching = Matching()
+        self.found: list[tuple[int, str, bool]] = []
+        homes = homes_of(page)
+        self.homes = {id(h) for h in homes}
+        self.inside = bool(homes)
+        self.around = self._around(page) if not homes else set()
+        self._numbers: dict[int, int] = {}
+        self._number(wrapper)
+        self._take(wrapper if wrapper.label == page.label else None, "", page, False, False)
+        self.found.sort()
+
+    def _number(self, slot: Tree) -> None:
+        self._numbers[id(slot)] = len(self._numbers)
+        for c in slot.children:
+            self._number(c)
+
+    def _around(self, page: Tree) -> set[int]:
+        """On a page without article: elements named like no article that hold all its prose are around it instead."""
+        prose = {b for b in self._plain(page) if self.linked[b] < LINKED}
+        found: set[int] = set()
+        node = page
+        while prose:
+            node = next((c for c in node.children if prose <= set(_blocks(c))), None)
+            if node is None:
+                break
+            found.add(id(node))
+        return found
+
+    def _plain(self, node: Tree) -> Iterator[int]:
+        """Blocks that lie in no element which is never an article."""
+        if node.element not in BOILER_ELEMENTS and node.element != "header":
+            yield from node.blocks
+            for c in node.children:
+                yield from self._plain(c)
+
+    def _is_links(self, node: Tree) -> bool:
+        blocks = list(_blocks(node))
+        return bool(blocks) and all(self.linked[b] >= LINKED for b in blocks)
+
+    def _take(self, slot: Tree | None, path: str, node: Tree, inside: bool, among_prose: bool) -> None:
+        home = id(node) in self.homes
+        if not home and (inside or not self.inside):
+            if id(node) not in self.around and is_boiler(node.label, inside):
+                return
+            if not inside and not among_prose and node.element not in TEXT_ELEMENTS and self._is_links(node):
+                return  # a box of links that no prose stands beside
+        inside = inside or home
+        path = f"#{self._numbers[id(slot)]}" if slot is not None else f"{path}/{node.label}"
+        if inside or not self.inside:
+            fixed = inside and node.element in RECURRING
+            self.found.extend((b, path, not fixed) for b in node.blocks)
+        prose = any(self.linked[b] < LINKED for part in [node, *(c for c in node.children if c.element in TEXT_ELEMENTS)] for b in part.blocks)
+        pairs = {j: i for i, j in self.matching.pairs(slot.children, node.children)} if slot else {}
+        for j, child in enumerate(node.children):
+            self._take(slot.children[pairs[j]] if j in pairs else None, path, child, inside, prose)
+
+
+def _hash(*parts: str) -> int:
+    return xxhash.xxh3_64_intdigest("\0".join(parts)) - (1 << 63)
 
 
 def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(page_id, url, host, shape, texts, linked): each page's tree as JSON and the texts of its blocks."""
+    """(page_id, url, host, tree, texts, linked): each page's tree as JSON, the texts of its blocks and their shares in links."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "html"):
@@ -275,11 +279,11 @@ def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("page_id", "url", "host")),
-                    pa.array([json.dumps(shape_of(p.root), separators=(",", ":")) for p in found], pa.string()),
+                    pa.array([json.dumps(page_tree(p.root).dump(), separators=(",", ":")) for p in found], pa.string()),
                     pa.array([p.texts for p in found], pa.list_(pa.string())),
                     pa.array([[x / len(t) for x, t in zip(p.linked, p.texts, strict=True)] for p in found], pa.list_(pa.float64())),
                 ],
-                ["page_id", "url", "host", "shape", "texts", "linked"],
+                ["page_id", "url", "host", "tree", "texts", "linked"],
             )
 
     rows = pages.select(
@@ -288,66 +292,123 @@ def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
         host_of(F.col(f"`{url_col}`").cast("string")).alias("host"),
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"),
     )
-    return rows.mapInArrow(read, "page_id long, url string, host string, shape string, texts array<string>, linked array<double>")
+    return rows.mapInArrow(read, "page_id long, url string, host string, tree string, texts array<string>, linked array<double>")
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from parsed pages. A task aligns its own pages of a host first, so a host meets as many
-    partial wrappers as there were tasks, however many pages it has."""
+    """(host, wrapper) from parsed pages. A task aligns its own pages of a host first; their partial wrappers are merged in
+    MERGES tasks a host and then in one, so no task meets more than a share of them."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict[str, Slot] = {}
+        trees: dict[str, Tree] = {}
         for batch in batches:
-            for host, shape, texts in zip(*(batch.column(c).to_pylist() for c in ("host", "shape", "texts")), strict=True):
-                tree = trees.setdefault(host, Slot("#page"))
-                absorb(tree, json.loads(shape), [len(t) for t in texts], [_key(t) for t in texts])
+            for host, tree in zip(*(batch.column(c).to_pylist() for c in ("host", "tree")), strict=True):
+                wrapper = trees.setdefault(host, Tree("#page", 0))
+                merge(wrapper, Tree.load(json.loads(tree)))
+                prune(wrapper)
             if len(trees) > 20_000:  # a bound on memory; more partial wrappers, the same sums
                 yield rows(trees)
                 trees = {}
         if trees:
             yield rows(trees)
 
-    def rows(trees: dict[str, Slot]) -> pa.RecordBatch:
-        for tree in trees.values():
-            prune(tree)
+    def rows(trees: dict[str, Tree]) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"host": list(trees), "wrapper": [json.dumps(t.dump(), separators=(",", ":")) for t in trees.values()]})
 
     def whole(group: pd.DataFrame) -> pd.DataFrame:
-        first, *rest = (Slot.load(json.loads(w)) for w in sorted(group["wrapper"]))
+        first, *rest = (Tree.load(json.loads(w)) for w in sorted(group["wrapper"]))
         for other in rest:
             merge(first, other)
             prune(first)
         return pd.DataFrame({"host": [group["host"].iat[0]], "wrapper": [json.dumps(first.dump(), separators=(",", ":"))]})
 
-    parts = pages.select("host", "shape", "texts").mapInArrow(partial, "host string, wrapper string")
-    return parts.groupBy("host").applyInPandas(whole, "host string, wrapper string")
+    parts = pages.select("host", "tree").mapInArrow(partial, "host string, wrapper string")
+    some = parts.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(MERGES))).groupBy("host", "part")
+    return some.applyInPandas(whole, "host string, wrapper string").groupBy("host").applyInPandas(whole, "host string, wrapper string")
+
+
+def places(pages: DataFrame, built: DataFrame) -> DataFrame:
+    """(page, inside, blocks, slots, texts): for each page the blocks that are its text by names, and hashes of their slot and of
+    (slot, text), null where a text may recur. A task reads a wrapper and then pages of its host, as salts deal them out."""
+    salts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pages.withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(salts)))
+    keys = F.transform("texts", lambda t: F.xxhash64(t))
+    own = dealt.select("host", "salt", F.lit(1).alias("is_page"), "page", "tree", "linked", keys.alias("keys"))
+    sent = built.join(dealt.select("host", "salt").distinct(), "host").select(
+        "host", "salt", F.lit(0).alias("is_page"), F.lit(None).cast("long").alias("page"), F.col("wrapper").alias("tree"),
+        *(F.lit(None).cast(t).alias(c) for c, t in (("linked", "array<double>"), ("keys", "array<long>"))),
+    )
+    met = own.unionByName(sent).repartition("host", "salt").sortWithinPartitions("host", "salt", "is_page")
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wrapper = Tree("#page")
+        for batch in batches:
+            out: dict[str, list] = {c: [] for c in ("page", "inside", "blocks", "slots", "texts")}
+            columns = (batch.column(c).to_pylist() for c in ("host", "is_page", "page", "tree", "linked", "keys"))
+            for host, is_page, page, tree, linked, text_keys in zip(*columns, strict=True):
+                if not is_page:
+                    wrapper = Tree.load(json.loads(tree))
+                    continue
+                reading = Reading(wrapper, Tree.load(json.loads(tree)), linked)
+                slots = [_hash(host, path) for _, path, _ in reading.found]
+                out["page"].append(page)
+                out["inside"].append(reading.inside)
+                out["blocks"].append([b for b, _, _ in reading.found])
+                out["slots"].append(slots)
+                found = zip(slots, reading.found, strict=True)
+                out["texts"].append([_hash(str(s), str(text_keys[b])) if may else None for s, (b, _, may) in found])
+            yield pa.RecordBatch.from_pydict(
+                out,
+                pa.schema(
+                    [("page", pa.int64()), ("inside", pa.bool_()), ("blocks", pa.list_(pa.int32())), ("slots", pa.list_(pa.int64())), ("texts", pa.list_(pa.int64()))]
+                ),
+            )
+
+    return met.mapInArrow(align, "page long, inside boolean, blocks array<int>, slots array<long>, texts array<long>")
+
+
+def template_of(placed: DataFrame) -> DataFrame:
+    """(key, template): the (slot, text) pairs that are on CONSTANT_SHARE of their slot's pages; a page counts once for each."""
+    met = F.array_distinct(F.arrays_zip("slots", "texts"))
+    once = placed.select(F.explode(met).alias("m")).select(F.col("m.slots").alias("slot"), F.col("m.texts").alias("key"))
+    pairs = once.filter("key is not null").groupBy("slot", "key").agg(F.count("*").alias("on"))
+    slots = placed.select(F.explode(F.array_distinct("slots")).alias("slot")).groupBy("slot").agg(F.count("*").alias("pages"))
+    often = pairs.filter(F.col("on") >= CONSTANT_SHARE * CONSTANT_PAGES).join(slots.filter(F.col("pages") >= CONSTANT_PAGES), "slot")
+    return often.filter(F.col("on") >= CONSTANT_SHARE * F.col("pages")).select("key", F.lit(True).alias("template"))
+
+
+def _size(blocks: str | Column) -> Column:
+    return F.aggregate(blocks, F.lit(0).cast("long"), lambda sum_, b: sum_ + F.length(F.element_at("texts", b.getField("blocks") + 1)))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
-    The text is the page's main blocks in page order joined by an empty line, white space inside a block
-    made one space. A null or empty page has an empty text. Pages without a host share one wrapper; a host
-    of few pages is judged by element names alone. Rows with equal ids are separate pages; an empty table
-    gives no rows. Each page is read once; pages meet their wrapper by a join on the host, whose page
-    side is split where one host has very many.
+    The text is the page's main blocks in page order joined by an empty line, white space inside a block made one space.
+    Where a page has an article or main element that is its text, else all that is not menu, header, footer and the like
+    by name, or a box of links alone; template goes in both. If more than half of an article, by blocks and by characters,
+    would be template, it is a copy of other pages and stays whole.
+
+    A null or empty page has an empty text. Pages without a host share one wrapper; texts of slots on fewer than
+    CONSTANT_PAGES pages are judged by names alone. Rows with equal ids are separate pages; an empty table gives no rows. Each page
+    is read once. Pages meet their wrapper, and texts their template, over salts, so a host or text may have any share of the rows.
     """
     spark = pages.sparkSession
-    read = written(spark, parsed(pages, id_col, url_col, html_col), "pages")
+    read = written(spark, parsed(pages, id_col, url_col, html_col).withColumn("page", F.monotonically_increasing_id()), "pages")
     built = written(spark, wrappers(read), "wrappers")
+    placed = written(spark, places(read.select("page", "host", "tree", "texts", "linked"), built), "places")
+    template = written(spark, template_of(placed), "template")
+    asked = placed.select("page", F.explode(F.array_distinct(F.array_compact("texts"))).alias("key"))
+    hits = lookup(written(spark, salted(asked), "asked"), template, "key").filter("template").groupBy("page").agg(F.collect_set("key").alias("hits"))
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[str, Slot] | None = None
-        for batch in batches:
-            out = []
-            columns = (batch.column(c).to_pylist() for c in ("shape", "texts", "linked", "wrapper"))
-            for shape, texts, linked, wrapper in zip(*columns, strict=True):
-                if last is None or last[0] != wrapper:
-                    last = (wrapper, Slot.load(json.loads(wrapper)))
-                keys = [_key(t) for t in texts]
-                out.append("\n\n".join(texts[b] for b in extract(last[1], json.loads(shape), keys, linked)))
-            lengths = pa.array([len(t) for t in out], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), lengths], ["page_id", "url", "text", "n_chars"])
-
-    met = read.join(built, "host").select("page_id", "url", "shape", "texts", "linked", "wrapper")
-    return met.mapInArrow(take, "page_id long, url string, text string, n_chars long")
+    whole = read.select("page", "page_id", "url", "texts").join(
+        placed.select("page", "inside", "blocks", F.col("texts").alias("keys")).join(hits, "page", "left"), "page"
+    )
+    is_template = lambda b: b.getField("keys").isNotNull() & F.array_contains("hits", b.getField("keys"))
+    gone, kept = F.filter("zipped", is_template), F.filter("zipped", lambda b: ~F.coalesce(is_template(b), F.lit(False)))
+    distinct = F.size(F.array_distinct(F.array_compact("keys")))
+    copy = F.col("inside") & (2 * F.size("hits") > distinct) & (2 * _size(gone) > _size("zipped"))
+    shown = F.when(F.col("hits").isNull() | copy, F.col("zipped")).otherwise(kept)
+    text = F.array_join(F.transform(shown, lambda b: F.element_at("texts", b.getField("blocks") + 1)), "\n\n")
+    out = whole.withColumn("zipped", F.arrays_zip("blocks", "keys")).select("page_id", "url", text.alias("text"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
