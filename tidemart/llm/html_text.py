@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import lookup, salted, steps, written
+from tidemart.llm.common import steps, written
 from tidemart.llm.html_dom import WHOLE, parse
 from tidemart.llm.html_dom import Node as Element
 from tidemart.llm.url_filter import host_of
@@ -25,7 +25,7 @@ from tidemart.llm.url_filter import host_of
 #: A text is template if it is on this share of its slot's pages, which are so many at least.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.5, 5
 #: Slots that a wrapper aligns; the rarest go first. What meets none of them has a slot by the names of the elements
-#: down from the last one that did, counted like any other: the bound is one of memory, not of what is found.
+#: down from the last one that did, counted like any other.
 WRAPPER_SLOTS = 2000
 #: A block, or all blocks of a box, with this share of characters in links is a link.
 LINKED = 0.8
@@ -256,7 +256,7 @@ class Reading:
             if not inside and not among_prose and node.element not in TEXT_ELEMENTS and self._is_links(node):
                 return  # a box of links that no prose stands beside
         inside = inside or home
-        path = f"#{self._numbers[id(slot)]}" if slot is not None else f"{path}/{node.label}"
+        path = f"#{self._numbers[id(slot)]}" if slot is not None else f"{path}/{node.element}"
         if inside or not self.inside:
             fixed = inside and node.element in RECURRING
             self.found.extend((b, path, not fixed) for b in node.blocks)
@@ -327,54 +327,45 @@ def wrappers(pages: DataFrame) -> DataFrame:
     return some.applyInPandas(whole, "host string, wrapper string").groupBy("host").applyInPandas(whole, "host string, wrapper string")
 
 
-def places(pages: DataFrame, built: DataFrame) -> DataFrame:
-    """(page, inside, blocks, slots, texts): for each page the blocks that are its text by names, and hashes of their slot and of
-    (slot, text), null where a text may recur. A task reads a wrapper and then pages of its host, as salts deal them out."""
-    salts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pages.withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(salts)))
-    keys = F.transform("texts", lambda t: F.xxhash64(t))
-    own = dealt.select("host", "salt", F.lit(1).alias("is_page"), "page", "tree", "linked", keys.alias("keys"))
-    sent = built.join(dealt.select("host", "salt").distinct(), "host").select(
-        "host", "salt", F.lit(0).alias("is_page"), F.lit(None).cast("long").alias("page"), F.col("wrapper").alias("tree"),
-        *(F.lit(None).cast(t).alias(c) for c, t in (("linked", "array<double>"), ("keys", "array<long>"))),
-    )
-    met = own.unionByName(sent).repartition("host", "salt").sortWithinPartitions("host", "salt", "is_page")
+def aligned(pages: DataFrame, built: DataFrame) -> DataFrame:
+    """(host, page_id, url, texts, inside, blocks, slots, keys): for each page the blocks that are its text by names, and hashes of
+    their slot and of (slot, text), null where a text may recur."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wrapper = Tree("#page")
+        last: tuple[str, Tree] | None = None
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("page", "inside", "blocks", "slots", "texts")}
-            columns = (batch.column(c).to_pylist() for c in ("host", "is_page", "page", "tree", "linked", "keys"))
-            for host, is_page, page, tree, linked, text_keys in zip(*columns, strict=True):
-                if not is_page:
-                    wrapper = Tree.load(json.loads(tree))
-                    continue
-                reading = Reading(wrapper, Tree.load(json.loads(tree)), linked)
+            out: dict[str, list] = {"inside": [], "blocks": [], "slots": [], "keys": []}
+            columns = (batch.column(c).to_pylist() for c in ("host", "tree", "linked", "hashes", "wrapper"))
+            for host, tree, linked, hashes, wrapper in zip(*columns, strict=True):
+                if last is None or last[0] != wrapper:
+                    last = (wrapper, Tree.load(json.loads(wrapper)))
+                reading = Reading(last[1], Tree.load(json.loads(tree)), linked)
                 slots = [_hash(host, path) for _, path, _ in reading.found]
-                out["page"].append(page)
                 out["inside"].append(reading.inside)
                 out["blocks"].append([b for b, _, _ in reading.found])
                 out["slots"].append(slots)
-                found = zip(slots, reading.found, strict=True)
-                out["texts"].append([_hash(str(s), str(text_keys[b])) if may else None for s, (b, _, may) in found])
-            yield pa.RecordBatch.from_pydict(
-                out,
-                pa.schema(
-                    [("page", pa.int64()), ("inside", pa.bool_()), ("blocks", pa.list_(pa.int32())), ("slots", pa.list_(pa.int64())), ("texts", pa.list_(pa.int64()))]
-                ),
-            )
+                out["keys"].append([_hash(str(s), str(hashes[b])) if may else None for s, (b, _, may) in zip(slots, reading.found, strict=True)])
+            own = [pa.array(out[c], t) for c, t in (("inside", pa.bool_()), ("blocks", pa.list_(pa.int32())), ("slots", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *own], [*kept, *out])
 
-    return met.mapInArrow(align, "page long, inside boolean, blocks array<int>, slots array<long>, texts array<long>")
+    hashes = F.col("hashes") if "hashes" in pages.columns else F.transform("texts", lambda t: F.xxhash64(t)).alias("hashes")
+    types = {f.name: f.dataType.simpleString() for f in pages.schema if f.name in ("host", "page_id", "url", "texts")}
+    kept = list(types)
+    met = pages.join(built, "host").select(*kept, "tree", "linked", hashes, "wrapper")
+    schema = types | {"inside": "boolean", "blocks": "array<int>", "slots": "array<long>", "keys": "array<long>"}
+    return met.mapInArrow(align, ", ".join(f"{c} {t}" for c, t in schema.items()))
 
 
 def template_of(placed: DataFrame) -> DataFrame:
-    """(key, template): the (slot, text) pairs that are on CONSTANT_SHARE of their slot's pages; a page counts once for each."""
-    met = F.array_distinct(F.arrays_zip("slots", "texts"))
-    once = placed.select(F.explode(met).alias("m")).select(F.col("m.slots").alias("slot"), F.col("m.texts").alias("key"))
-    pairs = once.filter("key is not null").groupBy("slot", "key").agg(F.count("*").alias("on"))
+    """(host, template): the (slot, text) pairs that are on CONSTANT_SHARE of their slot's pages; a page counts once for each.
+    A host has the slots of its wrapper and the paths of element names beyond, whatever its pages, and a slot no more such texts than twice the
+    blocks that its pages have there."""
+    once = placed.select("host", F.explode(F.array_distinct(F.arrays_zip("slots", "keys"))).alias("m"))
+    once = once.select("host", F.col("m.slots").alias("slot"), F.col("m.keys").alias("key"))
+    pairs = once.filter("key is not null").groupBy("host", "slot", "key").agg(F.count("*").alias("on"))
     slots = placed.select(F.explode(F.array_distinct("slots")).alias("slot")).groupBy("slot").agg(F.count("*").alias("pages"))
     often = pairs.filter(F.col("on") >= CONSTANT_SHARE * CONSTANT_PAGES).join(slots.filter(F.col("pages") >= CONSTANT_PAGES), "slot")
-    return often.filter(F.col("on") >= CONSTANT_SHARE * F.col("pages")).select("key", F.lit(True).alias("template"))
+    return often.filter(F.col("on") >= CONSTANT_SHARE * F.col("pages")).groupBy("host").agg(F.collect_set("key").alias("template"))
 
 
 def _size(blocks: str | Column) -> Column:
@@ -391,24 +382,23 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     A null or empty page has an empty text. Pages without a host share one wrapper; texts of slots on fewer than
     CONSTANT_PAGES pages are judged by names alone. Rows with equal ids are separate pages; an empty table gives no rows. Each page
-    is read once. Pages meet their wrapper, and texts their template, over salts, so a host or text may have any share of the rows.
+    is read once. Pages meet their wrapper and their template by joins on the host, whose page side Spark splits where one host has
+    very many; no text is grouped.
     """
     spark = pages.sparkSession
-    read = written(spark, parsed(pages, id_col, url_col, html_col).withColumn("page", F.monotonically_increasing_id()), "pages")
+    read = written(spark, parsed(pages, id_col, url_col, html_col), "pages")
     built = written(spark, wrappers(read), "wrappers")
-    placed = written(spark, places(read.select("page", "host", "tree", "texts", "linked"), built), "places")
+    hashed = read.select("host", "tree", "linked", F.transform("texts", lambda t: F.xxhash64(t)).alias("hashes"))
+    placed = written(spark, aligned(hashed, built), "places")
     template = written(spark, template_of(placed), "template")
-    asked = placed.select("page", F.explode(F.array_distinct(F.array_compact("texts"))).alias("key"))
-    hits = lookup(written(spark, salted(asked), "asked"), template, "key").filter("template").groupBy("page").agg(F.collect_set("key").alias("hits"))
 
-    whole = read.select("page", "page_id", "url", "texts").join(
-        placed.select("page", "inside", "blocks", F.col("texts").alias("keys")).join(hits, "page", "left"), "page"
-    )
-    is_template = lambda b: b.getField("keys").isNotNull() & F.array_contains("hits", b.getField("keys"))
-    gone, kept = F.filter("zipped", is_template), F.filter("zipped", lambda b: ~F.coalesce(is_template(b), F.lit(False)))
+    whole = aligned(read, built).join(template, "host", "left").withColumn("zipped", F.arrays_zip("blocks", "keys"))
+    hits = F.array_intersect(F.array_compact("keys"), F.coalesce("template", F.array().cast("array<long>")))
+    is_hit = lambda b: b.getField("keys").isNotNull() & F.array_contains("hits", b.getField("keys"))
+    gone, kept = F.filter("zipped", is_hit), F.filter("zipped", lambda b: ~is_hit(b))
     distinct = F.size(F.array_distinct(F.array_compact("keys")))
     copy = F.col("inside") & (2 * F.size("hits") > distinct) & (2 * _size(gone) > _size("zipped"))
-    shown = F.when(F.col("hits").isNull() | copy, F.col("zipped")).otherwise(kept)
+    shown = F.when(copy, F.col("zipped")).otherwise(kept)
     text = F.array_join(F.transform(shown, lambda b: F.element_at("texts", b.getField("blocks") + 1)), "\n\n")
-    out = whole.withColumn("zipped", F.arrays_zip("blocks", "keys")).select("page_id", "url", text.alias("text"))
+    out = whole.withColumn("hits", hits).select("page_id", "url", text.alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
