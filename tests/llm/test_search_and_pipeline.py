@@ -13,7 +13,7 @@ from tests.llm.helpers import SF, awkward, documents, tuples
 from tidemart.llm import suffix_dedup, topk
 from tidemart.llm.minhash import MinHash
 from tidemart.llm.queries import ORACLES, QUERIES
-from tidemart.llm.topk import Lists, top_k
+from tidemart.llm.topk import Best, Lists, Reading, top_k
 
 
 def brute(rows, queries_, k):
@@ -31,11 +31,12 @@ def vectors(seed, n, dim=6):
     return [(i, [round(rnd.gauss(0, 0.3), 2) for _ in range(dim)]) for i in range(n)]
 
 
-@pytest.mark.parametrize("rounds", [topk.ROUNDS, (0.02, 0.1, 0.3, 0.6, 1.0)])
-def test_top_k_is_exact(spark, monkeypatch, rounds):
-    monkeypatch.setattr(topk, "CANDIDATES", 64)
+@pytest.mark.parametrize("runs", [topk.RUNS, (0.02, 0.1, 0.3, 0.6, 1.0)])
+def test_top_k_is_exact(spark, monkeypatch, runs):
+    monkeypatch.setattr(topk, "CANDIDATES", 32)
+    monkeypatch.setattr(topk, "BLOCKS", 3)
     monkeypatch.setattr(topk, "QUERIES", 8)
-    monkeypatch.setattr(topk, "ROUNDS", rounds)
+    monkeypatch.setattr(topk, "RUNS", runs)
     rows = vectors(1, 300) + [(400 + i, [0.1, 0.2, -0.1, 0.0, 0.3, 0.1]) for i in range(20)] + [(500, [0.0] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as score", "'x' as block")
     asked = [0, 7, 200, 405, 500]
@@ -55,11 +56,11 @@ def test_top_k_of_awkward_rows(spark):
     assert top_k(df.limit(0), df.limit(0)).count() == 0 and top_k(df, df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("rounds", [topk.ROUNDS, (0.05, 0.2, 0.5, 1.0)])
-def test_scores_beyond_a_float_are_exact(spark, monkeypatch, rounds):
+@pytest.mark.parametrize("runs", [topk.RUNS, (0.05, 0.2, 0.5, 1.0)])
+def test_scores_beyond_a_float_are_exact(spark, monkeypatch, runs):
     """Components of a million: scores differ where a float has no digits left; beyond 64 bits there is an error."""
     monkeypatch.setattr(topk, "CANDIDATES", 64)
-    monkeypatch.setattr(topk, "ROUNDS", rounds)
+    monkeypatch.setattr(topk, "RUNS", runs)
     rnd = random.Random(8)
     rows = [(0, [600001.00390625, 0.0]), (1, [600001.01171875, 0.0])]
     rows += [(2 + i, [600000 + rnd.randrange(2000) / 256, rnd.randrange(-3, 4) / 256]) for i in range(200)]
@@ -78,15 +79,44 @@ def test_scores_beyond_a_float_are_exact(spark, monkeypatch, rounds):
 
 def test_bounds_hold_and_close():
     rnd = np.random.default_rng(2)
-    body, asked = rnd.integers(-50, 50, (80, 5)), rnd.integers(-50, 50, (10, 5)).astype(float)
-    lists, last = Lists(np.arange(80), body), None
-    for read in (1, 10, 40, 79, 80):
-        lower, upper = lists.bounds(asked, read)
-        scores = asked @ body.T
+    body, asked = rnd.integers(-50, 50, (80, 5)), rnd.integers(-50, 50, (10, 5))
+    scores = body @ asked.T
+    reading, last, lists = Reading(Lists(np.arange(80), body), asked.astype(float)), None, np.sort(body, axis=0)
+    for read in (0, 1, 10, 40, 79, 80):
+        reading.to(read)
+        lower, upper = reading.lower, reading.upper
         assert (lower <= scores).all() and (scores <= upper).all()
-        assert last is None or (upper - lower <= last + 1e-9).all()
+        assert last is None or (upper - lower <= last).all()
         last = upper - lower
-    assert not last.any()
+        # The bounds by their definition: an entry that was read as it is, any other by the next and the last of its list.
+        for c, q in ((3, 0), (17, 4), (60, 9)):
+            low = high = 0
+            for d, w in enumerate(asked[q]):
+                ordered = lists[::-1, d] if w > 0 else lists[:, d]
+                place = list(reading.lists.places[d] if w > 0 else reading.lists.places[d, ::-1]).index(c)
+                low += w * (body[c, d] if place < read else ordered[-1])
+                high += w * (body[c, d] if place < read else ordered[read])
+            assert (lower[c, q], upper[c, q]) == (low, high)
+    assert not last.any() and reading.entries == 80 * np.count_nonzero(asked)
+
+
+def test_reading_stops_early_and_touches_nothing_else():
+    rnd = np.random.default_rng(3)
+    body = rnd.integers(-50, 50, (5000, 4))
+    body[:8] += np.arange(1000, 200, -100)[:, None]
+    asked = rnd.integers(1, 9, (6, 4))
+    lists = Lists(np.arange(5000), body)
+    lists.places[:, 200:-200] = 10**9  # reading there would fail
+    found, entries = lists.best(np.arange(9000, 9006), asked, 5)
+    scores = body @ asked.T
+    assert found["score"].tolist() == [x for q in range(6) for x in sorted(scores[:, q], reverse=True)[:5]]
+    assert entries == 100 * 4 * 6  # the first run of two hundredths, of each list, for each query
+    # A block that cannot reach what another block gave is not read at all.
+    poor = Lists(np.arange(5000, 6000), rnd.integers(-50, 50, (1000, 4)))
+    best = Best(np.arange(9000, 9006), 5)
+    best.add(found)
+    assert poor.best(best.ids, asked, 5, best.floor())[1] == 0
+    assert poor.best(best.ids, asked, 5)[1] > 0
 
 
 def test_names():
