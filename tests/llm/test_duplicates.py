@@ -17,7 +17,7 @@ from tidemart.llm.components import connected_components
 from tidemart.llm.minhash import MinHash, keep_one, near_duplicates
 from tidemart.llm.shingles import shingle_sets
 from tidemart.llm.suffix_dedup import remove_repeats, repeat_digests
-from tidemart.llm.suffix_order import repeats
+from tidemart.llm.suffix_order import longest_previous_factors, previous_and_next_smaller, repeats
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -164,6 +164,26 @@ def test_repeats_in_suffix_order(strings, length):
     assert earlier.tolist() == expected[0].tolist() and anywhere.tolist() == expected[1].tolist()
 
 
+@given(st.permutations(range(24)))
+def test_previous_and_next_smaller_positions(values):
+    before, after = previous_and_next_smaller(np.array(values))
+    for i, v in enumerate(values):
+        assert before[i] == max((j for j in range(i) if values[j] < v), default=-1)
+        assert after[i] == min((j for j in range(i + 1, len(values)) if values[j] < v), default=-1)
+
+
+def test_longest_previous_factors_in_any_order_of_a_run():
+    """Ties of the cut-off order may stand in any order: all but the first position of a run reach the length."""
+    rnd = random.Random(31)
+    for _ in range(50):
+        sizes = [rnd.randrange(1, 6) for _ in range(8)]
+        order = np.array(rnd.sample(range(100), sum(sizes)))
+        run = np.repeat(np.arange(8), sizes)
+        same = np.concatenate([[False], run[1:] == run[:-1]])
+        first = {order[run == r].min() for r in range(8)}
+        assert longest_previous_factors(order, same, 400).tolist() == [0 if p in first else 400 for p in order]
+
+
 def brute_removed(rows, length, keep_first):
     """Spans by looking at every window of every text."""
     seen = {}

@@ -53,14 +53,39 @@ def suffix_runs(strings: list[bytes], length: int, width: int = 1) -> tuple[np.n
         reach = target
 
 
-def previous_and_next_smaller(order: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each place in suffix order the nearest smaller position before and after it, within its run; -1 for none.
+def previous_smaller(order: np.ndarray) -> np.ndarray:
+    """For each place the nearest place before it that holds a smaller value, -1 for none. The values differ.
 
-    Beyond a run the common prefix is shorter than looked for, so no position there gives a match. In a
-    run positions ascend: the nearest smaller one is the neighbour before, and none follows.
+    Between a place and its candidate all values are larger; a candidate that is larger too hands on its own, so
+    the way back doubles from round to round.
     """
-    before = np.where(same, np.concatenate([[-1], order[:-1]]) if len(order) else order, -1)
-    return before, np.full(len(order), -1, dtype=np.int64)
+    before = np.arange(len(order)) - 1
+    open_ = np.flatnonzero((before >= 0) & (order[before] > order)) if len(order) else before
+    while len(open_):
+        before[open_] = before[before[open_]]
+        at = before[open_]
+        open_ = open_[(at >= 0) & (order[at] > order[open_])]
+    return before
+
+
+def previous_and_next_smaller(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place in suffix order the nearest places before and after it that hold an earlier position; -1 for none."""
+    after = len(order) - 1 - previous_smaller(order[::-1])[::-1]
+    return previous_smaller(order), np.where(after == len(order), -1, after)
+
+
+def longest_previous_factors(order: np.ndarray, same: np.ndarray, length: int) -> np.ndarray:
+    """For each place in suffix order how far its suffix agrees with one at an earlier position, cut off at ``length``:
+    ``length``, or 0 for anything below.
+
+    The longest such agreement is with the previous or the next smaller position (Crochemore and Ilie, 2008). Two places agree
+    over ``length`` if they are in one run of ``same``.
+    """
+    run = np.cumsum(~same)
+    out = np.zeros(len(order), dtype=np.int64)
+    for near in previous_and_next_smaller(order):
+        out[(near >= 0) & (run[near] == run)] = length
+    return out
 
 
 def repeats(strings: list[bytes], length: int, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -68,8 +93,7 @@ def repeats(strings: list[bytes], length: int, width: int = 1) -> tuple[np.ndarr
     longest previous factor reaches ``length``), and whether they occur at any other."""
     total = sum(len(s) for s in strings)
     order, same = suffix_runs(strings, length, width)
-    before, after = previous_and_next_smaller(order, same)
     earlier, anywhere = np.zeros(total, dtype=bool), np.zeros(total, dtype=bool)
-    earlier[order[(before >= 0) | (after >= 0)]] = True
+    earlier[order[longest_previous_factors(order, same, length) >= length]] = True
     anywhere[order] = True
     return earlier, anywhere
