@@ -76,8 +76,14 @@ def salted(df: DataFrame) -> DataFrame:
     return df.withColumn(SALT, F.floor(F.rand() * salts).cast("int"))
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows with a salt each by a hash of the columns, the same whenever it is computed."""
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
+
+
 def lookup(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """Written ``salted`` rows with the columns of ``found``, which has each key once (null where it has none).
+    """``dealt``, or written ``salted``, rows with the columns of ``found``, which has each key once (null where it has none).
     A found row goes once to each salt that its key has, so rows of one key meet it in many tasks."""
     wanted = rows.select(key, SALT).distinct()
     return rows.join(wanted.join(found, key), [key, SALT], "left").drop(SALT)

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import written
+from tidemart.llm.common import dealt, lookup, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours move to the smallest node of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+    met = lookup(dealt(both.filter("v > u"), "v"), least, "u")  # a node's neighbours meet its minimum in many tasks
+    return met.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -27,8 +28,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node that has an edge to another: the smallest node it is connected with.
 
     ``edges`` has two columns of one orderable type; nulls, loops and repeats are ignored. A step joins the
-    edges with one minimum per node, so no node's neighbours are gathered, and a hot node is split like
-    any skewed join. Each round is written; the rounds end when one changes nothing.
+    edges with one minimum per node, so no node's neighbours are gathered, and those of a hot node are dealt over many tasks. Each round is written; the rounds end when one changes nothing.
     """
     spark = edges.sparkSession
     left, right = edges.columns

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.bloom import bloom_filter
-from tidemart.llm.common import id_and_text, resident, steps, trim, unused, utf8, written
+from tidemart.llm.common import dealt, id_and_text, lookup, resident, steps, trim, unused, utf8, written
 from tidemart.llm.shingles import mix
 from tidemart.llm.suffix_order import repeats
 
@@ -259,9 +259,11 @@ def _groups(occurrences: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _settled(occurrences: DataFrame, groups: DataFrame, keep_first: bool) -> DataFrame:
-    """(id, hash, low, high): window starts of whole segments that repeat; with keep_first, but for the first."""
-    again = groups.filter("n > 1").select("key", "digest", F.col("first.id").alias("id0"), F.col("first.hash").alias("hash0"), F.col("first.low").alias("low0"))
-    met = occurrences.join(again, ["key", "digest"])
+    """(id, hash, low, high): window starts of whole segments that repeat; with keep_first, but for the first. The copies of
+    one segment learn of it in many tasks."""
+    group = F.struct("key", "digest").alias("group")
+    again = groups.filter("n > 1").select(group, F.col("first.id").alias("id0"), F.col("first.hash").alias("hash0"), F.col("first.low").alias("low0"))
+    met = lookup(dealt(occurrences.withColumn("group", group), "id", "hash", "low"), again, "group").filter("id0 is not null")
     if keep_first:
         met = met.filter("not (id = id0 and hash = hash0 and low = low0)")
     return met.select("id", "hash", "low", "high")
