@@ -4,6 +4,7 @@ from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tests.conftest import rows_of
 from tidemart.__main__ import load_pipeline, main
@@ -160,6 +161,16 @@ def test_gold_refresh(spark, shop, tmp_path):
     assert report(spark, shop) == {(3, "b1"): 10.0, (3, None): 10.0, (4, "b1"): -5.0}
 
 
+def test_a_full_build_exchanges_images_once(spark, shop, monkeypatch):
+    for table in ("order_items", "products"):
+        run_snapshot(spark, shop, table, t(5))
+    hints, hint = [], DataFrame.hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, *args: hints.append(args) or hint(df, *args))
+    run_gold(spark, shop, full_refresh=True)
+    assert len(hints) == 1  # the report's; fact and dimension are written as they lie
+    assert report(spark, shop) == {(3, "b1"): 10.0, (3, None): 10.0, (4, "b1"): -10.0}
+
+
 def test_gold_clears_an_emptied_day_only_on_request(spark, shop, tmp_path):
     cfg = shop
     for hour in (t(3, 5), t(4, 5)):

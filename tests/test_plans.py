@@ -1,14 +1,16 @@
 """The plans the operators must get, at any size."""
 
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from tests.conftest import plan_of
+from tests.conftest import plan_of, rows_of
 from tidemart.functions import day_of
 from tidemart.operators import asof_join, latest_per_key
+from tidemart.plans import marts
 from tidemart.sources import append_delta, overwrite_partitions, read_delta, read_partitions
 
 SF = "/root/testdata/sf0.001"
@@ -136,3 +138,30 @@ def test_rows_of_unknown_keys_are_spread(spark, conf):
     joined = asof_join(sales, versions(spark), ["k"], "ts", "vts")
     parts = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count("v").alias("m")).collect()
     assert sum(r.n for r in parts) == 40_000 and max(r.n for r in parts) < 6_000 and not any(r.m for r in parts)
+
+
+def test_images_are_chosen_where_they_will_be_written(spark, tmp_path, monkeypatch):
+    """Exchanged once, by month and bucket: the same images, and no other exchange before the write."""
+    rows = spark.range(400).selectExpr(
+        "if(id % 50 = 0, null, id % 30) as k",
+        "if(id % 70 = 1, null, timestamp '2024-01-01 00:00:00' + (id % 90) * interval 17 hour) as ts",
+        "id % 7 as v",
+    )
+    chosen = latest_per_key(rows, ["k"], "ts", per_day=True, spread=3)
+    assert plan_of(chosen).count("Exchange hashpartitioning") == 1
+    assert rows_of(chosen) == rows_of(latest_per_key(rows, ["k"], "ts", per_day=True))
+    monkeypatch.setattr(type(rows), "hint", lambda *_: pytest.fail("exchanged again"))
+    overwrite_partitions(chosen, f"{tmp_path}/t", day_of("ts"), whole_table=True, gathered=True)
+    assert rows_of(read_partitions(spark, f"{tmp_path}/t")) == rows_of(chosen)
+
+
+def test_a_sale_meets_versions_of_other_years(spark):
+    """The slots of the sales are years; a version is handed on over many, and two of one slot are told apart by time."""
+    sales = "id long, product_id long, created_at timestamp, updated_at timestamp, delivered_at timestamp, sale_price double, returned_at timestamp"
+    days = ["2001-05-01", "2019-12-31", "2020-01-01", "2020-06-02", "2024-03-01"]
+    times = [datetime.fromisoformat(d) for d in days]
+    fact = spark.createDataFrame([(i, 1, t, t, t, 1.0, None) for i, t in enumerate(times)], sales)
+    versions = [(1, b, "Men", "c", datetime.fromisoformat(d)) for b, d in (("a", "2005-01-01"), ("b", "2020-01-01"), ("c", "2020-06-01"), ("d", "2020-06-03"))]
+    dimension = spark.createDataFrame(versions, "id long, brand string, department string, category string, updated_at timestamp")
+    joined = marts.sales_with_product(fact, dimension)
+    assert {r.id: r.brand for r in joined.collect()} == {0: None, 1: "a", 2: "b", 3: "c", 4: "d"}

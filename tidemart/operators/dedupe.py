@@ -21,6 +21,7 @@ def latest_per_key(
     audit: str,
     per_day: bool = False,
     tiebreak: Sequence[str | Column] | None = None,
+    spread: int | None = None,
 ) -> DataFrame:
     """One row per key (or per key and audit day): the one with the latest audit value.
 
@@ -29,6 +30,9 @@ def latest_per_key(
     depend on row order. The ``row_number = 1`` shape lets Spark keep one row per key and
     map task before the shuffle, so a hot key ships at most one row per task. All columns are
     kept, whatever their names.
+
+    With ``spread`` (and ``per_day``) rows are exchanged by month and by so many buckets of the key instead, so that
+    the result can be written by day or month as it lies. Then all images of a key and month travel.
     """
     groups = [named(k) for k in keys] + ([day_of(named(audit))] if per_day else [])
     if tiebreak is None:
@@ -37,5 +41,12 @@ def latest_per_key(
     order = [named(audit).desc_nulls_last()]
     order += [named(t).asc_nulls_last() if isinstance(t, str) else t for t in tiebreak]
     place = unused(df.columns, "place")
+    if spread:
+        # Both follow from the keys and the day, so the groups are the same and need no other exchange.
+        together = [F.trunc(day_of(named(audit)), "MM"), F.pmod(F.xxhash64(*[named(k) for k in keys]), F.lit(spread))]
+        names = [unused(df.columns, name) for name in ("month", "bucket")]
+        df = df.withColumns(dict(zip(names, together, strict=True))).repartition(*map(named, names))
+        rank = F.row_number().over(Window.partitionBy(*map(named, names), *groups).orderBy(*order))
+        return df.withColumn(place, rank).filter(F.col(place) == 1).drop(place, *names)
     rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
     return df.withColumn(place, rank).filter(F.col(place) == 1).drop(place)

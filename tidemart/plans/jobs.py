@@ -21,6 +21,9 @@ from tidemart.session import prepare
 from tidemart.slices import Slice, resolve_slice
 from tidemart.sources import appendlog, extract, landing, partitions, snapshots, storage
 
+#: Bytes of a log, as Spark expects them, for each bucket of keys that a month of a full build is dealt over.
+BUCKET_BYTES = 512_000_000
+
 GOLD_MODELS = ("order_items_fact", "product_dimension", "sales_report")
 
 
@@ -195,7 +198,8 @@ def run_gold(
             days = None if window.kind == "since" else [window.date]
             notes = build_notes(spark, path, cfg.delta(SOURCES[model]), days)
         partitions.overwrite_partitions(
-            build(window), path, day, clear_empty=only, whole_table=full_refresh, gather_before=open_since, notes=notes
+            build(window), path, day, clear_empty=only, whole_table=full_refresh, gather_before=open_since, notes=notes,
+            gathered=model in SOURCES,
         )
         view = f"{layer_name('gold', cfg.target)}.{model}"
         if view_exists(spark, view):
@@ -205,6 +209,12 @@ def run_gold(
     def log(table: str, window: Slice) -> DataFrame:
         return appendlog.read_delta(spark, cfg.delta(table), window, "updated_at")
 
+    def images(model: Callable[..., DataFrame], table: str, window: Slice) -> DataFrame:
+        rows = log(table, window)
+        # A whole table is exchanged once: images are chosen where they will be written.
+        spread = 1 + appendlog.expected_bytes(rows) // BUCKET_BYTES if full_refresh else None
+        return model(rows, window, spread)
+
     def report(window: Slice) -> DataFrame:
         fact = partitions.read_partitions(spark, cfg.gold("order_items_fact"), window, "updated_at")
         dimension = partitions.read_partitions(spark, cfg.gold("product_dimension"))
@@ -212,8 +222,8 @@ def run_gold(
 
     changed = day_of("updated_at")
     steps = [
-        ("order_items_fact", cfg.fact_since, lambda w: marts.order_items_fact(log("order_items", w), w), changed),
-        ("product_dimension", cfg.dimension_since, lambda w: marts.product_dimension(log("products", w), w), changed),
+        ("order_items_fact", cfg.fact_since, lambda w: images(marts.order_items_fact, "order_items", w), changed),
+        ("product_dimension", cfg.dimension_since, lambda w: images(marts.product_dimension, "products", w), changed),
     ]
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
         for future in [pool.submit(inheritable_thread_target(spark)(refresh), *step) for step in steps]:

@@ -82,7 +82,7 @@ def store_slices(
     mine = [f"{SLICE}={name}" for name in names]
     before = _days_of(spark, path, [n for n in mine if n in there])
     if mode == "append":
-        rows.write.mode("append").partitionBy(SLICE, FROM).parquet(path)
+        rows.write.mode("append").option("compression", "zstd").partitionBy(SLICE, FROM).parquet(path)
     else:
         replace_folders(rows, path, [SLICE, FROM], [f"{path}/{n}" for n in mine if n in there])
     if not one_day:
@@ -93,9 +93,14 @@ def store_slices(
 
 def _is_large(df: DataFrame) -> bool:
     """Whether Spark expects the rows to fill many of the partitions that it aims at. Only the layout depends on it."""
-    expected = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    expected = expected_bytes(df)
     aim = df.sparkSession._jsparkSession.sessionState().conf().getConfString("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-    return int(expected) > LARGE_PARTITIONS * _bytes(df.sparkSession, aim)
+    return expected > LARGE_PARTITIONS * _bytes(df.sparkSession, aim)
+
+
+def expected_bytes(df: DataFrame) -> int:
+    """How large Spark expects the rows to be."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _bytes(spark: SparkSession, size: str) -> int:

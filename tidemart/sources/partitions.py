@@ -65,6 +65,7 @@ def overwrite_partitions(
     whole_table: bool = False,
     gather_before: date | None = None,
     notes: Mapping | None = None,
+    gathered: bool = False,
 ) -> int:
     """Replace the days present in ``df`` and leave all others alone; returns the new version.
 
@@ -75,7 +76,8 @@ def overwrite_partitions(
     with the version (``table_notes``).
 
     Rows are gathered by folder before the write, or every task would write a file per folder. AQE
-    then sizes the write: it cuts large folders over several tasks and packs small ones together.
+    then sizes the write: it cuts large folders over several tasks and packs small ones together. Rows that
+    lie together by month already (``gathered``) are written as they lie; that holds for a whole table only.
     """
     refuse(df, GENERATION, SPAN, DAY)
     spark = df.sparkSession
@@ -107,7 +109,8 @@ def overwrite_partitions(
             rows = rows.unionByName(old)
     number = _next_number(spark, path)
     written = f"{path}/{GENERATION}={number}"
-    rows.hint("rebalance", SPAN).sortWithinPartitions(SPAN, DAY).write.partitionBy(SPAN).parquet(written)
+    rows = rows if gathered and whole_table else rows.hint("rebalance", SPAN)
+    rows.sortWithinPartitions(SPAN, DAY).write.option("compression", "zstd").partitionBy(SPAN).parquet(written)
     new = [unquote(n.removeprefix(f"{SPAN}=")) for n in storage.child_names(spark, written) if n.startswith(f"{SPAN}=")]
     spans = {s: g for s, g in stored["spans"].items() if s not in gone} | dict.fromkeys(new, number)
     manifest = {"spans": spans, "schema": stored["schema"], "notes": {**stored["notes"], **(notes or {})}}

@@ -17,7 +17,7 @@ def replace_folders(rows: DataFrame, path: str, columns: Sequence[str], scopes:
     """
     spark = rows.sparkSession
     before = {folder: names for scope in scopes for folder, names in storage.files_below(spark, scope).items()}
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
     writer.partitionBy(*columns).parquet(path)
     for folder, names in before.items():
         if names & set(storage.child_names(spark, folder)):  # files have new names in a folder that was replaced
