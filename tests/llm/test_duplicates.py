@@ -227,6 +227,20 @@ def test_repeated_passages_are_found_to_the_byte(spark, monkeypatch, many):
         assert tuples(repeat_digests(docs, 100, keep_first)) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_segments_of_an_anchor_meet_whatever_join_is_chosen(spark, monkeypatch, conf, keep_first):
+    # A few split anchors, few enough to be broadcast once they are known, but not by what the plan expects.
+    conf(spark__sql__autoBroadcastJoinThreshold="500", spark__sql__adaptive__coalescePartitions__enabled="false")
+    monkeypatch.setattr(suffix_dedup, "MANY", 8)
+    rnd = random.Random(41)
+    text = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    common, shared = text(150), [text(rnd.randrange(100, 180)) for _ in range(40)]
+    texts = [text(200) + p + text(200) for p in [*shared, *[common] * 20, *shared]]
+    expected = [int(gone.sum()) for gone in brute_removed([(i, t.encode()) for i, t in enumerate(texts)], 100, keep_first)]
+    found = repeat_digests(documents(spark, texts), 100, keep_first)
+    assert [r.n_removed for r in found.orderBy("doc_id").collect()] == expected
+
+
 def test_long_texts_are_cut_into_stretches(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "STRETCH", 150)
     rnd = random.Random(2)
